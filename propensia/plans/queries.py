@@ -163,3 +163,245 @@ def engagement_distribution(spark, sf_dir):
     return seg.groupBy("engagement_segment").agg(
         F.count(F.lit(1)).alias("customers_days"), round_half_away(F.avg("txn_count_30d"), 6).alias("avg_txn_count_30d")
     )
+
+
+# ------------------------------------------------------ training inputs --
+HOLDOUT_DAYS_EVENTS = 10  # only 30 days of events exist (FIXTURES binding)
+
+
+def training_inputs(spark, sf_dir):
+    from propensia.operators.training import prepare_training_frame
+
+    gold = events_layers(spark, sf_dir)["gold"]
+    labels = A.customer_as_labels(spark, sf_dir)
+    return prepare_training_frame(A.feature_history(gold), labels, check_classes=False)
+
+
+def score9(c):
+    """Scores are compared (and ranked, in checked queries) at 9 places:
+    ``exp`` may differ in the last bit between engines."""
+    return round_half_away(c, 9)
+
+
+@register("labels_latest", "WITH " + O.labels_cte()[2:] + " SELECT * FROM labels_latest")
+def labels_latest(spark, sf_dir):
+    """W6 + T1: last label per customer by ingestion date."""
+    from propensia.operators.dedup import latest_labels
+
+    return latest_labels(A.customer_as_labels(spark, sf_dir))
+
+
+@register(
+    "feature_history_latest",
+    O.events_layers()[:-1] + O.history_cte().split(",\ntraining AS")[0] + "\n" + O.GOLD_SELECT + " FROM history_latest",
+)
+def feature_history_latest(spark, sf_dir):
+    """Overlapping gold snapshots, last version per (token, date)."""
+    from propensia.operators.dedup import latest_feature_rows
+
+    gold = events_layers(spark, sf_dir)["gold"]
+    return rounded_gold(latest_feature_rows(A.feature_history(gold)).drop("year", "month", "day"))
+
+
+@register(
+    "training_frame",
+    O.events_layers()[:-1] + O.labels_cte() + O.history_cte() + "\n" + O.GOLD_SELECT + ", adopted_card FROM training",
+)
+def training_frame(spark, sf_dir):
+    """ML1 + J1 + P7: deduped history joined to deduped labels."""
+    return rounded_gold(training_inputs(spark, sf_dir).drop("year", "month", "day"))
+
+
+@register(
+    "temporal_split",
+    O.events_layers()[:-1] + O.labels_cte() + O.history_cte() + O.split_cte(HOLDOUT_DAYS_EVENTS)
+    + "\nSELECT customer_token, feature_date, adopted_card, split FROM split",
+)
+def temporal_split(spark, sf_dir):
+    """P9 + A4: train <= max(feature_date) - holdout < test."""
+    from propensia.operators.training import label_split
+
+    f = label_split(training_inputs(spark, sf_dir), HOLDOUT_DAYS_EVENTS)
+    return f.select("customer_token", "feature_date", "adopted_card", "split")
+
+
+@register(
+    "class_weight",
+    O.events_layers()[:-1] + O.labels_cte() + O.history_cte() + O.split_cte(HOLDOUT_DAYS_EVENTS)
+    + f"""
+SELECT CAST(sum(adopted_card) AS BIGINT) AS positives, CAST(count(*) - sum(adopted_card) AS BIGINT) AS negatives,
+       {O.r6('CAST(count(*) - sum(adopted_card) AS DOUBLE) / nullif(CAST(sum(adopted_card) AS DOUBLE), 0)')} AS scale_pos_weight
+FROM split WHERE split = 'train'""",
+)
+def class_weight(spark, sf_dir):
+    """Class counts and positive weight of the training split."""
+    from propensia.operators.training import class_weight as cw
+    from propensia.operators.training import label_split
+
+    train = label_split(training_inputs(spark, sf_dir), HOLDOUT_DAYS_EVENTS).filter(F.col("split") == "train")
+    w = cw(train)
+    return w.select("positives", "negatives", round_half_away("scale_pos_weight", 6).alias("scale_pos_weight"))
+
+
+# ------------------------------------------------------------ behaviour --
+def behaviour_frame(spark, sf_dir):
+    from propensia.operators.behaviour import behaviour_index, customer_totals
+
+    c = A.table(spark, sf_dir, "customer")
+    domain = c.select(
+        A.pan_of(F.col("c_custkey")).alias("customer_token"),
+        (F.lit(21) + F.col("c_custkey") % 50).alias("age"),
+        (F.lit(1) + F.col("c_custkey") % 120).alias("tenure_months"),
+    )
+    return behaviour_index(customer_totals(domain, events_layers(spark, sf_dir)["silver"]))
+
+
+@register(
+    "behaviour_index",
+    O.events_layers()[:-1] + O.behaviour_cte()
+    + f"""
+SELECT customer_token, age, tenure_months, txn_count, digital_count, cross_border_count,
+       {O.r6('volume_usd')} AS volume_usd, {O.r6('digital_ratio')} AS digital_ratio,
+       {O.r6('propensity_signal', 9)} AS propensity_signal, {O.r6('adoption_probability', 9)} AS adoption_probability
+FROM behaviour""",
+)
+def behaviour_index(spark, sf_dir):
+    """A5 + A6 + J4 + J5 + F10 + F11 over the full customer domain."""
+    b = behaviour_frame(spark, sf_dir)
+    return b.select(
+        "customer_token",
+        "age",
+        "tenure_months",
+        "txn_count",
+        "digital_count",
+        "cross_border_count",
+        round_half_away("volume_usd", 6).alias("volume_usd"),
+        round_half_away("digital_ratio", 6).alias("digital_ratio"),
+        round_half_away("propensity_signal", 9).alias("propensity_signal"),
+        round_half_away("adoption_probability", 9).alias("adoption_probability"),
+    )
+
+
+@register(
+    "score_deciles",
+    O.events_layers()[:-1] + O.behaviour_cte()
+    + f""",
+ranked AS (
+  SELECT customer_token, {O.r6('adoption_probability', 9)} AS propensity_score,
+         row_number() OVER (ORDER BY {O.r6('adoption_probability', 9)}, customer_token) AS r, count(*) OVER () AS n
+  FROM behaviour)
+SELECT customer_token, propensity_score, {O.decile_sql('r', 'n')} AS score_decile,
+       {O.campaign_sql(O.decile_sql('r', 'n'))} AS campaign_segment FROM ranked""",
+)
+def score_deciles(spark, sf_dir):
+    """W5 + W7 + F7: relative deciles of the behaviour index (global rank)."""
+    from propensia.functions.expr import campaign_segment
+    from propensia.operators.ranking import assign_deciles
+
+    b = behaviour_frame(spark, sf_dir).select("customer_token", score9("adoption_probability").alias("propensity_score"))
+    d = assign_deciles(b, "propensity_score", ["customer_token"])
+    return d.select("customer_token", "propensity_score", "score_decile", campaign_segment("score_decile").alias("campaign_segment"))
+
+
+# -------------------------------------------------------------- scoring --
+def snapshot_scores(spark, sf_dir):
+    from propensia.operators.scoring import LinearScorer, predict, to_score_contract
+
+    snap = events_layers(spark, sf_dir)["features"]
+    scored = predict(snap, LinearScorer()).withColumn("propensity_score", score9("propensity_score"))
+    return snap, to_score_contract(scored, ["customer_token"])
+
+
+def _scored_snapshot_sql() -> str:
+    from propensia.operators.scoring import DEFAULT_COEFFICIENTS, DEFAULT_INTERCEPT
+
+    p = O.r6(O.linear_score_sql(DEFAULT_COEFFICIENTS, DEFAULT_INTERCEPT), 9)
+    return f""",
+scored AS (
+  SELECT customer_token, feature_date, {p} AS propensity_score FROM features),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY propensity_score, customer_token) AS r, count(*) OVER () AS n FROM scored),
+scores AS (
+  SELECT customer_token, propensity_score, {O.decile_sql('r', 'n')} AS score_decile,
+         {O.campaign_sql(O.decile_sql('r', 'n'))} AS campaign_segment, CAST(feature_date AS DATE) AS feature_date
+  FROM ranked)"""
+
+
+@register("campaign_segments", O.events_layers()[:-1] + _scored_snapshot_sql() + "\nSELECT * FROM scores")
+def campaign_segments(spark, sf_dir):
+    """ML4 + W5 + W7 + F7 + P12: the 5-column score contract of the snapshot."""
+    return snapshot_scores(spark, sf_dir)[1]
+
+
+@register(
+    "segment_distribution",
+    O.events_layers()[:-1] + _scored_snapshot_sql()
+    + f"\nSELECT campaign_segment, count(*) AS customers, {O.r6('avg(propensity_score)', 9)} AS avg_score FROM scores GROUP BY campaign_segment",
+)
+def segment_distribution(spark, sf_dir):
+    """Run summary per campaign segment."""
+    from propensia.operators.metrics import segment_distribution as dist
+
+    d = dist(snapshot_scores(spark, sf_dir)[1])
+    return d.select("campaign_segment", "customers", round_half_away("avg_score", 9).alias("avg_score"))
+
+
+@register(
+    "campaign_mart",
+    O.events_layers()[:-1] + _scored_snapshot_sql()
+    + """
+SELECT f.customer_token, s.propensity_score, s.score_decile, s.campaign_segment, f.feature_date
+FROM (SELECT customer_token, feature_date FROM features) f
+JOIN scores s ON f.customer_token = s.customer_token AND f.feature_date = s.feature_date""",
+)
+def campaign_mart(spark, sf_dir):
+    """J2 + P12: snapshot customers joined to their scores."""
+    snap, scores = snapshot_scores(spark, sf_dir)
+    return L.mart(snap, scores)
+
+
+# -------------------------------------------------------------- metrics --
+def _metrics_sql() -> str:
+    from propensia.operators.scoring import DEFAULT_COEFFICIENTS, DEFAULT_INTERCEPT
+
+    p = O.r6(O.linear_score_sql(DEFAULT_COEFFICIENTS, DEFAULT_INTERCEPT), 9)
+    r = O.r6
+    return (
+        O.events_layers()[:-1] + O.labels_cte() + O.history_cte() + O.split_cte(HOLDOUT_DAYS_EVENTS)
+        + f""",
+test AS (SELECT customer_token, feature_date, adopted_card AS y, {p} AS p FROM split WHERE split = 'test'),
+tot AS (SELECT count(*) AS n, CAST(sum(y) AS DOUBLE) AS pos, avg(CAST(y AS DOUBLE)) AS prevalence,
+               avg(power(p - y, 2)) AS brier FROM test),
+per AS (SELECT p, count(*) AS c, sum(y) AS pos FROM test GROUP BY p),
+cum AS (SELECT *, sum(pos) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+               sum(c) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen FROM per),
+curve AS (SELECT sum(pos * tp / seen) AS ap_num, sum((c - pos) * (tp - pos / 2.0)) AS auc_num FROM cum),
+top AS (SELECT avg(CAST(y AS DOUBLE)) AS precision_at_10 FROM (
+          SELECT y, row_number() OVER (ORDER BY p DESC, customer_token DESC, feature_date DESC) AS rk FROM test)
+        WHERE rk <= (SELECT greatest(1, CAST(ceil(CAST(0.1 AS DOUBLE) * n) AS BIGINT)) FROM tot))
+SELECT CAST(tot.n AS BIGINT) AS n, CAST(tot.pos AS BIGINT) AS positives, {r('tot.prevalence')} AS prevalence,
+       {r('CASE WHEN tot.pos > 0 THEN curve.ap_num / tot.pos ELSE 0.0 END')} AS pr_auc,
+       {r('curve.auc_num / (tot.pos * (tot.n - tot.pos))')} AS roc_auc,
+       {r('top.precision_at_10')} AS precision_at_10,
+       {r('CASE WHEN tot.prevalence > 0 THEN top.precision_at_10 / tot.prevalence ELSE 0.0 END')} AS lift_at_10,
+       {r('tot.brier')} AS brier_score
+FROM tot, curve, top"""
+    )
+
+
+@register("evaluation_metrics", _metrics_sql())
+def evaluation_metrics(spark, sf_dir):
+    """M1-M6 + T2 + A8 on the hold-out split (deterministic scorer)."""
+    from propensia.operators.metrics import evaluation_metrics as em
+    from propensia.operators.scoring import LinearScorer, predict
+    from propensia.operators.training import label_split
+
+    split = label_split(training_inputs(spark, sf_dir), HOLDOUT_DAYS_EVENTS)
+    test = split.filter(F.col("split") == "test")
+    scored = predict(test, LinearScorer()).withColumn("propensity_score", score9("propensity_score"))
+    m = em(scored, "adopted_card", "propensity_score", ["customer_token", "feature_date"])
+    return m.select(
+        "n",
+        "positives",
+        *[round_half_away(c, 6).alias(c) for c in ["prevalence", "pr_auc", "roc_auc", "precision_at_10", "lift_at_10", "brier_score"]],
+    )
