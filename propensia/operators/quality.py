@@ -158,3 +158,44 @@ def mart_checks() -> list[Check]:
         accepted_range("propensity_score", 0, 1),
         accepted_values("campaign_segment", S.CAMPAIGN_VALUES),
     ]
+
+
+def _sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    if isinstance(v, _dt.date):
+        return f"DATE '{v.isoformat()}'"
+    return repr(v)
+
+
+def quality_sql(table: str, checks: list[Check], model: str) -> str:
+    """The same report in plain SQL (used as the DuckDB oracle)."""
+    parts = []
+    for c in checks:
+        col = c.columns[0]
+        head = f"SELECT '{model}' AS model, '{c.kind}' AS \"check\", '{c.column}' AS \"column\", CAST("
+        if c.kind == "not_null":
+            body = f"count(*) FILTER (WHERE {col} IS NULL)) AS failures FROM {table}"
+        elif c.kind == "positive":
+            body = f"count(*) FILTER (WHERE {col} IS NULL OR {col} <= 0)) AS failures FROM {table}"
+        elif c.kind == "accepted_range":
+            lo, hi = c.params
+            body = f"count(*) FILTER (WHERE {col} IS NOT NULL AND ({col} < {lo!r} OR {col} > {hi!r}))) AS failures FROM {table}"
+        elif c.kind == "accepted_values":
+            vals = ", ".join(_sql_lit(v) for v in c.params)
+            body = f"count(DISTINCT CASE WHEN {col} NOT IN ({vals}) THEN {col} END)) AS failures FROM {table}"
+        elif c.kind == "no_future_peeking":
+            body = f"count(*) FILTER (WHERE {col} > {_sql_lit(_as_date(c.params[0]))} - INTERVAL 1 DAY)) AS failures FROM {table}"
+        elif c.kind == "unique":
+            body = f"count(*)) AS failures FROM (SELECT {col} FROM {table} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)"
+        elif c.kind == "unique_combination":
+            cols = ", ".join(c.columns)
+            body = f"count(*)) AS failures FROM (SELECT {cols} FROM {table} GROUP BY {cols} HAVING count(*) > 1)"
+        else:
+            raise ValueError(c.kind)
+        parts.append(head + body.replace(") AS failures", " AS BIGINT) AS failures", 1))
+    return "\nUNION ALL\n".join(parts)
+
+
+def _as_date(d):
+    return _dt.date.fromisoformat(d) if isinstance(d, str) else d

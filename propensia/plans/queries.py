@@ -405,3 +405,161 @@ def evaluation_metrics(spark, sf_dir):
         "positives",
         *[round_half_away(c, 6).alias(c) for c in ["prevalence", "pr_auc", "roc_auc", "precision_at_10", "lift_at_10", "brier_score"]],
     )
+
+
+# ------------------------------------------------------------- requests --
+REQUEST_VARIANTS = 10  # request shape chosen by customer id % 10 (see below)
+
+
+def request_bodies(snap):
+    """FIXTURES 3.5: JSON bodies from the snapshot with public field names,
+    spoiled by customer id: 0/9 valid, 1 no age, 2 age true, 3 age "x",
+    4 age null, 5 ratio 1.5, 6 invalid JSON, 7 JSON array, 8 JSON number."""
+    uid = F.col("customer_token").cast("decimal(20,0)") - F.lit(A.PAN_BASE)
+    kind = (uid % REQUEST_VARIANTS).cast("int")
+
+    def num(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit("null"))
+
+    public = {api: model for api, model in S.MODEL_INPUT_MAP.items()}
+    fields = []
+    for api, model in public.items():
+        value = num(model)
+        if api == "age":
+            value = (
+                F.when(kind == 2, F.lit("true")).when(kind == 3, F.lit('"x"')).when(kind == 4, F.lit("null")).otherwise(value)
+            )
+        if api == "digital_ratio_30d":
+            value = F.when(kind == 5, F.lit("1.5")).otherwise(value)
+        text = F.concat(F.lit(f'"{api}": '), value)
+        if api == "age":
+            text = F.when(kind == 1, F.lit(None)).otherwise(text)
+        fields.append(text)
+    obj = F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
+    body = (
+        F.when(kind == 6, F.lit('{"recency_days": 1,'))
+        .when(kind == 7, F.lit('["age", 1]'))
+        .when(kind == 8, F.lit("42"))
+        .otherwise(obj)
+    )
+    return snap.select(F.col("customer_token").alias("request_id"), body.alias("body"))
+
+
+def _request_sql() -> str:
+    from propensia.operators.scoring import DEFAULT_COEFFICIENTS, DEFAULT_INTERCEPT
+
+    def num(c):
+        return f"coalesce(CAST({c} AS VARCHAR), 'null')"
+
+    fields = []
+    for api, model in S.MODEL_INPUT_MAP.items():
+        v = num(model)
+        if api == "age":
+            v = f"CASE WHEN k = 2 THEN 'true' WHEN k = 3 THEN '\"x\"' WHEN k = 4 THEN 'null' ELSE {v} END"
+        if api == "digital_ratio_30d":
+            v = f"CASE WHEN k = 5 THEN '1.5' ELSE {v} END"
+        text = f"'\"{api}\": ' || {v}"
+        if api == "age":
+            text = f"CASE WHEN k = 1 THEN NULL ELSE {text} END"
+        fields.append(text)
+    obj = "'{' || concat_ws(', ', " + ", ".join(fields) + ") || '}'"
+    names = S.REQUEST_FIELDS
+    present = {f: f"(jt = 'OBJECT' AND json_exists(body, '$.{f}'))" for f in names}
+    numeric = {f: f"coalesce(json_type(body, '$.{f}') IN ('BIGINT', 'UBIGINT', 'DOUBLE'), false)" for f in names}
+    missing = "concat_ws(', ', " + ", ".join(f"CASE WHEN NOT {present[f]} THEN '{f}' END" for f in names) + ")"
+    invalid = "concat_ws(', ', " + ", ".join(f"CASE WHEN NOT {numeric[f]} THEN '{f}' END" for f in names) + ")"
+    any_missing = " OR ".join(f"NOT {present[f]}" for f in names)
+    any_invalid = " OR ".join(f"NOT {numeric[f]}" for f in names)
+    ratio = "TRY_CAST(json_extract(body, '$.digital_ratio_30d') AS DOUBLE)"
+    coeffs = {m: w for m, w in DEFAULT_COEFFICIENTS.items()}
+    p = O.linear_score_sql(coeffs, DEFAULT_INTERCEPT, prefix="v_")
+    values = ", ".join(
+        f"TRY_CAST(json_extract(body, '$.{api}') AS DOUBLE) AS v_{model}" for api, model in S.MODEL_INPUT_MAP.items()
+    )
+    rules = " ".join(f"WHEN d >= {m} THEN '{n}'" for m, n in S.CAMPAIGN_RULES)
+    return (
+        O.events_layers()[:-1]
+        + f""",
+req AS (
+  SELECT customer_token AS request_id, k,
+         CASE WHEN k = 6 THEN '{{"recency_days": 1,' WHEN k = 7 THEN '["age", 1]' WHEN k = 8 THEN '42' ELSE {obj} END AS body
+  FROM (SELECT *, CAST((CAST(customer_token AS HUGEINT) - {A.PAN_BASE}) % {REQUEST_VARIANTS} AS INTEGER) AS k FROM features)),
+typed AS (SELECT request_id, body, json_valid(body) AS ok_json,
+                 CASE WHEN json_valid(body) THEN json_type(body) END AS jt FROM req),
+checked AS (
+  SELECT *, CASE WHEN NOT ok_json THEN 'Request body must be valid JSON.'
+                 WHEN jt NOT IN ('OBJECT', 'ARRAY') THEN 'Request body must be a JSON object.'
+                 WHEN {any_missing} THEN 'Missing required fields: ' || {missing}
+                 WHEN {any_invalid} THEN 'Fields must be numeric: ' || {invalid}
+                 WHEN NOT coalesce({ratio} BETWEEN 0.0 AND 1.0, false) THEN 'digital_ratio_30d must be between 0 and 1.'
+            END AS error
+  FROM typed),
+vals AS (SELECT request_id, error, {values} FROM checked WHERE error IS NULL),
+prob AS (SELECT request_id, {p} AS p FROM vals),
+good AS (SELECT request_id, p, CAST(least(10, greatest(1, ceil(p * 10))) AS INTEGER) AS d FROM prob)
+SELECT c.request_id, CASE WHEN c.error IS NULL THEN 200 ELSE 400 END AS status, c.error,
+       {O.r6('g.p', 4)} AS propensity_score, g.d AS score_decile,
+       CASE WHEN g.d IS NULL THEN NULL {rules} ELSE '{S.CAMPAIGN_DEFAULT}' END AS recommendation,
+       printf('%.1fx', g.p / {S.BASE_ADOPTION_RATE!r}) AS expected_lift
+FROM checked c LEFT JOIN good g ON c.request_id = g.request_id"""
+    )
+
+
+@register("request_scoring", _request_sql())
+def request_scoring(spark, sf_dir):
+    """R1 + F12-F14 + F16: validate and score JSON requests built from the snapshot."""
+    from propensia.operators.scoring import LinearScorer
+    from propensia.streaming.requests import score_requests
+
+    bodies = request_bodies(events_layers(spark, sf_dir)["features"])
+    return score_requests(bodies, LinearScorer()).drop("body")
+
+
+# -------------------------------------------------------------- quality --
+def _quality_suites():
+    from propensia.operators import quality as Q
+
+    return [
+        ("bronze", Q.bronze_checks()),
+        ("silver", Q.silver_checks()),
+        ("gold", Q.gold_checks(as_of=A.EVENTS_RUN_DATE)),
+        ("features", Q.features_checks()),
+    ]
+
+
+def _quality_report_sql() -> str:
+    from propensia.operators.quality import quality_sql
+
+    return O.events_layers() + "\nUNION ALL\n".join(quality_sql(m, checks, m) for m, checks in _quality_suites())
+
+
+@register("quality_report", _quality_report_sql())
+def quality_report(spark, sf_dir):
+    """Q1-Q7: every layer's data tests in one report (failures per check)."""
+    from propensia.operators.quality import quality_report as qr
+
+    layers_ = events_layers(spark, sf_dir)
+    out = None
+    for model, checks in _quality_suites():
+        r = qr(layers_[model], checks, model)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+# ---------------------------------------------------------------- model --
+# The registered query trains with fewer boosting rounds than the library
+# default (200): Spark ML runs a few jobs per round, so 3 folds x 200 rounds
+# is minutes of scheduling on tiny inputs. Override with PROPENSIA_GBT_ITER.
+MODEL_MAX_ITER = int(__import__("os").environ.get("PROPENSIA_GBT_ITER", "20"))
+
+
+@register("model_scores")
+def model_scores(spark, sf_dir):
+    """ML2-ML4: weighted GBT + 3-fold isotonic, trained on the train split,
+    scoring the snapshot into the 5-column contract (rows-only check)."""
+    from propensia.operators.scoring import score_features
+    from propensia.operators.training import fit_propensity_model, temporal_split
+
+    train, _ = temporal_split(training_inputs(spark, sf_dir), HOLDOUT_DAYS_EVENTS)
+    model = fit_propensity_model(train, max_iter=MODEL_MAX_ITER)
+    return score_features(events_layers(spark, sf_dir)["features"], model)

@@ -23,17 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensia import schemas as S
-from propensia.functions.expr import campaign_segment, expected_lift, format_lift, probability_decile
-
-NUMERIC_PREFIXES = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT", "DECIMAL")
+from propensia.functions.expr import campaign_segment, expected_lift, format_lift, probability_decile, round_half_away
 
+# Variant type names that count as JSON numbers (booleans do not).
+NUMERIC_TYPES = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
 
 
 def _is_numeric(t: Column) -> Column:
-    cond = F.lit(False)
-    for p in NUMERIC_PREFIXES:
-        cond = cond | t.startswith(p)
-    return F.coalesce(cond, F.lit(False))
+    return F.coalesce(t.rlike(NUMERIC_TYPES), F.lit(False))
 
 
 def _joined(names: list[str], flags: dict[str, Column]) -> Column:
@@ -42,36 +39,55 @@ def _joined(names: list[str], flags: dict[str, Column]) -> Column:
 
 
 def validate_requests(df: DataFrame, body_col: str = "body") -> DataFrame:
-    """Add ``status`` (200/400), ``error`` and one double per model feature."""
-    v = F.try_parse_json(F.col(body_col))
-    top = F.schema_of_variant(v)
-    is_object = top.startswith("OBJECT")
-    is_array = top.startswith("ARRAY")
-    types = {f: F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant")) for f in S.REQUEST_FIELDS}
-    missing = {f: is_array | types[f].isNull() for f in S.REQUEST_FIELDS}
-    invalid = {f: ~_is_numeric(types[f]) for f in S.REQUEST_FIELDS}
+    """Add ``status`` (200/400), ``error`` and one double per model feature.
+
+    Three narrow projections: parse once, type every field once, then
+    decide; each stage refers to the previous one's columns, so no parse
+    or type probe is evaluated twice per row.
+    """
+    fields = S.REQUEST_FIELDS
+    parsed = df.select("*", F.try_parse_json(F.col(body_col)).alias("_v"))
+    v = F.col("_v")
+    typed = parsed.select(
+        "*",
+        F.schema_of_variant(v).alias("_top"),
+        *[F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant")).alias(f"_t_{f}") for f in fields],
+        *[F.try_variant_get(v, f"$.{f}", "double").alias(f"_x_{f}") for f in fields],
+    )
+    is_array = F.col("_top").startswith("ARRAY")
+    flags = typed.select(
+        *df.columns,
+        "_v",
+        F.col("_top").startswith("OBJECT").alias("_obj"),
+        is_array.alias("_arr"),
+        *[(is_array | F.col(f"_t_{f}").isNull()).alias(f"_m_{f}") for f in fields],
+        *[(~_is_numeric(F.col(f"_t_{f}"))).alias(f"_i_{f}") for f in fields],
+        *[F.col(f"_x_{f}") for f in fields],
+    )
+    is_object, is_array = F.col("_obj"), F.col("_arr")
+    missing = {f: F.col(f"_m_{f}") for f in fields}
+    invalid = {f: F.col(f"_i_{f}") for f in fields}
     any_missing = F.lit(False)
-    for f in S.REQUEST_FIELDS:
-        any_missing = any_missing | missing[f]
     any_invalid = F.lit(False)
-    for f in S.REQUEST_FIELDS:
+    for f in fields:
+        any_missing = any_missing | missing[f]
         any_invalid = any_invalid | invalid[f]
-    values = {f: F.try_variant_get(v, f"$.{f}", "double") for f in S.REQUEST_FIELDS}
-    ratio = values["digital_ratio_30d"]
+    ratio = F.col("_x_digital_ratio_30d")
     bad_ratio = F.coalesce(~((ratio >= 0.0) & (ratio <= 1.0)), F.lit(True)) | F.isnan(ratio)
     error = (
         F.when(v.isNull(), F.lit("Request body must be valid JSON."))
         .when(~is_object & ~is_array, F.lit("Request body must be a JSON object."))
-        .when(any_missing, F.concat(F.lit("Missing required fields: "), _joined(S.REQUEST_FIELDS, missing)))
-        .when(any_invalid, F.concat(F.lit("Fields must be numeric: "), _joined(S.REQUEST_FIELDS, invalid)))
+        .when(any_missing, F.concat(F.lit("Missing required fields: "), _joined(fields, missing)))
+        .when(any_invalid, F.concat(F.lit("Fields must be numeric: "), _joined(fields, invalid)))
         .when(bad_ratio, F.lit("digital_ratio_30d must be between 0 and 1."))
     )
-    feature_cols = [F.when(error.isNull(), values[api]).alias(model) for api, model in S.MODEL_INPUT_MAP.items()]
-    return df.select(
-        "*",
-        F.when(error.isNull(), F.lit(200)).otherwise(F.lit(400)).alias("status"),
-        error.alias("error"),
-        *feature_cols,
+    decided = flags.select("*", error.alias("error"))
+    ok = F.col("error").isNull()
+    return decided.select(
+        *df.columns,
+        F.when(ok, F.lit(200)).otherwise(F.lit(400)).alias("status"),
+        "error",
+        *[F.when(ok, F.col(f"_x_{api}")).alias(model) for api, model in S.MODEL_INPUT_MAP.items()],
     )
 
 
@@ -87,7 +103,7 @@ def score_requests(df: DataFrame, model, body_col: str = "body", base_rate: floa
         *keep,
         "status",
         "error",
-        F.when(ok, F.round(p, 4)).alias("propensity_score"),
+        F.when(ok, round_half_away(p, 4)).alias("propensity_score"),
         F.when(ok, decile).alias("score_decile"),
         F.when(ok, campaign_segment(decile)).alias("recommendation"),
         F.when(ok, format_lift(expected_lift(p, base_rate))).alias("expected_lift"),
