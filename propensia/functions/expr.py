@@ -32,6 +32,7 @@ __all__ = [
     "round_score",
     "round_half_away",
     "try_date",
+    "as_date_column",
     "hive_parts",
     "days_before",
     "days_after",
@@ -181,6 +182,17 @@ def try_date(c: Column | str) -> Column:
     return F.to_date(F.try_to_timestamp(col_or_name(c).cast("string")))
 
 
+def as_date_column(df, name: str):
+    """F15 on a frame: parse ``name`` tolerantly unless it already is a DATE."""
+    from pyspark.sql import types as T
+
+    if isinstance(df.schema[name].dataType, T.DateType):
+        return df
+    if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return df.withColumn(name, F.col(name).cast("date"))
+    return df.withColumn(name, try_date(name))
+
+
 def hive_parts(d: Column | str) -> list[Column]:
     """Zero-padded ``year``, ``month``, ``day`` strings for partition paths."""
     d = col_or_name(d)

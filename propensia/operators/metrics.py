@@ -21,12 +21,24 @@ from pyspark.sql import functions as F
 from propensia.operators import ranking as R
 
 
-def check_inputs(df: DataFrame, label_col: str, score_col: str) -> int:
-    """M6: non-empty, and every row has both a label and a score."""
-    row = df.agg(
+def _summary(df: DataFrame, label_col: str, score_col: str):
+    y = F.col(label_col).cast("double")
+    p = F.col(score_col).cast("double")
+    return df.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(label_col).isNull() | F.col(score_col).isNull()).alias("missing"),
+        F.sum(y).alias("positives"),
+        F.avg(y).alias("prevalence"),
+        F.avg(F.pow(p - y, 2)).alias("brier_score"),
     ).first()
+
+
+def check_inputs(df: DataFrame, label_col: str, score_col: str) -> int:
+    """M6: non-empty, and every row has both a label and a score."""
+    return _checked(_summary(df, label_col, score_col))
+
+
+def _checked(row) -> int:
     if row["n"] == 0 or row["missing"]:
         raise ValueError("labels and probabilities must be non-empty arrays of equal length.")
     return int(row["n"])
@@ -38,20 +50,26 @@ def evaluation_metrics(
     score_col: str = "propensity_score",
     tiebreak: list[str] | None = None,
     fraction: float = 0.10,
+    materialize: bool = True,
 ) -> DataFrame:
     """One-row DataFrame of n, positives, prevalence and M1-M5.
 
-    Three small aggregates are collected (one row each) and combined on
-    the driver; no data row leaves the executors.
+    The (label, score, tie-break) projection is checkpointed once (reliable
+    checkpoint in ``spark.checkpoint.dir``), so the handful of small passes
+    below read that narrow copy instead of recomputing the scoring lineage.
+    Each pass returns at most one row per key range to the driver.
     """
-    n = check_inputs(df, label_col, score_col)
+    tiebreak = list(tiebreak or [])
+    df = df.select(label_col, score_col, *tiebreak)
+    if materialize:
+        from propensia.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint()
+    b = _summary(df, label_col, score_col)
+    n = _checked(b)
     y = F.col(label_col).cast("double")
     p = F.col(score_col).cast("double")
-    b = df.agg(
-        F.sum(y).alias("positives"),
-        F.avg(y).alias("prevalence"),
-        F.avg(F.pow(p - y, 2)).alias("brier_score"),
-    ).first()
 
     # M1 / M2 over distinct scores, descending.
     per_score = df.groupBy(p.alias("_s")).agg(F.count(F.lit(1)).alias("_c"), F.sum(y).alias("_pos"))
@@ -63,7 +81,7 @@ def evaluation_metrics(
     ).first()
 
     # The top k rows by (score, tie-break).
-    top = R.top_fraction(df, score_col, list(tiebreak or []), fraction)
+    top = R.top_fraction(df, score_col, tiebreak, fraction, n=n)
     precision = float(top.agg(F.avg(y).alias("p")).first()["p"])
 
     positives = float(b["positives"] or 0.0)

@@ -87,7 +87,11 @@ def prefix_sums(
     """
     base = df.select("*", *[c.alias(f"_v_{name}") for name, c in sums.items()])
     ranged, n, ranges = with_ranges(base, keys, n, rows_per_bucket)
-    totals = {r["_range"]: r for r in ranged.groupBy("_range").agg(*[F.sum(f"_v_{k}").alias(k) for k in sums]).collect()}
+    if ranges > 1:
+        per_range = ranged.groupBy("_range").agg(*[F.sum(f"_v_{k}").alias(k) for k in sums]).collect()
+        totals = {r["_range"]: r for r in per_range}
+    else:
+        totals = {}  # one range: every offset is 0, no pass needed
     offsets = {}
     for name in sums:
         run, acc = [], 0
@@ -141,8 +145,15 @@ def top_count(n: int, fraction: float = 0.10) -> int:
     return max(1, int(math.ceil(float(fraction) * n))) if n else 0
 
 
-def top_fraction(df: DataFrame, score_col: str, tiebreak: list[str], fraction: float = 0.10, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def top_fraction(
+    df: DataFrame,
+    score_col: str,
+    tiebreak: list[str],
+    fraction: float = 0.10,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    n: int | None = None,
+) -> DataFrame:
     """The ``ceil(fraction n)`` highest-scored rows (ties by tie-break)."""
-    ranked, n = global_rank(df, [score_col, *tiebreak], "_score_rank", rows_per_bucket=rows_per_bucket)
+    ranked, n = global_rank(df, [score_col, *tiebreak], "_score_rank", n=n, rows_per_bucket=rows_per_bucket)
     k = top_count(n, fraction)
     return ranked.filter(F.col("_score_rank") > n - k).drop("_score_rank")

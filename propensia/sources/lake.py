@@ -89,8 +89,14 @@ def with_hive_parts(df: DataFrame, date_col) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, root: str, date_col, mode: str = "overwrite") -> None:
-    """One partition per date of ``date_col``; rerun-safe (dynamic overwrite)."""
-    out = with_hive_parts(df, date_col)
+    """One partition per date of ``date_col``; rerun-safe (dynamic overwrite).
+
+    The ``rebalance`` hint lets AQE cut the write into advisory-sized tasks
+    per date: a date holding a third of the batch is split across many
+    tasks and files, while small dates are coalesced (no file per task per
+    date explosion).
+    """
+    out = with_hive_parts(df, date_col).hint("rebalance", *PARTITION_COLUMNS)
     (
         out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
