@@ -39,14 +39,15 @@ def read_scores(spark: SparkSession, root: str, as_of: _dt.date | str | None = N
     return df
 
 
-def read_prefix(spark: SparkSession, path: str) -> DataFrame:
-    """One multi-file scan of every Parquet file under a prefix.
+def read_prefix(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """S4 + T4: one multi-file scan of every Parquet file under a prefix.
 
-    Partition columns are kept. An absent or empty prefix raises
-    ``FileNotFoundError`` before any job runs.
+    Partition columns are kept. ``merge_schema`` unions files whose column
+    sets differ (missing columns read as NULL). An absent or empty prefix
+    raises ``FileNotFoundError`` before any job runs.
     """
     try:
-        return spark.read.option("basePath", path).parquet(path)
+        return spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower()).parquet(path)
     except AnalysisException as error:
         raise FileNotFoundError(f"No Parquet objects found under {path}") from error
 
@@ -69,7 +70,8 @@ def read_nanos_parquet(spark: SparkSession, path: str, timestamp_columns: list[s
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     df = spark.read.parquet(path)
     for c in timestamp_columns:
-        df = df.withColumn(c, F.timestamp_micros(F.col(c) / 1000).cast("timestamp_ntz"))
+        micros = F.expr(f"(`{c}` - pmod(`{c}`, 1000)) div 1000")  # exact floor, no doubles
+        df = df.withColumn(c, F.timestamp_micros(micros).cast("timestamp_ntz"))
     return df
 
 
