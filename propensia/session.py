@@ -14,12 +14,12 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings applied only where the session has no value of its own.
+# (Write semantics - dynamic partition overwrite, zstd - are passed per
+# write by the writers, so a caller's session is not changed for them.)
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 
