@@ -54,35 +54,38 @@ def evaluation_metrics(
 ) -> DataFrame:
     """One-row DataFrame of n, positives, prevalence and M1-M5.
 
-    The (label, score, tie-break) projection is checkpointed once (reliable
-    checkpoint in ``spark.checkpoint.dir``), so the handful of small passes
-    below read that narrow copy instead of recomputing the scoring lineage.
+    The (label, score, tie-break) projection is written once to the shared
+    checkpoint folder, so the few small passes below read that narrow copy
+    instead of recomputing the scoring lineage.
     Each pass returns at most one row per key range to the driver.
     """
     tiebreak = list(tiebreak or [])
     df = df.select(label_col, score_col, *tiebreak)
     if materialize:
-        from propensia.session import checkpoint_dir
+        from propensia.session import materialize as _materialize
 
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint()
+        df = _materialize(df, "metrics")
     b = _summary(df, label_col, score_col)
     n = _checked(b)
     y = F.col(label_col).cast("double")
     p = F.col(score_col).cast("double")
 
-    # M1 / M2 over distinct scores, descending.
+    # M1 / M2 over distinct scores, descending. The row count bounds the
+    # number of distinct scores, so it sizes the key ranges without a pass.
     per_score = df.groupBy(p.alias("_s")).agg(F.count(F.lit(1)).alias("_c"), F.sum(y).alias("_pos"))
     per_score = per_score.withColumn("_neg_s", -F.col("_s"))
-    cum = R.prefix_sums(per_score, ["_neg_s"], {"_tp": F.col("_pos"), "_seen": F.col("_c")})
-    c = cum.agg(
-        F.sum(F.col("_pos") * F.col("_tp") / F.col("_seen")).alias("ap_num"),
-        F.sum((F.col("_c") - F.col("_pos")) * (F.col("_tp") - F.col("_pos") / 2.0)).alias("auc_num"),
-    ).first()
-
+    cum = R.prefix_sums(per_score, ["_neg_s"], {"_tp": F.col("_pos"), "_seen": F.col("_c")}, n=n)
+    curve = cum.agg(
+        F.lit("curve").alias("part"),
+        F.sum(F.col("_pos") * F.col("_tp") / F.col("_seen")).alias("a"),
+        F.sum((F.col("_c") - F.col("_pos")) * (F.col("_tp") - F.col("_pos") / 2.0)).alias("b"),
+    )
     # The top k rows by (score, tie-break).
     top = R.top_fraction(df, score_col, tiebreak, fraction, n=n)
-    precision = float(top.agg(F.avg(y).alias("p")).first()["p"])
+    top = top.agg(F.lit("top").alias("part"), F.avg(y).alias("a"), F.lit(None).cast("double").alias("b"))
+    parts = {r["part"]: r for r in curve.unionByName(top).collect()}  # two rows, one job
+    c = {"ap_num": parts["curve"]["a"], "auc_num": parts["curve"]["b"]}
+    precision = float(parts["top"]["a"])
 
     positives = float(b["positives"] or 0.0)
     negatives = float(n) - positives

@@ -31,7 +31,7 @@ from propensia.functions.expr import as_date_literal
 from propensia.functions.tokenize import stable_customer_token
 from propensia.operators import layers as L
 from propensia.operators import quality as Q
-from propensia.session import checkpoint_dir, ensure_conf
+from propensia.session import ensure_conf, materialize
 from propensia.sources import lake as IO
 
 MODEL_NAME = "card_adoption_propensity"
@@ -178,12 +178,11 @@ def train(
     features = IO.read_prefix(spark, lake.layer("gold", "gold_customer_features"))
     labels = IO.read_raw_labels(spark, lake.raw_labels)
     frame = prepare_training_frame(features, labels).drop(*IO.PARTITION_COLUMNS)
+    frame = materialize(frame, "training-frame")  # split guards, weights and folds reuse it
     train_df, test_df = temporal_split(frame, holdout_days)
     model = fit_propensity_model(train_df, max_iter=max_iter)
     IO.save_model(model, lake.model(d))
     scored = predict(test_df, model)
-    checkpoint_dir(spark)
-    scored = scored.checkpoint()
     metrics = evaluation_metrics(scored, "adopted_card", "propensity_score", ["customer_token", "feature_date"]).first().asDict()
     card = {
         "model_name": MODEL_NAME,
@@ -231,8 +230,7 @@ def score(spark: SparkSession, lake: Lake, score_date, model=None, as_of=None) -
     snap = latest_snapshot(features, as_of).drop(*IO.PARTITION_COLUMNS)
     if model is None:
         model = IO.load_model(current_model_path(spark, lake, as_of or d))
-    checkpoint_dir(spark)
-    scored = predict(snap, model).checkpoint()  # ranking makes 3 passes; score once
+    scored = materialize(predict(snap, model), "scores")  # ranking makes 3 passes; score once
     IO.write_run_partition(to_score_contract(scored), lake.scores, d)
     written = _partition(spark, lake.scores, d)
     return segment_distribution(written)

@@ -43,12 +43,34 @@ def register(name: str, sql: str | None = None):
 
 
 # ------------------------------------------------------------- bindings --
+class _Layers(dict):
+    """Layers of one run, each built on first use (and only once)."""
+
+    def __init__(self, raw_fn, run_date):
+        super().__init__()
+        self._raw_fn, self._run_date = raw_fn, run_date
+
+    def __missing__(self, name):
+        if name == "bronze":
+            value = L.bronze(self._raw_fn(), self._run_date)
+        elif name == "silver":
+            value = L.silver(self["bronze"])
+        elif name == "gold":
+            value = L.gold(L.daily_customer(self["silver"]))
+        elif name == "features":
+            value = L.features(self["gold"], self._run_date)
+        else:
+            raise KeyError(name)
+        self[name] = value
+        return value
+
+
 def events_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return L.build_features(A.events_as_transactions(spark, sf_dir), A.EVENTS_RUN_DATE)
+    return _Layers(lambda: A.events_as_transactions(spark, sf_dir), A.EVENTS_RUN_DATE)
 
 
 def orders_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return L.build_features(A.orders_as_transactions(spark, sf_dir), A.ORDERS_RUN_DATE)
+    return _Layers(lambda: A.orders_as_transactions(spark, sf_dir), A.ORDERS_RUN_DATE)
 
 
 def rounded_gold(g: DataFrame) -> DataFrame:

@@ -30,8 +30,21 @@ ADOPTION_BALANCE = 7000
 # --- end of fixed values ----------------------------------------------------
 
 
+# Read schemas of the driver tables the bindings use (only the columns read).
+# An explicit schema skips Parquet schema inference, which runs a Spark job.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_acctbal double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pan_of(customer_id) -> "F.Column":
