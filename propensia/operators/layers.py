@@ -17,9 +17,21 @@ from propensia import schemas as S
 from propensia.functions import expr as X
 
 
-def bronze(raw: DataFrame, run_date: _dt.date | str) -> DataFrame:
-    """P1 + P2: keep this run's batch and fix the schema contract."""
+def bronze(raw: DataFrame, run_date: _dt.date | str, lookback_days: int | None = None) -> DataFrame:
+    """P1 + P2: keep this run's batch and fix the schema contract.
+
+    Raw files are partitioned by event date, not by batch, so the batch
+    filter alone scans every raw partition (Parquet statistics only skip
+    row groups). A batch only holds events of its look-back window; with
+    ``lookback_days`` the scan is also limited to partitions dated in
+    [run_date - lookback_days, run_date] - directory pruning, same rows.
+    """
     batch = raw.filter(F.col("_ingestion_date") == X.as_date_literal(run_date))
+    if lookback_days is not None and {"year", "month", "day"}.issubset(raw.columns):
+        from propensia.sources.lake import partition_date
+
+        d = X.as_date_literal(run_date)
+        batch = batch.filter(partition_date().between(F.date_sub(d, lookback_days), d))
     return batch.select(*[F.col(src).cast(typ).alias(dst) for src, typ, dst in S.BRONZE_CONTRACT])
 
 

@@ -136,13 +136,19 @@ def ingest(
 
 
 # ------------------------------------------------------------------ B1 --
-def build_features(spark: SparkSession, lake: Lake, run_date, gate: bool = True) -> dict[str, DataFrame]:
-    """Bronze -> silver -> gold -> features for one run date, gated."""
+def build_features(
+    spark: SparkSession, lake: Lake, run_date, gate: bool = True, lookback_days: int | None = None
+) -> dict[str, DataFrame]:
+    """Bronze -> silver -> gold -> features for one run date, gated.
+
+    ``lookback_days`` (e.g. the ingest history of 90 days) prunes raw
+    partitions outside the batch's event window.
+    """
     ensure_conf(spark)
     d = _d(run_date)
     reports = {}
     raw = IO.read_raw_transactions(spark, lake.raw_transactions)
-    IO.write_run_partition(L.bronze(raw, d), lake.layer("bronze", "bronze_transactions"), d)
+    IO.write_run_partition(L.bronze(raw, d, lookback_days), lake.layer("bronze", "bronze_transactions"), d)
     bronze = _partition(spark, lake.layer("bronze", "bronze_transactions"), d)
     reports["bronze"] = _gate(bronze, Q.bronze_checks(), "bronze", gate)
 
@@ -191,7 +197,8 @@ def train(
         "model_path": lake.model(d),
         "train_rows": train_df.count(),
         "test_rows": metrics["n"],
-        "performance": {k: metrics[k] for k in ("pr_auc", "roc_auc", "precision_at_10", "lift_at_10", "brier_score")},
+        "performance": {k: metrics[k] for k in ("pr_auc", "precision_at_10", "lift_at_10", "brier_score")},
+        "metrics": {k: metrics[k] for k in ("pr_auc", "roc_auc", "precision_at_10", "lift_at_10", "brier_score")},
         "features_used": list(S.FEATURE_COLUMNS),
         "limitations": LIMITATIONS,
         "refresh_cycle": "weekly",
@@ -263,10 +270,11 @@ def run_weekly(
     holdout_days: int = S.HOLDOUT_DAYS,
     max_iter: int = S.GBT_MAX_ITER,
     gate: bool = True,
+    lookback_days: int | None = None,
 ) -> dict:
     """Ingest -> features -> train -> score -> mart, in order."""
     ingest(spark, lake, transactions_with_pan, labels_with_pan, run_date, token_key)
-    reports = build_features(spark, lake, run_date, gate=gate)
+    reports = build_features(spark, lake, run_date, gate=gate, lookback_days=lookback_days)
     card = train(spark, lake, run_date, holdout_days=holdout_days, max_iter=max_iter)
     distribution = score(spark, lake, run_date)
     mart_report = build_mart(spark, lake, run_date, gate=gate)

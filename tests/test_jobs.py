@@ -44,3 +44,20 @@ def test_gate_stops_on_failures(spark, scratch):
     J.ingest(spark, lake, tx, labels, dt.date(2024, 1, 31), token_key="k")
     with pytest.raises(QualityGateError, match="positive"):
         J.build_features(spark, lake, "2024-01-31", gate=True)
+
+
+def test_bronze_lookback_prunes_partitions(spark, scratch):
+    from propensia.operators import layers as L
+    from propensia.sources import lake as IO
+
+    lake = J.Lake(scratch)
+    tx, labels = pan_inputs(spark)
+    J.ingest(spark, lake, tx, labels, dt.date(2024, 1, 31), token_key="k")
+    raw = IO.read_raw_transactions(spark, lake.raw_transactions)
+    full = L.bronze(raw, "2024-01-31")
+    pruned = L.bronze(raw, "2024-01-31", lookback_days=10)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "isnotnull(year" in plan
+    assert "_ingestion_date" in plan.split("PushedFilters: [")[1].split("]")[0]
+    assert pruned.count() == full.filter("cast(transaction_timestamp as date) >= date'2024-01-21'").count()
+    assert L.bronze(raw, "2024-01-31", lookback_days=90).count() == full.count() == 1000
