@@ -33,6 +33,17 @@ def rows_of(columns, records):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+DUCK_TO_SPARK = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+    "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "FLOAT": "float", "SMALLINT": "smallint",
+}
+
+
+def duck_types(con, sql):
+    rel = con.sql(sql)
+    return {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+
+
 def main():
     import duckdb
 
@@ -60,6 +71,11 @@ def main():
         ocols = [d[0] for d in res.description]
         orecs = res.fetchall()
         ok_cols = sorted(cols) == sorted(ocols)
+        stypes = dict(df.dtypes)
+        dtypes_ = duck_types(con, sql[name])
+        type_diff = {c: (stypes.get(c), dtypes_.get(c)) for c in stypes if stypes.get(c) != dtypes_.get(c)}
+        if type_diff:
+            print(f"   TYPES differ in {name}: {type_diff}")
         ok_rows = len(recs) == len(orecs)
         a, b = rows_of(cols, recs), rows_of(ocols, orecs)
         ok_vals = ok_cols and a == b
