@@ -32,7 +32,7 @@ def bronze(raw: DataFrame, run_date: _dt.date | str, lookback_days: int | None =
 
         d = X.as_date_literal(run_date)
         batch = batch.filter(partition_date().between(F.date_sub(d, lookback_days), d))
-    return batch.select(*[F.col(src).cast(typ).alias(dst) for src, typ, dst in S.BRONZE_CONTRACT])
+    return batch.selectExpr(*[f"CAST(`{src}` AS {typ}) AS `{dst}`" for src, typ, dst in S.BRONZE_CONTRACT])
 
 
 def silver(bronze_df: DataFrame) -> DataFrame:
@@ -97,37 +97,31 @@ def gold(daily: DataFrame) -> DataFrame:
     29-days-back-inclusive calendar range: the OR of the day masks over a
     RANGE frame, then a popcount. Equal to the correlated COUNT(DISTINCT)
     because every silver row of the token on those dates is in some day.
+
+    Written as SQL window expressions (one JVM round trip per column when
+    the plan is built; the optimizer sees the same plan either way).
     """
-    key = "customer_token"
-    order = F.unix_date(F.col("feature_date")).asc_nulls_last()
-    base = Window.partitionBy(key).orderBy(order)
-
-    def rows(n: int):
-        return base.rowsBetween(-(n - 1), Window.currentRow)
-
-    cal = base.rangeBetween(-(S.DIVERSITY_CALENDAR_DAYS - 1), Window.currentRow)
-    running = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    cnt, vol = F.col("daily_txn_count"), F.col("daily_volume_usd")
-    cnt30 = F.sum(cnt).over(rows(30))
-    diversity = F.bit_count(F.bit_or("merchant_mask").over(cal)).cast("long")
-    diversity = F.when(F.col(key).isNull() | F.col("feature_date").isNull(), F.lit(0).cast("long")).otherwise(diversity)
-    return daily.select(
-        key,
+    spec = "PARTITION BY customer_token ORDER BY unix_date(feature_date) ASC NULLS LAST"
+
+    def rows(n: int) -> str:
+        return f"OVER ({spec} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+    cal = f"OVER ({spec} RANGE BETWEEN {S.DIVERSITY_CALENDAR_DAYS - 1} PRECEDING AND CURRENT ROW)"
+    running = f"OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    cnt30 = f"sum(daily_txn_count) {rows(30)}"
+    return daily.selectExpr(
+        "customer_token",
         "feature_date",
-        F.sum(cnt).over(rows(7)).alias("txn_count_7d"),
-        cnt30.alias("txn_count_30d"),
-        F.sum(cnt).over(rows(90)).alias("txn_count_90d"),
-        F.sum(vol).over(rows(7)).alias("volume_7d"),
-        F.sum(vol).over(rows(30)).alias("volume_30d"),
-        F.sum(vol).over(rows(90)).alias("volume_90d"),
-        X.safe_ratio(F.sum(vol).over(rows(30)), cnt30).alias("avg_txn_size_30d"),
-        X.safe_ratio(F.sum("daily_digital_count").over(rows(30)), cnt30).alias("digital_ratio_30d"),
-        F.sum("daily_cross_border_count").over(rows(90)).alias("cross_border_count_90d"),
+        *[f"sum(daily_txn_count) {rows(n)} AS txn_count_{n}d" for n in S.ROW_WINDOWS],
+        *[f"sum(daily_volume_usd) {rows(n)} AS volume_{n}d" for n in S.ROW_WINDOWS],
+        f"CAST(sum(daily_volume_usd) {rows(30)} AS DOUBLE) / nullif(CAST({cnt30} AS DOUBLE), 0) AS avg_txn_size_30d",
+        f"CAST(sum(daily_digital_count) {rows(30)} AS DOUBLE) / nullif(CAST({cnt30} AS DOUBLE), 0) AS digital_ratio_30d",
+        f"sum(daily_cross_border_count) {rows(90)} AS cross_border_count_90d",
         "age",
         "tenure_months",
-        F.datediff(F.col("feature_date"), F.max("feature_date").over(running)).cast("long").alias("recency_days"),
-        diversity.alias("merchant_diversity_30d"),
+        f"CAST(datediff(feature_date, max(feature_date) {running}) AS BIGINT) AS recency_days",
+        f"""CASE WHEN customer_token IS NULL OR feature_date IS NULL THEN CAST(0 AS BIGINT)
+                 ELSE CAST(bit_count(bit_or(merchant_mask) {cal}) AS BIGINT) END AS merchant_diversity_30d""",
     )
 
 

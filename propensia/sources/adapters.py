@@ -74,47 +74,69 @@ def _ingestion(run_date: _dt.date) -> list:
     ]
 
 
+def _sql_case(col: str, mapping: dict[str, str]) -> str:
+    return "CASE " + col + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+
+
+def _seed_sql(index_sql: str) -> str:
+    codes = ", ".join(str(code) for code, _ in S.MCC_SEED)
+    return f"element_at(array({codes}), CAST(({index_sql}) % {len(S.MCC_SEED)} AS INT) + 1)"
+
+
+def _ingestion_sql(run_date: _dt.date) -> list[str]:
+    return [
+        f"DATE'{run_date.isoformat()}' AS _ingestion_date",
+        f"timestamp_seconds({_epoch_seconds(run_date)}) AS _ingestion_timestamp",
+        f"'batch-{run_date.isoformat()}' AS _batch_id",
+    ]
+
+
+def _with_token(df: DataFrame, token_key: str | None) -> DataFrame:
+    if token_key is None:
+        return df
+    return df.withColumn("customer_token", stable_customer_token("customer_token", token_key))
+
+
 def events_as_transactions(spark: SparkSession, sf_dir: str, token_key: str | None = None) -> DataFrame:
-    """``events`` as one raw batch (dense days), run date 2024-01-31."""
-    e = table(spark, sf_dir, "events")
-    eid, uid = F.col("event_id"), F.col("user_id")
-    currency = F.when(eid % 10 < 8, "KES").when(eid % 10 == 8, "USD").otherwise("EUR")
-    channel = F.element_at(F.array(*[F.lit(c) for c in EVENT_CHANNELS]), (eid % 7).cast("int") + 1)
-    k = F.get_json_object(F.col("props"), "$.k").cast("int")
-    return e.select(
-        _token(pan_of(uid), token_key).alias("customer_token"),
-        F.concat(F.lit("txn_"), F.lpad(eid.cast("string"), 9, "0")).alias("transaction_id"),
-        F.round(F.col("value") - 1.0, 2).alias("amount"),
-        currency.alias("currency"),
-        F.col("ts").cast("timestamp_ntz").alias("transaction_timestamp"),
-        channel.alias("channel"),
-        _map(F.col("event_type"), EVENT_TYPES).alias("transaction_type"),
-        seed_code_at(k).alias("merchant_mcc"),
-        (eid % 20 == 0).alias("is_cross_border"),
-        (F.lit(21) + uid % 50).alias("customer_age"),
-        (F.lit(1) + uid % 120).alias("tenure_months"),
-        *_ingestion(EVENTS_RUN_DATE),
+    """``events`` as one raw batch (dense days), run date 2024-01-31.
+
+    Written as SQL expression strings: one JVM round trip per column.
+    """
+    channels = ", ".join(f"'{c}'" for c in EVENT_CHANNELS)
+    df = table(spark, sf_dir, "events").selectExpr(
+        f"CAST({PAN_BASE} + user_id AS STRING) AS customer_token",
+        "concat('txn_', lpad(CAST(event_id AS STRING), 9, '0')) AS transaction_id",
+        "round(value - 1.0D, 2) AS amount",
+        "CASE WHEN event_id % 10 < 8 THEN 'KES' WHEN event_id % 10 = 8 THEN 'USD' ELSE 'EUR' END AS currency",
+        "CAST(ts AS TIMESTAMP_NTZ) AS transaction_timestamp",
+        f"element_at(array({channels}), CAST(event_id % 7 AS INT) + 1) AS channel",
+        f"{_sql_case('event_type', EVENT_TYPES)} AS transaction_type",
+        f"{_seed_sql("CAST(get_json_object(props, '$.k') AS INT)")} AS merchant_mcc",
+        "event_id % 20 = 0 AS is_cross_border",
+        "21 + user_id % 50 AS customer_age",
+        "1 + user_id % 120 AS tenure_months",
+        *_ingestion_sql(EVENTS_RUN_DATE),
     )
+    return _with_token(df, token_key)
 
 
 def orders_as_transactions(spark: SparkSession, sf_dir: str, token_key: str | None = None) -> DataFrame:
     """``orders`` as one raw batch (sparse days), run date 2001-08-02."""
-    o = table(spark, sf_dir, "orders")
-    ok, ck = F.col("o_orderkey"), F.col("o_custkey")
-    return o.select(
-        _token(pan_of(ck), token_key).alias("customer_token"),
-        F.concat(F.lit("txn_"), F.lpad(ok.cast("string"), 9, "0")).alias("transaction_id"),
-        (F.col("o_totalprice") / 100.0 - 20).alias("amount"),
-        F.when(ok % 10 < 8, "KES").otherwise("USD").alias("currency"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("transaction_timestamp"),
-        _map(F.col("o_orderpriority"), ORDER_CHANNELS).alias("channel"),
-        _map(F.col("o_orderstatus"), ORDER_TYPES).alias("transaction_type"),
-        seed_code_at(ok).alias("merchant_mcc"),
-        (ok % 20 == 0).alias("is_cross_border"),
-        (F.lit(21) + ck % 50).alias("customer_age"),
-        (F.lit(1) + ck % 120).alias("tenure_months"),
-        *_ingestion(ORDERS_RUN_DATE),
+    df = table(spark, sf_dir, "orders").selectExpr(
+        f"CAST({PAN_BASE} + o_custkey AS STRING) AS customer_token",
+        "concat('txn_', lpad(CAST(o_orderkey AS STRING), 9, '0')) AS transaction_id",
+        "o_totalprice / 100.0D - 20 AS amount",
+        "CASE WHEN o_orderkey % 10 < 8 THEN 'KES' ELSE 'USD' END AS currency",
+        "CAST(o_orderdate AS TIMESTAMP_NTZ) AS transaction_timestamp",
+        f"{_sql_case('o_orderpriority', ORDER_CHANNELS)} AS channel",
+        f"{_sql_case('o_orderstatus', ORDER_TYPES)} AS transaction_type",
+        f"{_seed_sql('o_orderkey')} AS merchant_mcc",
+        "o_orderkey % 20 = 0 AS is_cross_border",
+        "21 + o_custkey % 50 AS customer_age",
+        "1 + o_custkey % 120 AS tenure_months",
+        *_ingestion_sql(ORDERS_RUN_DATE),
     )
+    return _with_token(df, token_key)
 
 
 def customer_as_labels(spark: SparkSession, sf_dir: str, token_key: str | None = None) -> DataFrame:
