@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
+MIN_ROWS_PER_BUCKET = 100  # below this a range is not worth a task
 MAX_BUCKETS = 4096
 SAMPLE_PER_BUCKET = 32
 SEED = 42
@@ -66,7 +67,11 @@ def with_ranges(df: DataFrame, keys: list[str], n: int | None = None, rows_per_b
     """Add ``_range`` (contiguous key ranges) and return (df, n, ranges)."""
     if n is None:
         n = df.count()
-    buckets = min(MAX_BUCKETS, max(1, math.ceil(n / rows_per_bucket)))
+    # Enough ranges for the data (rows_per_bucket each) and, for small
+    # inputs, at least the cluster's parallelism - so the window never
+    # gathers everything into one task unless the input is tiny.
+    parallel = min(df.sparkSession.sparkContext.defaultParallelism, n // MIN_ROWS_PER_BUCKET)
+    buckets = min(MAX_BUCKETS, max(1, math.ceil(n / rows_per_bucket), parallel))
     splits = _splits(df, keys, n, buckets) if buckets > 1 else []
     rid = _bucket_expr(df, keys, splits) if splits else F.lit(0)
     return df.withColumn("_range", rid), n, len(splits) + 1
