@@ -1,14 +1,13 @@
 """Ranking and calibration metrics as distributed aggregates.
 
-Average precision and ROC-AUC work on the table of distinct scores
-``(score, rows, positives)`` (a map-side-combined aggregate), then take
-running totals over it in descending score order with the range-split
-prefix sums of ``ranking`` - no single-task window, no driver-side arrays.
+One ascending global rank over (score, tie-break) with a running positive
+count (the range-split prefix sums of ``ranking`` - no single-task window,
+no driver-side arrays) gives every rank metric:
 
-* AP  = sum_s pos_s / P * TP(>=s) / (TP(>=s) + FP(>=s))   (step-wise, over
-  distinct thresholds, like average_precision_score; 0 without positives)
+* AP  = sum_s pos_s / P * TP(>=s) / seen(>=s)   (step-wise over distinct
+  thresholds, like average_precision_score; 0 without positives)
 * AUC = sum_s neg_s * (TP(>=s) - pos_s / 2) / (P N)   (ties count 1/2)
-* precision@10 = mean label of the ``max(1, ceil(0.1 n))`` highest scores
+* precision@10 = mean label of the ``max(1, ceil(0.1 n))`` highest ranks
 * lift@10 = precision@10 / prevalence (0 when prevalence is 0)
 * Brier = mean((p - y)^2)
 """
@@ -70,19 +69,34 @@ def evaluation_metrics(
     y = F.col(label_col).cast("double")
     p = F.col(score_col).cast("double")
 
-    # M1 / M2 over distinct scores, descending. The row count bounds the
-    # number of distinct scores, so it sizes the key ranges without a pass.
-    per_score = df.groupBy(p.alias("_s")).agg(F.count(F.lit(1)).alias("_c"), F.sum(y).alias("_pos"))
-    per_score = per_score.withColumn("_neg_s", -F.col("_s"))
-    cum = R.prefix_sums(per_score, ["_neg_s"], {"_tp": F.col("_pos"), "_seen": F.col("_c")}, n=n)
-    curve = cum.agg(
+    # One ascending global rank over (score, tie-break) with a running
+    # positive count serves every rank metric:
+    #   top k (T2/M3)   = rows with rank > n - k
+    #   per distinct score s, at or above s (M1/M2):
+    #     TP(>=s)   = P - positives strictly below s
+    #     seen(>=s) = n - rows strictly below s
+    #   where "strictly below" is the exclusive prefix at the group's first row.
+    ranked = R.prefix_sums(
+        df, [score_col, *tiebreak], {"_r": F.lit(1).cast("long"), "_cp": y}, n=n, materialize=False
+    )
+    P = F.lit(float(b["positives"] or 0.0))
+    groups = ranked.groupBy(p.alias("_s")).agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.sum(y).alias("_pos"),
+        F.min(F.col("_cp") - y).alias("_below_pos"),
+        F.min("_r").alias("_first"),
+    )
+    tp = P - F.col("_below_pos")
+    seen = F.lit(n) - F.col("_first") + 1
+    curve = groups.agg(
         F.lit("curve").alias("part"),
-        F.sum(F.col("_pos") * F.col("_tp") / F.col("_seen")).alias("a"),
-        F.sum((F.col("_c") - F.col("_pos")) * (F.col("_tp") - F.col("_pos") / 2.0)).alias("b"),
+        F.sum(F.col("_pos") * tp / seen).alias("a"),
+        F.sum((F.col("_c") - F.col("_pos")) * (tp - F.col("_pos") / 2.0)).alias("b"),
+    )
+    k = R.top_count(n, fraction)
+    top = ranked.filter(F.col("_r") > n - k).agg(
+        F.lit("top").alias("part"), F.avg(y).alias("a"), F.lit(None).cast("double").alias("b")
     )
-    # The top k rows by (score, tie-break).
-    top = R.top_fraction(df, score_col, tiebreak, fraction, n=n)
-    top = top.agg(F.lit("top").alias("part"), F.avg(y).alias("a"), F.lit(None).cast("double").alias("b"))
     parts = {r["part"]: r for r in curve.unionByName(top).collect()}  # two rows, one job
     c = {"ap_num": parts["curve"]["a"], "auc_num": parts["curve"]["b"]}
     precision = float(parts["top"]["a"])

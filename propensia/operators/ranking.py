@@ -84,13 +84,22 @@ def prefix_sums(
     inclusive: bool = True,
     n: int | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    materialize: bool = True,
 ) -> DataFrame:
     """Running sums of ``sums`` in ascending ``keys`` order (NULLs first).
 
     Rows with equal full keys are ordered arbitrarily among themselves, so
-    pass keys that are unique per row when that matters.
+    pass keys that are unique per row when that matters. The range path
+    reads its input up to four times (count, sample, totals, final); with
+    ``materialize`` the input is written once to the checkpoint folder and
+    those passes read that copy instead of recomputing the upstream plan
+    (a scoring model, joins, windows). Pass ``False`` for cheap inputs.
     """
     base = df.select("*", *[c.alias(f"_v_{name}") for name, c in sums.items()])
+    if materialize:
+        from propensia.session import materialize as _materialize
+
+        base = _materialize(base, "ranking")
     ranged, n, ranges = with_ranges(base, keys, n, rows_per_bucket)
     if ranges > 1:
         per_range = ranged.groupBy("_range").agg(*[F.sum(f"_v_{k}").alias(k) for k in sums]).collect()
@@ -115,13 +124,24 @@ def prefix_sums(
     return ranged.select(*df.columns, *cols)
 
 
-def global_rank(df: DataFrame, keys: list[str], rank_col: str = "rank", n: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET):
+def global_rank(
+    df: DataFrame,
+    keys: list[str],
+    rank_col: str = "rank",
+    n: int | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    materialize: bool = True,
+):
     """1-based row number in ascending ``keys`` order; returns (df, n)."""
+    if materialize:
+        from propensia.session import materialize as _materialize
+
+        df = _materialize(df, "ranking")
     if n is None:
         n = df.count()
     if n == 0:
         return df.withColumn(rank_col, F.lit(None).cast("long")), 0
-    ranked = prefix_sums(df, keys, {rank_col: F.lit(1).cast("long")}, n=n, rows_per_bucket=rows_per_bucket)
+    ranked = prefix_sums(df, keys, {rank_col: F.lit(1).cast("long")}, n=n, rows_per_bucket=rows_per_bucket, materialize=False)
     return ranked, n
 
 
@@ -137,9 +157,16 @@ def decile_from_rank(rank: Column | str, n: int) -> Column:
     return ((F.lit(10) * r + (n - 1)) / F.lit(n)).cast("long").cast("int")
 
 
-def assign_deciles(df: DataFrame, score_col: str, tiebreak: list[str], out: str = "score_decile", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def assign_deciles(
+    df: DataFrame,
+    score_col: str,
+    tiebreak: list[str],
+    out: str = "score_decile",
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    materialize: bool = True,
+) -> DataFrame:
     """W5 + W7: rank by (score, tie-break) ascending, decile 10 = highest."""
-    ranked, n = global_rank(df, [score_col, *tiebreak], "_score_rank", rows_per_bucket=rows_per_bucket)
+    ranked, n = global_rank(df, [score_col, *tiebreak], "_score_rank", rows_per_bucket=rows_per_bucket, materialize=materialize)
     if n == 0:
         return df.withColumn(out, F.lit(None).cast("int"))
     return ranked.withColumn(out, decile_from_rank("_score_rank", n)).drop("_score_rank")
@@ -157,8 +184,9 @@ def top_fraction(
     fraction: float = 0.10,
     rows_per_bucket: int = ROWS_PER_BUCKET,
     n: int | None = None,
+    materialize: bool = True,
 ) -> DataFrame:
     """The ``ceil(fraction n)`` highest-scored rows (ties by tie-break)."""
-    ranked, n = global_rank(df, [score_col, *tiebreak], "_score_rank", n=n, rows_per_bucket=rows_per_bucket)
+    ranked, n = global_rank(df, [score_col, *tiebreak], "_score_rank", n=n, rows_per_bucket=rows_per_bucket, materialize=materialize)
     k = top_count(n, fraction)
     return ranked.filter(F.col("_score_rank") > n - k).drop("_score_rank")

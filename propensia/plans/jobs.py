@@ -237,7 +237,7 @@ def score(spark: SparkSession, lake: Lake, score_date, model=None, as_of=None) -
     snap = latest_snapshot(features, as_of).drop(*IO.PARTITION_COLUMNS)
     if model is None:
         model = IO.load_model(current_model_path(spark, lake, as_of or d))
-    scored = materialize(predict(snap, model), "scores")  # ranking makes 3 passes; score once
+    scored = predict(snap, model)  # ranking writes it once before its passes
     IO.write_run_partition(to_score_contract(scored), lake.scores, d)
     written = _partition(spark, lake.scores, d)
     return segment_distribution(written)
