@@ -29,13 +29,10 @@ __all__ = [
     "probability_decile",
     "expected_lift",
     "format_lift",
-    "round_score",
     "round_half_away",
     "try_date",
     "as_date_column",
     "hive_parts",
-    "days_before",
-    "days_after",
     "as_date_literal",
 ]
 
@@ -161,10 +158,6 @@ def format_lift(lift: Column | str) -> Column:
     return F.format_string("%.1fx", col_or_name(lift))
 
 
-def round_score(p: Column | str, places: int = 4) -> Column:
-    return F.round(col_or_name(p), places)
-
-
 def round_half_away(x: Column | str, places: int = 6) -> Column:
     """Round the binary value half away from zero: ``floor(|x| 10^p + 0.5)``.
 
@@ -201,11 +194,3 @@ def hive_parts(d: Column | str) -> list[Column]:
         F.date_format(d, "MM").alias("month"),
         F.date_format(d, "dd").alias("day"),
     ]
-
-
-def days_before(d: Column | str, n: int) -> Column:
-    return F.date_sub(col_or_name(d), n)
-
-
-def days_after(d: Column | str, n: int) -> Column:
-    return F.date_add(col_or_name(d), n)

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from propensia import schemas as S
 from propensia.functions.expr import as_date_literal
 from propensia.functions.tokenize import stable_customer_token
-from propensia.sources.seed import seed_code_at
 
 # --- fixed values of the bindings ------------------------------------------
 PAN_BASE = 4000000000000000
@@ -55,13 +54,6 @@ def _token(pan, token_key):
     return pan if token_key is None else stable_customer_token(pan, token_key)
 
 
-def _map(c, mapping: dict[str, str]):
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(c == k, v) if expr is None else expr.when(c == k, v)
-    return expr
-
-
 def _epoch_seconds(d: _dt.date) -> int:
     return int(_dt.datetime(d.year, d.month, d.day, tzinfo=_dt.timezone.utc).timestamp())
 

@@ -35,7 +35,7 @@ def read_scores(spark: SparkSession, root: str, as_of: _dt.date | str | None = N
     """S3: every published weekly score partition (optionally up to ``as_of``)."""
     df = read_prefix(spark, root)
     if as_of is not None:
-        df = df.filter(partition_date() <= as_of_date_col(as_of))
+        df = df.filter(partition_date() <= as_date_literal(as_of))
     return df
 
 
@@ -80,10 +80,6 @@ def partition_date() -> "F.Column":
     return F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
 
 
-def as_of_date_col(d):
-    return as_date_literal(d)
-
-
 # ---------------------------------------------------------------- writers --
 def with_hive_parts(df: DataFrame, date_col) -> DataFrame:
     """Add zero-padded string ``year/month/day`` (paths stay ``month=08``)."""

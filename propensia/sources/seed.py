@@ -16,9 +16,3 @@ def read_seed_csv(spark: SparkSession, path: str) -> DataFrame:
 def seed_frame(spark: SparkSession) -> DataFrame:
     """The seed as a DataFrame built from the fixed values."""
     return spark.createDataFrame(S.MCC_SEED, S.SEED_SCHEMA)
-
-
-def seed_code_at(index) -> "F.Column":
-    """Seed MCC at a 0-based position of the seed file (used by bindings)."""
-    codes = F.array(*[F.lit(code) for code, _ in S.MCC_SEED])
-    return F.element_at(codes, (index % len(S.MCC_SEED)).cast("int") + 1)
