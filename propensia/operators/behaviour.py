@@ -50,6 +50,16 @@ def customer_totals(customers: DataFrame, silver_df: DataFrame) -> DataFrame:
     )
 
 
+def attach_customer_attributes(transactions: DataFrame, customers: DataFrame, key: str = "customer_token") -> DataFrame:
+    """Per-transaction customer attributes (age, tenure) by key.
+
+    A plain equi-join: AQE broadcasts the customer side only when its
+    measured size is under the threshold, otherwise it shuffles both sides.
+    """
+    attrs = customers.select(key, "age", "tenure_months")
+    return transactions.join(attrs, key, "left")
+
+
 def behaviour_index(totals: DataFrame, base_rate: float = S.BASE_ADOPTION_RATE) -> DataFrame:
     """A6 + F10 + F11: standardised signal and adoption probability."""
     lf = F.log1p(F.col("txn_count").cast("double"))

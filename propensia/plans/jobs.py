@@ -44,6 +44,9 @@ LIMITATIONS = [
 
 
 def _d(d) -> _dt.date:
+    """The run date; ``None`` means today in UTC (scheduled runs)."""
+    if d is None:
+        return _dt.datetime.now(_dt.timezone.utc).date()
     return _dt.date.fromisoformat(d) if isinstance(d, str) else d
 
 

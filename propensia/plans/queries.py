@@ -402,12 +402,12 @@ top AS (SELECT avg(CAST(y AS DOUBLE)) AS precision_at_10 FROM (
           SELECT y, row_number() OVER (ORDER BY p DESC, customer_token DESC, feature_date DESC) AS rk FROM test)
         WHERE rk <= (SELECT greatest(1, CAST(ceil(CAST(0.1 AS DOUBLE) * n) AS BIGINT)) FROM tot))
 SELECT CAST(tot.n AS BIGINT) AS n, CAST(tot.pos AS BIGINT) AS positives, {r('tot.prevalence')} AS prevalence,
-       {r('CASE WHEN tot.pos > 0 THEN curve.ap_num / tot.pos ELSE 0.0 END')} AS pr_auc,
-       {r('curve.auc_num / (tot.pos * (tot.n - tot.pos))')} AS roc_auc,
-       {r('top.precision_at_10')} AS precision_at_10,
-       {r('CASE WHEN tot.prevalence > 0 THEN top.precision_at_10 / tot.prevalence ELSE 0.0 END')} AS lift_at_10,
+       {r('CASE WHEN tot.pos > 0 THEN (SELECT ap_num FROM curve) / tot.pos ELSE 0.0 END')} AS pr_auc,
+       {r('(SELECT auc_num FROM curve) / (tot.pos * (tot.n - tot.pos))')} AS roc_auc,
+       {r('(SELECT precision_at_10 FROM top)')} AS precision_at_10,
+       {r('CASE WHEN tot.prevalence > 0 THEN (SELECT precision_at_10 FROM top) / tot.prevalence ELSE 0.0 END')} AS lift_at_10,
        {r('tot.brier')} AS brier_score
-FROM tot, curve, top"""
+FROM tot"""
     )
 
 

@@ -54,3 +54,12 @@ def test_gold_plan_single_exchange_on_token(spark):
     plan = L.gold(L.daily_customer(silver(spark, rows)))._jdf.queryExecution().executedPlan().toString()
     # one Window node evaluates every frame
     assert plan.count("Window [") == 1
+
+
+def test_attach_customer_attributes(spark):
+    from propensia.operators.behaviour import attach_customer_attributes
+
+    tx = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("z", 3.0)], "customer_token string, amount double")
+    cu = spark.createDataFrame([("a", 30, 5), ("b", 40, 6)], "customer_token string, age int, tenure_months int")
+    got = {r.customer_token: (r.age, r.tenure_months) for r in attach_customer_attributes(tx, cu).collect()}
+    assert got == {"a": (30, 5), "b": (40, 6), "z": (None, None)}
