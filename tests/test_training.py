@@ -79,3 +79,28 @@ def test_fit_save_load_score(spark, scratch):
     assert len(scores) == snap.count()
     assert all(0.0 <= r.propensity_score <= 1.0 and 1 <= r.score_decile <= 10 for r in scores)
     assert [c for c in scores[0].asDict()] == S.SCORE_COLUMNS
+
+
+def test_requests_with_fitted_model_batch_and_stream(spark, scratch):
+    import json
+    import os
+
+    from propensia.streaming.requests import score_requests, stream_requests
+
+    frame = T.prepare_training_frame(feature_rows(spark), label_rows(spark))
+    train, _ = T.temporal_split(frame, holdout_days=10)
+    model = T.fit_propensity_model(train, max_iter=3)
+    good = {"recency_days": 0, "frequency_30d": 9, "monetary_30d": 210.0, "digital_ratio_30d": 0.3,
+            "cross_border_count_90d": 1, "age": 40, "tenure_months": 12}
+    bodies = [json.dumps(good), "{bad", json.dumps({**good, "age": None})]
+    df = spark.createDataFrame(list(enumerate(bodies)), "id int, body string")
+    out = {r.id: r for r in score_requests(df, model).collect()}
+    assert out[0].status == 200 and 0.0 <= out[0].propensity_score <= 1.0 and out[0].expected_lift.endswith("x")
+    assert out[1].status == 400 and out[2].status == 400 and out[2].propensity_score is None
+    src = os.path.join(scratch, "req")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.jsonl"), "w") as fh:
+        fh.write("\n".join(bodies) + "\n")
+    seen = []
+    stream_requests(spark, src, model, lambda b, e: seen.extend(b.collect()), os.path.join(scratch, "ck"))
+    assert sorted(r.status for r in seen) == [200, 400, 400]
