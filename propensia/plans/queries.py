@@ -265,6 +265,25 @@ def class_weight(spark, sf_dir):
     return w.select("positives", "negatives", round_half_away("scale_pos_weight", 6).alias("scale_pos_weight"))
 
 
+@register(
+    "latest_snapshot",
+    O.events_layers()[:-1] + O.history_cte().split(",\ntraining AS")[0]
+    + """,
+snap AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_token ORDER BY year DESC, month DESC, day DESC) AS rn
+    FROM history WHERE feature_date = (SELECT max(feature_date) FROM history)) WHERE rn = 1)
+"""
+    + O.GOLD_SELECT + " FROM snap",
+)
+def latest_snapshot(spark, sf_dir):
+    """P5 + W6: rows at the newest feature date, last run's version per customer."""
+    from propensia.operators.scoring import latest_snapshot as latest
+
+    gold = events_layers(spark, sf_dir)["gold"]
+    return rounded_gold(latest(A.feature_history(gold)).drop("year", "month", "day"))
+
+
 # ------------------------------------------------------------ behaviour --
 def behaviour_frame(spark, sf_dir):
     from propensia.operators.behaviour import behaviour_index, customer_totals
@@ -546,13 +565,21 @@ def _quality_suites():
         ("silver", Q.silver_checks()),
         ("gold", Q.gold_checks(as_of=A.EVENTS_RUN_DATE)),
         ("features", Q.features_checks()),
+        ("mart", Q.mart_checks()),
     ]
 
 
 def _quality_report_sql() -> str:
     from propensia.operators.quality import quality_sql
 
-    return O.events_layers() + "\nUNION ALL\n".join(quality_sql(m, checks, m) for m, checks in _quality_suites())
+    mart = """,
+mart AS (
+  SELECT f.customer_token, s.propensity_score, s.score_decile, s.campaign_segment, f.feature_date
+  FROM (SELECT customer_token, feature_date FROM features) f
+  JOIN scores s ON f.customer_token = s.customer_token AND f.feature_date = s.feature_date)
+"""
+    body = "\nUNION ALL\n".join(quality_sql(m, checks, m) for m, checks in _quality_suites())
+    return O.events_layers()[:-1] + _scored_snapshot_sql() + mart + body
 
 
 @register("quality_report", _quality_report_sql())
@@ -561,6 +588,8 @@ def quality_report(spark, sf_dir):
     from propensia.operators.quality import quality_report as qr
 
     layers_ = events_layers(spark, sf_dir)
+    snap, scores = snapshot_scores(spark, sf_dir)
+    layers_["mart"] = L.mart(snap, scores)
     out = None
     for model, checks in _quality_suites():
         r = qr(layers_[model], checks, model)

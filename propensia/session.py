@@ -75,6 +75,9 @@ def build_session(app: str = "propensia", master: str | None = None, cpus: int |
         # is several times cheaper without it. Callers' sessions keep theirs.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
+    event_dir = os.environ.get("PROPENSIA_EVENT_LOG_DIR")
+    if event_dir:  # stage/task timings for offline reading (no UI server)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
