@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from conftest import SF001
 
 NAMES = [n for n in E.queries() if n != "model_scores"]
-TINY = {"campaign_segments", "segment_distribution", "campaign_mart"}  # rank 133 rows at sf0.01
+TINY = {"campaign_segments", "segment_distribution", "campaign_mart", "quality_report"}  # rank 133 rows at sf0.01
 
 
 def plan_lines(df):
