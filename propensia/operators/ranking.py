@@ -27,19 +27,45 @@ from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
 MIN_ROWS_PER_BUCKET = 100  # below this a range is not worth a task
-MAX_BUCKETS = 4096
+SPREAD_BUCKETS = 64  # small inputs are spread over at most this many ranges
+MAX_BUCKETS = 1024  # beyond this, ranges grow in rows (the CASE tree stays small)
 SAMPLE_PER_BUCKET = 32
 SEED = 42
 
 
+CASE_TREE_MAX = 256  # above this many ranges, search a literal array instead
+
+
 def _bucket_expr(df: DataFrame, keys: list[str], splits: list[tuple]) -> Column:
-    """Range id = number of split points <= key (binary search as CASE)."""
+    """Range id = number of split points <= key.
+
+    Up to ``CASE_TREE_MAX`` ranges: a balanced CASE tree (compiled with the
+    stage). Beyond: a binary search written as ``aggregate`` over one folded
+    array literal of split points, so the generated code stays small
+    however many ranges there are.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     key = F.struct(*[F.col(k).alias(k) for k in keys])
 
     def lit_struct(row):
         return F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, row)])
 
+    if len(splits) + 1 > CASE_TREE_MAX:
+        points = F.array(*[lit_struct(r) for r in splits])
+        steps = max(1, math.ceil(math.log2(len(splits) + 1)) + 1)
+        init = F.struct(F.lit(0).alias("lo"), F.lit(len(splits)).alias("hi"))
+
+        def step(acc, _i):
+            lo, hi = acc["lo"], acc["hi"]
+            mid = ((lo + hi + 1) / 2).cast("int")
+            go_left = key < F.element_at(points, mid)  # split `mid` opens id `mid`
+            narrowed = F.when(go_left, F.struct(lo.alias("lo"), (mid - 1).alias("hi"))).otherwise(
+                F.struct(mid.alias("lo"), hi.alias("hi"))
+            )
+            return F.when(lo >= hi, acc).otherwise(narrowed)
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+
     def build(lo: int, hi: int) -> Column:
         # ids lo..hi; split i separates id i-1 from id i
         if lo == hi:
@@ -70,7 +96,7 @@ def with_ranges(df: DataFrame, keys: list[str], n: int | None = None, rows_per_b
     # Enough ranges for the data (rows_per_bucket each) and, for small
     # inputs, at least the cluster's parallelism - so the window never
     # gathers everything into one task unless the input is tiny.
-    parallel = min(df.sparkSession.sparkContext.defaultParallelism, n // MIN_ROWS_PER_BUCKET)
+    parallel = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_BUCKETS, n // MIN_ROWS_PER_BUCKET)
     buckets = min(MAX_BUCKETS, max(1, math.ceil(n / rows_per_bucket), parallel))
     splits = _splits(df, keys, n, buckets) if buckets > 1 else []
     rid = _bucket_expr(df, keys, splits) if splits else F.lit(0)
