@@ -61,3 +61,18 @@ def test_bronze_lookback_prunes_partitions(spark, scratch):
     assert "_ingestion_date" in plan.split("PushedFilters: [")[1].split("]")[0]
     assert pruned.count() == full.filter("cast(transaction_timestamp as date) >= date'2024-01-21'").count()
     assert L.bronze(raw, "2024-01-31", lookback_days=90).count() == full.count() == 1000
+
+
+def test_score_as_of_and_model_lookup(spark, scratch):
+    lake = J.Lake(scratch)
+    tx, labels = pan_inputs(spark)
+    J.run_weekly(spark, lake, "2024-01-31", tx, labels, token_key="k", holdout_days=10, max_iter=2, gate=False)
+    assert J.current_model_path(spark, lake).endswith("run_date=2024-01-31")
+    with pytest.raises(FileNotFoundError):
+        J.current_model_path(spark, lake, as_of="2024-01-01")
+    # an as_of before every snapshot has nothing to score
+    with pytest.raises(ValueError, match="No valid feature_date"):
+        J.score(spark, lake, "2024-02-07", as_of="2024-01-01")
+    dist = {r.campaign_segment: r.customers for r in J.score(spark, lake, "2024-02-07").collect()}
+    assert sum(dist.values()) == 14
+    assert spark.read.parquet(lake.scores).count() == 28  # two weekly partitions

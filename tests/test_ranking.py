@@ -65,3 +65,21 @@ def test_array_search_path_equals_single_window(spark, monkeypatch):
     got = {r.tok: r.r for r in ranked.collect()}
     want = {r.tok: r.r for r in df.select("tok", F.row_number().over(Window.orderBy("p", "tok")).alias("r")).collect()}
     assert got == want
+
+
+def test_integer_deciles_match_pandas_qcut():
+    """The integer form equals pandas' qcut of first-ranks except where
+    pandas' float bin edges land exactly on a rank (10 divides n - 1)."""
+    import numpy as np
+    import pandas as pd
+
+    for n in range(10, 400):
+        if (n - 1) % 10 == 0:
+            continue
+        ranks = pd.Series(np.arange(1, n + 1, dtype=float))
+        want = pd.qcut(ranks, q=10, labels=range(1, 11)).astype(int).tolist()
+        got = [max(1, -(-10 * (r - 1) // (n - 1))) for r in range(1, n + 1)]
+        assert got == want, n
+    for n in range(1, 10):
+        want = np.ceil(np.arange(1, n + 1) / n * 10).astype(int).tolist()
+        assert [-(-10 * r // n) for r in range(1, n + 1)] == want
