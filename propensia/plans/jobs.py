@@ -210,7 +210,7 @@ def train(
         [(card["model_name"], card["version"], d, card["model_path"], json.dumps(card, sort_keys=True))],
         "model_name string, version string, training_date date, model_path string, model_card string",
     )
-    IO.write_metrics(row, lake.metrics)
+    IO.write_metrics(row, lake.metrics, d)
     return card
 
 

@@ -109,9 +109,10 @@ def write_run_partition(df: DataFrame, root: str, run_date: _dt.date | str) -> N
     write_partitioned(df, root, as_date_literal(run_date))
 
 
-def write_metrics(df: DataFrame, root: str) -> None:
-    """Append one run's metric row(s) to a metrics table."""
-    df.write.mode("append").option("compression", "zstd").parquet(root)
+def write_metrics(df: DataFrame, root: str, run_date) -> None:
+    """One run's metric row(s), in the run's partition of a metrics table
+    (a rerun of the same date replaces its row instead of adding one)."""
+    write_run_partition(df, root, run_date)
 
 
 def save_model(model, path: str) -> None:

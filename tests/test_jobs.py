@@ -68,6 +68,8 @@ def test_score_as_of_and_model_lookup(spark, scratch):
     tx, labels = pan_inputs(spark)
     J.run_weekly(spark, lake, "2024-01-31", tx, labels, token_key="k", holdout_days=10, max_iter=2, gate=False)
     assert J.current_model_path(spark, lake).endswith("run_date=2024-01-31")
+    J.train(spark, lake, "2024-01-31", holdout_days=10, max_iter=2)  # rerun replaces its card row
+    assert spark.read.parquet(lake.metrics).count() == 1
     with pytest.raises(FileNotFoundError):
         J.current_model_path(spark, lake, as_of="2024-01-01")
     # an as_of before every snapshot has nothing to score
