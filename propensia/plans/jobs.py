@@ -247,16 +247,27 @@ def score(spark: SparkSession, lake: Lake, score_date, model=None, as_of=None) -
 
 
 # ------------------------------------------------------------------ B4 --
-def build_mart(spark: SparkSession, lake: Lake, run_date, gate: bool = True) -> DataFrame:
-    """Snapshot of the run joined to every published score, gated."""
+def build_mart(spark: SparkSession, lake: Lake, run_date, gate: bool = True, latest_scores_only: bool = False) -> DataFrame:
+    """Snapshot of the run joined to every published score, gated.
+
+    Like the original, every weekly score partition is joined, so two score
+    runs for the same feature date duplicate customers (the uniqueness test
+    catches it). ``latest_scores_only`` keeps the newest score partition's
+    row per (customer, feature date) instead.
+    """
+    from propensia.operators.dedup import keep_last
+
     ensure_conf(spark)
     d = _d(run_date)
     feats = _partition(spark, lake.layer("features", "features_transactional"), d)
     # The snapshot holds feature_date = run_date - 1 only, so this filter is
     # implied by the equi-join; stating it lets every weekly score file skip
     # row groups by Parquet statistics instead of joining all history.
-    scores = IO.read_scores(spark, lake.scores).drop(*IO.PARTITION_COLUMNS)
+    scores = IO.read_scores(spark, lake.scores)
     scores = scores.filter(F.col("feature_date").cast("date") == F.date_sub(as_date_literal(d), 1))
+    if latest_scores_only:
+        scores = keep_last(scores, ["customer_token", "feature_date"], IO.PARTITION_COLUMNS)
+    scores = scores.drop(*IO.PARTITION_COLUMNS)
     IO.write_run_partition(L.mart(feats, scores), lake.mart, d)
     mart = _partition(spark, lake.mart, d)
     return _gate(mart, Q.mart_checks(), "mart", gate)

@@ -78,3 +78,7 @@ def test_score_as_of_and_model_lookup(spark, scratch):
     dist = {r.campaign_segment: r.customers for r in J.score(spark, lake, "2024-02-07").collect()}
     assert sum(dist.values()) == 14
     assert spark.read.parquet(lake.scores).count() == 28  # two weekly partitions
+    report = {r.check: r.failures for r in J.build_mart(spark, lake, "2024-01-31", gate=False).collect()}
+    assert report["unique"] == 14  # both score runs joined, as in the original
+    report = {r.check: r.failures for r in J.build_mart(spark, lake, "2024-01-31", gate=True, latest_scores_only=True).collect()}
+    assert report["unique"] == 0 and spark.read.parquet(lake.mart).count() == 14
