@@ -60,14 +60,23 @@ def silver(bronze_df: DataFrame) -> DataFrame:
     )
 
 
-def daily_customer(silver_df: DataFrame) -> DataFrame:
+def daily_customer(silver_df: DataFrame, prepartition: bool = False) -> DataFrame:
     """A1 + A2: customer-day grain.
 
     Grouping by (token, date) gets map-side partial aggregation, so a token
     holding a large share of all transactions is collapsed to one row per
     day and map task before anything is shuffled. ``merchant_mask`` carries
     the day's merchant groups as bits for the calendar-window diversity.
+
+    ``prepartition=True`` hash-partitions the transactions by token first:
+    the aggregate and the gold window then share that one exchange (one
+    shuffle instead of two) but lose the map-side combine - only worth it
+    when customers rarely have several transactions a day and no customer
+    holds a large share of the rows (that customer's raw rows would all go
+    to one task).
     """
+    if prepartition:
+        silver_df = silver_df.repartition("customer_token")
     return silver_df.groupBy(
         "customer_token", F.col("transaction_date").alias("feature_date")
     ).agg(
