@@ -97,6 +97,8 @@ def merchant_group_bit(group: Column | str) -> Column:
     OR-ing these bits over a frame and counting set bits gives the exact
     number of distinct groups, with a fixed-size int as window state.
     """
+    if len(S.MERCHANT_GROUPS) > 31:  # the mask is an int; a wide domain needs another plan
+        raise ValueError("merchant_group_bit supports at most 31 groups")
     g = col_or_name(group)
     expr = None
     for i, name in enumerate(S.MERCHANT_GROUPS):
