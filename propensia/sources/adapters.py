@@ -50,22 +50,10 @@ def pan_of(customer_id) -> "F.Column":
     return (F.lit(PAN_BASE) + customer_id.cast("long")).cast("string")
 
 
-def _token(pan, token_key):
-    return pan if token_key is None else stable_customer_token(pan, token_key)
-
-
 def _epoch_seconds(d: _dt.date) -> int:
     return int(_dt.datetime(d.year, d.month, d.day, tzinfo=_dt.timezone.utc).timestamp())
 
 
-def _ingestion(run_date: _dt.date) -> list:
-    return [
-        as_date_literal(run_date).alias("_ingestion_date"),
-        F.timestamp_seconds(F.lit(_epoch_seconds(run_date))).alias("_ingestion_timestamp"),
-        F.lit(f"batch-{run_date.isoformat()}").alias("_batch_id"),
-    ]
-
-
 def _sql_case(col: str, mapping: dict[str, str]) -> str:
     return "CASE " + col + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
 
@@ -135,25 +123,24 @@ def customer_as_labels(spark: SparkSession, sf_dir: str, token_key: str | None =
     """``customer`` as two label batches (2024-01-24 flipped where key % 10 = 0,
     then 2024-01-31), with the run-date partition columns a lake read keeps."""
     c = table(spark, sf_dir, "customer")
-    ck = F.col("c_custkey")
-    label = F.when(F.col("c_acctbal") > ADOPTION_BALANCE, 1).otherwise(0)
+    label = f"CASE WHEN c_acctbal > {ADOPTION_BALANCE} THEN 1 ELSE 0 END"
     batches = []
     for i, run_date in enumerate(LABEL_BATCHES):
-        adopted = F.when(ck % 10 == 0, 1 - label).otherwise(label) if i == 0 else label
+        adopted = f"CASE WHEN c_custkey % 10 = 0 THEN 1 - {label} ELSE {label} END" if i == 0 else label
         batches.append(
-            c.select(
-                _token(pan_of(ck), token_key).alias("customer_token"),
-                adopted.cast("int").alias("adopted_card"),
-                (F.lit(21) + ck % 50).alias("age"),
-                (F.lit(1) + ck % 120).alias("tenure_months"),
-                as_date_literal(run_date - _dt.timedelta(days=1)).alias("label_date"),
-                *_ingestion(run_date),
-                F.lit(f"{run_date:%Y}").alias("year"),
-                F.lit(f"{run_date:%m}").alias("month"),
-                F.lit(f"{run_date:%d}").alias("day"),
+            c.selectExpr(
+                f"CAST({PAN_BASE} + c_custkey AS STRING) AS customer_token",
+                f"CAST({adopted} AS INT) AS adopted_card",
+                "21 + c_custkey % 50 AS age",
+                "1 + c_custkey % 120 AS tenure_months",
+                f"DATE'{(run_date - _dt.timedelta(days=1)).isoformat()}' AS label_date",
+                *_ingestion_sql(run_date),
+                f"'{run_date:%Y}' AS year",
+                f"'{run_date:%m}' AS month",
+                f"'{run_date:%d}' AS day",
             )
         )
-    return batches[0].unionByName(batches[1])
+    return _with_token(batches[0].unionByName(batches[1]), token_key)
 
 
 def feature_history(gold: DataFrame) -> DataFrame:
