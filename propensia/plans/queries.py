@@ -456,34 +456,21 @@ def request_bodies(snap):
     """FIXTURES 3.5: JSON bodies from the snapshot with public field names,
     spoiled by customer id: 0/9 valid, 1 no age, 2 age true, 3 age "x",
     4 age null, 5 ratio 1.5, 6 invalid JSON, 7 JSON array, 8 JSON number."""
-    uid = F.col("customer_token").cast("decimal(20,0)") - F.lit(A.PAN_BASE)
-    kind = (uid % REQUEST_VARIANTS).cast("int")
-
-    def num(c):
-        return F.coalesce(F.col(c).cast("string"), F.lit("null"))
-
-    public = {api: model for api, model in S.MODEL_INPUT_MAP.items()}
+    kind = f"CAST((CAST(customer_token AS DECIMAL(20, 0)) - {A.PAN_BASE}) % {REQUEST_VARIANTS} AS INT)"
     fields = []
-    for api, model in public.items():
-        value = num(model)
+    for api, model in S.MODEL_INPUT_MAP.items():
+        value = f"coalesce(CAST({model} AS STRING), 'null')"
         if api == "age":
-            value = (
-                F.when(kind == 2, F.lit("true")).when(kind == 3, F.lit('"x"')).when(kind == 4, F.lit("null")).otherwise(value)
-            )
+            value = f"""CASE WHEN {kind} = 2 THEN 'true' WHEN {kind} = 3 THEN '"x"' WHEN {kind} = 4 THEN 'null' ELSE {value} END"""
         if api == "digital_ratio_30d":
-            value = F.when(kind == 5, F.lit("1.5")).otherwise(value)
-        text = F.concat(F.lit(f'"{api}": '), value)
+            value = f"CASE WHEN {kind} = 5 THEN '1.5' ELSE {value} END"
+        text = f"""concat('"{api}": ', {value})"""
         if api == "age":
-            text = F.when(kind == 1, F.lit(None)).otherwise(text)
+            text = f"CASE WHEN {kind} = 1 THEN NULL ELSE {text} END"
         fields.append(text)
-    obj = F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
-    body = (
-        F.when(kind == 6, F.lit('{"recency_days": 1,'))
-        .when(kind == 7, F.lit('["age", 1]'))
-        .when(kind == 8, F.lit("42"))
-        .otherwise(obj)
-    )
-    return snap.select(F.col("customer_token").alias("request_id"), body.alias("body"))
+    obj = "concat('{', concat_ws(', ', " + ", ".join(fields) + "), '}')"
+    body = f"""CASE {kind} WHEN 6 THEN '{{"recency_days": 1,' WHEN 7 THEN '["age", 1]' WHEN 8 THEN '42' ELSE {obj} END"""
+    return snap.selectExpr("customer_token AS request_id", f"{body} AS body")
 
 
 def _request_sql() -> str:
