@@ -1,3 +1,4 @@
+import os
 import subprocess
 import sys
 
@@ -21,5 +22,6 @@ def test_registry_shapes():
 def test_oracle_agreement_sf0001():
     """Every registered query against its DuckDB SQL (driver-style compare)."""
     names = [n for n in E.oracle_sql()]
-    res = subprocess.run([sys.executable, "tests/oracle_check.py", SF0001, *names], capture_output=True, text=True, timeout=1800)
+    script = os.path.join(os.path.dirname(os.path.abspath(__file__)), "oracle_check.py")
+    res = subprocess.run([sys.executable, script, SF0001, *names], capture_output=True, text=True, timeout=1800)
     assert res.returncode == 0, res.stdout[-4000:]
