@@ -78,7 +78,11 @@ def _bucket_expr(df: DataFrame, keys: list[str], splits: list[tuple]) -> Column:
 
 def _splits(df: DataFrame, keys: list[str], n: int, buckets: int) -> list[tuple]:
     fraction = min(1.0, buckets * SAMPLE_PER_BUCKET / max(n, 1))
-    sample = [tuple(r) for r in df.select(*keys).sample(False, fraction, SEED).orderBy(*keys).collect()]
+    # The sample is bounded (about buckets * SAMPLE_PER_BUCKET rows): shuffle
+    # it into one partition and sort there - one job, no range-sampling pass
+    # of a global sort, and the scan itself stays parallel.
+    picked = df.select(*keys).sample(False, fraction, SEED).repartition(1).sortWithinPartitions(*keys)
+    sample = [tuple(r) for r in picked.collect()]
     if not sample:
         return []
     picks = []
