@@ -1,6 +1,7 @@
 """Score JSON requests (batch or Structured Streaming).
 
 Validation order (first failing check wins):
+0. body absent (NULL)                   -> "Request body must be a JSON object."
 1. body is not valid JSON                -> "Request body must be valid JSON."
 2. body is JSON but not an object        -> arrays report every required
    field missing; scalars -> "Request body must be a JSON object."
@@ -75,7 +76,8 @@ def validate_requests(df: DataFrame, body_col: str = "body") -> DataFrame:
     ratio = F.col("_x_digital_ratio_30d")
     bad_ratio = F.coalesce(~((ratio >= 0.0) & (ratio <= 1.0)), F.lit(True)) | F.isnan(ratio)
     error = (
-        F.when(v.isNull(), F.lit("Request body must be valid JSON."))
+        F.when(F.col(body_col).isNull(), F.lit("Request body must be a JSON object."))
+        .when(v.isNull(), F.lit("Request body must be valid JSON."))
         .when(~is_object & ~is_array, F.lit("Request body must be a JSON object."))
         .when(any_missing, F.concat(F.lit("Missing required fields: "), _joined(fields, missing)))
         .when(any_invalid, F.concat(F.lit("Fields must be numeric: "), _joined(fields, invalid)))
@@ -98,9 +100,8 @@ def score_requests(df: DataFrame, model, body_col: str = "body", base_rate: floa
     ok = F.col("status") == 200
     p = F.col("propensity_score")
     decile = probability_decile(p)
-    keep = [c for c in df.columns]
     return scored.select(
-        *keep,
+        *df.columns,
         "status",
         "error",
         F.when(ok, round_half_away(p, 4)).alias("propensity_score"),

@@ -35,7 +35,7 @@ def test_errors(spark):
     bodies = [
         "{bad", "[1, 2]", "42", json.dumps(no_age), json.dumps({**GOOD, "age": True}),
         json.dumps({**GOOD, "age": "x", "tenure_months": None}), json.dumps({**GOOD, "digital_ratio_30d": 1.5}),
-        json.dumps({**GOOD, "extra": "ignored"}), "{}",
+        json.dumps({**GOOD, "extra": "ignored"}), "{}", None,
     ]
     r = score(spark, bodies)
     assert r[0].error == "Request body must be valid JSON."
@@ -47,6 +47,7 @@ def test_errors(spark):
     assert r[6].error == "digital_ratio_30d must be between 0 and 1."
     assert r[7].status == 200
     assert r[8].error.count(",") == 6
+    assert r[9].error == "Request body must be a JSON object."
     assert all(r[i].status == 400 and r[i].propensity_score is None for i in [0, 1, 2, 3, 4, 5, 6, 8])
 
 
