@@ -87,3 +87,22 @@ def test_score_as_of_and_model_lookup(spark, scratch):
     assert report["unique"] == 14  # both score runs joined, as in the original
     report = {r.check: r.failures for r in J.build_mart(spark, lake, "2024-01-31", gate=True, latest_scores_only=True).collect()}
     assert report["unique"] == 0 and spark.read.parquet(lake.mart).count() == 14
+
+
+def test_ingest_tokens_match_hmac_and_drop_pan(spark, scratch):
+    import hashlib
+    import hmac
+
+    from propensia import schemas as S
+
+    lake = J.Lake(scratch)
+    tx, labels = pan_inputs(spark)
+    J.ingest(spark, lake, tx, labels, dt.date(2024, 1, 31), token_key="secret-k")
+    raw = spark.read.parquet(lake.raw_transactions)
+    assert "pan" not in raw.columns
+    pans = {r.transaction_id: r.pan for r in tx.select("transaction_id", "pan").collect()}
+    for r in raw.select("transaction_id", "customer_token").limit(20).collect():
+        want = hmac.new(b"secret-k", f"{S.TOKEN_SALT}:{pans[r.transaction_id]}".encode(), hashlib.sha256).hexdigest()[:32]
+        assert r.customer_token == want
+    lab = spark.read.parquet(lake.raw_labels)
+    assert "pan" not in lab.columns and lab.count() == 150
