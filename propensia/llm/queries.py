@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from propensia.llm import packing, sharding, token_slots
+from propensia.llm import merkle, packing, sentencepiece_dropout, sharding, token_slots, warc
 
 QUERIES = {
     "op1_sharding": sharding.query,
     "op2_token_slots": token_slots.query,
+    "op3_merkle": merkle.query,
+    "op5_warc": warc.query,
+    "op7_sentencepiece": sentencepiece_dropout.query,
     "op8_packing": packing.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_merkle": merkle.ORACLE_SQL,
+    "op5_warc": warc.ORACLE_SQL,
+}
