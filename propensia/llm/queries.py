@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from propensia.llm import merkle, packing, sentencepiece_dropout, sharding, token_slots, warc
+from propensia.llm import merkle, packing, sentencepiece_dropout, sharding, token_slots, warc, weak_supervision
 
 QUERIES = {
     "op1_sharding": sharding.query,
@@ -11,9 +11,11 @@ QUERIES = {
     "op5_warc": warc.query,
     "op7_sentencepiece": sentencepiece_dropout.query,
     "op8_packing": packing.query,
+    "op10_weak_supervision": weak_supervision.query,
 }
 
 ORACLE: dict[str, str] = {
     "op3_merkle": merkle.ORACLE_SQL,
     "op5_warc": warc.ORACLE_SQL,
+    "op10_weak_supervision": weak_supervision.ORACLE_SQL,
 }
