@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from propensia.llm import merkle, packing, sentencepiece_dropout, sharding, token_slots, toxicity, warc, weak_supervision
+from propensia.llm import chosen_path, merkle, packing, sentencepiece_dropout, sharding, token_slots, toxicity, warc, weak_supervision
 
 QUERIES = {
     "op1_sharding": sharding.query,
     "op2_token_slots": token_slots.query,
     "op3_merkle": merkle.query,
+    "op4_chosen_path": chosen_path.query,
     "op5_warc": warc.query,
     "op6_toxicity": toxicity.query,
     "op7_sentencepiece": sentencepiece_dropout.query,
