@@ -1,29 +1,58 @@
-"""Corpus pipeline: toxicity, quality rules, near-duplicates, packing."""
+"""Corpus pipeline: toxicity, quality rules, near-duplicates, packing.
+
+Every stage works on all rows that its predecessor kept. Stage results are
+written as Parquet and read again, so a lost executor never costs more than
+the stage at work. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from propensia.llm import packing
+from propensia.llm import chosen_path, packing, toxicity, weak_supervision
 from propensia.llm.common import materialize
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below 0.5; learned from the labelled rows of ``sf_dir``."""
+    known, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.learn(known, labels)
+    return toxicity.score_documents(docs, model, out="_toxicity").filter(F.col("_toxicity") < 0.5).select(docs.columns)
+
+
+def drop_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model keeps."""
+    return weak_supervision.keep_clean(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return chosen_path.drop_near_duplicates(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the kept documents in sequences of at most 2048 ids."""
     return packing.pack_documents(docs)
 
 
 Stage = tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]
-STAGES: list[Stage] = [("packing", pack)]
-
-#: Tokenizing, the learned scores and the set join are not expressible in SQL.
+STAGES: list[Stage] = [
+    ("toxicity", drop_toxic),
+    ("quality", drop_junk),
+    ("near_duplicates", drop_near_duplicates),
+    ("packing", pack),
+]
+
+#: Tokenizing, the learned scores and the set join are not expressible in SQL;
+#: tests/llm/test_pipeline.py compares the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's result is written and reread."""
+    """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensia.llm.common import fill, materialize, ship
+from propensia.llm.common import materialize, ship
 from propensia.llm.components import components
 
 SHINGLE = 5
@@ -107,12 +107,12 @@ def sketch_floor(similarity: float) -> int:
 
 
 def signatures(docs: DataFrame, *, key: str, text: str) -> DataFrame:
-    """doc_id, n_shingles, vertex (null: no shingle), tokens, sketch per row."""
+    """doc_id, text_hash, n_shingles, vertex (null: no shingle), tokens, sketch per row."""
     ship(docs.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = docs.schema[key].dataType
-    schema = pa.schema([("doc_id", to_arrow_type(kind)), ("n_shingles", pa.int64()), ("vertex", pa.int64()), ("tokens", pa.list_(pa.int64())), ("sketch", pa.binary())])
+    schema = pa.schema([("doc_id", to_arrow_type(kind)), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("vertex", pa.int64()), ("tokens", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -130,11 +130,12 @@ def signatures(docs: DataFrame, *, key: str, text: str) -> DataFrame:
                     vertices.append(None)
                     tokens.append(None)
                     sketches.append(None)
-            columns = [batch.column(0).cast(schema[0].type), *(pa.array(c, f.type) for c, f in zip((counts, vertices, tokens, sketches), list(schema)[1:]))]
+            made = zip((counts, vertices, tokens, sketches), list(schema)[2:])
+            columns = [batch.column(0).cast(schema[0].type), batch.column(2), *(pa.array(c, f.type) for c, f in made)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind.simpleString()}, n_shingles long, vertex long, tokens array<long>, sketch binary")
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("text_hash"))
+    return rows.mapInArrow(run, f"doc_id {kind.simpleString()}, text_hash long, n_shingles long, vertex long, tokens array<long>, sketch binary")
 
 
 def _close_pairs(pairs: DataFrame, floor: int) -> DataFrame:
@@ -291,24 +292,45 @@ def link_classes(docs: DataFrame, rows: DataFrame, *, key: str, text: str, perce
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest key reachable), kept, per row.
+    """key, text_hash, n_shingles, group, component_id (smallest key reachable), kept, per row.
 
     Null, empty and blank texts: no shingle, linked with nothing, a component
-    of their own. Null keys: ignored by the smallest key, unless a component
-    has no other. Repeated rows: equal texts are one vertex, so all get the
-    same component, and ``kept`` holds for each row with its smallest key.
-    Very long texts are taken whole. Empty table: no rows. Extra columns are
-    not read.
+    of their own (null group). Null keys: ignored by the smallest key, unless
+    a component has no other. Repeated rows: equal texts are one vertex, so
+    all get the same component, and ``kept`` holds for each row with its
+    smallest key. Very long texts are taken whole. Empty table: no rows. Extra
+    columns are not read.
     """
     rows = materialize(signatures(docs, key=key, text=text), "signatures")
     roots = materialize(link_classes(docs, rows, key=key, text=text, percent=percent), "roots")
-    placed = rows.select("doc_id", "n_shingles", "vertex").join(roots, "vertex", "left")
-    placed = placed.select("doc_id", "n_shingles", F.coalesce("root", "vertex").alias("comp"))
-    least = placed.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
-    out = placed.join(least, "comp", "left").withColumn("component_id", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")))
-    return out.select(F.col("doc_id").alias(key), "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    placed = rows.select("doc_id", "text_hash", "n_shingles", "vertex").join(roots, "vertex", "left")
+    placed = placed.select("doc_id", "text_hash", "n_shingles", F.coalesce("root", "vertex").alias("group"))
+    least = placed.filter("group is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
+    out = placed.join(least, "group", "left").withColumn("component_id", F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("least")))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return out.select(F.col("doc_id").alias(key), "text_hash", "n_shingles", "group", "component_id", kept.alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
+    """``docs`` with one row of each component: its smallest key, then the
+    smallest hash of the text; rows that repeat key and text count as one.
+    Rows without shingles all stay."""
+    found = materialize(near_duplicates(docs, key=key, text=text, percent=percent), "components")
+    first = found.filter("kept and group is not null").groupBy("group").agg(F.min("text_hash").alias("first_hash"))
+    gone = found.filter("group is not null").join(first, "group").filter("not kept or text_hash <> first_hash")
+    gone = gone.select(F.col(key).alias("_gone_key"), F.col("text_hash").alias("_gone_hash")).distinct()
+    marked = docs.withColumn("_text_hash", F.xxhash64(text))
+    same = F.col(key).eqNullSafe(F.col("_gone_key")) & (F.col("_text_hash") == F.col("_gone_hash"))
+    stay = marked.join(gone, same, "left_anti")
+    again = found.filter("kept and group is not null").groupBy(key, "text_hash").agg(F.count("*").alias("n")).filter("n > 1")
+    again = materialize(again.select(F.col(key).alias("_gone_key"), F.col("text_hash").alias("_gone_hash")), "repeated")
+    if not again.isEmpty():
+        once = stay.join(again, same, "left_semi").dropDuplicates([key, "_text_hash"])
+        stay = stay.join(again, same, "left_anti").union(once)
+    return stay.select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicates over all documents."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from propensia.llm import chosen_path, merkle, packing, sentencepiece_dropout, sharding, token_slots, toxicity, warc, weak_supervision
+from propensia.llm import chosen_path, merkle, packing, pitman_yor, sentencepiece_dropout, sharding, token_slots, toxicity, warc, weak_supervision
 
 QUERIES = {
     "op1_sharding": sharding.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_toxicity": toxicity.query,
     "op7_sentencepiece": sentencepiece_dropout.query,
     "op8_packing": packing.query,
+    "op9_pitman_yor": pitman_yor.query,
     "op10_weak_supervision": weak_supervision.query,
 }
 

@@ -86,7 +86,7 @@ def _repeat_words(hashes: Column, run: int = RUN) -> Column:
 
 
 def measures(docs: DataFrame, *, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """key, the measures that the rules look at, and the columns in ``keep``.
+    """key, the measures that the rules look at, and the columns in ``keep`` as ``_keep_0`` and so on.
 
     Null text: no words, all measures 0. Null, tied or repeated keys: each row
     stands for itself. Empty table: no rows. Other columns are not read.
@@ -122,7 +122,7 @@ def measures(docs: DataFrame, *, key: str = "doc_id", text: str = "text", keep:
         F.char_length(F.regexp_replace(t, r"\P{L}+", "")).cast("long").alias("n_letters"),
         F.regexp_count(t, F.lit(r"\p{Lu}{2,}")).cast("long").alias("n_capital_runs"),
         F.regexp_count(t, F.lit(r"[.!?]+([\x20\x09-\x0D]|$)")).cast("long").alias("n_sentence_ends"),
-        *(F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)),
+        *(f"_keep_{i}" for i in range(len(keep))),
     )
 
 
@@ -211,6 +211,14 @@ def judge(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
 
 
+def keep_clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, all columns as they were."""
+    columns = docs.columns
+    named = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(columns)))  # no clash with the measures
+    judged = judge(named, key=f"c{columns.index(key)}", text=f"c{columns.index(text)}", keep=tuple(named.columns))
+    return judged.filter("kept").select(*(F.col(f"_keep_{i}").alias(c) for i, c in enumerate(columns)))
+
+
 BASE = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
