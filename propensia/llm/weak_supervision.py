@@ -12,10 +12,10 @@ How it runs: one scan computes measures and votes inside each row (column
 expressions only, no shuffle of texts) and writes them, narrow, to the shared
 folder. EM needs only how often each combination of votes occurs, a table of
 at most 3^rules rows whatever the corpus size; every iteration is one
-aggregate over it that returns a single row of sums. The posterior is then an
-expression over each row's own votes, so nothing is joined. The estimates
-enter the expressions as one array literal, so all iterations share one
-compiled plan.
+aggregate over it that returns a row of sums for each rule and vote. The
+posterior is then an expression over each row's own votes, so nothing is
+joined. The estimates enter the expressions as one array literal, so all
+iterations share one compiled plan.
 """
 
 from __future__ import annotations
@@ -33,17 +33,19 @@ from propensia.llm.common import WORD, fill, materialize
 #: above] junk, in between the rule abstains.
 RULES = {
     "symbols": ("noise", "n_symbols / greatest(word_chars, 1)", -1.0, 0.05, 0.0, 0.005),
-    "word_length": ("noise", "word_chars / greatest(n_words, 1)", 3.0, 7.0, 4.0, 6.0),
+    "word_length": ("noise", "word_chars / greatest(n_words, 1)", 3.0, 10.0, 4.0, 6.0),
     "letters": ("noise", "n_letters / greatest(word_chars, 1)", 0.4, 2.0, 0.9, 2.0),
     "repeated_lines": ("repetition", "n_dup_lines / greatest(n_lines, 1)", -1.0, 0.35, 0.0, 0.1),
     "repeated_words": ("repetition", "n_repeat_words / greatest(n_words, 1)", -1.0, 0.2, 0.0, 0.05),
     "doubled_words": ("repetition", "n_doubled_words / greatest(n_words, 1)", -1.0, 0.2, 0.0, 0.05),
     "distinct_words": ("repetition", "n_distinct_words / greatest(least(n_words, 500), 1)", 0.25, 1000.0, 0.5, 1000.0),
+    "bars": ("table", "n_bars / greatest(n_words, 1)", -1.0, 0.05, 0.0, 0.005),
     "capitals": ("form", "n_capital_runs / greatest(n_words, 1)", -1.0, 0.3, 0.0, 0.05),
     "sentences": ("form", "n_sentence_ends / greatest(n_words, 1)", 0.005, 0.5, 0.03, 0.3),
 }
-CLASSES = ("clean", "noise", "repetition", "form")
+CLASSES = ("clean", "noise", "repetition", "table", "form")
 ITERATIONS = 20
+ERROR = 0.02
 MIN_WORDS, MAX_REPEATED_PERCENT, RUN = 10, 20, 5
 
 
@@ -119,6 +121,7 @@ def measures(docs: DataFrame, *, key: str = "doc_id", text: str = "text", keep:
         F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         (F.char_length(t) - F.char_length(F.regexp_replace(t, r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
         "_l.*",
+        (F.size("_words") - F.size(F.array_remove("_words", "|"))).cast("long").alias("n_bars"),
         F.char_length(F.regexp_replace(t, r"\P{L}+", "")).cast("long").alias("n_letters"),
         F.regexp_count(t, F.lit(r"\p{Lu}{2,}")).cast("long").alias("n_capital_runs"),
         F.regexp_count(t, F.lit(r"[.!?]+([\x20\x09-\x0D]|$)")).cast("long").alias("n_sentence_ends"),
@@ -136,68 +139,78 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
 
 
-def junk_votes(kind: str | None = None) -> Column:
-    counted = [F.when(F.col(f"vote_{r}") == -1, 1.0).otherwise(0.0) for r in RULES if kind in (None, RULES[r][0])]
-    return reduce(lambda a, b: a + b, counted)
+def votes_array() -> Column:
+    return F.array(*(F.col(f"vote_{r}") for r in RULES))
 
 
-def first_shares() -> list[Column]:
+def _normed(weights: Column) -> Column:
+    total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
+    return let(total, lambda t: F.transform(weights, lambda w: w / t))
+
+
+def first_shares(votes: Column) -> Column:
     """Shares of the classes before any estimate: a junk vote speaks for its kind."""
-    weights = [F.exp(-2.0 * junk_votes()), *(F.exp(2.0 * junk_votes(k)) - 1.0 for k in CLASSES[1:])]
-    total = reduce(lambda a, b: a + b, weights)
-    return [w / total for w in weights]
+    kinds = [kind for kind, *_ in RULES.values()]
+
+    def junk(kind: str | None) -> Column:
+        counted = [F.when(F.get(votes, F.lit(i)) == -1, 1.0).otherwise(0.0) for i, k in enumerate(kinds) if kind in (None, k)]
+        return reduce(lambda a, b: a + b, counted)
 
+    weights = F.array(F.exp(-2.0 * junk(None)), *(F.exp(2.0 * junk(k)) - 1.0 for k in CLASSES[1:]))
+    return let(weights, _normed)
 
-def shares(model: Column) -> list[Column]:
+
+def shares(votes: Column, model: Column) -> Column:
     """Posterior of each class. ``model``: per class its log frequency, then per
     rule the log rates of a clean and of a junk vote."""
-    width, scores = 1 + 2 * len(RULES), []
-    for k in range(len(CLASSES)):
-        score = F.get(model, F.lit(k * width))
-        for i, r in enumerate(RULES):
-            at, v = k * width + 1 + 2 * i, F.col(f"vote_{r}")
-            score = score + F.when(v == 1, F.get(model, F.lit(at))).when(v == -1, F.get(model, F.lit(at + 1))).otherwise(0.0)
-        scores.append(score)
-    best = F.greatest(*scores)
-    weights = [F.exp(s - best) for s in scores]
-    total = reduce(lambda a, b: a + b, weights)
-    return [w / total for w in weights]
-
-
-def fit(votes: DataFrame, iterations: int = ITERATIONS) -> list[float] | None:
+
+    def score(rates: Column) -> Column:
+        def add(total: Column, i: Column) -> Column:
+            v = F.get(votes, i)
+            up, down = F.get(rates, 2 * i + 1), F.get(rates, 2 * i + 2)
+            return total + F.when(v == 1, up).when(v == -1, down).otherwise(0.0)
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(len(RULES) - 1)), F.get(rates, F.lit(0)), add)
+
+    def weigh(scores: Column) -> Column:
+        return let(F.array_max(scores), lambda best: F.transform(scores, lambda x: F.exp(x - best)))
+
+    return let(let(F.transform(model, score), weigh), _normed)
+
+
+def fit(rows: DataFrame, iterations: int = ITERATIONS) -> list[list[float]] | None:
     """EM over the table of vote combinations; the model as ``shares`` reads it.
 
-    Abstentions don't count. Rates are smoothed by one vote of either kind,
-    frequencies by one document. None for a table without rows.
+    Abstentions don't count. Each rate has a prior worth one vote: a rule errs
+    in ``ERROR`` of its votes outside its own kind of junk, and inside it
+    either vote is as likely; frequencies are smoothed by one document. None
+    for a table without rows.
     """
-    names = [f"vote_{r}" for r in RULES]
-    table = materialize(votes.groupBy(*names).agg(F.count("*").cast("double").alias("n")), "votes")
-    model: list[float] | None = None
+    combined = rows.groupBy(votes_array().alias("votes")).agg(F.count("*").cast("double").alias("n"))
+    table = materialize(combined.coalesce(1), "votes")
+    model: list[list[float]] | None = None
     for _ in range(iterations):
-        now = first_shares() if model is None else shares(array_literal(model))
-        scored = table.select("n", *names, *(p.alias(f"p{k}") for k, p in enumerate(now)))
-        sums = []
-        for k in range(len(CLASSES)):
-            weight = F.col("n") * F.col(f"p{k}")
-            sums.append(F.sum(weight))
-            for c in names:
-                sums += [F.sum(F.when(F.col(c) == v, weight).otherwise(0.0)) for v in (1, -1)]
-        s = list(scored.agg(*sums).first())
-        if s[0] is None:
+        now = first_shares(F.col("votes")) if model is None else shares(F.col("votes"), array_literal(model))
+        weighed = table.select(F.transform(now, lambda p: p * F.col("n")).alias("p"), F.posexplode("votes").alias("rule", "vote"))
+        sums = weighed.groupBy("rule", "vote").agg(*(F.sum(F.get("p", F.lit(k))).alias(f"p{k}") for k in range(len(CLASSES)))).collect()
+        if not sums:
             return None
-        width = 1 + 2 * len(RULES)
-        total = sum(s[:: width])
+        by = {(r["rule"], r["vote"]): [r[f"p{k}"] for k in range(len(CLASSES))] for r in sums}  # at most 3 rows a rule
+        none = [0.0] * len(CLASSES)
+        mass = [sum(by.get((0, v), none)[k] for v in (-1, 0, 1)) for k in range(len(CLASSES))]
         model = []
         for k in range(len(CLASSES)):
-            part = s[k * width : (k + 1) * width]
-            model.append(math.log((part[0] + 1) / (total + len(CLASSES))))
-            for up, down in zip(part[1::2], part[2::2]):
-                model += [math.log((up + 1) / (up + down + 2)), math.log((down + 1) / (up + down + 2))]
+            rates = [math.log((mass[k] + 1) / (sum(mass) + len(CLASSES)))]
+            for i, (kind, *_) in enumerate(RULES.values()):
+                up, down = by.get((i, 1), none)[k], by.get((i, -1), none)[k]
+                prior = 0.5 if kind == CLASSES[k] else ERROR
+                rates += [math.log((up + 1 - prior) / (up + down + 1)), math.log((down + prior) / (up + down + 1))]
+            model.append(rates)
     return model
 
 
-def array_literal(values: list[float]) -> Column:
-    return F.from_json(F.lit(repr(values)), "array<double>")
+def array_literal(model: list[list[float]]) -> Column:
+    return F.from_json(F.lit(repr(model)), "array<array<double>>")
 
 
 def judge(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = 0.5, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -206,7 +219,8 @@ def judge(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold
     rows = rows.select("*", *(vote(r).alias(f"vote_{r}") for r in RULES))
     rows = materialize(rows, "quality")
     model = fit(rows)
-    clean = first_shares()[0] if model is None else shares(array_literal(model))[0]
+    votes = votes_array()
+    clean = (first_shares(votes) if model is None else shares(votes, array_literal(model)))[0]
     rows = rows.withColumn("quality", clean).withColumn("base_failed", base_failed())
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
 
@@ -245,7 +259,7 @@ def _oracle() -> str:
       - len(list_distinct(list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, {word})))))::BIGINT AS n_dup_lines,
     coalesce(r.n, 0)::BIGINT AS n_repeat_words,
     len(list_filter(range(1, len(words)), lambda i: words[i] = words[i + 1]))::BIGINT AS n_doubled_words,
-    len(list_distinct(words))::BIGINT AS n_distinct_words,
+    len(list_distinct(words))::BIGINT AS n_distinct_words, len(list_filter(words, lambda x: x = '|'))::BIGINT AS n_bars,
     length(regexp_replace(t, '\\P{{L}}', '', 'g'))::BIGINT AS n_letters,
     len(regexp_extract_all(t, '\\p{{Lu}}{{2,}}'))::BIGINT AS n_capital_runs,
     len(regexp_extract_all(t, '[.!?]+([\\x20\\x09-\\x0D]|$)'))::BIGINT AS n_sentence_ends
@@ -273,18 +287,21 @@ def _oracle() -> str:
         for k in range(len(CLASSES)):
             terms = [f"{m}.f{k}"] + [f"CASE vote_{r} WHEN 1 THEN {m}.{r}_{k} WHEN -1 THEN {m}.{r}_{k}_no ELSE 0.0 END" for r in RULES]
             columns.append(" + ".join(terms) + f" AS s{k}")
+        gone = ", ".join(f"s{k}" for k in range(len(CLASSES)))
         best = "greatest(" + ", ".join(f"s{k}" for k in range(len(CLASSES))) + ")"
-        return f"SELECT * EXCLUDE (s0, s1, s2, s3), {shared([f'exp(s{k} - {best})' for k in range(len(CLASSES))])} FROM (SELECT {source}.*, {', '.join(columns)} FROM {source}, {m})"
+        return f"SELECT * EXCLUDE ({gone}), {shared([f'exp(s{k} - {best})' for k in range(len(CLASSES))])} FROM (SELECT {source}.*, {', '.join(columns)} FROM {source}, {m})"
 
     ctes.append(f"p0 AS MATERIALIZED (SELECT *, {shared(start)} FROM k)")
+    every = " + ".join(f"p{k}" for k in range(len(CLASSES)))
     for it in range(1, ITERATIONS + 1):
         sums = []
         for k in range(len(CLASSES)):
-            sums.append(f"ln((sum(n * p{k}) + 1) / (sum(n * (p0 + p1 + p2 + p3)) + {len(CLASSES)})) AS f{k}")
+            sums.append(f"ln((sum(n * p{k}) + 1) / (sum(n * ({every})) + {len(CLASSES)})) AS f{k}")
             for r in RULES:
-                both = f"(coalesce(sum(n * p{k}) FILTER (vote_{r} <> 0), 0) + 2)"
-                sums.append(f"ln((coalesce(sum(n * p{k}) FILTER (vote_{r} = 1), 0) + 1) / {both}) AS {r}_{k}")
-                sums.append(f"ln((coalesce(sum(n * p{k}) FILTER (vote_{r} = -1), 0) + 1) / {both}) AS {r}_{k}_no")
+                prior = 0.5 if RULES[r][0] == CLASSES[k] else ERROR
+                both = f"(coalesce(sum(n * p{k}) FILTER (vote_{r} <> 0), 0) + 1)"
+                sums.append(f"ln((coalesce(sum(n * p{k}) FILTER (vote_{r} = 1), 0) + {1 - prior}) / {both}) AS {r}_{k}")
+                sums.append(f"ln((coalesce(sum(n * p{k}) FILTER (vote_{r} = -1), 0) + {prior}) / {both}) AS {r}_{k}_no")
         ctes.append(f"m{it} AS MATERIALIZED (SELECT {', '.join(sums)} FROM p{it - 1})")
         if it < ITERATIONS:
             ctes.append(f"p{it} AS MATERIALIZED ({scored(f'm{it}', 'k')})")
