@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensia.llm.common import fill, scratch_path, ship
+from propensia.llm.common import fill, materialize, scratch_path, ship
 
 MAGIC = b"\x1f\x8b\x08"
 BLOCK = 1 << 18
@@ -94,7 +94,7 @@ def with_first(pages: DataFrame, key: str, html: str, min_revisit_bytes: int) ->
         .filter("n > 1 and first_id is not null")
         .select("sha", "first_id")
     )
-    return rows.withColumn("sha", F.sha1("payload")).join(again, "sha", "left").drop("sha")
+    return rows.withColumn("sha", F.sha1("payload")).join(again.hint("merge"), "sha", "left").drop("sha")
 
 
 def write_archives(
@@ -284,13 +284,16 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def resolve(records: DataFrame) -> DataFrame:
-    """Give revisits the payload length of the response they refer to."""
+    """Give revisits the payload length of the response they refer to.
+
+    ``records`` is read three times: write it first where reading is dear.
+    """
     originals = (
         records.filter("record_type = 'response'")
         .groupBy(F.col("record_id").alias("refers_to_record"), F.col("digest").alias("of_digest"))
         .agg(F.max("payload_bytes").alias("of_bytes"))
     )
-    revisits = records.filter("record_type = 'revisit'").join(originals, "refers_to_record", "left")
+    revisits = records.filter("record_type = 'revisit'").join(originals.hint("merge"), "refers_to_record", "left")
     fixed = revisits.withColumn("payload_bytes", F.col("of_bytes")).withColumn("digest", F.col("of_digest"))
     return records.filter("record_type = 'response'").unionByName(fixed.select(records.columns))
 
@@ -300,7 +303,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     path = scratch_path(spark, "warc")
     write_archives(pages, path)
-    rows = resolve(read_archives(spark, path, range_bytes=1 << 20))
+    rows = resolve(materialize(read_archives(spark, path), "records"))
     return rows.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 
 
