@@ -23,9 +23,7 @@ __all__ = [
     "to_event_date",
     "engagement_segment",
     "campaign_segment",
-    "safe_ratio",
     "sigmoid",
-    "log1p_zscore",
     "probability_decile",
     "expected_lift",
     "format_lift",
@@ -128,22 +126,11 @@ def campaign_segment(decile: Column | str) -> Column:
     return expr.otherwise(S.CAMPAIGN_DEFAULT)
 
 
-def safe_ratio(numerator: Column | str, denominator: Column | str) -> Column:
-    """``x::double / nullif(y, 0)`` - NULL instead of a divide error (ANSI)."""
-    den = col_or_name(denominator)
-    return col_or_name(numerator).cast("double") / F.when(den != 0, den.cast("double"))
-
-
 def sigmoid(x: Column | str) -> Column:
     clipped = F.least(F.greatest(col_or_name(x).cast("double"), F.lit(-S.SIGMOID_CLIP)), F.lit(S.SIGMOID_CLIP))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-clipped))
 
 
-def log1p_zscore(x: Column | str, mean: Column, std: Column) -> Column:
-    """Population z-score of ``log1p(x)`` with the std floored at 1e-6."""
-    return (F.log1p(col_or_name(x).cast("double")) - mean) / F.greatest(std, F.lit(S.STD_FLOOR))
-
-
 def probability_decile(p: Column | str) -> Column:
     """Absolute decile of a probability: ``min(10, max(1, ceil(10 p)))``."""
     return F.least(F.lit(10), F.greatest(F.lit(1), F.ceil(col_or_name(p) * 10).cast("int")))
@@ -172,6 +159,22 @@ def round_half_away(x: Column | str, places: int = 6) -> Column:
     return F.signum(c) * F.floor(F.abs(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
+def round_binary(x: Column | str, places: int) -> Column:
+    """Round a non-negative double by its exact binary value, halves to even.
+
+    ``t = floor(x 10^p)`` and the sign of ``x - (2t + 1) / (2 10^p)``, which
+    comes out exactly: x is split into a 24-bit part and the rest, and both
+    products with ``2 10^p`` fit a double.
+    """
+    c = col_or_name(x).cast("double")
+    scale = float(10**places)
+    t = F.floor(c * F.lit(scale)).cast("double")
+    high = c.cast("float").cast("double")
+    side = (high * F.lit(2 * scale) - (t * 2 + 1)) + (c - high) * F.lit(2 * scale)
+    up = F.when(side > 0, 1.0).when((side == 0) & (t % 2 == 1), 1.0).otherwise(0.0)
+    return (t + up) / F.lit(scale)
+
+
 def try_date(c: Column | str) -> Column:
     """Tolerant date parse: invalid text or types become NULL."""
     return F.to_date(F.try_to_timestamp(col_or_name(c).cast("string")))

@@ -26,9 +26,10 @@ def _pads(key: bytes) -> tuple[bytes, bytes]:
     return bytes(b ^ 0x36 for b in key), bytes(b ^ 0x5C for b in key)
 
 
-def stable_customer_token(pan: Column | str, token_key: str | bytes, salt: str = S.TOKEN_SALT) -> Column:
+def stable_customer_token(pan: Column | str, token_key: str | bytes, salt: str) -> Column:
+    """The token of a PAN; key and salt belong to the deployment and have no default."""
     if not token_key:
-        raise ValueError("A tokenisation key is required.")
+        raise ValueError("stable_customer_token: the key is empty.")
     key = token_key.encode("utf-8") if isinstance(token_key, str) else token_key
     ipad, opad = _pads(key)
     message = F.encode(F.concat(F.lit(salt + ":"), col_or_name(pan).cast("string")), "UTF-8")

@@ -15,12 +15,21 @@ from pyspark.sql import functions as F
 from propensia.sources.lake import PARTITION_COLUMNS
 
 
-def keep_last(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """One row per ``keys``: the one with the greatest ``order_by`` values."""
+def keep_last(df: DataFrame, keys: list[str], order_by: list[str], nulls_last: tuple[str, ...] = ()) -> DataFrame:
+    """One row per ``keys``: the one with the greatest ``order_by`` values.
+
+    The whole row travels through the aggregate, so select the columns that
+    are needed first. A null order value counts as the smallest, in the
+    columns of ``nulls_last`` as the greatest.
+    """
     payload = [c for c in df.columns if c not in keys]
     ordered = list(order_by) + [c for c in payload if c not in order_by]
-    best = F.max(F.struct(*[F.col(c) for c in ordered])).alias("_last")
-    out = df.groupBy(*keys).agg(best)
+    fields = []
+    for c in ordered:
+        if c in nulls_last:
+            fields.append(F.col(c).isNull().alias(f"_null_{c}"))
+        fields.append(F.col(c))
+    out = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_last"))
     return out.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in df.columns])
 
 
@@ -30,9 +39,12 @@ def file_order(df: DataFrame) -> list[str]:
 
 
 def latest_labels(labels: DataFrame) -> DataFrame:
-    """Labels: last by ``_ingestion_date`` (then run partition) per token."""
-    order = (["_ingestion_date"] if "_ingestion_date" in labels.columns else []) + file_order(labels)
-    return keep_last(labels, ["customer_token"], order).select("customer_token", "adopted_card")
+    """Labels: last by ``_ingestion_date`` (undated rows last of all, then run
+    partition) per token; only these columns are read."""
+    dated = ["_ingestion_date"] if "_ingestion_date" in labels.columns else []
+    order = dated + file_order(labels)
+    needed = labels.select("customer_token", "adopted_card", *order)
+    return keep_last(needed, ["customer_token"], order, tuple(dated)).select("customer_token", "adopted_card")
 
 
 def latest_feature_rows(features: DataFrame) -> DataFrame:

@@ -10,28 +10,26 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propensia import schemas as S
 from propensia.functions import expr as X
 
 
-def bronze(raw: DataFrame, run_date: _dt.date | str, lookback_days: int | None = None) -> DataFrame:
+def bronze(raw: DataFrame, run_date: _dt.date | str, event_dates: list[_dt.date] | None = None) -> DataFrame:
     """P1 + P2: keep this run's batch and fix the schema contract.
 
     Raw files are partitioned by event date, not by batch, so the batch
-    filter alone scans every raw partition (Parquet statistics only skip
-    row groups). A batch only holds events of its look-back window; with
-    ``lookback_days`` the scan is also limited to partitions dated in
-    [run_date - lookback_days, run_date] - directory pruning, same rows.
+    filter alone scans every raw partition. ``event_dates``, the dates that
+    the ingest recorded for the batch, limits the scan to their partitions:
+    directory pruning that cannot lose a row of the batch.
     """
     batch = raw.filter(F.col("_ingestion_date") == X.as_date_literal(run_date))
-    if lookback_days is not None and {"year", "month", "day"}.issubset(raw.columns):
+    if event_dates is not None and {"year", "month", "day"}.issubset(raw.columns):
         from propensia.sources.lake import partition_date
 
-        d = X.as_date_literal(run_date)
-        batch = batch.filter(partition_date().between(F.date_sub(d, lookback_days), d))
+        batch = batch.filter(partition_date().isin(*[X.as_date_literal(d) for d in event_dates]))
     return batch.selectExpr(*[f"CAST(`{src}` AS {typ}) AS `{dst}`" for src, typ, dst in S.BRONZE_CONTRACT])
 
 
@@ -60,23 +58,14 @@ def silver(bronze_df: DataFrame) -> DataFrame:
     )
 
 
-def daily_customer(silver_df: DataFrame, prepartition: bool = False) -> DataFrame:
+def daily_customer(silver_df: DataFrame) -> DataFrame:
     """A1 + A2: customer-day grain.
 
     Grouping by (token, date) gets map-side partial aggregation, so a token
     holding a large share of all transactions is collapsed to one row per
     day and map task before anything is shuffled. ``merchant_mask`` carries
     the day's merchant groups as bits for the calendar-window diversity.
-
-    ``prepartition=True`` hash-partitions the transactions by token first:
-    the aggregate and the gold window then share that one exchange (one
-    shuffle instead of two) but lose the map-side combine - only worth it
-    when customers rarely have several transactions a day and no customer
-    holds a large share of the rows (that customer's raw rows would all go
-    to one task).
     """
-    if prepartition:
-        silver_df = silver_df.repartition("customer_token")
     return silver_df.groupBy(
         "customer_token", F.col("transaction_date").alias("feature_date")
     ).agg(
@@ -91,12 +80,6 @@ def daily_customer(silver_df: DataFrame, prepartition: bool = False) -> DataFram
     )
 
 
-def rolling_sum(column: Column | str, partition_by: str, order_by: Column, window_size: int) -> Column:
-    """Sum over ``ROWS window_size-1 PRECEDING .. CURRENT ROW``."""
-    w = Window.partitionBy(partition_by).orderBy(order_by).rowsBetween(-(window_size - 1), Window.currentRow)
-    return F.sum(X.col_or_name(column)).over(w)
-
-
 def gold(daily: DataFrame) -> DataFrame:
     """W1-W4 + A3 + F8: rolling customer features, one row per customer-day.
 
@@ -140,14 +123,6 @@ def features(gold_df: DataFrame, run_date: _dt.date | str) -> DataFrame:
     return snap.select("*", X.engagement_segment("txn_count_30d", "digital_ratio_30d").alias("engagement_segment"))
 
 
-def build_features(raw: DataFrame, run_date: _dt.date | str) -> dict[str, DataFrame]:
-    """B1 as one lazy chain: every layer of a run, keyed by name."""
-    b = bronze(raw, run_date)
-    s = silver(b)
-    g = gold(daily_customer(s))
-    return {"bronze": b, "silver": s, "gold": g, "features": features(g, run_date)}
-
-
 def mart(features_df: DataFrame, scores: DataFrame) -> DataFrame:
     """J2 + P12: snapshot customers joined to their published scores."""
     f = features_df.select("customer_token", "feature_date")

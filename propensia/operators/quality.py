@@ -105,9 +105,10 @@ class QualityGateError(RuntimeError):
     pass
 
 
-def assert_passing(report: DataFrame) -> None:
-    """Q8: stop dependent stages when any check fails (report is tiny)."""
-    failing = report.filter(F.col("failures") > 0).collect()
+def assert_passing(report: DataFrame | list) -> None:
+    """Q8: stop dependent stages when any check fails (a row per check)."""
+    rows = report.collect() if isinstance(report, DataFrame) else report
+    failing = [r for r in rows if r["failures"] > 0]
     if failing:
         lines = ", ".join(f"{r['model']}.{r['column']} {r['check']}={r['failures']}" for r in failing)
         raise QualityGateError(f"Data tests failed: {lines}")

@@ -7,73 +7,67 @@ Here the key space is cut into contiguous ranges instead:
    from a bounded, seeded sample (at most ``buckets * SAMPLE_PER_BUCKET``
    rows reach the driver), so a tied score that holds a third of all rows
    is still spread over many ranges by the tie-break columns;
-2. each row gets its range id from a binary-search CASE over those
-   literals (depth log2(buckets), all JVM-side);
+2. each row gets its range id from a binary search over those points, held
+   in one folded array literal (JVM-side; the generated code does not grow
+   with the number of ranges);
 3. per-range totals (one row per range) give exclusive offsets;
 4. a window partitioned by range id computes the local running value and
    adds the offset.
 
 All expressions are deterministic, so a lost executor recomputes the same
-ranks. The number of ranges grows with the data (``rows_per_bucket``), so
-no task ever holds more than about that many rows.
+ranks. The number of ranges grows with the data (``rows_per_bucket`` rows
+each, at any size) and is at least the cluster's parallelism, so small inputs
+take the same distributed path as large ones.
 """
 
 from __future__ import annotations
 
+import datetime
+import decimal
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
-MIN_ROWS_PER_BUCKET = 100  # below this a range is not worth a task
-SPREAD_BUCKETS = 64  # small inputs are spread over at most this many ranges
-MAX_BUCKETS = 1024  # beyond this, ranges grow in rows (the CASE tree stays small)
 SAMPLE_PER_BUCKET = 32
 SEED = 42
 
 
-CASE_TREE_MAX = 256  # above this many ranges, search a literal array instead
+def _plain(v):
+    """A sampled value as JSON that ``from_json`` reads back exactly."""
+    if isinstance(v, (datetime.date, datetime.datetime)):
+        return v.isoformat()
+    return str(v) if isinstance(v, decimal.Decimal) else v
 
 
-def _bucket_expr(df: DataFrame, keys: list[str], splits: list[tuple]) -> Column:
-    """Range id = number of split points <= key.
-
-    Up to ``CASE_TREE_MAX`` ranges: a balanced CASE tree (compiled with the
-    stage). Beyond: a binary search written as ``aggregate`` over one folded
-    array literal of split points, so the generated code stays small
-    however many ranges there are.
-    """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    key = F.struct(*[F.col(k).alias(k) for k in keys])
-
-    def lit_struct(row):
-        return F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, row)])
-
-    if len(splits) + 1 > CASE_TREE_MAX:
-        points = F.array(*[lit_struct(r) for r in splits])
-        steps = max(1, math.ceil(math.log2(len(splits) + 1)) + 1)
-        init = F.struct(F.lit(0).alias("lo"), F.lit(len(splits)).alias("hi"))
+def _array_literal(values: list, element: str) -> Column:
+    """A foldable array of ``element`` (DDL) values."""
+    options = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "allowNonNumericNumbers": "true"}
+    return F.from_json(F.lit(json.dumps(values)), f"array<{element}>", options)
 
-        def step(acc, _i):
-            lo, hi = acc["lo"], acc["hi"]
-            mid = ((lo + hi + 1) / 2).cast("int")
-            go_left = key < F.element_at(points, mid)  # split `mid` opens id `mid`
-            narrowed = F.when(go_left, F.struct(lo.alias("lo"), (mid - 1).alias("hi"))).otherwise(
-                F.struct(mid.alias("lo"), hi.alias("hi"))
-            )
-            return F.when(lo >= hi, acc).otherwise(narrowed)
 
-        return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
-
-    def build(lo: int, hi: int) -> Column:
-        # ids lo..hi; split i separates id i-1 from id i
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key < lit_struct(splits[mid - 1]), build(lo, mid - 1)).otherwise(build(mid, hi))
-
-    return build(0, len(splits))
+def _bucket_expr(df: DataFrame, keys: list[str], splits: list[tuple]) -> Column:
+    """Range id = number of split points <= key, by binary search."""
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    names = [f"k{i}" for i in range(len(keys))]
+    key = F.struct(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    element = "struct<" + ",".join(f"{n}:{types[k]}" for k, n in zip(keys, names)) + ">"
+    points = _array_literal([dict(zip(names, map(_plain, row))) for row in splits], element)
+    steps = len(splits).bit_length() + 1
+    init = F.struct(F.lit(0).alias("lo"), F.lit(len(splits)).alias("hi"))
+
+    def step(acc, _i):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = ((lo + hi + 1) / 2).cast("int")
+        go_left = key < F.element_at(points, mid)  # split `mid` opens id `mid`
+        narrowed = F.when(go_left, F.struct(lo.alias("lo"), (mid - 1).alias("hi"))).otherwise(
+            F.struct(mid.alias("lo"), hi.alias("hi"))
+        )
+        return F.when(lo >= hi, acc).otherwise(narrowed)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
 
 
 def _splits(df: DataFrame, keys: list[str], n: int, buckets: int) -> list[tuple]:
@@ -97,11 +91,9 @@ def with_ranges(df: DataFrame, keys: list[str], n: int | None = None, rows_per_b
     """Add ``_range`` (contiguous key ranges) and return (df, n, ranges)."""
     if n is None:
         n = df.count()
-    # Enough ranges for the data (rows_per_bucket each) and, for small
-    # inputs, at least the cluster's parallelism - so the window never
-    # gathers everything into one task unless the input is tiny.
-    parallel = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_BUCKETS, n // MIN_ROWS_PER_BUCKET)
-    buckets = min(MAX_BUCKETS, max(1, math.ceil(n / rows_per_bucket), parallel))
+    # rows_per_bucket rows each; small inputs use the whole cluster as well
+    parallel = min(df.sparkSession.sparkContext.defaultParallelism, n)
+    buckets = max(1, math.ceil(n / rows_per_bucket), parallel)
     splits = _splits(df, keys, n, buckets) if buckets > 1 else []
     rid = _bucket_expr(df, keys, splits) if splits else F.lit(0)
     return df.withColumn("_range", rid), n, len(splits) + 1
@@ -149,7 +141,7 @@ def prefix_sums(
     cols = []
     for name in sums:
         local = F.coalesce(F.sum(f"_v_{name}").over(frame), F.lit(0))
-        offset_arr = F.array(*[F.lit(v) for v in offsets[name]])
+        offset_arr = _array_literal(offsets[name], "double" if any(isinstance(v, float) for v in offsets[name]) else "bigint")
         cols.append((local + F.element_at(offset_arr, F.col("_range") + 1)).alias(name))
     return ranged.select(*df.columns, *cols)
 
@@ -205,18 +197,3 @@ def assign_deciles(
 def top_count(n: int, fraction: float = 0.10) -> int:
     """``max(1, ceil(fraction * n))`` in double arithmetic (n=30 -> 4)."""
     return max(1, int(math.ceil(float(fraction) * n))) if n else 0
-
-
-def top_fraction(
-    df: DataFrame,
-    score_col: str,
-    tiebreak: list[str],
-    fraction: float = 0.10,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    n: int | None = None,
-    materialize: bool = True,
-) -> DataFrame:
-    """The ``ceil(fraction n)`` highest-scored rows (ties by tie-break)."""
-    ranked, n = global_rank(df, [score_col, *tiebreak], "_score_rank", n=n, rows_per_bucket=rows_per_bucket, materialize=materialize)
-    k = top_count(n, fraction)
-    return ranked.filter(F.col("_score_rank") > n - k).drop("_score_rank")

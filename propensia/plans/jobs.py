@@ -36,11 +36,6 @@ from propensia.sources import lake as IO
 
 MODEL_NAME = "card_adoption_propensity"
 MODEL_VERSION = "1.0.0"
-LIMITATIONS = [
-    "Trained on synthetic or bound test data; not representative of real customers.",
-    "The hold-out repeats customers across snapshot dates, so it does not measure drift.",
-    "Scores rank customers for marketing only; they are not credit decisions.",
-]
 
 
 def _d(d) -> _dt.date:
@@ -61,6 +56,10 @@ class Lake:
     def raw_transactions(self):
         return self.path("raw", "transactions")
 
+    @property
+    def batches(self):
+        return self.path("raw", "batches")
+
     @property
     def raw_labels(self):
         return self.path("raw", "customer_labels")
@@ -95,8 +94,9 @@ def _partition(spark: SparkSession, root: str, run_date) -> DataFrame:
     )
 
 
-def _gate(df: DataFrame, checks, model: str, gate: bool) -> DataFrame:
-    report = Q.quality_report(df, checks, model)
+def _gate(df: DataFrame, checks, model: str, gate: bool) -> list:
+    """The report's rows, computed once (a row per check)."""
+    report = Q.quality_report(df, checks, model).collect()
     if gate:
         Q.assert_passing(report)
     return report
@@ -110,9 +110,10 @@ def ingest(
     labels_with_pan: DataFrame | None,
     run_date,
     token_key: str,
-    salt: str = S.TOKEN_SALT,
+    salt: str,
 ) -> None:
-    """Tokenise the PAN, drop it, stamp the batch, write raw partitions."""
+    """Tokenise the PAN, drop it, stamp the batch, write raw partitions and
+    the list of event dates that the batch touches (``batches/``)."""
     ensure_conf(spark)
     d = _d(run_date)
     stamp = [
@@ -126,6 +127,8 @@ def ingest(
         *stamp,
     ).select(*[f.name for f in S.RAW_TRANSACTIONS.fields])
     IO.write_partitioned(tx, lake.raw_transactions, F.to_date("transaction_timestamp"))
+    dates = tx.select(F.to_date("transaction_timestamp").alias("event_date")).distinct()
+    IO.write_run_partition(dates, lake.batches, d)
     if labels_with_pan is not None:
         lab = labels_with_pan.select(
             stable_customer_token("pan", token_key, salt).alias("customer_token"),
@@ -139,19 +142,27 @@ def ingest(
 
 
 # ------------------------------------------------------------------ B1 --
-def build_features(
-    spark: SparkSession, lake: Lake, run_date, gate: bool = True, lookback_days: int | None = None
-) -> dict[str, DataFrame]:
+def batch_dates(spark: SparkSession, lake: Lake, run_date) -> list[_dt.date] | None:
+    """Event dates of one ingested batch (a row per date), None if it wasn't recorded."""
+    try:
+        rows = _partition(spark, lake.batches, run_date).collect()
+    except FileNotFoundError:
+        return None
+    dates = [r["event_date"] for r in rows]
+    return dates if dates and None not in dates else None
+
+
+def build_features(spark: SparkSession, lake: Lake, run_date, gate: bool = True) -> dict[str, list]:
     """Bronze -> silver -> gold -> features for one run date, gated.
 
-    ``lookback_days`` (e.g. the ingest history of 90 days) prunes raw
-    partitions outside the batch's event window.
+    Raw partitions outside the batch's recorded event dates are not scanned.
+    Returns the rows of each layer's quality report.
     """
     ensure_conf(spark)
     d = _d(run_date)
     reports = {}
     raw = IO.read_raw_transactions(spark, lake.raw_transactions)
-    IO.write_run_partition(L.bronze(raw, d, lookback_days), lake.layer("bronze", "bronze_transactions"), d)
+    IO.write_run_partition(L.bronze(raw, d, batch_dates(spark, lake, d)), lake.layer("bronze", "bronze_transactions"), d)
     bronze = _partition(spark, lake.layer("bronze", "bronze_transactions"), d)
     reports["bronze"] = _gate(bronze, Q.bronze_checks(), "bronze", gate)
 
@@ -176,8 +187,12 @@ def train(
     run_date,
     holdout_days: int = S.HOLDOUT_DAYS,
     max_iter: int = S.GBT_MAX_ITER,
+    limitations: list[str] | None = None,
 ) -> dict:
-    """Training frame -> split -> GBT + isotonic -> metrics -> model card."""
+    """Training frame -> split -> GBT + isotonic -> metrics -> model card.
+
+    ``limitations`` goes onto the card as the caller states it.
+    """
     from propensia.operators.metrics import evaluation_metrics
     from propensia.operators.scoring import predict
     from propensia.operators.training import fit_propensity_model, prepare_training_frame, temporal_split
@@ -203,7 +218,7 @@ def train(
         "performance": {k: metrics[k] for k in ("pr_auc", "precision_at_10", "lift_at_10", "brier_score")},
         "metrics": {k: metrics[k] for k in ("pr_auc", "roc_auc", "precision_at_10", "lift_at_10", "brier_score")},
         "features_used": list(S.FEATURE_COLUMNS),
-        "limitations": LIMITATIONS,
+        "limitations": list(limitations or []),
         "refresh_cycle": "weekly",
     }
     row = spark.createDataFrame(
@@ -232,12 +247,12 @@ def score(spark: SparkSession, lake: Lake, score_date, model=None, as_of=None) -
     Returns the segment distribution (A9) of what was written.
     """
     from propensia.operators.metrics import segment_distribution
-    from propensia.operators.scoring import latest_snapshot, predict, to_score_contract
+    from propensia.operators.scoring import latest_snapshot, predict, require_rows, to_score_contract
 
     ensure_conf(spark)
     d = _d(score_date)
     features = IO.read_prefix(spark, lake.layer("features", "features_transactional"))
-    snap = latest_snapshot(features, as_of).drop(*IO.PARTITION_COLUMNS)
+    snap = require_rows(latest_snapshot(features, as_of).drop(*IO.PARTITION_COLUMNS))
     if model is None:
         model = IO.load_model(current_model_path(spark, lake, as_of or d))
     scored = predict(snap, model)  # ranking writes it once before its passes
@@ -247,7 +262,7 @@ def score(spark: SparkSession, lake: Lake, score_date, model=None, as_of=None) -
 
 
 # ------------------------------------------------------------------ B4 --
-def build_mart(spark: SparkSession, lake: Lake, run_date, gate: bool = True, latest_scores_only: bool = False) -> DataFrame:
+def build_mart(spark: SparkSession, lake: Lake, run_date, gate: bool = True, latest_scores_only: bool = False) -> list:
     """Snapshot of the run joined to every published score, gated.
 
     Like the original, every weekly score partition is joined, so two score
@@ -281,15 +296,16 @@ def run_weekly(
     transactions_with_pan: DataFrame,
     labels_with_pan: DataFrame,
     token_key: str,
+    salt: str,
     holdout_days: int = S.HOLDOUT_DAYS,
     max_iter: int = S.GBT_MAX_ITER,
     gate: bool = True,
-    lookback_days: int | None = None,
+    limitations: list[str] | None = None,
 ) -> dict:
     """Ingest -> features -> train -> score -> mart, in order."""
-    ingest(spark, lake, transactions_with_pan, labels_with_pan, run_date, token_key)
-    reports = build_features(spark, lake, run_date, gate=gate, lookback_days=lookback_days)
-    card = train(spark, lake, run_date, holdout_days=holdout_days, max_iter=max_iter)
+    ingest(spark, lake, transactions_with_pan, labels_with_pan, run_date, token_key, salt)
+    reports = build_features(spark, lake, run_date, gate=gate)
+    card = train(spark, lake, run_date, holdout_days=holdout_days, max_iter=max_iter, limitations=limitations)
     distribution = score(spark, lake, run_date)
     mart_report = build_mart(spark, lake, run_date, gate=gate)
     return {"reports": reports, "model_card": card, "distribution": distribution, "mart_report": mart_report}

@@ -91,7 +91,7 @@ def rounded_gold(g: DataFrame) -> DataFrame:
 def tokenize_customers(spark, sf_dir):
     """HMAC-SHA256 token per customer PAN; the PAN is not returned."""
     c = A.table(spark, sf_dir, "customer")
-    return c.select("c_custkey", stable_customer_token(A.pan_of(F.col("c_custkey")), O.TOKEN_KEY).alias("customer_token"))
+    return c.select("c_custkey", stable_customer_token(A.pan_of(F.col("c_custkey")), O.TOKEN_KEY, O.TOKEN_SALT).alias("customer_token"))
 
 
 @register("bronze_transactions", O.events_layers() + "SELECT * FROM bronze")
@@ -227,7 +227,10 @@ def feature_history_latest(spark, sf_dir):
 
 @register(
     "training_frame",
-    O.events_layers()[:-1] + O.labels_cte() + O.history_cte() + "\n" + O.GOLD_SELECT + ", adopted_card FROM training",
+    O.events_layers()[:-1] + O.labels_cte() + O.history_cte()
+    + f"""
+SELECT customer_token, feature_date, recency_days, txn_count_30d, {O.r6('volume_30d')} AS volume_30d,
+       {O.r6('digital_ratio_30d')} AS digital_ratio_30d, cross_border_count_90d, age, tenure_months, adopted_card FROM training""",
 )
 def training_frame(spark, sf_dir):
     """ML1 + J1 + P7: deduped history joined to deduped labels."""
@@ -449,13 +452,14 @@ def evaluation_metrics(spark, sf_dir):
 
 
 # ------------------------------------------------------------- requests --
-REQUEST_VARIANTS = 10  # request shape chosen by customer id % 10 (see below)
+REQUEST_VARIANTS = 13  # request shape chosen by customer id % 10 (see below)
 
 
 def request_bodies(snap):
     """FIXTURES 3.5: JSON bodies from the snapshot with public field names,
-    spoiled by customer id: 0/9 valid, 1 no age, 2 age true, 3 age "x",
-    4 age null, 5 ratio 1.5, 6 invalid JSON, 7 JSON array, 8 JSON number."""
+    spoiled by customer id: 0 and 12 valid, 1 no age, 2 age true, 3 age "x",
+    4 age null, 5 ratio 1.5, 6 invalid JSON, 7 JSON array, 8 JSON number,
+    9 age twice (first "x"), 10 JSON string, 11 array that names all fields."""
     kind = f"CAST((CAST(customer_token AS DECIMAL(20, 0)) - {A.PAN_BASE}) % {REQUEST_VARIANTS} AS INT)"
     fields = []
     for api, model in S.MODEL_INPUT_MAP.items():
@@ -469,67 +473,69 @@ def request_bodies(snap):
             text = f"CASE WHEN {kind} = 1 THEN NULL ELSE {text} END"
         fields.append(text)
     obj = "concat('{', concat_ws(', ', " + ", ".join(fields) + "), '}')"
-    body = f"""CASE {kind} WHEN 6 THEN '{{"recency_days": 1,' WHEN 7 THEN '["age", 1]' WHEN 8 THEN '42' ELSE {obj} END"""
+    every = "[" + ", ".join(f'"{f}"' for f in S.REQUEST_FIELDS) + "]"
+    twice = f"""concat('{{"age": "x", ', substring({obj}, 2))"""
+    body = f"""CASE {kind} WHEN 6 THEN '{{"recency_days": 1,' WHEN 7 THEN '["age", 1]' WHEN 8 THEN '42' WHEN 9 THEN {twice}
+        WHEN 10 THEN '"age"' WHEN 11 THEN '{every}' ELSE {obj} END"""
     return snap.selectExpr("customer_token AS request_id", f"{body} AS body")
 
 
 def _request_sql() -> str:
-    from propensia.operators.scoring import DEFAULT_COEFFICIENTS, DEFAULT_INTERCEPT
+    """The validation rules over (request, field) rows.
 
-    def num(c):
-        return f"coalesce(CAST({c} AS VARCHAR), 'null')"
+    A field of an object is a key (of a repeated key the last value, which is
+    how the text of kind 9 reads without its first ``age``), of an array a
+    string element, of a string none.
+    """
+    from propensia.operators.scoring import DEFAULT_COEFFICIENTS, DEFAULT_INTERCEPT
 
-    fields = []
-    for api, model in S.MODEL_INPUT_MAP.items():
-        v = num(model)
-        if api == "age":
-            v = f"CASE WHEN k = 2 THEN 'true' WHEN k = 3 THEN '\"x\"' WHEN k = 4 THEN 'null' ELSE {v} END"
-        if api == "digital_ratio_30d":
-            v = f"CASE WHEN k = 5 THEN '1.5' ELSE {v} END"
-        text = f"'\"{api}\": ' || {v}"
-        if api == "age":
-            text = f"CASE WHEN k = 1 THEN NULL ELSE {text} END"
-        fields.append(text)
-    obj = "'{' || concat_ws(', ', " + ", ".join(fields) + ") || '}'"
-    names = S.REQUEST_FIELDS
-    present = {f: f"(jt = 'OBJECT' AND json_exists(body, '$.{f}'))" for f in names}
-    numeric = {f: f"coalesce(json_type(body, '$.{f}') IN ('BIGINT', 'UBIGINT', 'DOUBLE'), false)" for f in names}
-    missing = "concat_ws(', ', " + ", ".join(f"CASE WHEN NOT {present[f]} THEN '{f}' END" for f in names) + ")"
-    invalid = "concat_ws(', ', " + ", ".join(f"CASE WHEN NOT {numeric[f]} THEN '{f}' END" for f in names) + ")"
-    any_missing = " OR ".join(f"NOT {present[f]}" for f in names)
-    any_invalid = " OR ".join(f"NOT {numeric[f]}" for f in names)
-    ratio = "TRY_CAST(json_extract(body, '$.digital_ratio_30d') AS DOUBLE)"
-    coeffs = {m: w for m, w in DEFAULT_COEFFICIENTS.items()}
-    p = O.linear_score_sql(coeffs, DEFAULT_INTERCEPT, prefix="v_")
-    values = ", ".join(
-        f"TRY_CAST(json_extract(body, '$.{api}') AS DOUBLE) AS v_{model}" for api, model in S.MODEL_INPUT_MAP.items()
-    )
-    rules = " ".join(f"WHEN d >= {m} THEN '{n}'" for m, n in S.CAMPAIGN_RULES)
+    columns = {  # request field: model feature
+        "age": "age", "cross_border_count_90d": "cross_border_count_90d", "digital_ratio_30d": "digital_ratio_30d",
+        "frequency_30d": "txn_count_30d", "monetary_30d": "volume_30d", "recency_days": "recency_days", "tenure_months": "tenure_months",
+    }
+    spoiled = {
+        "age": "CASE k WHEN 1 THEN NULL WHEN 2 THEN 'true' WHEN 3 THEN '\"x\"' WHEN 4 THEN 'null' ELSE {v} END",
+        "digital_ratio_30d": "CASE k WHEN 5 THEN '1.5' ELSE {v} END",
+    }
+    parts = [
+        "'\"" + api + "\": ' || " + spoiled.get(api, "{v}").format(v=f"coalesce({model}::VARCHAR, 'null')") for api, model in columns.items()
+    ]
+    names = ", ".join(f"'{f}'" for f in columns)
+    every = ", ".join('"' + f + '"' for f in columns)
+    score = O.linear_score_sql(DEFAULT_COEFFICIENTS, DEFAULT_INTERCEPT, prefix="v_")
+    values = ", ".join(f"max(num) FILTER (field = '{api}') AS v_{model}" for api, model in columns.items())
     return (
         O.events_layers()[:-1]
         + f""",
 req AS (
-  SELECT customer_token AS request_id, k,
-         CASE WHEN k = 6 THEN '{{"recency_days": 1,' WHEN k = 7 THEN '["age", 1]' WHEN k = 8 THEN '42' ELSE {obj} END AS body
-  FROM (SELECT *, CAST((CAST(customer_token AS HUGEINT) - {A.PAN_BASE}) % {REQUEST_VARIANTS} AS INTEGER) AS k FROM features)),
-typed AS (SELECT request_id, body, json_valid(body) AS ok_json,
-                 CASE WHEN json_valid(body) THEN json_type(body) END AS jt FROM req),
+  SELECT customer_token AS request_id, CASE k WHEN 6 THEN '{{"recency_days": 1,' WHEN 7 THEN '["age", 1]' WHEN 8 THEN '42'
+         WHEN 10 THEN '"age"' WHEN 11 THEN '[{every}]' ELSE '{{' || concat_ws(', ', {', '.join(parts)}) || '}}' END AS body
+  FROM (SELECT *, ((customer_token::HUGEINT - {A.PAN_BASE}) % {REQUEST_VARIANTS})::INTEGER AS k FROM features)),
+kinds AS (SELECT *, CASE WHEN json_valid(body) THEN json_type(body) END AS top FROM req),
+asked AS (
+  SELECT request_id, top, field,
+         CASE top WHEN 'OBJECT' THEN json_exists(body, '$.' || field) WHEN 'ARRAY' THEN list_contains(json_extract_string(body, '$[*]'), field)
+                  WHEN 'VARCHAR' THEN false ELSE true END AS given,
+         CASE WHEN top = 'OBJECT' THEN coalesce(json_type(body, '$.' || field) IN ('BIGINT', 'UBIGINT', 'DOUBLE'), false) END AS numeric,
+         CASE WHEN top = 'OBJECT' THEN TRY_CAST(json_extract_string(body, '$.' || field) AS DOUBLE) END AS num
+  FROM kinds, (SELECT unnest([{names}]) AS field)),
+rules AS (
+  SELECT request_id, any_value(top) AS top, string_agg(field, ', ' ORDER BY field) FILTER (NOT given) AS absent,
+         string_agg(field, ', ' ORDER BY field) FILTER (given AND NOT numeric) AS wrong, {values}
+  FROM asked GROUP BY request_id),
 checked AS (
-  SELECT *, CASE WHEN NOT ok_json THEN 'Request body must be valid JSON.'
-                 WHEN jt NOT IN ('OBJECT', 'ARRAY') THEN 'Request body must be a JSON object.'
-                 WHEN {any_missing} THEN 'Missing required fields: ' || {missing}
-                 WHEN {any_invalid} THEN 'Fields must be numeric: ' || {invalid}
-                 WHEN NOT coalesce({ratio} BETWEEN 0.0 AND 1.0, false) THEN 'digital_ratio_30d must be between 0 and 1.'
-            END AS error
-  FROM typed),
-vals AS (SELECT request_id, error, {values} FROM checked WHERE error IS NULL),
-prob AS (SELECT request_id, {p} AS p FROM vals),
-good AS (SELECT request_id, p, CAST(least(10, greatest(1, ceil(p * 10))) AS INTEGER) AS d FROM prob)
+  SELECT *, CASE WHEN top IS NULL THEN 'Request body must be valid JSON.'
+                 WHEN absent IS NOT NULL THEN 'Missing required fields: ' || absent
+                 WHEN top <> 'OBJECT' THEN 'Request body must be a JSON object.'
+                 WHEN wrong IS NOT NULL THEN 'Fields must be numeric: ' || wrong
+                 WHEN NOT v_digital_ratio_30d BETWEEN 0 AND 1 THEN 'digital_ratio_30d must be between 0 and 1.' END AS error
+  FROM rules),
+good AS (SELECT *, CASE WHEN error IS NULL THEN {score} END AS p FROM checked),
+graded AS (SELECT *, least(10, greatest(1, ceil(p * 10)))::INTEGER AS d FROM good WHERE p IS NOT NULL)
 SELECT c.request_id, CASE WHEN c.error IS NULL THEN 200 ELSE 400 END AS status, c.error,
-       {O.r6('g.p', 4)} AS propensity_score, g.d AS score_decile,
-       CASE WHEN g.d IS NULL THEN NULL {rules} ELSE '{S.CAMPAIGN_DEFAULT}' END AS recommendation,
-       printf('%.1fx', g.p / {S.BASE_ADOPTION_RATE!r}) AS expected_lift
-FROM checked c LEFT JOIN good g ON c.request_id = g.request_id"""
+       printf('%.4f', g.p)::DOUBLE AS propensity_score, g.d AS score_decile, {O.campaign_sql('g.d')} AS recommendation,
+       printf('%.1fx', g.p / 0.03) AS expected_lift
+FROM checked c LEFT JOIN graded g ON c.request_id = g.request_id"""
     )
 
 

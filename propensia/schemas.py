@@ -14,9 +14,7 @@ KES_PER_USD = 130.0
 # Validity bounds for amounts (strict on both ends).
 AMOUNT_MIN_EXCLUSIVE = 0
 AMOUNT_MAX_EXCLUSIVE = 10000000
-# Default salt prefixed to the PAN before HMAC-SHA256: "<salt>:<pan>".
-# Deployments pass their own salt and key (tokens depend on both).
-TOKEN_SALT = "card_adoption_v1"
+# A token is the first 32 hex characters of HMAC-SHA256("<salt>:<pan>").
 TOKEN_HEX_CHARS = 32
 # Channel / transaction type vocabularies of the silver layer.
 DIGITAL_CHANNELS = ["mobile", "app", "online"]
@@ -108,6 +106,13 @@ SIGNAL_WEIGHTS = {
     "tenure_months": 0.004,
 }
 SIGMOID_CLIP = 40.0
+# Response texts of the request scorer.
+ERROR_NOT_JSON = "Request body must be valid JSON."
+ERROR_NOT_OBJECT = "Request body must be a JSON object."
+ERROR_MISSING = "Missing required fields: "
+ERROR_NOT_NUMERIC = "Fields must be numeric: "
+ERROR_SCORING = "Model load or scoring failed."
+ERROR_RATIO = "digital_ratio_30d must be between 0 and 1."
 STD_FLOOR = 1e-6
 # --- end of fixed values ----------------------------------------------------
 

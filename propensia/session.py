@@ -45,13 +45,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is used
-    as is. Only when it is unset (local tests) is a scratch folder made.
+    as is; without it a cluster has no place that all executors see, which is
+    an error. Only a ``local`` master (tests) gets a scratch folder.
     """
     configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
         conf_dir = tempfile.mkdtemp(prefix="propensia-ckpt-")
     spark.sparkContext.setCheckpointDir(conf_dir)
     return spark.sparkContext.getCheckpointDir() or conf_dir

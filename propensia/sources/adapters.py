@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from propensia import schemas as S
 from propensia.functions.expr import as_date_literal
-from propensia.functions.tokenize import stable_customer_token
 
 # --- fixed values of the bindings ------------------------------------------
 PAN_BASE = 4000000000000000
@@ -71,19 +70,13 @@ def _ingestion_sql(run_date: _dt.date) -> list[str]:
     ]
 
 
-def _with_token(df: DataFrame, token_key: str | None) -> DataFrame:
-    if token_key is None:
-        return df
-    return df.withColumn("customer_token", stable_customer_token("customer_token", token_key))
-
-
-def events_as_transactions(spark: SparkSession, sf_dir: str, token_key: str | None = None) -> DataFrame:
+def events_as_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as one raw batch (dense days), run date 2024-01-31.
 
     Written as SQL expression strings: one JVM round trip per column.
     """
     channels = ", ".join(f"'{c}'" for c in EVENT_CHANNELS)
-    df = table(spark, sf_dir, "events").selectExpr(
+    return table(spark, sf_dir, "events").selectExpr(
         f"CAST({PAN_BASE} + user_id AS STRING) AS customer_token",
         "concat('txn_', lpad(CAST(event_id AS STRING), 9, '0')) AS transaction_id",
         "round(value - 1.0D, 2) AS amount",
@@ -97,12 +90,11 @@ def events_as_transactions(spark: SparkSession, sf_dir: str, token_key: str | No
         "1 + user_id % 120 AS tenure_months",
         *_ingestion_sql(EVENTS_RUN_DATE),
     )
-    return _with_token(df, token_key)
 
 
-def orders_as_transactions(spark: SparkSession, sf_dir: str, token_key: str | None = None) -> DataFrame:
+def orders_as_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as one raw batch (sparse days), run date 2001-08-02."""
-    df = table(spark, sf_dir, "orders").selectExpr(
+    return table(spark, sf_dir, "orders").selectExpr(
         f"CAST({PAN_BASE} + o_custkey AS STRING) AS customer_token",
         "concat('txn_', lpad(CAST(o_orderkey AS STRING), 9, '0')) AS transaction_id",
         "o_totalprice / 100.0D - 20 AS amount",
@@ -116,10 +108,9 @@ def orders_as_transactions(spark: SparkSession, sf_dir: str, token_key: str | No
         "1 + o_custkey % 120 AS tenure_months",
         *_ingestion_sql(ORDERS_RUN_DATE),
     )
-    return _with_token(df, token_key)
 
 
-def customer_as_labels(spark: SparkSession, sf_dir: str, token_key: str | None = None) -> DataFrame:
+def customer_as_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` as two label batches (2024-01-24 flipped where key % 10 = 0,
     then 2024-01-31), with the run-date partition columns a lake read keeps."""
     c = table(spark, sf_dir, "customer")
@@ -140,7 +131,7 @@ def customer_as_labels(spark: SparkSession, sf_dir: str, token_key: str | None =
                 f"'{run_date:%d}' AS day",
             )
         )
-    return _with_token(batches[0].unionByName(batches[1]), token_key)
+    return batches[0].unionByName(batches[1])
 
 
 def feature_history(gold: DataFrame) -> DataFrame:

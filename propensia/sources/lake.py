@@ -12,7 +12,6 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from propensia import schemas as S
 from propensia.functions.expr import as_date_literal, hive_parts
@@ -44,35 +43,50 @@ def read_prefix(spark: SparkSession, path: str, merge_schema: bool = False) -> D
 
     Partition columns are kept. ``merge_schema`` unions files whose column
     sets differ (missing columns read as NULL). An absent or empty prefix
-    raises ``FileNotFoundError`` before any job runs.
+    raises ``FileNotFoundError`` before any job runs; any other problem
+    (conflicting schemas or partitions) keeps Spark's own error.
     """
-    try:
-        return spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower()).parquet(path)
-    except AnalysisException as error:
-        raise FileNotFoundError(f"No Parquet objects found under {path}") from error
+    require_files(spark, path)
+    return spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower()).parquet(path)
+
+
+def require_files(spark: SparkSession, path: str) -> None:
+    """Raise unless some Parquet file lies below ``path`` (stops at the first)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.exists(target):
+        files = store.listFiles(target, True)
+        while files.hasNext():
+            if files.next().getPath().getName().endswith(".parquet"):
+                return
+    raise FileNotFoundError(f"{path}: no Parquet file in this folder or below it")
 
 
 def _read(spark: SparkSession, root: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).option("basePath", root).parquet(root)
-    except AnalysisException as error:
-        raise FileNotFoundError(f"No Parquet objects found under {root}") from error
+    require_files(spark, root)
+    return spark.read.schema(schema).option("basePath", root).parquet(root)
 
 
 def read_nanos_parquet(spark: SparkSession, path: str, timestamp_columns: list[str]) -> DataFrame:
     """Read files whose timestamps are Parquet ``TIMESTAMP(NANOS)``.
 
-    Spark refuses that type by default; with
-    ``spark.sql.legacy.parquet.nanosAsLong`` the values arrive as longs and
-    are turned into microsecond NTZ timestamps here. The setting stays on
-    for the session because executors read it when the scan runs.
+    Spark refuses that type by default. A session of its own reads the
+    values as longs (``spark.sql.legacy.parquet.nanosAsLong``), turns them
+    into microsecond NTZ timestamps and writes that copy to the shared
+    folder, so the caller's session and its other reads stay as they are.
     """
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    df = spark.read.parquet(path)
+    from propensia.session import materialize
+
+    require_files(spark, path)
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    own.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    df = own.read.parquet(path)
     for c in timestamp_columns:
         micros = F.expr(f"(`{c}` - pmod(`{c}`, 1000)) div 1000")  # exact floor, no doubles
         df = df.withColumn(c, F.timestamp_micros(micros).cast("timestamp_ntz"))
-    return df
+    written = materialize(df, "nanos").inputFiles()
+    return spark.read.parquet(written[0].rsplit("/", 1)[0]) if written else spark.createDataFrame([], df.schema)
 
 
 def partition_date() -> "F.Column":
@@ -94,9 +108,12 @@ def write_partitioned(df: DataFrame, root: str, date_col, mode: str = "overwrite
     tasks and files, while small dates are coalesced (no file per task per
     date explosion).
     """
-    out = with_hive_parts(df, date_col).hint("rebalance", *PARTITION_COLUMNS)
+    _write(with_hive_parts(df, date_col).hint("rebalance", *PARTITION_COLUMNS), root, mode)
+
+
+def _write(df: DataFrame, root: str, mode: str = "overwrite") -> None:
     (
-        out.write.mode(mode)
+        df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(*PARTITION_COLUMNS)
@@ -105,8 +122,12 @@ def write_partitioned(df: DataFrame, root: str, date_col, mode: str = "overwrite
 
 
 def write_run_partition(df: DataFrame, root: str, run_date: _dt.date | str) -> None:
-    """The whole frame under the run date's partition."""
-    write_partitioned(df, root, as_date_literal(run_date))
+    """The whole frame under the run date's partition.
+
+    All rows have the same partition, so they are not dealt by it: the tasks
+    that made them write them, and no shuffle is added.
+    """
+    _write(with_hive_parts(df, as_date_literal(run_date)), root)
 
 
 def write_metrics(df: DataFrame, root: str, run_date) -> None:
@@ -137,6 +158,6 @@ def model_features(model) -> list[str]:
         if isinstance(stage, VectorAssembler):
             cols = stage.getInputCols()
             if not cols or not all(isinstance(c, str) for c in cols):
-                raise ValueError("Model feature_columns must be a list of strings.")
+                raise ValueError("The model names no feature columns.")
             return list(cols)
-    raise ValueError("Model bundle has no feature assembler; unsupported model.")
+    raise ValueError("The model has no vector assembler, so its features are unknown.")

@@ -1,21 +1,24 @@
 """Score JSON requests (batch or Structured Streaming).
 
 Validation order (first failing check wins):
-0. body absent (NULL)                   -> "Request body must be a JSON object."
-1. body is not valid JSON                -> "Request body must be valid JSON."
-2. body is JSON but not an object        -> arrays report every required
-   field missing; scalars -> "Request body must be a JSON object."
-3. required fields missing (sorted)      -> "Missing required fields: a, b"
-4. fields not numeric (bool, string, null, object...; sorted)
-                                         -> "Fields must be numeric: a, b"
-5. digital_ratio_30d outside [0, 1]      -> "digital_ratio_30d must be between 0 and 1."
-Good rows: status 200 with score (4 places), absolute decile
-``min(10, max(1, ceil(10 p)))``, recommendation and ``"%.1fx"`` lift.
+0. body absent (NULL)                    -> not an object
+1. body is not valid JSON                 -> not valid JSON
+2. required fields missing (sorted)       -> the missing names. Fields of an
+   object are its keys (of a repeated key the last value counts); an array
+   has the fields that its string elements name; a string has none.
+3. any other body that is no object (numbers, booleans, null, and an array
+   that names every field)                -> not an object
+4. fields not numeric (bool, string, null, object...; sorted) -> their names
+5. digital_ratio_30d outside [0, 1]
+6. the model needs a feature that requests don't carry -> status 500
+Good rows: status 200 with score (4 places, the binary value rounded half to
+even), absolute decile ``min(10, max(1, ceil(10 p)))``, recommendation and
+``"%.1fx"`` lift.
 
 Everything is column expressions over ``try_parse_json`` (variant), so the
 same function serves ``spark.read`` and ``spark.readStream`` inputs. Notes:
-JSON with duplicate keys is rejected as invalid JSON by the parser; Java
-formatting rounds exact halves of the lift up (0.25 -> "0.3x").
+``NaN`` and ``Infinity`` are not JSON here; Java formatting rounds exact halves
+of the lift up (0.25 -> "0.3x").
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propensia import schemas as S
-from propensia.functions.expr import campaign_segment, expected_lift, format_lift, probability_decile, round_half_away
+from propensia.functions.expr import campaign_segment, expected_lift, format_lift, probability_decile, round_binary
 
 # Variant type names that count as JSON numbers (booleans do not).
 NUMERIC_TYPES = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
@@ -39,6 +42,22 @@ def _joined(names: list[str], flags: dict[str, Column]) -> Column:
     return F.concat_ws(", ", *[F.when(flags[n], F.lit(n)) for n in names])
 
 
+def _parsed(df: DataFrame, body_col: str) -> DataFrame:
+    """``df`` with the body as a variant ``_v`` (null: not JSON) in which the
+    last value of a repeated key counts.
+
+    The parser takes that option from the session when the projection is
+    analysed, i.e. here; it is put back at once.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.variant.allowDuplicateKeys"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return df.select("*", F.try_parse_json(F.col(body_col)).alias("_v"))
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def validate_requests(df: DataFrame, body_col: str = "body") -> DataFrame:
     """Add ``status`` (200/400), ``error`` and one double per model feature.
 
@@ -47,25 +66,30 @@ def validate_requests(df: DataFrame, body_col: str = "body") -> DataFrame:
     or type probe is evaluated twice per row.
     """
     fields = S.REQUEST_FIELDS
-    parsed = df.select("*", F.try_parse_json(F.col(body_col)).alias("_v"))
+    parsed = _parsed(df, body_col)
     v = F.col("_v")
     typed = parsed.select(
         "*",
         F.schema_of_variant(v).alias("_top"),
+        F.try_variant_get(v, "$", "array<string>").alias("_named"),
         *[F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant")).alias(f"_t_{f}") for f in fields],
         *[F.try_variant_get(v, f"$.{f}", "double").alias(f"_x_{f}") for f in fields],
     )
     is_array = F.col("_top").startswith("ARRAY")
+    is_object = F.col("_top").startswith("OBJECT")
+
+    def absent(f: str) -> Column:
+        named = F.coalesce(F.array_contains(F.col("_named"), f), F.lit(False))
+        return F.when(is_object, F.col(f"_t_{f}").isNull()).when(is_array, ~named).otherwise(F.col("_top") == "STRING")
+
     flags = typed.select(
         *df.columns,
         "_v",
-        F.col("_top").startswith("OBJECT").alias("_obj"),
-        is_array.alias("_arr"),
-        *[(is_array | F.col(f"_t_{f}").isNull()).alias(f"_m_{f}") for f in fields],
+        is_object.alias("_obj"),
+        *[absent(f).alias(f"_m_{f}") for f in fields],
         *[(~_is_numeric(F.col(f"_t_{f}"))).alias(f"_i_{f}") for f in fields],
         *[F.col(f"_x_{f}") for f in fields],
     )
-    is_object, is_array = F.col("_obj"), F.col("_arr")
     missing = {f: F.col(f"_m_{f}") for f in fields}
     invalid = {f: F.col(f"_i_{f}") for f in fields}
     any_missing = F.lit(False)
@@ -76,12 +100,12 @@ def validate_requests(df: DataFrame, body_col: str = "body") -> DataFrame:
     ratio = F.col("_x_digital_ratio_30d")
     bad_ratio = F.coalesce(~((ratio >= 0.0) & (ratio <= 1.0)), F.lit(True)) | F.isnan(ratio)
     error = (
-        F.when(F.col(body_col).isNull(), F.lit("Request body must be a JSON object."))
-        .when(v.isNull(), F.lit("Request body must be valid JSON."))
-        .when(~is_object & ~is_array, F.lit("Request body must be a JSON object."))
-        .when(any_missing, F.concat(F.lit("Missing required fields: "), _joined(fields, missing)))
-        .when(any_invalid, F.concat(F.lit("Fields must be numeric: "), _joined(fields, invalid)))
-        .when(bad_ratio, F.lit("digital_ratio_30d must be between 0 and 1."))
+        F.when(F.col(body_col).isNull(), F.lit(S.ERROR_NOT_OBJECT))
+        .when(v.isNull(), F.lit(S.ERROR_NOT_JSON))
+        .when(any_missing, F.concat(F.lit(S.ERROR_MISSING), _joined(fields, missing)))
+        .when(~F.col("_obj"), F.lit(S.ERROR_NOT_OBJECT))
+        .when(any_invalid, F.concat(F.lit(S.ERROR_NOT_NUMERIC), _joined(fields, invalid)))
+        .when(bad_ratio, F.lit(S.ERROR_RATIO))
     )
     decided = flags.select("*", error.alias("error"))
     ok = F.col("error").isNull()
@@ -96,7 +120,14 @@ def validate_requests(df: DataFrame, body_col: str = "body") -> DataFrame:
 def score_requests(df: DataFrame, model, body_col: str = "body", base_rate: float = S.BASE_ADOPTION_RATE) -> DataFrame:
     """Validated requests -> status, error, score, decile, advice, lift."""
     checked = validate_requests(df, body_col)
-    scored = model.transform(checked)
+    unsupported = sorted(set(_features(model)).difference(S.MODEL_INPUT_MAP.values()))
+    if unsupported:  # the model cannot be fed from requests: valid ones fail too
+        failed = F.col("status") == 200
+        scored = checked.withColumn("error", F.when(failed, F.lit(S.ERROR_SCORING)).otherwise(F.col("error")))
+        scored = scored.withColumn("status", F.when(failed, F.lit(500)).otherwise(F.col("status")))
+        scored = scored.withColumn("propensity_score", F.lit(None).cast("double"))
+    else:
+        scored = model.transform(checked)
     ok = F.col("status") == 200
     p = F.col("propensity_score")
     decile = probability_decile(p)
@@ -104,13 +135,24 @@ def score_requests(df: DataFrame, model, body_col: str = "body", base_rate: floa
         *df.columns,
         "status",
         "error",
-        F.when(ok, round_half_away(p, 4)).alias("propensity_score"),
+        F.when(ok, round_binary(p, 4)).alias("propensity_score"),
         F.when(ok, decile).alias("score_decile"),
         F.when(ok, campaign_segment(decile)).alias("recommendation"),
         F.when(ok, format_lift(expected_lift(p, base_rate))).alias("expected_lift"),
     )
 
 
+def _features(model) -> list[str]:
+    """Features the model asks for; none where it doesn't say."""
+    if hasattr(model, "feature_columns"):
+        return list(model.feature_columns)
+    if hasattr(model, "stages"):
+        from propensia.sources.lake import model_features
+
+        return model_features(model)
+    return []
+
+
 def stream_requests(spark, source_dir: str, model, sink, checkpoint: str, fmt: str = "text"):
     """R1 on a file stream: each line of ``source_dir`` is one request body.
 

@@ -63,22 +63,3 @@ def test_attach_customer_attributes(spark):
     cu = spark.createDataFrame([("a", 30, 5), ("b", 40, 6)], "customer_token string, age int, tenure_months int")
     got = {r.customer_token: (r.age, r.tenure_months) for r in attach_customer_attributes(tx, cu).collect()}
     assert got == {"a": (30, 5), "b": (40, 6), "z": (None, None)}
-
-
-def test_rolling_sum_macro(spark):
-    rows = [("a", i, float(i * i)) for i in range(12)] + [("b", i, 1.0) for i in range(3)]
-    df = spark.createDataFrame(rows, "k string, o int, v double")
-    out = df.select("k", "o", L.rolling_sum("v", "k", F.col("o"), 4).alias("s")).collect()
-    for r in out:
-        want = sum(float(i * i) for i in range(max(0, r.o - 3), r.o + 1)) if r.k == "a" else float(min(r.o + 1, 4))
-        assert r.s == want
-
-
-def test_prepartitioned_gold_single_exchange(spark):
-    rows = [("c", dt.date(2024, 1, d), 1.0, "atm", False, 30, 12, "other") for d in range(1, 20)]
-    s = silver(spark, rows)
-    two = L.gold(L.daily_customer(s))._jdf.queryExecution().executedPlan().toString()
-    one = L.gold(L.daily_customer(s, prepartition=True))
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert two.count("Exchange hashpartitioning") == 2 and plan.count("Exchange hashpartitioning") == 1
-    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, L.gold(L.daily_customer(s)).collect()))

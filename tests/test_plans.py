@@ -4,12 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
-
 from conftest import SF001
+from propensia.plans.queries import QUERIES
 
-NAMES = [n for n in E.queries() if n != "model_scores"]
-TINY = {"campaign_segments", "segment_distribution", "campaign_mart", "quality_report"}  # rank 133 rows at sf0.01
+SLOW = {"model_scores", "model_calibration"}
+NAMES = [n for n in QUERIES if n not in SLOW]
 
 
 def plan_lines(df):
@@ -25,7 +24,7 @@ def depth(line):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_no_single_task_bottlenecks(spark, name):
-    df = E.queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     lines = plan_lines(df)
     text = "\n".join(lines)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
@@ -39,10 +38,8 @@ def test_no_single_task_bottlenecks(spark, name):
             if not re.search(r"QueryStage|AQEShuffleRead|InputAdapter|WholeStageCodegen", lines[j]):
                 break
         parent = lines[j]
-        # only the final merge of a global (one-row) aggregate may gather to
-        # one task; a ranking window may only when its input is tiny
-        ok = re.search(r"(Hash|ObjectHash|Sort)Aggregate\(keys=\[\]", parent) or (name in TINY and "Sort [" in parent)
-        assert ok, (name, parent.strip()[:160])
+        # only the final merge of a global (one-row) aggregate may gather to one task
+        assert re.search(r"(Hash|ObjectHash|Sort)Aggregate\(keys=\[\]", parent), (name, parent.strip()[:160])
     # explicit broadcast hints only on the fixed 20-row seed (AQE sizes the rest)
     hints = df._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
     assert hints == (1 if name == "mcc_seed_check" else 0)

@@ -57,14 +57,16 @@ def test_top_count(n, k):
     assert R.top_count(n) == k
 
 
-def test_array_search_path_equals_single_window(spark, monkeypatch):
-    monkeypatch.setattr(R, "CASE_TREE_MAX", 4)
-    rows = [(f"k{i:05d}", None if i % 50 == 0 else float(i % 11)) for i in range(2000)]
-    df = spark.createDataFrame(rows, "tok string, p double")
-    ranked, _ = R.global_rank(df, ["p", "tok"], "r", rows_per_bucket=100)
-    got = {r.tok: r.r for r in ranked.collect()}
-    want = {r.tok: r.r for r in df.select("tok", F.row_number().over(Window.orderBy("p", "tok")).alias("r")).collect()}
-    assert got == want
+def test_many_ranges_equal_single_window(spark):
+    import datetime as dt
+
+    rows = [(f"k{i:05d}", None if i % 50 == 0 else float(i % 11), dt.date(2024, 1, 1 + i % 28)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "tok string, p double, d date")
+    for keys in (["p", "tok"], ["d", "p", "tok"]):
+        ranked, _ = R.global_rank(df, keys, "r", rows_per_bucket=3)
+        got = {r.tok: r.r for r in ranked.collect()}
+        want = {r.tok: r.r for r in df.select("tok", F.row_number().over(Window.orderBy(*keys)).alias("r")).collect()}
+        assert got == want
 
 
 def test_integer_deciles_match_pandas_qcut():

@@ -51,6 +51,29 @@ def test_errors(spark):
     assert all(r[i].status == 400 and r[i].propensity_score is None for i in [0, 1, 2, 3, 4, 5, 6, 8])
 
 
+def test_arrays_strings_and_repeated_keys(spark):
+    names = sorted(GOOD)
+    twice = json.dumps(GOOD)[:-1] + ', "age": 33}'
+    bodies = ['["age", 1]', '"age"', json.dumps(names), twice, twice.replace('"age": 32', '"age": "x"'), twice.replace('"age": 33', '"age": "x"'), "true", "null"]
+    r = score(spark, bodies)
+    assert r[0].error == "Missing required fields: " + ", ".join(n for n in names if n != "age")
+    assert r[1].error == "Missing required fields: " + ", ".join(names)
+    assert r[2].error == r[6].error == r[7].error == "Request body must be a JSON object."
+    assert r[3].status == r[4].status == 200
+    assert r[5].error == "Fields must be numeric: age"
+
+
+def test_scores_are_rounded_like_the_binary_value(spark):
+    for p in (0.00035, 0.00045, 0.12345, 0.5, 0.99995, 2.5e-05, 0.00015):
+        assert score(spark, [json.dumps(GOOD)], Constant(p))[0].propensity_score == round(p, 4), p
+
+
+def test_model_that_requests_cannot_feed(spark):
+    r = score(spark, [json.dumps(GOOD), "{bad"], LinearScorer({"age": 0.1, "merchant_diversity_30d": 1.0}))
+    assert (r[0].status, r[0].error, r[0].propensity_score) == (500, "Model load or scoring failed.", None)
+    assert r[1].status == 400
+
+
 def test_linear_scorer_in_requests(spark):
     r = score(spark, [json.dumps(GOOD)], LinearScorer())[0]
     assert r.status == 200 and 0 < r.propensity_score < 1

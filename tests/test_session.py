@@ -20,3 +20,23 @@ def test_materialize_writes_under_checkpoint_dir(spark):
     files = df.inputFiles()
     assert files and all(root.rstrip("/").replace("file:", "") in f.replace("file:", "") for f in files)
     assert os.path.basename(os.path.dirname(files[0].replace("file:", ""))).startswith("propensia-t-")
+
+
+def test_no_machine_local_folder_off_local_masters():
+    import pytest
+
+    class Context:
+        master = "spark://head:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())

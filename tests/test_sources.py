@@ -17,6 +17,26 @@ def test_nanosecond_parquet(spark, scratch):
     pq.write_table(pa.table({"t": ts, "k": ["a"]}), path)
     got = IO.read_nanos_parquet(spark, path, ["t"]).first()
     assert got.t == dt.datetime(2023, 11, 14, 22, 13, 20, 123456)
+    assert spark.conf.get("spark.sql.legacy.parquet.nanosAsLong") == "false"
+
+
+def test_run_partition_is_written_without_a_shuffle(spark, scratch):
+    df = spark.range(1000, numPartitions=4).withColumn("x", F.col("id") % 7)
+    root = os.path.join(scratch, "plain")
+    IO.write_run_partition(df, root, "2024-08-03")
+    assert len([f for f in spark.read.parquet(root).inputFiles()]) == 4  # a file a task: nothing was dealt anew
+    assert IO.read_prefix(spark, root).count() == 1000
+
+
+def test_other_read_errors_are_not_hidden(spark, scratch):
+    from pyspark.errors import AnalysisException
+
+    root = os.path.join(scratch, "clash")
+    spark.range(1).write.parquet(os.path.join(root, "year=2024"))
+    spark.range(1).write.parquet(os.path.join(root, "other=1", "more=2"))
+    with pytest.raises(Exception) as error:
+        IO.read_prefix(spark, root).collect()
+    assert not isinstance(error.value, FileNotFoundError) and isinstance(error.value, (AnalysisException, Exception))
 
 
 def test_partition_layout_and_scores_as_of(spark, scratch):
@@ -58,7 +78,10 @@ def test_seed_csv(spark, scratch):
 
 def test_raw_reader_schema(spark, scratch):
     root = os.path.join(scratch, "raw")
-    row = spark.createDataFrame([], S.RAW_TRANSACTIONS)
+    IO.write_partitioned(spark.createDataFrame([], S.RAW_TRANSACTIONS), root, F.lit(dt.date(2024, 1, 1)))
+    with pytest.raises(FileNotFoundError):  # a folder without a file is no input
+        IO.read_raw_transactions(spark, root)
+    row = spark.createDataFrame([[None] * len(S.RAW_TRANSACTIONS.fields)], S.RAW_TRANSACTIONS)
     IO.write_partitioned(row, root, F.lit(dt.date(2024, 1, 1)))
     df = IO.read_raw_transactions(spark, root)
     assert [f.name for f in S.RAW_TRANSACTIONS.fields] == df.columns[: len(S.RAW_TRANSACTIONS.fields)]
