@@ -1,8 +1,9 @@
 """SentencePiece BPE with seeded merge-dropout, and lossless decoding.
 
 The model file gives pieces with scores. A text is written with U+2581 for
-spaces (one in front) and cut before every run of them, where no piece of the
-model can reach across, so each chunk is merged by itself. Merging follows the
+spaces (one in front) and cut where no piece of the model can reach across -
+before every run of spaces and between groups of characters that no piece
+holds side by side - so each chunk is merged by itself. Merging follows the
 agenda: of the adjacent pairs that form a piece the one with the best score is
 taken next (leftmost of equals). With dropout every candidate taken from the
 agenda is first put to a keyed hash of (seed, variant, piece, place in the
@@ -13,7 +14,8 @@ Each occurrence of a chunk in a document draws one of ``variants`` variants by
 a hash of (seed, document key, place in the document), so the same word is cut
 in different ways across a corpus, yet reproducibly: the result depends on
 nothing but seed, key and text. Chunks of a variant are remembered per task in
-a bounded table.
+a bounded table; the new chunks of some hundred texts are merged together, one
+agenda step of all of them at a time, with arrays.
 
 Characters outside the vocabulary become byte pieces, and so does a literal
 U+2581, which the plain model would turn into a space; so decoding gives back
@@ -39,7 +41,9 @@ SPACE = "▁"
 NORMAL, USER = 1, 4  # piece types that take part in merging
 BYTE = 6
 MASK = (1 << 64) - 1
-REMEMBERED = 1 << 18  # chunks kept per task
+NEVER = 1 << 30  # rank of a pair that is no piece or was skipped
+REMEMBERED = 1 << 19  # chunks kept per task before it starts afresh
+TEXTS = 1024  # texts whose chunks are merged together
 
 
 def default_path() -> str:
@@ -71,7 +75,10 @@ class Model:
             last = (score, 0) if last is None else (score, last[1] + (score != last[0]))
             ranks[piece] = last[1]
         self.ranks = ranks
+        self.pairs = PairTable(self.ids, ranks)
+        self.chunks = _chunk_pattern(self.ids)
         self.bytes = [0] * 256
+        self.literal = ()
         self.text: list[bytes] = [b""] * len(proto.pieces)
         for i, p in enumerate(proto.pieces):
             if p.type == BYTE:
@@ -80,6 +87,7 @@ class Model:
                 self.text[i] = bytes([value])
             elif p.type in (NORMAL, USER):
                 self.text[i] = p.piece.replace(SPACE, " ").encode()
+        self.literal = tuple(self.bytes[b] for b in SPACE.encode())
 
     def merge(self, chunk: str, threshold: int, key: int) -> list[str]:
         """The chunk's pieces; a candidate whose keyed hash is below ``threshold`` is skipped."""
@@ -94,11 +102,148 @@ class Model:
                 out.extend(self.bytes[b] for b in piece.encode())
         return tuple(out)
 
+    def expand(self, symbols: list[int]) -> tuple[int, ...]:
+        """Ids of merged symbols; characters without a piece as bytes."""
+        out: list[int] = []
+        for i in symbols:
+            if i < LETTER:
+                out.append(i)
+            else:
+                out.extend(self.bytes[b] for b in chr(i - LETTER).encode())
+        return tuple(out)
+
     def decode(self, ids) -> str:
         raw = b"".join(map(self.text.__getitem__, ids))
         return (raw[1:] if self.prefix and raw[:1] == b" " else raw).decode("utf-8")
 
 
+LITERAL = SPACE + "\0literal"  # stands for a literal U+2581; compared by identity
+LETTER = 1 << 24  # a character without a piece is this plus its code point
+
+
+def _chunk_pattern(ids: dict[str, int]) -> re.Pattern:
+    """Cuts a text where no piece reaches across.
+
+    ASCII characters that no chain of pieces joins to the letter ``a``, and
+    what is joined to them, are cut off from all others; spaces stay with
+    what follows them.
+    """
+    parent: dict[str, str] = {}
+
+    def find(c: str) -> str:
+        while parent.setdefault(c, c) != c:
+            c = parent[c]
+        return c
+
+    for piece in ids:
+        for a, b in zip(piece, piece[1:]):
+            if a != SPACE:
+                parent[find(a)] = find(b)
+    apart = {find(c) for c in map(chr, range(128)) if c != SPACE and find(c) != find("a")}
+    alone = "".join(re.escape(c) for c in sorted(parent) if c != SPACE and find(c) in apart)
+    return re.compile(f"{SPACE}*[{alone}]+|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
+
+
+class PairTable:
+    """(left piece, right piece) -> (rank, merged piece) as a hash table of arrays."""
+
+    def __init__(self, ids: dict[str, int], ranks: dict[str, int]):
+        pairs = [(ids[p[:i]] << 25 | ids[p[i:]], ranks[p], n) for p, n in ids.items() for i in range(1, len(p)) if p[:i] in ids and p[i:] in ids]
+        self.shift = np.uint64(64 - (4 * len(pairs)).bit_length())
+        size = 1 << (4 * len(pairs)).bit_length()
+        self.codes = np.full(size + 64, -1, np.int64)
+        self.rank = np.full(size + 64, NEVER, np.int32)
+        self.merged = np.zeros(size + 64, np.int32)
+        spots = self._spot(np.array([c for c, _, _ in pairs], np.int64)).tolist()
+        for (code, rank, piece), at in zip(pairs, spots):
+            steps = 0
+            while self.codes[at + steps] >= 0:
+                steps += 1
+            self.codes[at + steps], self.rank[at + steps], self.merged[at + steps] = code, rank, piece
+
+    def _spot(self, code: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank or NEVER, merged piece) of each pair."""
+        code = (left.astype(np.int64) << 25) | right
+        at = self._spot(code)
+        rank, merged = np.full(code.shape, NEVER, np.int32), np.zeros(code.shape, np.int32)
+        look = np.arange(len(code))
+        while look.size:  # until each pair or an empty place is found
+            there = self.codes[at]
+            hit = there == code[look]
+            rank[look[hit]], merged[look[hit]] = self.rank[at[hit]], self.merged[at[hit]]
+            on = ~hit & (there >= 0)
+            look, at = look[on], at[on] + 1
+        return rank, merged
+
+
+def _merge_many(chunks: list[str], letters: dict[str, int], pairs: PairTable, threshold: int, key: int) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, how many) of chunks of up to 48 letters each, all merged step by step together."""
+    n, width = len(chunks), max(map(len, chunks))
+    lengths = np.fromiter(map(len, chunks), np.int64, n)
+    symbols = np.zeros((n, width + 1), np.int32)
+    inside = np.arange(width + 1) < lengths[:, None]
+    flat = "".join(chunks)
+    codes = np.frombuffer(flat.encode("utf-32-le"), np.uint32)
+    unique, inverse = np.unique(codes, return_inverse=True)
+    symbols[inside] = np.array([letters.get(chr(c), LETTER + c) for c in unique.tolist()], np.int32)[inverse]
+    rank, merged = np.full((n, width), NEVER, np.int32), np.zeros((n, width), np.int32)
+    both = inside[:, 1:]
+    rank[both], merged[both] = pairs.find(symbols[:, :-1][both], symbols[:, 1:][both])
+    starts = np.tile(np.arange(width + 1, dtype=np.int32), (n, 1))
+    out_symbols, out_lengths = symbols, lengths
+    active = np.arange(n)
+    columns = np.arange(width + 1)
+    while True:
+        at = rank.argmin(axis=1)
+        rows = np.arange(len(active))
+        best = rank[rows, at]
+        live = best < NEVER
+        if not live.all():  # finished chunks leave the arrays
+            if out_symbols is not symbols:
+                gone = active[~live]
+                out_symbols[gone, : symbols.shape[1]] = symbols[~live]
+                out_lengths[gone] = lengths[~live]
+            else:
+                out_symbols, out_lengths = symbols.copy(), lengths.copy()
+            active, symbols, lengths, rank, merged, starts = (a[live] for a in (active, symbols, lengths, rank, merged, starts))
+            at, best = at[live], best[live]
+            rows = np.arange(len(active))
+            if not len(active):
+                break
+        if threshold:
+            skip = _skipped_many(best, starts[rows, at], key, threshold)
+            rank[rows[skip], at[skip]] = NEVER
+            rows, at = rows[~skip], at[~skip]
+            if not len(rows):
+                continue
+        symbols[rows, at] = merged[rows, at]
+        everyone = len(rows) == len(active)
+        moved = (columns[None, :] + (columns[None, :] > at[:, None])).clip(max=width)
+        for a in (symbols, starts):
+            a[rows] = np.take_along_axis(a if everyone else a[rows], moved, axis=1)
+        between = (columns[None, :width] + (columns[None, :width] >= at[:, None])).clip(max=width - 1)
+        for a in (rank, merged):
+            a[rows] = np.take_along_axis(a if everyone else a[rows], between, axis=1)
+        lengths[rows] -= 1
+        rank[rows] = np.where(columns[None, :width] < lengths[rows][:, None] - 1, rank[rows], NEVER)
+        for side, ok in ((at, at < lengths[rows] - 1), (at - 1, at > 0)):
+            r, c = rows[ok], side[ok]
+            rank[r, c], merged[r, c] = pairs.find(symbols[r, c], symbols[r, c + 1])
+    return out_symbols, out_lengths
+
+
+def _skipped_many(rank: np.ndarray, at: np.ndarray, key: int, threshold: int) -> np.ndarray:
+    """``_skipped`` for arrays."""
+    with np.errstate(over="ignore"):
+        x = np.uint64(key) ^ (rank.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (at.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((x >> np.uint64(32)) ^ (x & np.uint64(0xFFFFFFFF))) < np.uint64(threshold)
+
+
 @functools.lru_cache(maxsize=2)
 def model(path: str) -> Model:
     return Model(path)
@@ -111,9 +256,6 @@ def _skipped(rank: int, at: int, key: int, threshold: int) -> bool:
     return (x >> 32) ^ (x & 0xFFFFFFFF) < threshold
 
 
-NEVER = 1 << 60
-
-
 def _merge_short(chunk: str, ranks: dict[str, int], threshold: int, key: int) -> list[str]:
     """Agenda as a list: the candidates' ranks beside the symbols."""
     symbols, get = list(chunk), ranks.get
@@ -166,57 +308,126 @@ def _merge_long(chunk: str, ranks: dict[str, int], threshold: int, key: int) ->
     return [s for s in symbols if s]
 
 
-CHUNKS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+class Numbers(dict):
+    """Chunk -> its number; a new chunk gets the next one."""
+
+    def __init__(self, names: list[str]):
+        super().__init__()
+        self.names = names
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = n = len(self.names)
+        self.names.append(chunk)
+        return n
 
 
 class Encoder:
-    """Encodes texts with a bounded table of chunks already merged."""
+    """Encodes texts; chunks once merged are kept as ids in one long array.
+
+    A chunk has a number, a (chunk, variant) the place number * variants +
+    variant in ``start`` and ``length``, which point into ``ids``.
+    """
 
     def __init__(self, path: str, dropout: float, seed: int, variants: int):
         self.model, self.seed = model(path), seed
         self.threshold = int(dropout * (1 << 32))
         self.variants = variants if dropout else 1
         self.keys = [zlib.crc32(f"{seed}/{v}".encode()) * 0x9E3779B97F4A7C15 & MASK for v in range(self.variants)]
-        self.known: list[dict[str, tuple[int, ...]]] = [{} for _ in self.keys]
-
-    def _chunks(self, chunks: list[str], base: int, out: list[int]) -> None:
-        variants, known, m = self.variants, self.known, self.model
-        if variants == 1:
-            picks = [0] * len(chunks)
-        else:
-            with np.errstate(over="ignore"):
-                x = np.arange(len(chunks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(base & MASK)
-                x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-            picks = ((x >> np.uint64(40)) % np.uint64(variants)).tolist()
-        for chunk, v in zip(chunks, picks):
-            table = known[v]
-            ids = table.get(chunk)
-            if ids is None:
-                ids = m.chunk_ids(chunk, self.threshold, self.keys[v])
-                if len(chunk) <= 64:
-                    if len(table) >= REMEMBERED // variants:
-                        table.clear()
-                    table[chunk] = ids
-            out.extend(ids)
+        self._forget()
 
-    def encode(self, text: str, key: object = None) -> list[int]:
-        out: list[int] = []
+    def _forget(self) -> None:
+        self.names: list[str] = []
+        self.number = Numbers(self.names)
+        self.start, self.length = np.zeros(0, np.int64), np.full(0, -1, np.int32)
+        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def _cut(self, text: str) -> list[str]:
+        """Chunks; a literal U+2581 is a chunk of two (no text gives that one otherwise)."""
         if not text:
-            return out
-        base = zlib.crc32(f"{self.seed}|{key}".encode()) * 0xD6E8FEB86659FD93
-        prefix = self.model.prefix
+            return []
+        prefix, cut = self.model.prefix, self.model.chunks.findall
         if SPACE not in text:
-            self._chunks(CHUNKS.findall(prefix + text.replace(" ", SPACE)), base, out)
-            return out
-        for n, part in enumerate(text.split(SPACE)):  # literal U+2581: as bytes
+            return cut(prefix + text.replace(" ", SPACE))
+        chunks: list[str] = []
+        for n, part in enumerate(text.split(SPACE)):
             if n:
-                out.extend(self.model.bytes[b] for b in SPACE.encode())
-            self._chunks(CHUNKS.findall((prefix if n == 0 else "") + part.replace(" ", SPACE)), base + n, out)
-        return out
+                chunks.append(LITERAL)
+            chunks += cut((prefix if n == 0 else "") + part.replace(" ", SPACE))
+        return chunks
+
+    def _variants(self, n: int, key: object) -> np.ndarray:
+        if self.variants == 1:
+            return np.zeros(n, np.int64)
+        base = zlib.crc32(f"{self.seed}|{key}".encode()) * 0xD6E8FEB86659FD93 & MASK
+        with np.errstate(over="ignore"):
+            x = np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(base)
+            x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        return ((x >> np.uint64(40)) % np.uint64(self.variants)).astype(np.int64)
+
+    def _learn(self, places: np.ndarray) -> None:
+        """Merge the chunks at these places."""
+        m, at, lengths, flat = self.model, [], [], []
+
+        def keep(where: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+            at.append(where)
+            lengths.append(counts)
+            flat.append(ids.astype(np.int32))
+
+        for v, key in enumerate(self.keys):
+            mine = places[places % self.variants == v]
+            names = [self.names[i] for i in (mine // self.variants).tolist()]
+            size = np.fromiter(map(len, names), np.int64, len(names))
+            order = np.argsort(size, kind="stable")
+            order = order[size[order] <= 48]
+            for low in range(0, len(order), 8192):
+                part = order[low : low + 8192]
+                symbols, counts = _merge_many([names[i] for i in part.tolist()], m.ids, m.pairs, self.threshold, key)
+                used = np.arange(symbols.shape[1]) < counts[:, None]
+                plain = ~((symbols >= LETTER) & used).any(axis=1)
+                keep(mine[part[plain]], counts[plain], symbols[plain][used[plain]])
+                for i in np.flatnonzero(~plain).tolist():
+                    ids = m.literal if names[part[i]] is LITERAL else m.expand(symbols[i, : counts[i]].tolist())
+                    keep(mine[part[i : i + 1]], np.array([len(ids)]), np.array(ids))
+            for i in np.flatnonzero(size > 48).tolist():
+                ids = m.chunk_ids(names[i], self.threshold, key)
+                keep(mine[i : i + 1], np.array([len(ids)]), np.array(ids))
+        new, counts = np.concatenate(flat), np.concatenate(lengths)
+        if self.used + len(new) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + len(new), np.int32)])
+        self.ids[self.used : self.used + len(new)] = new
+        where = np.concatenate(at)
+        self.start[where] = self.used + np.cumsum(counts) - counts
+        self.length[where] = counts
+        self.used += len(new)
+
+    def encode_many(self, texts: list[str], keys: list) -> list[np.ndarray]:
+        if len(self.names) > REMEMBERED:
+            self._forget()
+        number, places, counts = self.number, [], []
+        for text, key in zip(texts, keys):
+            chunks = self._cut(text)
+            numbers = np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
+            places.append(numbers * self.variants + self._variants(len(chunks), key))
+            counts.append(len(chunks))
+        if (grown := len(self.names) * self.variants) > len(self.length):
+            room = max(grown, 2 * len(self.length)) - len(self.length)
+            self.start = np.concatenate([self.start, np.zeros(room, np.int64)])
+            self.length = np.concatenate([self.length, np.full(room, -1, np.int32)])
+        place = np.concatenate(places) if places else np.zeros(0, np.int64)
+        if (new := np.unique(place[self.length[place] < 0])).size:
+            self._learn(new)
+        lengths = self.length[place].astype(np.int64)
+        ends = np.cumsum(lengths)
+        spots = np.repeat(self.start[place] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if ends.size else 0)
+        cuts = np.append(0, ends)[np.cumsum(counts)] if counts else []
+        return np.split(self.ids[spots], cuts)[:-1]
+
+    def encode(self, text: str, key: object = None) -> list[int]:
+        return self.encode_many([text], [key])[0].tolist()
 
 
 def encode_documents(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", dropout: float = 0.1, seed: int = 0, variants: int = 8,
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", dropout: float = 0.1, seed: int = 0, variants: int = 4,
     model_path: str | None = None,
 ) -> DataFrame:
     """key and ``pieces`` (array of ids) per row.
@@ -235,10 +446,11 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, dropout, seed, variants)
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
-                keys = part.column(0).to_pylist()
-                pieces = [None if t is None else np.array(encoder.encode(t, k), np.int32) for k, t in zip(keys, part.column(1).to_pylist())]
+            for low in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(low, TEXTS)
+                texts = part.column(1).to_pylist()
+                made = encoder.encode_many([t or "" for t in texts], part.column(0).to_pylist())
+                pieces = [None if t is None else ids for t, ids in zip(texts, made)]
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(schema[0].type), pa.array(pieces, schema[1].type)], schema=schema)
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
