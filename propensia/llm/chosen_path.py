@@ -6,15 +6,22 @@ vertices recursively: a node picks, by its own seed, one or two minwise
 coordinates (1 / similarity on average, so a pair at the threshold is expected
 to meet in one child) and sends every vertex to the children of its tokens
 there. Small nodes are compared exhaustively by sketch, larger ones branch
-again; ``TREES`` trees make the chance of missing a pair small. Candidates are
+again; ``TREES`` trees make the chance of missing a pair small. Links are
 confirmed on full sets.
 
 Large groups of near copies would stay together at every level. Therefore
-every node of the first level is first compared with its pivot (its smallest
-vertex), one candidate a member; confirmed links give components, and a node
-whose members are all of one component needs no more work, however large.
-Only pairs of different components are compared later. Nodes still large and
-mixed at ``MAX_DEPTH`` are compared in blocks, exactly.
+every node of the first level is first compared with its pivot, one candidate
+a member. The pivot is the member that shares tokens with most others over all
+nodes: in a group of edited copies that is the text they were edited from,
+which is nearer to each of them than they are to each other. Confirmed links
+give components, and a node whose members are all of one component needs no
+more work, however large.
+Only pairs of different components are compared later. In small mixed nodes
+the sketches give a spanning forest of the candidates, not their pairs; the
+families that it forms over all nodes meet in one task (or, beyond ``BLOCK``
+vertices, block by block) together with their full sets, and only links come
+out. Nodes still large and mixed at ``MAX_DEPTH`` become part of a family as
+they are.
 
 How it runs: one scan makes ids, first-level tokens and a sketch of 128 bytes
 a document, written to the shared folder; tree levels are aggregates and joins
@@ -40,7 +47,8 @@ SHINGLE = 5
 TREES, ROOT_TOKENS = 12, 16  # four trees have two root branches: 16 / 12 = 1 / 0.75
 SKETCH = 128
 LEAF = 256  # members of a node that is compared exhaustively
-MAX_DEPTH = 10
+BLOCK = 1024  # vertices of a family that are compared with each other in one task
+MAX_DEPTH = 6
 REMEMBERED = 1 << 19
 P = 0x9E3779B97F4A7C15
 
@@ -151,51 +159,118 @@ def _close_pairs(pairs: DataFrame, floor: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def _compare_nodes(rows: DataFrame, floor: int) -> DataFrame:
-    """Pairs of different components in each (small) node whose sketches agree.
+class Groups:
+    """Union-find over whatever is hashable."""
 
-    ``rows``: node, vertex, comp, sketch, and block (-1, or the part of a
-    blockwise comparison that the row belongs to).
-    """
-    dealt = rows.repartition("node").sortWithinPartitions("node")
-
-    def pairs(vertices: list[int], comps: list[int], sketches: list[bytes]) -> tuple[list[int], list[int]]:
-        v, c = np.array(vertices), np.array(comps)
-        s = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, SKETCH)
-        out_a, out_b = [], []
-        for i in range(len(v) - 1):
-            other = np.flatnonzero(c[i + 1 :] != c[i]) + i + 1
-            if other.size:
-                near = other[(s[other] == s[i]).sum(axis=1) >= floor]
-                out_a += np.minimum(v[i], v[near]).tolist()
-                out_b += np.maximum(v[i], v[near]).tolist()
-        return out_a, out_b
+    def __init__(self) -> None:
+        self.parent: dict = {}
+
+    def find(self, x):
+        path = self.parent
+        while (up := path.setdefault(x, x)) != x:
+            path[x] = x = path[up]
+        return x
+
+    def join(self, x, y) -> None:
+        path_x, path_y = self.find(x), self.find(y)
+        if path_x != path_y:
+            self.parent[path_x] = path_y
+
+
+def _streamed(rows: DataFrame, key: str, body, out: list[str]) -> DataFrame:
+    """``body(list of rows)`` -> pairs, for the rows of each key; one key's rows are held."""
+    dealt = rows.repartition(key).sortWithinPartitions(key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, held = None, ([], [], [])
-        for batch in batches:
-            out_a, out_b = [], []
-            for n, v, c, s in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if n != node:
-                    if len(held[0]) > 1:
-                        a, b = pairs(*held)
-                        out_a += a
-                        out_b += b
-                    node, held = n, ([], [], [])
-                held[0].append(v)
-                held[1].append(c)
-                held[2].append(s)
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
-        if len(held[0]) > 1:
-            a, b = pairs(*held)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    return dealt.select("node", "vertex", "comp", "sketch").mapInArrow(run, "a long, b long").distinct()
+        import itertools
 
+        flat = (r for batch in batches for low in range(0, batch.num_rows, 512) for r in batch.slice(low, 512).to_pylist())
+        found: list[tuple[int, int]] = []
+        for _, group in itertools.groupby(flat, key=lambda r: r[key]):
+            found += body(list(group))
+            if len(found) >= 8192:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=out)
+                found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=out)
 
-def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, *, key: str, text: str) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union on full sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct().join(classes.select("vertex", "doc"), "vertex")
+    return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in out))
+
+
+def _near(sketches: np.ndarray, i: int, others: np.ndarray, floor: int) -> np.ndarray:
+    return others[(sketches[others] == sketches[i]).sum(axis=1) >= floor]
+
+
+def _families(rows: DataFrame, floor: int) -> DataFrame:
+    """Links (a, b) that hold together, in each (small) node, the vertices with
+    a partner of another component whose sketch agrees: a spanning forest of
+    the candidates, never all pairs. ``rows``: node, vertex, comp, sketch."""
+
+    def forest(group: list[dict]) -> list[tuple[int, int]]:
+        if len(group) < 2:
+            return []
+        comps = np.array([r["comp"] for r in group])
+        sketches = np.frombuffer(b"".join(r["sketch"] for r in group), np.uint8).reshape(-1, SKETCH)
+        groups, links = Groups(), []
+        for i in range(len(group) - 1):
+            other = np.flatnonzero(comps[i + 1 :] != comps[i]) + i + 1
+            for j in _near(sketches, i, other, floor).tolist():
+                if groups.find(i) != groups.find(j):
+                    groups.join(i, j)
+                    links.append((group[i]["vertex"], group[j]["vertex"]))
+        return links
+
+    return _streamed(rows.select("node", "vertex", "comp", "sketch"), "node", forest, ["a", "b"])
+
+
+def _links_in_families(rows: DataFrame, floor: int, percent: int) -> DataFrame:
+    """Confirmed links within families; ``rows``: cell, vertex, comp, side, sketch, s.
+
+    A cell holds one block of a family, or two that are compared with each
+    other (side 0 and 1). Pairs of different components whose sketches agree
+    are tested on full sets, unless links found before join them already.
+    """
+
+    def links(group: list[dict]) -> list[tuple[int, int]]:
+        comps = [r["comp"] for r in group]
+        sides = np.array([r["side"] for r in group])
+        two = sides.min() != sides.max()
+        sketches = np.frombuffer(b"".join(r["sketch"] for r in group), np.uint8).reshape(-1, SKETCH)
+        sets = [np.frombuffer(r["s"], np.uint64) for r in group]
+        groups, out, apart = Groups(), [], np.array(comps)
+        for i in range(len(group) - 1):
+            other = np.flatnonzero((apart[i + 1 :] != apart[i]) & ((sides[i + 1 :] != sides[i]) | (not two))) + i + 1
+            near = [j for j in _near(sketches, i, other, floor).tolist() if groups.find(comps[j]) != groups.find(comps[i])]
+            if not near:
+                continue
+            sizes = np.array([len(sets[j]) for j in near])
+            flat = np.concatenate([sets[j] for j in near])
+            spot = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
+            common = np.add.reduceat((sets[i][spot] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+            for k in np.flatnonzero(100 * common >= percent * (len(sets[i]) + sizes - common)).tolist():
+                if groups.find(comps[near[k]]) != groups.find(comps[i]):
+                    groups.join(comps[near[k]], comps[i])
+                    out.append((group[i]["vertex"], group[near[k]]["vertex"]))
+        return out
+
+    return _streamed(rows.select("cell", "vertex", "comp", "side", "sketch", "s"), "cell", links, ["a", "b"])
+
+
+def _cells(members: DataFrame, block: int) -> DataFrame:
+    """Members (vertex, family, comp) once for each cell of their family: all
+    pairs of its blocks of about ``block`` vertices."""
+    size = members.groupBy("family").agg(F.count("*").alias("n"))
+    m = F.ceil(F.col("n") / block).cast("int")
+    own = F.pmod(F.xxhash64("vertex"), F.col("m")).cast("int")
+    spread = members.join(size, "family").withColumn("m", m).withColumn("i", own)
+    spread = spread.select("*", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
+    cell = F.xxhash64("family", F.least("i", "j"), F.greatest("i", "j"))
+    return spread.select(cell.alias("cell"), "vertex", "comp", (F.col("i") > F.col("j")).cast("int").alias("side"))
+
+
+def _full_sets(vertices: DataFrame, docs: DataFrame, classes: DataFrame, *, key: str, text: str) -> DataFrame:
+    """(v, s): full shingle sets of the vertices, made again from their texts; written."""
+    wanted = vertices.join(classes.select("vertex", "doc"), "vertex")
     rows = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
     texts = rows.join(wanted, F.col("k").eqNullSafe(F.col("doc"))).select("vertex", "t")
 
@@ -211,7 +286,13 @@ def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int
                         kept.append((v, raw))
                 yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.binary())], names=["v", "s"])
 
-    made = materialize(texts.mapInArrow(sets, "v long, s binary"), "sets")
+    return materialize(texts.mapInArrow(sets, "v long, s binary").dropDuplicates(["v"]), "sets")
+
+
+def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, *, key: str, text: str) -> DataFrame:
+    """The pairs (a, b) with 100 * intersection >= percent * union on full sets."""
+    vertices = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
+    made = _full_sets(vertices, docs, classes, key=key, text=text)
     first = made.select(F.col("v").alias("a"), F.col("s").alias("x"))
     second = made.select(F.col("v").alias("b"), F.col("s").alias("y"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y")
@@ -244,25 +325,21 @@ def _split(rows: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
     return mixed.filter(F.col("n") <= leaf), mixed.filter(F.col("n") > leaf)
 
 
-def _blocks(rows: DataFrame, leaf: int) -> DataFrame:
-    """Members of large nodes, once for each pair of blocks that must be compared."""
-    m = F.ceil(F.col("n") / (leaf / 2)).cast("int")
-    own = F.pmod(F.xxhash64("vertex"), m).cast("int")
-    spread = rows.select("*", m.alias("m"), own.alias("i")).select("*", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
-    return spread.withColumn("node", F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j")))
-
-
-def link_classes(docs: DataFrame, rows: DataFrame, *, key: str, text: str, percent: int, leaf: int = LEAF, depth: int = MAX_DEPTH) -> DataFrame:
+def link_classes(docs: DataFrame, rows: DataFrame, *, key: str, text: str, percent: int, leaf: int = LEAF, depth: int = MAX_DEPTH, block: int = BLOCK) -> DataFrame:
     """(vertex, root) for every vertex with a link to another; ``rows``: written signatures."""
     floor = sketch_floor(percent / 100)
     best = rows.filter("vertex is not null").groupBy("vertex").agg(F.min("doc_id").alias("doc"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
     classes = materialize(best, "classes")
     rooted = classes.select("vertex", F.posexplode("tokens").alias("at", "token")).select("vertex", F.xxhash64(F.col("at") % TREES, "at", "token").alias("node"))
-    shared = rooted.groupBy("node").agg(F.count("*").alias("n"), F.min("vertex").alias("pivot")).filter("n > 1")
-    members = materialize(rooted.join(shared, "node"), "members")
+    shared = rooted.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
+    sized = materialize(rooted.join(shared, "node"), "sized")
+    weights = sized.groupBy("vertex").agg(F.sum("n").alias("weight"))
+    weighed = materialize(sized.select("node", "vertex").join(weights, "vertex"), "weighed")
+    pivots = weighed.groupBy("node").agg(F.max(F.struct("weight", "vertex")).alias("top")).select("node", F.col("top.vertex").alias("pivot"))
+    members = materialize(weighed.select("node", "vertex").join(pivots, "node"), "members")
     sketches = classes.select("vertex", "sketch")
 
-    star = members.filter("vertex <> pivot").select(F.col("pivot").alias("a"), F.col("vertex").alias("b")).distinct()
+    star = members.filter("vertex <> pivot").select(F.least("pivot", "vertex").alias("a"), F.greatest("pivot", "vertex").alias("b")).distinct()
     star = star.join(sketches.select(F.col("vertex").alias("a"), F.col("sketch").alias("x")), "a")
     star = star.join(sketches.select(F.col("vertex").alias("b"), F.col("sketch").alias("y")), "b").select("a", "b", "x", "y")
     star = materialize(_close_pairs(star, floor), "candidates")
@@ -280,15 +357,18 @@ def link_classes(docs: DataFrame, rows: DataFrame, *, key: str, text: str, perce
         grown = grown.select(F.xxhash64("node", "c", F.expr("substring(sketch, c + 1, 1)")).alias("node"), "vertex", "comp")
         small, large = _split(grown, leaf)
         leaves.append(small.select("node", "vertex", "comp"))
-    else:
-        if not large.isEmpty():
-            leaves.append(_blocks(large, leaf).select("node", "vertex", "comp"))
     todo = leaves[0]
     for part in leaves[1:]:
         todo = todo.union(part)
-    found = materialize(_compare_nodes(todo.join(sketches, "vertex").select("node", "vertex", "comp", "sketch"), floor), "candidates")
-    more = _confirm(found, docs, classes, percent, key=key, text=text)
-    return components(first.union(more))
+    forest = _families(todo.join(sketches, "vertex"), floor)
+    tops = large.groupBy("node").agg(F.min("vertex").alias("a"))  # nodes still large hold together as they are
+    forest = forest.union(large.select("node", F.col("vertex").alias("b")).join(tops, "node").select("a", "b"))
+    family = materialize(components(forest), "families").select("vertex", F.col("root").alias("family"))
+    comp = known.withColumnRenamed("root", "r")
+    members = materialize(family.join(comp, "vertex", "left").select("vertex", "family", F.coalesce("r", "vertex").alias("comp")), "members")
+    sets = _full_sets(members.select("vertex").distinct(), docs, classes, key=key, text=text)
+    cells = _cells(members, block).join(sketches, "vertex").join(sets.withColumnRenamed("v", "vertex"), "vertex")
+    return components(first.union(_links_in_families(cells, floor, percent)))
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:

@@ -106,8 +106,9 @@ def test_large_mixed_nodes_branch_and_meet_in_blocks(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
     signed = materialize(cp.signatures(docs, key="doc_id", text="text"), "test-signatures")
     want = brute(rows)
-    for leaf, depth in ((8, 10), (8, 1), (4, 0)):
-        roots = {r["vertex"]: r["root"] for r in cp.link_classes(docs, signed, key="doc_id", text="text", percent=75, leaf=leaf, depth=depth).collect()}
+    for leaf, depth, block in ((8, 10, 1024), (8, 1, 16), (4, 0, 7)):
+        linked = cp.link_classes(docs, signed, key="doc_id", text="text", percent=75, leaf=leaf, depth=depth, block=block)
+        roots = {r["vertex"]: r["root"] for r in linked.collect()}
         least, placed = {}, []
         for r in signed.collect():
             root = roots.get(r["vertex"], r["vertex"])
@@ -122,6 +123,20 @@ def test_whole_table_equals_brute_force(spark):
     assert result(cp.query(spark, SF001)) == brute(rows)
 
 
+def test_edited_copies_without_links_make_no_pairs(spark):
+    """Copies of one text with many edits are similar but mostly unlinked."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(120)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 400):
+        text = list(base)
+        for _ in range(rng.randint(0, 8)):
+            text[rng.randrange(120)] = f"e{rng.randrange(10**6)}"
+        rows.append((k, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(cp.near_duplicates(docs)) == brute(rows)
+
+
 def test_threshold_is_exact_on_sets(spark):
     words = [f"u{i}" for i in range(60)]
     rows = [(0, " ".join(words))]
