@@ -196,7 +196,7 @@ def training_inputs(spark, sf_dir):
 
     gold = events_layers(spark, sf_dir)["gold"]
     labels = A.customer_as_labels(spark, sf_dir)
-    return prepare_training_frame(A.feature_history(gold), labels, check_classes=False)
+    return prepare_training_frame(A.feature_history(gold), labels, check_classes=True)
 
 
 def score9(c):
@@ -348,10 +348,9 @@ def score_deciles(spark, sf_dir):
 
 
 # -------------------------------------------------------------- scoring --
-def snapshot_scores(spark, sf_dir):
+def snapshot_scores(snap):
     from propensia.operators.scoring import LinearScorer, predict, to_score_contract
 
-    snap = events_layers(spark, sf_dir)["features"]
     scored = predict(snap, LinearScorer()).withColumn("propensity_score", score9("propensity_score"))
     return snap, to_score_contract(scored, ["customer_token"])
 
@@ -374,7 +373,7 @@ scores AS (
 @register("campaign_segments", O.events_layers()[:-1] + _scored_snapshot_sql() + "\nSELECT * FROM scores")
 def campaign_segments(spark, sf_dir):
     """ML4 + W5 + W7 + F7 + P12: the 5-column score contract of the snapshot."""
-    return snapshot_scores(spark, sf_dir)[1]
+    return snapshot_scores(events_layers(spark, sf_dir)["features"])[1]
 
 
 @register(
@@ -386,7 +385,7 @@ def segment_distribution(spark, sf_dir):
     """Run summary per campaign segment."""
     from propensia.operators.metrics import segment_distribution as dist
 
-    d = dist(snapshot_scores(spark, sf_dir)[1])
+    d = dist(snapshot_scores(events_layers(spark, sf_dir)["features"])[1])
     return d.select("campaign_segment", "customers", round_half_away("avg_score", 9).alias("avg_score"))
 
 
@@ -400,7 +399,7 @@ JOIN scores s ON f.customer_token = s.customer_token AND f.feature_date = s.feat
 )
 def campaign_mart(spark, sf_dir):
     """J2 + P12: snapshot customers joined to their scores."""
-    snap, scores = snapshot_scores(spark, sf_dir)
+    snap, scores = snapshot_scores(events_layers(spark, sf_dir)["features"])
     return L.mart(snap, scores)
 
 
@@ -577,12 +576,19 @@ mart AS (
 
 @register("quality_report", _quality_report_sql())
 def quality_report(spark, sf_dir):
-    """Q1-Q7: every layer's data tests in one report (failures per check)."""
+    """Q1-Q7: every layer's data tests in one report (failures per check).
+
+    Each layer is computed once, from the written copy of the one before it,
+    and all its checks read that copy (as the weekly job does).
+    """
     from propensia.operators.quality import quality_report as qr
+    from propensia.session import materialize
 
-    layers_ = events_layers(spark, sf_dir)
-    snap, scores = snapshot_scores(spark, sf_dir)
-    layers_["mart"] = L.mart(snap, scores)
+    layers_ = {"bronze": materialize(events_layers(spark, sf_dir)["bronze"], "bronze")}
+    layers_["silver"] = materialize(L.silver(layers_["bronze"]), "silver")
+    layers_["gold"] = materialize(L.gold(L.daily_customer(layers_["silver"])), "gold")
+    layers_["features"] = materialize(L.features(layers_["gold"], A.EVENTS_RUN_DATE), "features")
+    layers_["mart"] = materialize(L.mart(layers_["features"], snapshot_scores(layers_["features"])[1]), "mart")
     out = None
     for model, checks in _quality_suites():
         r = qr(layers_[model], checks, model)
@@ -591,19 +597,63 @@ def quality_report(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- model --
-# The registered query trains with fewer boosting rounds than the library
-# default (200): Spark ML runs a few jobs per round, so 3 folds x 200 rounds
-# is minutes of scheduling on tiny inputs. Override with PROPENSIA_GBT_ITER.
-MODEL_MAX_ITER = int(__import__("os").environ.get("PROPENSIA_GBT_ITER", "20"))
+def _trained(spark, sf_dir):
+    """(model, training rows, test rows) with the library's own settings."""
+    from propensia.operators.training import fit_propensity_model, temporal_split
+    from propensia.session import materialize
+
+    frame = materialize(training_inputs(spark, sf_dir), "training-frame")
+    train, test = temporal_split(frame, HOLDOUT_DAYS_EVENTS)
+    return fit_propensity_model(train), train, test
 
 
 @register("model_scores")
 def model_scores(spark, sf_dir):
-    """ML2-ML4: weighted GBT + 3-fold isotonic, trained on the train split,
-    scoring the snapshot into the 5-column contract (rows-only check)."""
+    """ML2-ML4: weighted GBT (200 rounds) + 3-fold isotonic, trained on the
+    train split, scoring the snapshot into the 5-column contract (rows-only check)."""
     from propensia.operators.scoring import score_features
-    from propensia.operators.training import fit_propensity_model, temporal_split
 
-    train, _ = temporal_split(training_inputs(spark, sf_dir), HOLDOUT_DAYS_EVENTS)
-    model = fit_propensity_model(train, max_iter=MODEL_MAX_ITER)
+    model, _, _ = _trained(spark, sf_dir)
     return score_features(events_layers(spark, sf_dir)["features"], model)
+
+
+@register(
+    "model_calibration",
+    O.events_layers()[:-1] + O.labels_cte() + O.history_cte() + O.split_cte(HOLDOUT_DAYS_EVENTS)
+    + f""",
+dealt AS (SELECT ('0x' || substr(md5(customer_token || '|' || strftime(feature_date, '%Y-%m-%d')), 1, 8))::BIGINT % 3 AS fold, adopted_card
+          FROM split WHERE split = 'train'),
+ranked AS (SELECT row_number() OVER () AS r, count(*) OVER () AS n FROM features)
+SELECT 'fold ' || fold AS part, count(*) AS rows, sum(adopted_card)::BIGINT AS positives, {O.r6('avg(adopted_card)')} AS mean_score
+FROM dealt GROUP BY fold
+UNION ALL
+SELECT 'decile ' || {O.decile_sql('r', 'n')}, count(*), NULL, NULL FROM ranked GROUP BY 1""",
+)
+def model_calibration(spark, sf_dir):
+    """ML2 + ML3 + S10 + W7: the trained model, saved and loaded: rows,
+    positives and mean calibrated score of each fold, rows of each decile."""
+    import uuid
+
+    from propensia.operators.scoring import score_features
+    from propensia.operators.training import calibration_report
+    from propensia.session import checkpoint_dir
+    from propensia.sources import lake as IO
+
+    model, train, _ = _trained(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/propensia-model-{uuid.uuid4().hex}"
+    IO.save_model(model, path)
+    model = IO.load_model(path)
+    folds = calibration_report(model, train).select(
+        F.concat(F.lit("fold "), F.col("fold").cast("string")).alias("part"), "rows", "positives", round_half_away("mean_score", 6).alias("mean_score")
+    )
+    scores = score_features(events_layers(spark, sf_dir)["features"], model)
+    deciles = scores.groupBy("score_decile").agg(F.count(F.lit(1)).alias("rows"))
+    return folds.unionByName(
+        deciles.select(
+            F.concat(F.lit("decile "), F.col("score_decile").cast("string")).alias("part"), "rows",
+            F.lit(None).cast("long").alias("positives"), F.lit(None).cast("double").alias("mean_score"),
+        )
+    )
+
+
+import propensia.plans.lake_queries  # noqa: E402,F401 - registers its queries

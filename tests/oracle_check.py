@@ -83,8 +83,9 @@ def main():
         bad += status == "BAD"
         print(f"{status} {name:28s} rows={len(recs):7d}/{len(orecs):7d} cols={'ok' if ok_cols else (cols, ocols)} vals={'ok' if ok_vals else 'DIFF'} {dt:.1f}s")
         if not ok_vals and ok_cols:
-            diff_a = [r for r in a if r not in set(b)][:3]
-            diff_b = [r for r in b if r not in set(a)][:3]
+            in_a, in_b = set(a), set(b)
+            diff_a = [r for r in a if r not in in_b][:3]
+            diff_b = [r for r in b if r not in in_a][:3]
             print("   spark-only:", diff_a)
             print("   oracle-only:", diff_b)
             print("   columns:", sorted(cols))
