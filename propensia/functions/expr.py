@@ -147,16 +147,17 @@ def format_lift(lift: Column | str) -> Column:
     return F.format_string("%.1fx", col_or_name(lift))
 
 
-def round_half_away(x: Column | str, places: int = 6) -> Column:
+def round_half_away(x: Column | str, places: int = 6, slack: float = 0.0) -> Column:
     """Round the binary value half away from zero: ``floor(|x| 10^p + 0.5)``.
 
     Unlike ``F.round`` (which rounds the shortest decimal text), this is
     the same IEEE arithmetic in any engine, so equal inputs give equal
-    outputs. Exact for ``|x| 10^p < 2^52``.
+    outputs. Exact for ``|x| 10^p < 2^52``. ``slack`` also rounds up what is
+    that little below a half: sums that differ by their order only then agree.
     """
     c = col_or_name(x).cast("double")
     scale = float(10**places)
-    return F.signum(c) * F.floor(F.abs(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return F.signum(c) * F.floor(F.abs(c) * F.lit(scale) + F.lit(0.5 + slack)) / F.lit(scale)
 
 
 def round_binary(x: Column | str, places: int) -> Column:

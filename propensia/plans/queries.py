@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensia import schemas as S
-from propensia.functions.expr import round_half_away
+from propensia.functions import expr as X
 from propensia.functions.tokenize import stable_customer_token
 from propensia.operators import layers as L
 from propensia.plans import oracle as O
@@ -42,6 +42,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def round_half_away(c, places: int = 6):
+    """Rounding of compared doubles; a half keeps clear of the order of a sum."""
+    return X.round_half_away(c, places, slack=1e-7)
+
+
 # ------------------------------------------------------------- bindings --
 class _Layers(dict):
     """Layers of one run, each built on first use (and only once)."""
