@@ -20,8 +20,8 @@ Only pairs of different components are compared later. In small mixed nodes
 the sketches give a spanning forest of the candidates, not their pairs; the
 families that it forms over all nodes meet in one task (or, beyond ``BLOCK``
 vertices, block by block) together with their full sets, and only links come
-out. Nodes still large and mixed at ``MAX_DEPTH`` become part of a family as
-they are.
+out. Nodes that branching doesn't part (a child keeps over half of a large
+node, or ``MAX_DEPTH`` is reached) become part of a family as they are.
 
 How it runs: one scan makes ids, first-level tokens and a sketch of 128 bytes
 a document, written to the shared folder; tree levels are aggregates and joins
@@ -318,11 +318,16 @@ def _branches(node: Column) -> Column:
     return F.when(F.pmod(F.shiftright(h, 40), F.lit(3)) == 0, F.array(first, second)).otherwise(F.array(first))
 
 
-def _split(rows: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
-    """(members of small mixed nodes, of large mixed nodes); the rest needs no comparison."""
-    stats = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("n > 1 and lo <> hi")
-    mixed = materialize(rows.join(stats.select("node", "n"), "node"), "nodes")
-    return mixed.filter(F.col("n") <= leaf), mixed.filter(F.col("n") > leaf)
+def _split(rows: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members of small, of large and of tight mixed nodes; the rest needs no
+    comparison. ``rows``: node, vertex, comp, up (size of the node above, null
+    at the first level). A large node with over half of the node above is
+    tight: its members are alike and branching doesn't part them."""
+    stats = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("up").alias("above"))
+    stats = stats.filter("n > 1 and lo <> hi").withColumn("tight", F.coalesce(2 * F.col("n") > F.col("above"), F.lit(False)))
+    mixed = materialize(rows.select("node", "vertex", "comp").join(stats.select("node", "n", "tight"), "node"), "nodes")
+    small, large = mixed.filter(F.col("n") <= leaf), mixed.filter(F.col("n") > leaf)
+    return small, large.filter("not tight"), large.filter("tight")
 
 
 def link_classes(docs: DataFrame, rows: DataFrame, *, key: str, text: str, percent: int, leaf: int = LEAF, depth: int = MAX_DEPTH, block: int = BLOCK) -> DataFrame:
@@ -347,22 +352,26 @@ def link_classes(docs: DataFrame, rows: DataFrame, *, key: str, text: str, perce
     known = materialize(components(first), "components")
 
     placed = members.select("node", "vertex").join(known.withColumnRenamed("root", "r"), "vertex", "left")
-    placed = placed.select("node", "vertex", F.coalesce("r", "vertex").alias("comp"))
-    small, large = _split(placed, leaf)
-    leaves = [small.select("node", "vertex", "comp")]
+    placed = placed.select("node", "vertex", F.coalesce("r", "vertex").alias("comp"), F.lit(None).cast("long").alias("up"))
+    small, large, _ = _split(placed, leaf)
+    leaves, whole = [small.select("node", "vertex", "comp")], []
     for _ in range(depth):
         if large.isEmpty():
             break
-        grown = large.select("node", "vertex", "comp").join(sketches, "vertex").select("*", F.explode(_branches(F.col("node"))).alias("c"))
-        grown = grown.select(F.xxhash64("node", "c", F.expr("substring(sketch, c + 1, 1)")).alias("node"), "vertex", "comp")
-        small, large = _split(grown, leaf)
+        grown = large.select("node", "vertex", "comp", "n").join(sketches, "vertex").select("*", F.explode(_branches(F.col("node"))).alias("c"))
+        grown = grown.select(F.xxhash64("node", "c", F.expr("substring(sketch, c + 1, 1)")).alias("node"), "vertex", "comp", F.col("n").alias("up"))
+        small, large, tight = _split(grown, leaf)
         leaves.append(small.select("node", "vertex", "comp"))
+        whole.append(tight.select("node", "vertex"))
     todo = leaves[0]
     for part in leaves[1:]:
         todo = todo.union(part)
     forest = _families(todo.join(sketches, "vertex"), floor)
-    tops = large.groupBy("node").agg(F.min("vertex").alias("a"))  # nodes still large hold together as they are
-    forest = forest.union(large.select("node", F.col("vertex").alias("b")).join(tops, "node").select("a", "b"))
+    rest = large.select("node", "vertex")  # nodes that branching doesn't part hold together as they are
+    for part in whole:
+        rest = rest.union(part)
+    tops = rest.groupBy("node").agg(F.min("vertex").alias("a"))
+    forest = forest.union(rest.select("node", F.col("vertex").alias("b")).join(tops, "node").select("a", "b"))
     family = materialize(components(forest), "families").select("vertex", F.col("root").alias("family"))
     comp = known.withColumnRenamed("root", "r")
     members = materialize(family.join(comp, "vertex", "left").select("vertex", "family", F.coalesce("r", "vertex").alias("comp")), "members")
