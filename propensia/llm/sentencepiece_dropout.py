@@ -6,16 +6,21 @@ before every run of spaces and between groups of characters that no piece
 holds side by side - so each chunk is merged by itself. Merging follows the
 agenda: of the adjacent pairs that form a piece the one with the best score is
 taken next (leftmost of equals). With dropout every candidate taken from the
-agenda is first put to a keyed hash of (seed, variant, piece, place in the
-chunk); below the rate it is skipped for good, and the pair only comes back
-if one of its sides is merged anew. Rate 0 is the model's own encoding.
-
-Each occurrence of a chunk in a document draws one of ``variants`` variants by
-a hash of (seed, document key, place in the document), so the same word is cut
-in different ways across a corpus, yet reproducibly: the result depends on
-nothing but seed, key and text. Chunks of a variant are remembered per task in
-a bounded table; the new chunks of some hundred texts are merged together, one
-agenda step of all of them at a time, with arrays.
+agenda is first drawn on: with the rate's chance it is skipped for good, and the
+pair only comes back if one of its sides is merged anew. Rate 0 is the model's
+own encoding.
+
+Each occurrence of a chunk in a document draws its own skips from a hash of
+(seed, document key, place in the document), so no two occurrences of a word
+need be cut alike; the result depends on nothing but seed, key and text. Which
+candidates are skipped is drawn as gaps between them (geometric, the same as one
+draw a candidate). An outcome depends on the chunk and the numbers of the
+skipped candidates alone, so outcomes are remembered per task by these in a
+bounded table, as a tree: an occurrence goes from the outcome without a skip to
+that with its first skip, and on, until its next skip lies behind the last
+candidate. The new outcomes of some hundred texts are merged together, one
+agenda step of all of them at a time, with arrays. Chunks of more than 48
+letters are merged for each occurrence, with a keyed hash of the candidate.
 
 Characters outside the vocabulary become byte pieces, and so does a literal
 U+2581, which the plain model would turn into a space; so decoding gives back
@@ -26,12 +31,13 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +48,8 @@ NORMAL, USER = 1, 4  # piece types that take part in merging
 BYTE = 6
 MASK = (1 << 64) - 1
 NEVER = 1 << 30  # rank of a pair that is no piece or was skipped
-REMEMBERED = 1 << 19  # chunks kept per task before it starts afresh
+REMEMBERED = 1 << 19  # outcomes kept per task before it starts afresh
+SHORT = 48  # letters; outcomes of longer chunks are not remembered
 TEXTS = 1024  # texts whose chunks are merged together
 
 
@@ -91,7 +98,7 @@ class Model:
 
     def merge(self, chunk: str, threshold: int, key: int) -> list[str]:
         """The chunk's pieces; a candidate whose keyed hash is below ``threshold`` is skipped."""
-        return _merge_short(chunk, self.ranks, threshold, key) if len(chunk) <= 48 else _merge_long(chunk, self.ranks, threshold, key)
+        return _merge_short(chunk, self.ranks, threshold, key) if len(chunk) <= SHORT else _merge_long(chunk, self.ranks, threshold, key)
 
     def chunk_ids(self, chunk: str, threshold: int, key: int) -> tuple[int, ...]:
         out: list[int] = []
@@ -180,8 +187,9 @@ class PairTable:
         return rank, merged
 
 
-def _merge_many(chunks: list[str], letters: dict[str, int], pairs: PairTable, threshold: int, key: int) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, how many) of chunks of up to 48 letters each, all merged step by step together."""
+def _merge_many(chunks: list[str], letters: dict[str, int], pairs: PairTable, skips: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, how many, candidates taken) of chunks of up to SHORT letters each, all merged
+    step by step together; ``skips``: the numbers of each chunk's skipped candidates, filled up with -1."""
     n, width = len(chunks), max(map(len, chunks))
     lengths = np.fromiter(map(len, chunks), np.int64, n)
     symbols = np.zeros((n, width + 1), np.int32)
@@ -193,11 +201,10 @@ def _merge_many(chunks: list[str], letters: dict[str, int], pairs: PairTable, th
     rank, merged = np.full((n, width), NEVER, np.int32), np.zeros((n, width), np.int32)
     both = inside[:, 1:]
     rank[both], merged[both] = pairs.find(symbols[:, :-1][both], symbols[:, 1:][both])
-    starts = np.tile(np.arange(width + 1, dtype=np.int32), (n, 1))
-    out_symbols, out_lengths = symbols, lengths
+    out_symbols, out_lengths, taken = symbols, lengths, np.zeros(n, np.int64)
     active = np.arange(n)
     columns = np.arange(width + 1)
-    while True:
+    for step in itertools.count():
         at = rank.argmin(axis=1)
         rows = np.arange(len(active))
         best = rank[rows, at]
@@ -209,13 +216,14 @@ def _merge_many(chunks: list[str], letters: dict[str, int], pairs: PairTable, th
                 out_lengths[gone] = lengths[~live]
             else:
                 out_symbols, out_lengths = symbols.copy(), lengths.copy()
-            active, symbols, lengths, rank, merged, starts = (a[live] for a in (active, symbols, lengths, rank, merged, starts))
-            at, best = at[live], best[live]
+            taken[active[~live]] = step
+            active, symbols, lengths, rank, merged, skips = (a[live] for a in (active, symbols, lengths, rank, merged, skips))
+            at = at[live]
             rows = np.arange(len(active))
             if not len(active):
                 break
-        if threshold:
-            skip = _skipped_many(best, starts[rows, at], key, threshold)
+        if skips.shape[1]:
+            skip = (skips == step).any(axis=1)
             rank[rows[skip], at[skip]] = NEVER
             rows, at = rows[~skip], at[~skip]
             if not len(rows):
@@ -223,8 +231,7 @@ def _merge_many(chunks: list[str], letters: dict[str, int], pairs: PairTable, th
         symbols[rows, at] = merged[rows, at]
         everyone = len(rows) == len(active)
         moved = (columns[None, :] + (columns[None, :] > at[:, None])).clip(max=width)
-        for a in (symbols, starts):
-            a[rows] = np.take_along_axis(a if everyone else a[rows], moved, axis=1)
+        symbols[rows] = np.take_along_axis(symbols if everyone else symbols[rows], moved, axis=1)
         between = (columns[None, :width] + (columns[None, :width] >= at[:, None])).clip(max=width - 1)
         for a in (rank, merged):
             a[rows] = np.take_along_axis(a if everyone else a[rows], between, axis=1)
@@ -233,15 +240,7 @@ def _merge_many(chunks: list[str], letters: dict[str, int], pairs: PairTable, th
         for side, ok in ((at, at < lengths[rows] - 1), (at - 1, at > 0)):
             r, c = rows[ok], side[ok]
             rank[r, c], merged[r, c] = pairs.find(symbols[r, c], symbols[r, c + 1])
-    return out_symbols, out_lengths
-
-
-def _skipped_many(rank: np.ndarray, at: np.ndarray, key: int, threshold: int) -> np.ndarray:
-    """``_skipped`` for arrays."""
-    with np.errstate(over="ignore"):
-        x = np.uint64(key) ^ (rank.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (at.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return ((x >> np.uint64(32)) ^ (x & np.uint64(0xFFFFFFFF))) < np.uint64(threshold)
+    return out_symbols, out_lengths, taken
 
 
 @functools.lru_cache(maxsize=2)
@@ -321,24 +320,36 @@ class Numbers(dict):
         return n
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 class Encoder:
-    """Encodes texts; chunks once merged are kept as ids in one long array.
+    """Encodes texts; outcomes once merged are kept as ids in one long array.
 
-    A chunk has a number, a (chunk, variant) the place number * variants +
-    variant in ``start`` and ``length``, which point into ``ids``.
+    An outcome is a chunk with the numbers of its skipped candidates; its place
+    in ``start`` and ``length`` points into ``ids``, ``taken`` has the number of
+    candidates. ``variants`` above 0: so many different draws for all
+    occurrences of a chunk; 0: each occurrence has its own.
     """
 
-    def __init__(self, path: str, dropout: float, seed: int, variants: int):
-        self.model, self.seed = model(path), seed
+    def __init__(self, path: str, dropout: float, seed: int, variants: int = 0):
+        self.model, self.seed, self.dropout = model(path), seed, dropout
         self.threshold = int(dropout * (1 << 32))
-        self.variants = variants if dropout else 1
-        self.keys = [zlib.crc32(f"{seed}/{v}".encode()) * 0x9E3779B97F4A7C15 & MASK for v in range(self.variants)]
+        self.variants = variants
         self._forget()
 
     def _forget(self) -> None:
         self.names: list[str] = []
         self.number = Numbers(self.names)
-        self.start, self.length = np.zeros(0, np.int64), np.full(0, -1, np.int32)
+        self.outcomes = 0
+        self.root = np.zeros(0, np.int64)  # chunk -> its outcome without a skip
+        self.chunk, self.parent, self.skip = np.zeros((3, 0), np.int32)  # of an outcome; what its last skip came after
+        self.steps, self.after = np.zeros((2, 0), np.int64)  # outcome << 32 | next skip, sorted -> outcome
+        self.start, self.length, self.taken = np.zeros(0, np.int64), np.full(0, -1, np.int32), np.zeros(0, np.int64)
         self.ids, self.used = np.zeros(1 << 16, np.int32), 0
 
     def _cut(self, text: str) -> list[str]:
@@ -355,79 +366,126 @@ class Encoder:
             chunks += cut((prefix if n == 0 else "") + part.replace(" ", SPACE))
         return chunks
 
-    def _variants(self, n: int, key: object) -> np.ndarray:
-        if self.variants == 1:
-            return np.zeros(n, np.int64)
-        base = zlib.crc32(f"{self.seed}|{key}".encode()) * 0xD6E8FEB86659FD93 & MASK
+    def _draws(self, n: int, key: object) -> np.ndarray:
+        """A random number for each occurrence of a document."""
+        base = xxhash.xxh3_64_intdigest(f"{self.seed}|{key}")
         with np.errstate(over="ignore"):
-            x = np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(base)
-            x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        return ((x >> np.uint64(40)) % np.uint64(self.variants)).astype(np.int64)
+            x = _mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(base))
+            if self.variants:
+                x = _mixed(x % np.uint64(self.variants) + np.uint64(xxhash.xxh3_64_intdigest(f"{self.seed}")))
+        return x
 
-    def _learn(self, places: np.ndarray) -> None:
-        """Merge the chunks at these places."""
-        m, at, lengths, flat = self.model, [], [], []
-
-        def keep(where: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
-            at.append(where)
-            lengths.append(counts)
-            flat.append(ids.astype(np.int32))
-
-        for v, key in enumerate(self.keys):
-            mine = places[places % self.variants == v]
-            names = [self.names[i] for i in (mine // self.variants).tolist()]
-            size = np.fromiter(map(len, names), np.int64, len(names))
-            order = np.argsort(size, kind="stable")
-            order = order[size[order] <= 48]
-            for low in range(0, len(order), 8192):
-                part = order[low : low + 8192]
-                symbols, counts = _merge_many([names[i] for i in part.tolist()], m.ids, m.pairs, self.threshold, key)
-                used = np.arange(symbols.shape[1]) < counts[:, None]
-                plain = ~((symbols >= LETTER) & used).any(axis=1)
-                keep(mine[part[plain]], counts[plain], symbols[plain][used[plain]])
-                for i in np.flatnonzero(~plain).tolist():
-                    ids = m.literal if names[part[i]] is LITERAL else m.expand(symbols[i, : counts[i]].tolist())
-                    keep(mine[part[i : i + 1]], np.array([len(ids)]), np.array(ids))
-            for i in np.flatnonzero(size > 48).tolist():
-                ids = m.chunk_ids(names[i], self.threshold, key)
-                keep(mine[i : i + 1], np.array([len(ids)]), np.array(ids))
-        new, counts = np.concatenate(flat), np.concatenate(lengths)
-        if self.used + len(new) > len(self.ids):
-            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + len(new), np.int32)])
-        self.ids[self.used : self.used + len(new)] = new
-        where = np.concatenate(at)
+    def _gaps(self, draws: np.ndarray, turn: int) -> np.ndarray:
+        """Candidates merged before the next skip."""
+        with np.errstate(over="ignore"):
+            u = (_mixed(draws + np.uint64((turn + 1) * 0xC2B2AE3D27D4EB4F & MASK)) >> np.uint64(11)) * 2.0**-53
+        with np.errstate(divide="ignore"):
+            return np.minimum(np.log1p(-u) / np.log1p(-self.dropout), NEVER).astype(np.int64)
+
+    def _add(self, chunk: np.ndarray, parent: np.ndarray | int, skip: np.ndarray | int) -> np.ndarray:
+        """New outcomes, not merged yet."""
+        new = np.arange(self.outcomes, self.outcomes + len(chunk))
+        self.outcomes += len(chunk)
+        if self.outcomes > len(self.length):
+            more = max(self.outcomes, len(self.length) * 5 // 4) - len(self.length)
+            for name in ("chunk", "parent", "skip", "start", "length", "taken"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.full(more, -1, old.dtype)]))
+        self.chunk[new], self.parent[new], self.skip[new] = chunk, parent, skip
+        return new
+
+    def _keep(self, where: np.ndarray, counts: np.ndarray, ids: np.ndarray, taken: np.ndarray | int) -> None:
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + len(ids), np.int32)])
+        self.ids[self.used : self.used + len(ids)] = ids
         self.start[where] = self.used + np.cumsum(counts) - counts
-        self.length[where] = counts
-        self.used += len(new)
+        self.length[where], self.taken[where] = counts, taken
+        self.used += len(ids)
+
+    def _learn(self, places: np.ndarray) -> None:
+        """Merge the outcomes (of chunks of up to SHORT letters) at these places."""
+        m, names = self.model, [self.names[i] for i in self.chunk[places].tolist()]
+        order = np.argsort(np.fromiter(map(len, names), np.int64, len(names)), kind="stable")
+        for low in range(0, len(order), 8192):
+            part = order[low : low + 8192]
+            chunks, skips, up = [names[i] for i in part.tolist()], [], places[part]
+            while (own := np.where(up >= 0, self.skip[up], -1)).max() >= 0:
+                skips.append(own)
+                up = np.where(up >= 0, self.parent[up], -1)
+            skips = np.stack(skips, axis=1) if skips else np.zeros((len(part), 0), np.int32)
+            symbols, counts, taken = _merge_many(chunks, m.ids, m.pairs, skips)
+            used = np.arange(symbols.shape[1]) < counts[:, None]
+            plain = ~((symbols >= LETTER) & used).any(axis=1)
+            self._keep(places[part[plain]], counts[plain], symbols[plain][used[plain]], taken[plain])
+            for i in np.flatnonzero(~plain).tolist():
+                literal = chunks[i] is LITERAL
+                ids = m.literal if literal else m.expand(symbols[i, : counts[i]].tolist())
+                self._keep(places[part[i : i + 1]], np.array([len(ids)]), np.array(ids), 0 if literal else taken[i])
+
+    def _skip(self, place: np.ndarray, draws: np.ndarray) -> np.ndarray:
+        """The outcomes that the occurrences' skips lead to, from those without a skip."""
+        place = place.copy()
+        active, at = np.arange(len(place)), np.full(len(place), -1, np.int64)
+        for turn in itertools.count():
+            here = np.unique(place[active])
+            if (new := here[self.length[here] < 0]).size:
+                self._learn(new)
+            if not self.threshold:
+                return place
+            at = at + 1 + self._gaps(draws[active], turn)
+            on = at < self.taken[place[active]]
+            active, at = active[on], at[on]
+            if not active.size:
+                return place
+            steps, inverse = np.unique(place[active] << 32 | at, return_inverse=True)
+            spot = np.searchsorted(self.steps, steps)
+            new = np.append(self.steps, -1)[spot] != steps
+            if new.any():
+                parent = steps[new] >> 32
+                made = self._add(self.chunk[parent], parent, steps[new] & 0xFFFFFFFF)
+                self.steps, self.after = np.insert(self.steps, spot[new], steps[new]), np.insert(self.after, spot[new], made)
+            place[active] = self.after[np.searchsorted(self.steps, steps)][inverse]
 
     def encode_many(self, texts: list[str], keys: list) -> list[np.ndarray]:
-        if len(self.names) > REMEMBERED:
+        if self.outcomes > REMEMBERED:
             self._forget()
-        number, places, counts = self.number, [], []
+        number, places, draws, counts, long = self.number, [], [], [], []
+        done = 0
         for text, key in zip(texts, keys):
             chunks = self._cut(text)
-            numbers = np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
-            places.append(numbers * self.variants + self._variants(len(chunks), key))
+            own = self._draws(len(chunks), key)
+            if len(text) >= SHORT:
+                for i, chunk in enumerate(chunks):
+                    if len(chunk) > SHORT:  # merged for this occurrence alone
+                        long.append((done + i, self.model.chunk_ids(chunk, self.threshold, int(own[i]))))
+                        chunks[i] = ""
+            places.append(np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks)))
+            draws.append(own)
             counts.append(len(chunks))
-        if (grown := len(self.names) * self.variants) > len(self.length):
-            room = max(grown, 2 * len(self.length)) - len(self.length)
-            self.start = np.concatenate([self.start, np.zeros(room, np.int64)])
-            self.length = np.concatenate([self.length, np.full(room, -1, np.int32)])
-        place = np.concatenate(places) if places else np.zeros(0, np.int64)
-        if (new := np.unique(place[self.length[place] < 0])).size:
-            self._learn(new)
-        lengths = self.length[place].astype(np.int64)
+            done += len(chunks)
+        self.root = np.append(self.root, self._add(np.arange(len(self.root), len(self.names)), -1, -1))
+        place = self.root[np.concatenate(places)] if places else np.zeros(0, np.int64)
+        apart = np.array([i for i, _ in long], np.int64)
+        short = np.ones(len(place), bool)
+        short[apart] = False
+        if short.any():
+            place[short] = self._skip(place[short], np.concatenate(draws)[short])
+        start, lengths, ids = self.start[place], self.length[place].astype(np.int64), self.ids
+        if long:
+            lengths[apart] = [len(x) for _, x in long]
+            start[apart] = self.used + np.cumsum(lengths[apart]) - lengths[apart]
+            ids = np.concatenate([ids[: self.used], *(np.array(x, np.int32) for _, x in long)])
         ends = np.cumsum(lengths)
-        spots = np.repeat(self.start[place] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if ends.size else 0)
+        spots = np.repeat(start - (ends - lengths), lengths) + np.arange(int(ends[-1]) if ends.size else 0)
         cuts = np.append(0, ends)[np.cumsum(counts)] if counts else []
-        return np.split(self.ids[spots], cuts)[:-1]
+        return np.split(ids[spots], cuts)[:-1]
 
     def encode(self, text: str, key: object = None) -> list[int]:
         return self.encode_many([text], [key])[0].tolist()
 
 
 def encode_documents(
-    docs: DataFrame, *, key: str = "doc_id", text: str = "text", dropout: float = 0.1, seed: int = 0, variants: int = 4,
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", dropout: float = 0.1, seed: int = 0, variants: int = 0,
     model_path: str | None = None,
 ) -> DataFrame:
     """key and ``pieces`` (array of ids) per row.

@@ -56,3 +56,32 @@ def test_documents_round_trip(spark, awkward, nothing):  # noqa: F811
     whole = sp.query(spark, SF0001)
     docs = spark.read.parquet(f"{SF0001}/documents.parquet").selectExpr("doc_id", "crc32(cast(text as binary)) as c")
     assert whole.join(docs, "doc_id").filter("c = decoded_crc32").count() == docs.count() == whole.count()
+
+
+def test_every_occurrence_draws_its_own_skips():
+    """No small number of segmentations a word or a long chunk."""
+    encoder = sp.Encoder(sp.default_path(), 0.1, 0)
+    coded = encoder.encode_many(["internationalisation"] * 4000, list(range(4000)))
+    assert len({tuple(ids) for ids in coded}) > 30
+    line = "internationalisationunbelievable" * 6
+    assert len({tuple(encoder.encode(line, k)) for k in range(40)}) > 30
+
+
+def test_outcomes_follow_the_chance_of_their_skips():
+    """Shares of the segmentations equal those of merging with one draw a candidate."""
+    import random
+    from collections import Counter
+
+    n, m = 20_000, sp.model(sp.default_path())
+    got = Counter(tuple(x) for x in sp.Encoder(sp.default_path(), 0.2, 3).encode_many(["unbelievable"] * n, list(range(n))))
+    rng = random.Random(1)
+    want = Counter(m.chunk_ids("▁unbelievable", int(0.2 * (1 << 32)), rng.getrandbits(64)) for _ in range(n))
+    assert sum(abs(got[k] - want[k]) for k in got | want) < 0.1 * n
+
+
+def test_remembered_outcomes_change_nothing(monkeypatch):
+    texts = ["some words and other words, unbelievable words", "日本" * 40, "", "x" * 60 + " words"] * 30
+    whole = sp.Encoder(sp.default_path(), 0.3, 1).encode_many(texts, list(range(120)))
+    monkeypatch.setattr(sp, "REMEMBERED", 0)
+    fresh = sp.Encoder(sp.default_path(), 0.3, 1)
+    assert [x.tolist() for x in whole] == [fresh.encode(t, k) for k, t in enumerate(texts)]
