@@ -6,7 +6,7 @@ import subprocess
 import sys
 
 import pytest
-from awkward_rows import SF0001, norm
+from awkward_rows import SF0001, awkward, norm, nothing  # noqa: F401
 from propensia.llm import dataset_manifest as dm
 from pyspark.sql import functions as F
 

@@ -102,12 +102,10 @@ def test_factors_are_merged_over_many_tasks(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 5)) @ rng.normal(size=(5, 5))
     frame = spark.createDataFrame([(i, [float(c) for c in v], *[None] * 5) for i, v in enumerate(x)], SCHEMA).repartition(100)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1b")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task a file
     try:
         rows = w.whiten(frame).collect()
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     check(rows, *plain(list(range(300)), x))
 
