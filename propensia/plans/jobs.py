@@ -2,7 +2,8 @@
 
 Layout (Hive partitions, zstd Parquet)::
 
-    raw/transactions/year=/month=/day=          event date   (B6)
+    raw/transactions/year=/month=/day=/write=   event date   (B6)
+    raw/commits                                 log of the writes that count
     raw/customer_labels/year=/month=/day=       run date     (B6)
     bronze|silver|gold|features/<model>/year=/month=/day=    run date (B1)
     scores/weekly/year=/month=/day=             score date   (B3)
@@ -57,8 +58,8 @@ class Lake:
         return self.path("raw", "transactions")
 
     @property
-    def batches(self):
-        return self.path("raw", "batches")
+    def raw_commits(self):
+        return self.path("raw", "commits")
 
     @property
     def raw_labels(self):
@@ -112,23 +113,23 @@ def ingest(
     token_key: str,
     salt: str,
 ) -> None:
-    """Tokenise the PAN, drop it, stamp the batch, write raw partitions and
-    the list of event dates that the batch touches (``batches/``)."""
+    """Tokenise the PAN, drop it, stamp the batch and add it to the raw table.
+
+    Events for dates that earlier batches have join those; running a batch
+    again replaces its own rows only (``lake.merge_write``)."""
     ensure_conf(spark)
     d = _d(run_date)
     stamp = [
         as_date_literal(d).alias("_ingestion_date"),
         F.to_timestamp(F.lit(f"{d.isoformat()} 00:00:00")).alias("_ingestion_timestamp"),
-        F.lit(f"batch-{d.isoformat()}").alias("_batch_id"),
+        F.lit(batch_id(d)).alias("_batch_id"),
     ]
     tx = transactions_with_pan.select(
         stable_customer_token("pan", token_key, salt).alias("customer_token"),
         *[c for c in transactions_with_pan.columns if c not in ("pan", "_ingestion_date", "_ingestion_timestamp", "_batch_id")],
         *stamp,
     ).select(*[f.name for f in S.RAW_TRANSACTIONS.fields])
-    IO.write_partitioned(tx, lake.raw_transactions, F.to_date("transaction_timestamp"))
-    dates = tx.select(F.to_date("transaction_timestamp").alias("event_date")).distinct()
-    IO.write_run_partition(dates, lake.batches, d)
+    IO.merge_write(tx, lake.raw_transactions, lake.raw_commits, F.to_date("transaction_timestamp"), batch_id(d))
     if labels_with_pan is not None:
         lab = labels_with_pan.select(
             stable_customer_token("pan", token_key, salt).alias("customer_token"),
@@ -142,27 +143,36 @@ def ingest(
 
 
 # ------------------------------------------------------------------ B1 --
-def batch_dates(spark: SparkSession, lake: Lake, run_date) -> list[_dt.date] | None:
-    """Event dates of one ingested batch (a row per date), None if it wasn't recorded."""
-    try:
-        rows = _partition(spark, lake.batches, run_date).collect()
-    except FileNotFoundError:
-        return None
-    dates = [r["event_date"] for r in rows]
-    return dates if dates and None not in dates else None
+def batch_id(run_date) -> str:
+    return f"batch-{_d(run_date).isoformat()}"
+
+
+def raw_batch(spark: SparkSession, lake: Lake, run_date) -> DataFrame:
+    """The committed raw rows of one batch; only its own and compacted folders are scanned."""
+    return IO.read_live(spark, lake.raw_transactions, lake.raw_commits, S.RAW_TRANSACTIONS, batch_id(run_date))
+
+
+def raw_transactions(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The committed raw rows of all batches."""
+    return IO.read_live(spark, lake.raw_transactions, lake.raw_commits, S.RAW_TRANSACTIONS)
+
+
+def compact_raw(spark: SparkSession, lake: Lake, dates: list[_dt.date] | None = None) -> str | None:
+    """Merge the batches of each event date; of a transaction sent twice for it, the later batch's row stays."""
+    order = ["_ingestion_date", "_ingestion_timestamp"]
+    return IO.compact(spark, lake.raw_transactions, lake.raw_commits, S.RAW_TRANSACTIONS, "transaction_id", order, dates)
 
 
 def build_features(spark: SparkSession, lake: Lake, run_date, gate: bool = True) -> dict[str, list]:
     """Bronze -> silver -> gold -> features for one run date, gated.
 
-    Raw partitions outside the batch's recorded event dates are not scanned.
+    Raw folders of other batches' writes are not scanned.
     Returns the rows of each layer's quality report.
     """
     ensure_conf(spark)
     d = _d(run_date)
     reports = {}
-    raw = IO.read_raw_transactions(spark, lake.raw_transactions)
-    IO.write_run_partition(L.bronze(raw, d, batch_dates(spark, lake, d)), lake.layer("bronze", "bronze_transactions"), d)
+    IO.write_run_partition(L.bronze(raw_batch(spark, lake, d), d), lake.layer("bronze", "bronze_transactions"), d)
     bronze = _partition(spark, lake.layer("bronze", "bronze_transactions"), d)
     reports["bronze"] = _gate(bronze, Q.bronze_checks(), "bronze", gate)
 

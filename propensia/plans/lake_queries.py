@@ -52,8 +52,7 @@ def raw_roundtrip(spark, sf_dir):
     lake, tx = new_lake(spark), _with_pan(spark, sf_dir)
     _ingest(spark, lake, tx.filter(F.col("transaction_timestamp") < CUT), FIRST_RUN)
     _ingest(spark, lake, tx.filter(F.col("transaction_timestamp") >= CUT), SECOND_RUN)
-    raw = IO.read_raw_transactions(spark, lake.raw_transactions)
-    bronze = L.bronze(raw, SECOND_RUN, J.batch_dates(spark, lake, SECOND_RUN))
+    bronze = L.bronze(J.raw_batch(spark, lake, SECOND_RUN), SECOND_RUN)
     return bronze.select(
         "transaction_id", "customer_token", "amount", "transaction_timestamp", "_ingestion_date", "_batch_id", "age", "tenure_months"
     )
@@ -68,17 +67,44 @@ FROM raw_tx GROUP BY ALL""",
 )
 def rerun_batch(spark, sf_dir):
     """S6 + T3 + T4 + F17: a batch first written in part, then rerun whole;
-    the rerun replaces its own date partitions and leaves the others."""
+    the rerun takes the place of its own rows and leaves the others."""
     lake, tx = new_lake(spark), _with_pan(spark, sf_dir)
     late = tx.filter(F.col("transaction_timestamp") >= CUT)
     _ingest(spark, lake, tx.filter(F.col("transaction_timestamp") < CUT), FIRST_RUN)
     _ingest(spark, lake, late.filter("transaction_id < 'txn_000005000'"), SECOND_RUN)
     _ingest(spark, lake, late, SECOND_RUN)
-    raw = IO.read_prefix(spark, lake.raw_transactions)
+    raw = J.raw_transactions(spark, lake)
     by_day = raw.groupBy(*(F.col(c).cast("int").alias(c) for c in IO.PARTITION_COLUMNS))
     return by_day.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("transaction_id").alias("transactions"))
 
 
+@register(
+    "late_batch",
+    f"""WITH {O.raw_events()}
+SELECT transaction_id, {O.hmac_sql('customer_token')} AS customer_token,
+       CASE WHEN n % 3 = 0 THEN amount + 1000 ELSE amount END AS amount, transaction_timestamp::DATE AS event_date,
+       CASE WHEN n % 3 = 0 OR n % 5 = 0 THEN 'batch-{SECOND_RUN}' ELSE 'batch-{FIRST_RUN}' END AS _batch_id
+FROM (SELECT *, substr(transaction_id, 5)::BIGINT AS n FROM raw_tx) t""",
+)
+def late_batch(spark, sf_dir):
+    """B6 + S6 + W6: late events. The first batch lacks every fifth event; the
+    second has them, for dates that the first one wrote, and corrects every
+    third event. It is run twice, the first time with rows it then takes back,
+    and the even days are compacted; the odd days are deduplicated on reading."""
+    from propensia.operators.dedup import keep_last
+
+    lake, tx = new_lake(spark), _with_pan(spark, sf_dir)
+    n = F.substring("transaction_id", 5, 20).cast("long")
+    corrected = tx.filter((n % 3 == 0) | (n % 5 == 0)).withColumn("amount", F.when(n % 3 == 0, F.col("amount") + 1000).otherwise(F.col("amount")))
+    _ingest(spark, lake, tx.filter(n % 5 != 0), FIRST_RUN)
+    _ingest(spark, lake, corrected.unionByName(tx.filter(n % 7 == 1)), SECOND_RUN)
+    _ingest(spark, lake, corrected, SECOND_RUN)
+    J.compact_raw(spark, lake, [_dt.date(2024, 1, d) for d in range(2, 31, 2)])
+    raw = J.raw_transactions(spark, lake).drop(*IO.PARTITION_COLUMNS, "write")
+    last = keep_last(raw, ["transaction_id"], ["_ingestion_date"])
+    return last.select("transaction_id", "customer_token", "amount", F.to_date("transaction_timestamp").alias("event_date"), "_batch_id")
+
+
 @register(
     "labels_roundtrip",
     f"""SELECT {O.hmac_sql(f'CAST({A.PAN_BASE} + c_custkey AS VARCHAR)')} AS customer_token,

@@ -89,6 +89,33 @@ def read_nanos_parquet(spark: SparkSession, path: str, timestamp_columns: list[s
     return spark.read.parquet(written[0].rsplit("/", 1)[0]) if written else spark.createDataFrame([], df.schema)
 
 
+def read_live(spark: SparkSession, root: str, log: str, schema, batch: str | None = None) -> DataFrame:
+    """Rows of the committed writes of a batched table (``merge_write``), partition columns kept.
+
+    The names of the writes (one a batch) prune the folders to open; the log,
+    a row per (date, write), then tells which of a write's dates still count.
+    Dead and unfinished writes are never opened. ``batch`` keeps that batch's rows: of its own writes and of
+    compacted ones, which hold rows of several batches.
+    """
+    live = live_writes(spark, log)
+    rows = _read(spark, root, schema)
+    if batch is not None:
+        live = live.filter((F.col("batch") == batch) | F.col("batch").isNull())
+        rows = rows.filter(F.col("_batch_id") == batch)
+    names = [r["write"] for r in live.select("write").distinct().collect()]
+    rows = rows.filter(F.col("write").isin(names))
+    kept = live.select(F.col("write").alias("_w"), F.col("event_date").alias("_d"))
+    found = (F.col("write") == F.col("_w")) & partition_date().eqNullSafe(F.col("_d"))
+    return rows.join(kept, found, "left_semi")
+
+
+def live_writes(spark: SparkSession, log: str) -> DataFrame:
+    """(event_date, batch, write) that are committed and not replaced; batch is null for compacted ones."""
+    entries = _read(spark, log, LOG_SCHEMA)
+    by_write = entries.groupBy("event_date", "write").agg(F.max("batch").alias("batch"), F.max("replaced").alias("replaced"))
+    return by_write.filter("not replaced").select("event_date", "batch", "write")
+
+
 def partition_date() -> "F.Column":
     """The date named by the ``year/month/day`` partition columns."""
     return F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
@@ -121,6 +148,94 @@ def _write(df: DataFrame, root: str, mode: str = "overwrite") -> None:
     )
 
 
+#: The commit log of a batched table: one small file a commit, only ever appended to.
+LOG_SCHEMA = "event_date date, batch string, write string, replaced boolean"
+
+
+def merge_write(df: DataFrame, root: str, log: str, date_col, batch: str | None, replaces: DataFrame | None = None) -> str:
+    """Add a batch to a table partitioned by event date without touching other batches.
+
+    Every write gets sub-partitions of its own, ``year=/month=/day=/write=``,
+    and counts from the moment its dates stand in the log. So an event that
+    arrives late for a date joins the rows that are there, a write that dies
+    half way is never seen, and a rerun of ``batch`` takes the place of that
+    batch's earlier writes alone, dates it no longer has included.
+    ``replaces`` names other (event_date, write) pairs to take the place of
+    (compaction). One job at a time may write a batch; batches may be written
+    at the same time. Returns the name of the write.
+    """
+    import uuid
+
+    from propensia.session import materialize
+
+    spark = df.sparkSession
+    write = f"{batch or 'compacted'}-{uuid.uuid4().hex[:12]}"
+    dated = with_hive_parts(df, date_col).drop("_event_date").withColumn("write", F.lit(write))
+    out = dated.hint("rebalance", *PARTITION_COLUMNS).write.mode("append").option("compression", "zstd")
+    out.partitionBy(*PARTITION_COLUMNS, "write").parquet(root)
+    if replaces is None:
+        try:
+            replaces = live_writes(spark, log).filter(F.col("batch") == batch).select("event_date", "write")
+        except FileNotFoundError:  # the first commit
+            replaces = spark.createDataFrame([], "event_date date, write string")
+    written = spark.createDataFrame([(d,) for d in _written_dates(spark, root, write)], "event_date date")
+    added = written.select("event_date", F.lit(batch).cast("string").alias("batch"), F.lit(write).alias("write"), F.lit(False).alias("replaced"))
+    gone = replaces.select("event_date", F.lit(batch).cast("string").alias("batch"), "write", F.lit(True).alias("replaced"))
+    # Computed first: the log is read here and appended to next, by one task and so at once.
+    commit = materialize(added.unionByName(gone), "commit")
+    commit.coalesce(1).write.mode("append").parquet(log)
+    return write
+
+
+def _written_dates(spark: SparkSession, root: str, write: str) -> list[_dt.date | None]:
+    """The dates of a write, from the names of its folders."""
+    found = spark._jvm.org.apache.hadoop.fs.Path("/".join([root.rstrip("/"), *(f"{c}=*" for c in PARTITION_COLUMNS), f"write={write}"]))
+    dates = []
+    for status in found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(found):
+        values = [part.split("=", 1)[1] for part in status.getPath().toString().split("/")[-4:-1]]
+        dates.append(_dt.date(*map(int, values)) if all(v.isdigit() for v in values) else None)
+    return dates
+
+
+def compact(spark: SparkSession, root: str, log: str, schema, key: str, order: list[str], dates: list[_dt.date] | None = None) -> str | None:
+    """Merge the writes of every date that has several (of ``dates``, if given) into one.
+
+    Of the rows of a date with equal ``key`` the last by ``order`` stays; rows
+    without a key all stay. Only such dates are read and rewritten. Returns the
+    name of the write, None if there was nothing to merge.
+    """
+    from propensia.operators.dedup import keep_last
+    from propensia.session import materialize
+
+    live = live_writes(spark, log)
+    if dates is not None:
+        live = live.filter(F.col("event_date").isin(*[as_date_literal(d) for d in dates]))
+    several = live.groupBy("event_date").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("event_date").alias("d"))
+    merged = materialize(live.join(several, F.col("event_date").eqNullSafe(F.col("d"))).select("event_date", "write"), "merged")
+    if merged.isEmpty():
+        return None
+    pairs = merged.select(F.col("write").alias("_w"), F.col("event_date").alias("_d"))
+    rows = _read(spark, root, schema).join(pairs, (F.col("write") == F.col("_w")) & partition_date().eqNullSafe(F.col("_d")), "left_semi")
+    rows = rows.withColumn("_event_date", partition_date()).drop(*PARTITION_COLUMNS, "write")
+    last = keep_last(rows.filter(F.col(key).isNotNull()), [key, "_event_date"], order).unionByName(rows.filter(F.col(key).isNull()))
+    day = materialize(last, "compacted")
+    return merge_write(day, root, log, F.col("_event_date"), None, merged)
+
+
+def sweep(spark: SparkSession, root: str, log: str) -> int:
+    """Delete the folders of replaced writes; returns how many. Run it when no reader of the older state is left."""
+    dead = _read(spark, log, LOG_SCHEMA).filter("replaced").select("event_date", "write").distinct().collect()  # a row a folder
+    store, gone = None, 0
+    for r in dead:
+        d = r["event_date"]
+        names = ["__HIVE_DEFAULT_PARTITION__"] * 3 if d is None else [f"{d:%Y}", f"{d:%m}", f"{d:%d}"]
+        parts = [f"{c}={v}" for c, v in zip(PARTITION_COLUMNS, names)]
+        folder = spark._jvm.org.apache.hadoop.fs.Path("/".join([root.rstrip("/"), *parts, f"write={r['write']}"]))
+        store = store or folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        gone += bool(store.delete(folder, True))
+    return gone
+
+
 def write_run_partition(df: DataFrame, root: str, run_date: _dt.date | str) -> None:
     """The whole frame under the run date's partition.
 

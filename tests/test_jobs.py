@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from propensia.operators.quality import QualityGateError
 from propensia.plans import jobs as J
 from propensia.sources import adapters as A
+from propensia.sources import lake as IO
 
 from conftest import SF0001
 
@@ -51,23 +52,60 @@ def test_gate_stops_on_failures(spark, scratch):
         J.build_features(spark, lake, "2024-01-31", gate=True)
 
 
-def test_recorded_event_dates_prune_raw_partitions_without_loss(spark, scratch):
+def test_batches_share_dates_and_prune_folders(spark, scratch):
+    """Late events join the rows of their date; a batch's scan opens its own folders only."""
     from propensia.operators import layers as L
-    from propensia.sources import lake as IO
 
     lake = J.Lake(scratch)
     tx, labels = pan_inputs(spark)
-    early = tx.filter("transaction_timestamp < '2024-01-08'")
-    J.ingest(spark, lake, early, None, dt.date(2024, 1, 10), token_key="k", salt="salt")
-    J.ingest(spark, lake, tx.filter("transaction_timestamp >= '2024-01-08'"), labels, dt.date(2024, 1, 31), token_key="k", salt="salt")
-    raw = IO.read_raw_transactions(spark, lake.raw_transactions)
-    dates = J.batch_dates(spark, lake, "2024-01-10")
-    assert max(dates) < dt.date(2024, 1, 8)
-    pruned = L.bronze(raw, "2024-01-10", dates)
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "make_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert pruned.count() == L.bronze(raw, "2024-01-10").count() == early.count()
-    assert J.batch_dates(spark, lake, "2024-02-07") in (None, [])
+    late = F.substring("transaction_id", 5, 20).cast("long") % 4 == 0
+    J.ingest(spark, lake, tx.filter(~late), None, dt.date(2024, 1, 24), token_key="k", salt="salt")
+    J.ingest(spark, lake, tx.filter(late), labels, dt.date(2024, 1, 31), token_key="k", salt="salt")
+    assert J.raw_transactions(spark, lake).count() == tx.count()
+    for day, rows in (("2024-01-24", tx.filter(~late)), ("2024-01-31", tx.filter(late))):
+        batch = J.raw_batch(spark, lake, day)
+        assert L.bronze(batch, day).count() == rows.count()
+    plan = J.raw_batch(spark, lake, "2024-01-24")._jdf.queryExecution().executedPlan().toString()
+    assert "write" in (pruned := plan.split("PartitionFilters: [")[1].split("]")[0])
+    assert "batch-2024-01-24-" in pruned and "batch-2024-01-31-" not in pruned
+
+
+def test_a_rerun_replaces_its_own_batch_only(spark, scratch):
+    lake = J.Lake(scratch)
+    tx, _ = pan_inputs(spark)
+    first, second = tx.filter("transaction_timestamp < '2024-01-20'"), tx.filter("transaction_timestamp >= '2024-01-10'")
+    J.ingest(spark, lake, first, None, "2024-01-24", token_key="k", salt="salt")
+    J.ingest(spark, lake, tx, None, "2024-01-31", token_key="k", salt="salt")  # too much
+    J.ingest(spark, lake, second, None, "2024-01-31", token_key="k", salt="salt")  # without the days before the 10th
+    raw = J.raw_transactions(spark, lake)
+    by_batch = {r["_batch_id"]: r["n"] for r in raw.groupBy("_batch_id").agg(F.count("*").alias("n")).collect()}
+    assert by_batch == {"batch-2024-01-24": first.count(), "batch-2024-01-31": second.count()}
+    # a write that was never committed is not seen
+    IO.with_hive_parts(J.raw_batch(spark, lake, "2024-01-24").drop(*IO.PARTITION_COLUMNS, "write"), F.to_date("transaction_timestamp")).withColumn(
+        "write", F.lit("torn")
+    ).write.mode("append").partitionBy(*IO.PARTITION_COLUMNS, "write").parquet(lake.raw_transactions)
+    assert J.raw_transactions(spark, lake).count() == first.count() + second.count()
+
+
+def test_compaction_keeps_the_last_of_each_transaction(spark, scratch):
+    lake = J.Lake(scratch)
+    tx, _ = pan_inputs(spark)
+    n = F.substring("transaction_id", 5, 20).cast("long")
+    nameless = tx.filter(n < 3).withColumn("transaction_id", F.lit(None).cast("string"))
+    undated = tx.filter(n == 5).withColumn("transaction_timestamp", F.lit(None).cast("timestamp_ntz"))
+    J.ingest(spark, lake, tx.unionByName(nameless).unionByName(undated), None, "2024-01-24", token_key="k", salt="salt")
+    J.ingest(spark, lake, tx.filter(n % 3 == 0).withColumn("amount", F.lit(7.0)).unionByName(undated), None, "2024-01-31", token_key="k", salt="salt")
+    before = len(IO.live_writes(spark, lake.raw_commits).collect())
+    assert J.compact_raw(spark, lake) is not None
+    live = IO.live_writes(spark, lake.raw_commits).collect()
+    assert len({r["event_date"] for r in live}) == len(live) < before
+    raw = J.raw_transactions(spark, lake)
+    assert raw.count() == tx.count() + nameless.count() + 1
+    assert raw.filter("amount = 7.0").count() == tx.filter(n % 3 == 0).count()
+    rows = sorted(tuple(r) for r in raw.select("transaction_id", "amount", "_batch_id").filter("transaction_id is not null").collect())
+    assert IO.sweep(spark, lake.raw_transactions, lake.raw_commits) > 0
+    assert sorted(tuple(r) for r in J.raw_transactions(spark, lake).select("transaction_id", "amount", "_batch_id").filter("transaction_id is not null").collect()) == rows
+    assert J.compact_raw(spark, lake) is None
 
 
 def test_score_as_of_and_model_lookup(spark, scratch):
