@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from propensia.operators import layers as L
 from propensia.plans import jobs as J
 from propensia.plans import oracle as O
-from propensia.plans.queries import events_layers, register, rounded_gold, score9, training_inputs
+from propensia.plans.queries import events_layers, register, request_bodies, request_sql, rounded_gold, score9, training_inputs
 from propensia.session import checkpoint_dir
 from propensia.sources import adapters as A
 from propensia.sources import lake as IO
@@ -302,6 +302,30 @@ def split_lineitem(spark, sf_dir):
     return both.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.sum("adopted_card").alias("positives"))
 
 
+# ----------------------------------------------------------------- stream --
+@register("request_stream", request_sql())
+def request_stream(spark, sf_dir):
+    """R1 as a stream: arrivals of two deliveries, the second with requests of
+    the first sent again. The stream stops after the first one and goes on from
+    its checkpoint; every request is answered once, as in ``request_scoring``."""
+    from propensia.operators.scoring import LinearScorer
+    from propensia.session import materialize
+    from propensia.streaming.requests import read_responses, serve_requests
+
+    root = new_lake(spark)
+    source, responses, checkpoint = (root.path("requests", p) for p in ("arrivals", "responses", "checkpoint"))
+    n = F.substring("request_id", 10, 10).cast("long")
+    second = F.pmod(F.xxhash64("request_id"), F.lit(1800))
+    bodies = request_bodies(events_layers(spark, sf_dir)["features"]).withColumn("received_at", F.timestamp_seconds(F.lit(1706659200) + second))
+    bodies = materialize(bodies, "arrivals")
+    first = bodies.filter(n % 3 < 2)
+    again = first.filter(n % 2 == 0).withColumn("received_at", F.col("received_at") + F.expr("INTERVAL 10 MINUTES"))
+    for delivery in (first.unionByName(first.filter(n % 5 == 0)), bodies.filter(n % 3 == 2).unionByName(again)):
+        delivery.write.mode("append").parquet(source)
+        serve_requests(spark, source, LinearScorer(), responses, checkpoint, fmt="parquet")
+    return read_responses(spark, responses).drop("epoch", "received_at")
+
+
 # ----------------------------------------------------------------- guards --
 @register(
     "guard_report",

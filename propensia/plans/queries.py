@@ -484,7 +484,7 @@ def request_bodies(snap):
     return snap.selectExpr("customer_token AS request_id", f"{body} AS body")
 
 
-def _request_sql() -> str:
+def request_sql() -> str:
     """The validation rules over (request, field) rows.
 
     A field of an object is a key (of a repeated key the last value, which is
@@ -543,7 +543,7 @@ FROM checked c LEFT JOIN graded g ON c.request_id = g.request_id"""
     )
 
 
-@register("request_scoring", _request_sql())
+@register("request_scoring", request_sql())
 def request_scoring(spark, sf_dir):
     """R1 + F12-F14 + F16: validate and score JSON requests built from the snapshot."""
     from propensia.operators.scoring import LinearScorer

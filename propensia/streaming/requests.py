@@ -153,11 +153,63 @@ def _features(model) -> list[str]:
     return []
 
 
+#: An arrival: the request's id (may be null), when it came, its body.
+ARRIVALS = "request_id string, received_at timestamp, body string"
+
+
+def epoch_sink(root: str):
+    """A ``foreachBatch`` sink that writes each epoch's rows to a partition of its own.
+
+    Spark may hand over an epoch again after a failure, always with the same
+    rows: the partition is replaced then, so no row is lost or doubled.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        out = batch.withColumn("epoch", F.lit(epoch).cast("long")).write.mode("overwrite")
+        out.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("epoch").parquet(root)
+
+    return write
+
+
+def serve_requests(
+    spark, source: str, model, responses: str, checkpoint: str, *, delay: str = "1 hour", files_per_epoch: int | None = None, fmt: str = "json"
+):
+    """R1 as a service job: score every request that has arrived at ``source`` since the last run, once.
+
+    A request sent again (same id, within ``delay`` of the first) is answered
+    once: the ids seen are kept in state until the watermark passes them, so
+    the state's size follows the traffic of ``delay``, not of all time.
+    Requests without an id are told apart by time of arrival and body. One that
+    arrives more than ``delay`` behind the newest is dropped by the watermark,
+    so ``delay`` must exceed the source's own lateness. Responses are written
+    by ``epoch_sink``: a run that was killed is finished by the next one from
+    ``checkpoint``, with no row lost or doubled. For large states set RocksDB
+    as the session's state store.
+    """
+    reader = spark.readStream.schema(ARRIVALS)
+    if files_per_epoch:
+        reader = reader.option("maxFilesPerTrigger", files_per_epoch)
+    arrived = reader.format(fmt).load(source)
+    unnamed = F.concat(F.lit("unnamed:"), F.sha2(F.concat_ws("|", F.col("received_at").cast("string"), F.coalesce("body", F.lit(""))), 256))
+    keyed = arrived.withColumn("_key", F.coalesce(F.concat(F.lit("id:"), "request_id"), unnamed))
+    once = keyed.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
+    scored = score_requests(once, model).drop("body")
+    query = scored.writeStream.foreachBatch(epoch_sink(responses)).option("checkpointLocation", checkpoint)
+    query = query.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def read_responses(spark, responses: str) -> DataFrame:
+    """All responses written so far, with the epoch of each."""
+    return spark.read.option("basePath", responses).parquet(responses)
+
+
 def stream_requests(spark, source_dir: str, model, sink, checkpoint: str, fmt: str = "text"):
     """R1 on a file stream: each line of ``source_dir`` is one request body.
 
-    ``sink(batch_df, epoch_id)`` receives each scored micro-batch
-    (``foreachBatch``: idempotent writes keyed by epoch). Runs with
+    ``sink(batch_df, epoch_id)`` receives each scored micro-batch, after a
+    failure perhaps again (``epoch_sink`` writes either way once). Runs with
     ``trigger(availableNow=True)`` and returns the finished query.
     """
     stream = spark.readStream.format(fmt).load(source_dir).withColumnRenamed("value", "body")

@@ -1,10 +1,11 @@
+import datetime as dt
 import json
 import os
 
 from pyspark.sql import functions as F
 
 from propensia.operators.scoring import LinearScorer
-from propensia.streaming.requests import score_requests, stream_requests
+from propensia.streaming.requests import ARRIVALS, read_responses, score_requests, serve_requests, stream_requests
 
 
 class Constant:
@@ -87,3 +88,32 @@ def test_streaming_available_now(spark, scratch):
     seen = []
     stream_requests(spark, src, Constant(0.5), lambda df, epoch: seen.extend(df.collect()), os.path.join(scratch, "ckpt"))
     assert sorted(r.status for r in seen) == [200, 400]
+
+
+def arrivals(spark, rows, source):
+    stamped = [(i, dt.datetime(2024, 1, 31, 12, minute), body) for i, minute, body in rows]
+    spark.createDataFrame(stamped, ARRIVALS).coalesce(1).write.mode("append").json(source)
+
+
+def test_replayed_epoch_and_repeated_requests_are_answered_once(spark, scratch):
+    source, out, checkpoint = (os.path.join(scratch, p) for p in ("in", "out", "ckpt"))
+    serve = lambda: serve_requests(spark, source, Constant(0.5), out, checkpoint)
+    good = json.dumps(GOOD)
+    arrivals(spark, [("a", 0, good), ("b", 1, "{bad"), ("a", 2, good), (None, 3, good), (None, 3, good), (None, 4, good), (None, 4, None)], source)
+    serve()
+    answered = lambda: sorted((r.request_id or "", r.status) for r in read_responses(spark, out).collect())
+    first = [("", 200), ("", 200), ("", 400), ("a", 200), ("b", 400)]
+    assert answered() == first
+    arrivals(spark, [("a", 10, good), ("c", 11, good)], source)
+    serve()
+    both = sorted([*first, ("c", 200)])
+    assert answered() == both
+    # killed after the sink has written, before the epoch was committed
+    commits = os.path.join(checkpoint, "commits")
+    last = max((n for n in os.listdir(commits) if n.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        os.replace(os.path.join(commits, name), os.path.join(scratch, name))
+    serve()
+    assert answered() == both
+    serve()  # nothing new
+    assert answered() == both
