@@ -10,6 +10,7 @@ Layout (Hive partitions, zstd Parquet)::
     marts/mart_campaign_segments/year=/...      run date     (B4)
     models/propensity/run_date=YYYY-MM-DD       PipelineModel (B2)
     metrics/run_metrics                         one row per training run
+    ledger                                      finished and failed stages of the weekly runs (B5)
 
 Every layer is written and read back before the next one: the written
 partition is the lineage cut (a lost executor recomputes from the last
@@ -79,6 +80,10 @@ class Lake:
     def model(self, run_date):
         return self.path("models", "propensity", f"run_date={_d(run_date).isoformat()}")
 
+    @property
+    def ledger(self):
+        return self.path("ledger")
+
     @property
     def metrics(self):
         return self.path("metrics", "run_metrics")
@@ -163,31 +168,38 @@ def compact_raw(spark: SparkSession, lake: Lake, dates: list[_dt.date] | None =
     return IO.compact(spark, lake.raw_transactions, lake.raw_commits, S.RAW_TRANSACTIONS, "transaction_id", order, dates)
 
 
-def build_features(spark: SparkSession, lake: Lake, run_date, gate: bool = True) -> dict[str, list]:
-    """Bronze -> silver -> gold -> features for one run date, gated.
+#: layer: (folder of the layer, model)
+LAYERS = {
+    "bronze": ("bronze", "bronze_transactions"),
+    "silver": ("silver", "silver_transactions"),
+    "gold": ("gold", "gold_customer_features"),
+    "features": ("features", "features_transactional"),
+}
 
-    Raw folders of other batches' writes are not scanned.
-    Returns the rows of each layer's quality report.
-    """
+
+def build_layer(spark: SparkSession, lake: Lake, run_date, layer: str, gate: bool = True) -> list:
+    """Build one layer of a run from the written one before it, and gate it. Returns its quality report."""
     ensure_conf(spark)
     d = _d(run_date)
-    reports = {}
-    IO.write_run_partition(L.bronze(raw_batch(spark, lake, d), d), lake.layer("bronze", "bronze_transactions"), d)
-    bronze = _partition(spark, lake.layer("bronze", "bronze_transactions"), d)
-    reports["bronze"] = _gate(bronze, Q.bronze_checks(), "bronze", gate)
+    before = lambda name: _partition(spark, lake.layer(*LAYERS[name]), d)
+    # A folder a batch: raw folders of other batches' writes are not scanned.
+    make = {
+        "bronze": lambda: L.bronze(raw_batch(spark, lake, d), d),
+        "silver": lambda: L.silver(before("bronze")),
+        "gold": lambda: L.gold(L.daily_customer(before("silver"))),
+        "features": lambda: L.features(before("gold"), d),
+    }[layer]
+    checks = {"bronze": Q.bronze_checks, "silver": Q.silver_checks, "gold": lambda: Q.gold_checks(as_of=d), "features": Q.features_checks}[layer]
+    IO.write_run_partition(make(), lake.layer(*LAYERS[layer]), d)
+    return _gate(before(layer), checks(), layer, gate)
 
-    IO.write_run_partition(L.silver(bronze), lake.layer("silver", "silver_transactions"), d)
-    silver = _partition(spark, lake.layer("silver", "silver_transactions"), d)
-    reports["silver"] = _gate(silver, Q.silver_checks(), "silver", gate)
 
-    IO.write_run_partition(L.gold(L.daily_customer(silver)), lake.layer("gold", "gold_customer_features"), d)
-    gold = _partition(spark, lake.layer("gold", "gold_customer_features"), d)
-    reports["gold"] = _gate(gold, Q.gold_checks(as_of=d), "gold", gate)
+def build_features(spark: SparkSession, lake: Lake, run_date, gate: bool = True) -> dict[str, list]:
+    """Bronze -> silver -> gold -> features for one run date, gated.
 
-    IO.write_run_partition(L.features(gold, d), lake.layer("features", "features_transactional"), d)
-    feats = _partition(spark, lake.layer("features", "features_transactional"), d)
-    reports["features"] = _gate(feats, Q.features_checks(), "features", gate)
-    return reports
+    Returns the rows of each layer's quality report.
+    """
+    return {layer: build_layer(spark, lake, run_date, layer, gate) for layer in LAYERS}
 
 
 # ------------------------------------------------------------------ B2 --
@@ -304,18 +316,66 @@ def run_weekly(
     lake: Lake,
     run_date,
     transactions_with_pan: DataFrame,
-    labels_with_pan: DataFrame,
+    labels_with_pan: DataFrame | None,
     token_key: str,
     salt: str,
     holdout_days: int = S.HOLDOUT_DAYS,
     max_iter: int = S.GBT_MAX_ITER,
     gate: bool = True,
     limitations: list[str] | None = None,
+    model=None,
+    resume: bool = True,
+    watch=None,
 ) -> dict:
-    """Ingest -> features -> train -> score -> mart, in order."""
-    ingest(spark, lake, transactions_with_pan, labels_with_pan, run_date, token_key, salt)
-    reports = build_features(spark, lake, run_date, gate=gate)
-    card = train(spark, lake, run_date, holdout_days=holdout_days, max_iter=max_iter, limitations=limitations)
-    distribution = score(spark, lake, run_date)
-    mart_report = build_mart(spark, lake, run_date, gate=gate)
-    return {"reports": reports, "model_card": card, "distribution": distribution, "mart_report": mart_report}
+    """Ingest -> features -> train -> score -> mart, in order, kept in the ledger.
+
+    A run that failed is called again and goes on at the stage that failed;
+    finished stages are skipped while what they read is unchanged. To take in
+    other input for the same date, pass ``resume=False``. With a ``model`` no
+    training takes place. ``stages`` of the result names what ran.
+    """
+    from propensia.operators.metrics import segment_distribution
+    from propensia.plans.ledger import Stage, run_stages
+
+    ensure_conf(spark)
+    d = _d(run_date)
+    out: dict = {"reports": {}, "model_card": None, "mart_report": None}
+
+    def rows(path: str) -> int:
+        return _partition(spark, path, d).count()
+
+    def ingest_stage() -> int:
+        ingest(spark, lake, transactions_with_pan, labels_with_pan, d, token_key, salt)
+        return raw_batch(spark, lake, d).count()
+
+    def layer_stage(layer: str):
+        def run() -> int:
+            out["reports"][layer] = build_layer(spark, lake, d, layer, gate)
+            return rows(lake.layer(*LAYERS[layer]))
+
+        return run
+
+    def train_stage() -> int:
+        out["model_card"] = train(spark, lake, d, holdout_days=holdout_days, max_iter=max_iter, limitations=limitations)
+        return out["model_card"]["train_rows"]
+
+    def score_stage() -> int:
+        score(spark, lake, d, model=model)
+        return rows(lake.scores)
+
+    def mart_stage() -> int:
+        out["mart_report"] = build_mart(spark, lake, d, gate=gate)
+        return rows(lake.mart)
+
+    stages = [Stage("ingest", (), lake.raw_transactions, ingest_stage)]
+    for layer, before in zip(LAYERS, ["ingest", *LAYERS]):
+        stages.append(Stage(layer, (before,), lake.layer(*LAYERS[layer]), layer_stage(layer)))
+    if model is None:
+        stages.append(Stage("train", ("ingest", "gold"), lake.model(d), train_stage))
+    stages.append(Stage("score", ("features",) if model is not None else ("features", "train"), lake.scores, score_stage))
+    stages.append(Stage("mart", ("features", "score"), lake.mart, mart_stage))
+    out["stages"] = run_stages(spark, lake.ledger, d, stages, resume=resume, watch=watch)
+    if model is None and out["model_card"] is None:  # trained by an earlier call
+        out["model_card"] = json.loads(_partition(spark, lake.metrics, d).first()["model_card"])
+    out["distribution"] = segment_distribution(_partition(spark, lake.scores, d))
+    return out

@@ -302,6 +302,64 @@ def split_lineitem(spark, sf_dir):
     return both.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.sum("adopted_card").alias("positives"))
 
 
+# ------------------------------------------------------------ weekly runs --
+def _weekly_sql() -> str:
+    from propensia.operators.scoring import DEFAULT_COEFFICIENTS, DEFAULT_INTERCEPT
+
+    p = O.r6(O.linear_score_sql(DEFAULT_COEFFICIENTS, DEFAULT_INTERCEPT), 9)
+    runs = []
+    for run_date, kept in ((EARLY_RUN, "event_id % 3 = 0"), (SECOND_RUN, "true")):
+        raw = O.raw_events().replace("FROM events)", f"FROM events WHERE {kept})").replace(A.EVENTS_RUN_DATE.isoformat(), run_date.isoformat())
+        raw = raw.replace("raw_tx AS (", "raw_pan AS (", 1) + f", raw_tx AS (SELECT * REPLACE ({O.hmac_sql('customer_token')} AS customer_token) FROM raw_pan)"
+        layers = O.layers(raw, run_date.isoformat()).rstrip()
+        runs.append(
+            f"""SELECT * FROM ({layers},
+scored AS (SELECT customer_token, feature_date, {p} AS propensity_score FROM features),
+ranked AS (SELECT *, row_number() OVER (ORDER BY propensity_score, customer_token) AS r, count(*) OVER () AS n FROM scored)
+SELECT DATE '{run_date}' AS run_date, customer_token, propensity_score, {O.decile_sql('r', 'n')} AS score_decile,
+       {O.campaign_sql(O.decile_sql('r', 'n'))} AS campaign_segment, feature_date::DATE AS feature_date FROM ranked)"""
+        )
+    return "\nUNION ALL\n".join(runs)
+
+
+EARLY_RUN = _dt.date(2024, 1, 24)
+
+
+class Interrupted(RuntimeError):
+    pass
+
+
+@register("weekly_run", _weekly_sql())
+def weekly_run(spark, sf_dir):
+    """B1 + B3 + B4 + B5 + B6: two weekly runs over a lake. The second takes in
+    late events too, breaks off after gold and is called again; the marts of both."""
+    from propensia.operators.scoring import LinearScorer
+
+    class Rounded(LinearScorer):
+        def transform(self, df):
+            out = super().transform(df)
+            return out.withColumn(self.output_col, score9(self.output_col))
+
+    lake, tx = new_lake(spark), _with_pan(spark, sf_dir)
+
+    def stop_before(stage):
+        if stage == "features":
+            raise Interrupted(stage)
+
+    def run(run_date, rows, watch=None):
+        return J.run_weekly(spark, lake, run_date, rows, None, O.TOKEN_KEY, O.TOKEN_SALT, gate=False, model=Rounded(), watch=watch)
+
+    run(EARLY_RUN, tx.filter(F.substring("transaction_id", 5, 20).cast("long") % 3 == 0))
+    try:
+        run(SECOND_RUN, tx, stop_before)
+    except Interrupted:
+        ran = run(SECOND_RUN, tx)["stages"]
+        if ran != ["features", "score", "mart"]:
+            raise AssertionError(f"the run was not resumed where it stopped: {ran}") from None
+    marts = IO.read_prefix(spark, lake.mart)
+    return marts.select(IO.partition_date().alias("run_date"), "customer_token", "propensity_score", "score_decile", "campaign_segment", "feature_date")
+
+
 # ----------------------------------------------------------------- stream --
 @register("request_stream", request_sql())
 def request_stream(spark, sf_dir):

@@ -144,3 +144,35 @@ def test_ingest_tokens_match_hmac_and_drop_pan(spark, scratch):
         assert r.customer_token == want
     lab = spark.read.parquet(lake.raw_labels)
     assert "pan" not in lab.columns and lab.count() == 150
+
+
+def test_a_failed_run_goes_on_where_it_stopped(spark, scratch):
+    from propensia.operators.scoring import LinearScorer
+    from propensia.plans import ledger
+
+    lake = J.Lake(scratch)
+    tx, _ = pan_inputs(spark)
+
+    def fail(stage):
+        if stage == "features":
+            raise RuntimeError("executor storm")
+
+    def run(**kw):
+        return J.run_weekly(spark, lake, "2024-01-31", tx, None, "k", "salt", gate=False, model=LinearScorer(), **kw)
+
+    with pytest.raises(RuntimeError, match="storm"):
+        run(watch=fail)
+    states = {r.stage: (r.state, r.error) for r in ledger.latest(spark, lake.ledger).collect()}
+    assert [s for s, (state, _) in states.items() if state == "failed"] == ["features"] and "storm" in states["features"][1]
+    assert run()["stages"] == ["features", "score", "mart"]
+    assert run()["stages"] == []  # nothing is due
+    rows = {r.stage: r.rows for r in ledger.latest(spark, lake.ledger).collect()}
+    assert (rows["ingest"], rows["features"], rows["mart"]) == (1000, 14, 14)
+    again = run(resume=False)
+    assert again["stages"] == ["ingest", "bronze", "silver", "gold", "features", "score", "mart"]
+    assert J.raw_transactions(spark, lake).count() == 1000
+    # a stage done anew makes those that read it due
+    stage = ledger.Stage("gold", ("silver",), lake.layer(*J.LAYERS["gold"]), lambda: 0)
+    silver = next(r.entry for r in ledger.latest(spark, lake.ledger).collect() if r.stage == "silver")
+    ledger.record(spark, lake.ledger, dt.date(2024, 1, 31), stage, ledger.DONE, [silver], 396)
+    assert run()["stages"] == ["features", "score", "mart"]
