@@ -614,7 +614,7 @@ def _trained(spark, sf_dir):
 
 @register("model_scores")
 def model_scores(spark, sf_dir):
-    """ML2-ML4: weighted GBT (200 rounds) + 3-fold isotonic, trained on the
+    """ML2-ML4: boosted trees (200 rounds) + 3-fold isotonic, trained on the
     train split, scoring the snapshot into the 5-column contract (rows-only check)."""
     from propensia.operators.scoring import score_features
 

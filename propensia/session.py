@@ -104,3 +104,26 @@ def materialize(df, label: str = "stage"):
     path = f"{root}/propensia-{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package (once per context).
+
+    Spark serves the archive to the executors; where the package is installed
+    on them already, this changes nothing.
+    """
+    import zipfile
+
+    context = spark.sparkContext
+    if getattr(context, "_propensia_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="propensia-"), "propensia_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    context._propensia_shipped = True

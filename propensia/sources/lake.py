@@ -252,21 +252,33 @@ def write_metrics(df: DataFrame, root: str, run_date) -> None:
 
 
 def save_model(model, path: str) -> None:
-    """Persist a fitted ``PipelineModel`` (overwrite a run-dated path)."""
-    model.write().overwrite().save(path)
+    """Persist a fitted model (overwrite a run-dated path)."""
+    if hasattr(model, "write"):
+        model.write().overwrite().save(path)
+    else:
+        model.save(SparkSession.active(), path)
 
 
 def load_model(path: str):
-    """Load a ``PipelineModel`` and check its feature contract."""
-    from pyspark.ml import PipelineModel
+    """Load a fitted model, the library's own or a ``PipelineModel``, and check its feature contract."""
+    from propensia.operators.boosting import PropensityModel
 
-    model = PipelineModel.load(path)
+    spark = SparkSession.active()
+    metadata = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/metadata")
+    if metadata.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(metadata):
+        from pyspark.ml import PipelineModel
+
+        model = PipelineModel.load(path)
+    else:
+        model = PropensityModel.load(spark, path)
     model_features(model)
     return model
 
 
 def model_features(model) -> list[str]:
-    """Feature list of a fitted model = its ``VectorAssembler`` input columns."""
+    """Feature list of a fitted model (of a ``PipelineModel``: its ``VectorAssembler`` input columns)."""
+    if hasattr(model, "feature_columns"):
+        return list(model.feature_columns)
     from pyspark.ml.feature import VectorAssembler
 
     for stage in getattr(model, "stages", []):
