@@ -9,7 +9,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensia.session import checkpoint_dir, materialize
+from propensia.session import checkpoint_dir, materialize, ship
 
 __all__ = ["checkpoint_dir", "materialize", "literal_table", "drop_copy", "scratch_path", "fill", "hold_out", "ship"]
 
@@ -56,28 +56,3 @@ def fill(text: str):
 def hold_out(key: str, modulus: int):
     """crc32 of the key's decimal text modulo ``modulus`` (null key: of no bytes)."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package (once per context).
-
-    Spark serves the archive to the executors; where the package is installed
-    on them already, this changes nothing.
-    """
-    import os
-    import tempfile
-    import zipfile
-
-    context = spark.sparkContext
-    if getattr(context, "_propensia_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="propensia-"), "propensia_package.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
-    context.addPyFile(archive)
-    context._propensia_shipped = True
