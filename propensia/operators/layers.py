@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from propensia import schemas as S
 from propensia.functions import expr as X
+from propensia.operators.windows import rolling_sql
 
 
 def bronze(raw: DataFrame, run_date: _dt.date | str) -> DataFrame:
@@ -85,20 +86,20 @@ def gold(daily: DataFrame) -> DataFrame:
     """
     spec = "PARTITION BY customer_token ORDER BY unix_date(feature_date) ASC NULLS LAST"
 
-    def rows(n: int) -> str:
-        return f"OVER ({spec} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    def last(column: str, n: int) -> str:
+        return rolling_sql(column, spec, n)
 
     cal = f"OVER ({spec} RANGE BETWEEN {S.DIVERSITY_CALENDAR_DAYS - 1} PRECEDING AND CURRENT ROW)"
     running = f"OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    cnt30 = f"sum(daily_txn_count) {rows(30)}"
+    cnt30 = last("daily_txn_count", 30)
     return daily.selectExpr(
         "customer_token",
         "feature_date",
-        *[f"sum(daily_txn_count) {rows(n)} AS txn_count_{n}d" for n in S.ROW_WINDOWS],
-        *[f"sum(daily_volume_usd) {rows(n)} AS volume_{n}d" for n in S.ROW_WINDOWS],
-        f"CAST(sum(daily_volume_usd) {rows(30)} AS DOUBLE) / nullif(CAST({cnt30} AS DOUBLE), 0) AS avg_txn_size_30d",
-        f"CAST(sum(daily_digital_count) {rows(30)} AS DOUBLE) / nullif(CAST({cnt30} AS DOUBLE), 0) AS digital_ratio_30d",
-        f"sum(daily_cross_border_count) {rows(90)} AS cross_border_count_90d",
+        *[f"{last('daily_txn_count', n)} AS txn_count_{n}d" for n in S.ROW_WINDOWS],
+        *[f"{last('daily_volume_usd', n)} AS volume_{n}d" for n in S.ROW_WINDOWS],
+        f"CAST({last('daily_volume_usd', 30)} AS DOUBLE) / nullif(CAST({cnt30} AS DOUBLE), 0) AS avg_txn_size_30d",
+        f"CAST({last('daily_digital_count', 30)} AS DOUBLE) / nullif(CAST({cnt30} AS DOUBLE), 0) AS digital_ratio_30d",
+        f"{last('daily_cross_border_count', 90)} AS cross_border_count_90d",
         "age",
         "tenure_months",
         f"CAST(datediff(feature_date, max(feature_date) {running}) AS BIGINT) AS recency_days",

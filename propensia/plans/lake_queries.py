@@ -384,6 +384,45 @@ def request_stream(spark, sf_dir):
     return read_responses(spark, responses).drop("epoch", "received_at")
 
 
+# ---------------------------------------------------------------- windows --
+@register(
+    "rolling_window",
+    """SELECT l_orderkey, l_linenumber, key, sum(l_quantity) OVER (w ROWS 6 PRECEDING) AS quantity_7,
+       sum(l_quantity) OVER (w ROWS 44 PRECEDING) AS quantity_45, sum(l_linenumber) OVER (w ROWS 0 PRECEDING)::BIGINT AS line_1
+FROM (SELECT *, CASE WHEN l_orderkey % 3 <> 0 THEN l_suppkey END AS key FROM lineitem)
+WINDOW w AS (PARTITION BY key ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice)""",
+)
+def rolling_window_lineitem(spark, sf_dir):
+    """Sums over the last 7, 45 and 1 rows of each key; the null key holds a third of all rows."""
+    from propensia.operators.windows import rolling_window
+
+    rows = A.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 != 0, F.col("l_suppkey")).alias("key"), "l_shipdate", "l_partkey",
+        "l_extendedprice", "l_quantity",
+    )
+    sums = {"quantity_7": ("l_quantity", 7), "quantity_45": ("l_quantity", 45), "line_1": ("l_linenumber", 1)}
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
+    return rolling_window(rows, sums, ["key"], order).drop("l_shipdate", "l_partkey", "l_extendedprice", "l_quantity")
+
+
+@register(
+    "merchant_diversity",
+    O.layers(_raw_lineitem(), LINEITEM_RUN.isoformat())[:-1]
+    + """
+SELECT d.customer_token, d.feature_date, count(DISTINCT s.merchant_mcc) AS merchants_30d
+FROM (SELECT DISTINCT customer_token, transaction_date AS feature_date FROM silver) d
+LEFT JOIN silver s ON s.customer_token = d.customer_token AND date_diff('day', s.transaction_date, d.feature_date) BETWEEN 0 AND 29
+GROUP BY ALL""",
+)
+def merchant_diversity(spark, sf_dir):
+    """A3 + J3: distinct merchant codes, an open domain, in 30 calendar days."""
+    from propensia.operators.windows import sliding_distinct
+
+    silver = L.silver(L.bronze(lineitem_as_transactions(spark, sf_dir), LINEITEM_RUN))
+    rows = silver.withColumnRenamed("transaction_date", "feature_date")
+    return sliding_distinct(rows, "customer_token", "feature_date", "merchant_mcc", 30, "merchants_30d")
+
+
 # ----------------------------------------------------------------- guards --
 @register(
     "guard_report",
