@@ -160,7 +160,7 @@ class MemberScanner:
     def __init__(self, source, start: int, end: int):
         self.source, self.end = source, end
         self.source.seek(start)
-        self.at, self.buffer = start, b""  # file offset of buffer[0]
+        self.at, self.buffer = start, bytearray()  # file offset of buffer[0]
 
     def _more(self) -> bool:
         block = self.source.read(BLOCK)
@@ -174,17 +174,17 @@ class MemberScanner:
             if found < 0:
                 keep = min(len(self.buffer), len(MAGIC) - 1)
                 self.at += len(self.buffer) - keep
-                self.buffer = self.buffer[len(self.buffer) - keep :]
+                del self.buffer[: len(self.buffer) - keep]
                 if not self._more():
                     return
                 continue
-            self.at, self.buffer = self.at + found, self.buffer[found:]
+            self._pass(found)
             if self.at >= self.end:
                 return
             offset = self.at
             record = self._member()
             if record is None:
-                self.at, self.buffer = self.at + 1, self.buffer[1:]
+                self._pass(1)
             else:
                 yield offset, record
 
@@ -212,38 +212,87 @@ class MemberScanner:
         record = b"".join(parts)
         if not record.startswith(b"WARC/") or b"\r\n\r\n" not in record:
             return None
-        used = fed - len(inflate.unused_data)
-        self.at, self.buffer = self.at + used, self.buffer[used:]
+        self._pass(fed - len(inflate.unused_data))
         return record
 
+    def _pass(self, n: int) -> None:
+        self.at += n
+        del self.buffer[:n]
+
+
+def parse_fields(head: bytes) -> dict[str, str]:
+    """Header fields in lower case; a line that starts with white space goes on with the one before."""
+    fields: dict[str, str] = {}
+    name = None
+    for line in head.split(b"\r\n")[1:]:
+        if line[:1] in (b" ", b"\t") and name:
+            fields[name] += " " + line.strip().decode("utf-8", "replace")
+            continue
+        key, _, value = line.partition(b":")
+        name = key.strip().lower().decode("latin-1")
+        fields[name] = value.strip().decode("utf-8", "replace")
+    return fields
+
 
 def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
-    """(header fields in lower case, block)."""
+    """(header fields in lower case, block). Without a valid length: what stands before the closing empty lines."""
     head, _, rest = record.partition(b"\r\n\r\n")
-    fields = {}
-    for line in head.split(b"\r\n")[1:]:
-        name, _, value = line.partition(b":")
-        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    return fields, rest[: int(fields.get("content-length", 0))]
+    fields = parse_fields(head)
+    length = fields.get("content-length", "")
+    return fields, rest[: int(length)] if length.isdecimal() else rest.removesuffix(b"\r\n\r\n")
+
+
+def unchunked(body: bytes) -> bytes:
+    """The body of a chunked transfer; ``body`` itself if it isn't one."""
+    parts, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].partition(b";")[0].strip() if end >= 0 else b""
+        try:
+            n = int(size, 16)
+        except ValueError:
+            return body
+        if n == 0:
+            return b"".join(parts)
+        if n < 0 or end + 2 + n > len(body):
+            return body
+        parts.append(body[end + 2 : end + 2 + n])
+        at = end + 2 + n + 2
+
+
+def payload_of(fields: dict[str, str], block: bytes) -> tuple[bytes, bytes]:
+    """(payload, payload as it was sent): of an HTTP message its body, of any other block all of it."""
+    kind = fields.get("content-type", "").replace(" ", "").lower()
+    if not kind.startswith("application/http") and not (kind == "" and block.startswith(b"HTTP/")):
+        return block, block
+    head, _, body = block.partition(b"\r\n\r\n")
+    chunked = "chunked" in parse_fields(head).get("transfer-encoding", "").lower()
+    return (unchunked(body) if chunked else body), body
 
 
 RECORDS = "file string, offset long, record_type string, record_id string, page_id {key}, url string, digest string, payload_bytes long, refers_to_record string, refers_to {key}"
 
 
 def read_archives(
-    spark: SparkSession, path: str, *, key_type: str = "bigint", range_bytes: int = 8 << 20, with_payload: bool = False
+    spark: SparkSession, path: str, *, key_type: str = "bigint", range_bytes: int = 256 << 20, most_tasks: int = 50_000, with_payload: bool = False
 ) -> DataFrame:
-    """The records of all archives below ``path``, a task per byte range.
-
-    ``digest`` and ``payload_bytes`` of a response are computed from the
-    payload read; a damaged payload (digest differs from the header) is an
-    error. A revisit has the header's digest and no length of its own.
+    """The records of all archives below ``path``, of any writer and type.
+
+    A task reads one byte range, or several in turn where there are more than
+    ``most_tasks``. ``digest`` and ``payload_bytes`` of a response or resource
+    are computed from the payload read (a chunked HTTP body is joined); one
+    whose header states another SHA-1, of the payload or of the body as sent,
+    is an error, other hash functions aren't checked. A revisit has the
+    header's digest and no length of its own; other records (warcinfo, request,
+    metadata ...) have the header's digest, if any, and the length of their
+    block's payload. What a header doesn't state is null, and so is a page id
+    that doesn't fit ``key_type``. Members that aren't WARC are passed over.
     """
     ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(path).select("path", "length").filter("length > 0")
     starts = F.explode(F.expr(f"sequence(0L, length - 1, {range_bytes}L)"))
     ranges = files.select("path", starts.alias("start")).withColumn("end", F.col("start") + range_bytes)
-    ranges = ranges.repartition(max(1, ranges.count()))
+    ranges = ranges.repartition(max(1, min(most_tasks, ranges.count())))
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -252,7 +301,10 @@ def read_archives(
     whole = pa.types.is_integer(schema.field("page_id").type)
 
     def page(value: str | None):
-        return int(value) if whole and value is not None else value
+        if not whole or value is None:
+            return value
+        digits = value.removeprefix("-")
+        return int(value) if digits.isdecimal() and digits.isascii() and -(1 << 63) <= int(value) < 1 << 63 else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,11 +314,16 @@ def read_archives(
                 with store.open_input_file(name) as source:
                     for offset, record in MemberScanner(source, r["start"], r["end"]).records():
                         fields, block = parse_record(record)
-                        kind, digest = fields["warc-type"], fields["warc-payload-digest"].removeprefix("sha1:")
-                        payload = block.partition(b"\r\n\r\n")[2] if kind == "response" else None
-                        if payload is not None and digest32(payload) != digest:
-                            raise ValueError(f"{r['path']} at {offset}: the payload's digest differs")
-                        row = (r["path"], offset, kind, fields["warc-record-id"], page(fields.get("x-page-id")), fields.get("warc-target-uri"))
+                        kind, stated = fields.get("warc-type"), fields.get("warc-payload-digest")
+                        payload = sent = None
+                        if kind != "revisit":
+                            payload, sent = payload_of(fields, block)
+                        digest = stated.removeprefix("sha1:") if stated else None
+                        if kind in ("response", "resource"):
+                            if digest and stated.startswith("sha1:") and digest.upper() not in (digest32(payload), digest32(sent)):
+                                raise ValueError(f"{r['path']} at {offset}: the payload's digest differs")
+                            digest = digest32(payload)
+                        row = (r["path"], offset, kind, fields.get("warc-record-id"), page(fields.get("x-page-id")), fields.get("warc-target-uri"))
                         row += (digest, None if payload is None else len(payload), fields.get("warc-refers-to"), page(fields.get("x-refers-to-page-id")))
                         rows.append((*row, payload) if with_payload else row)
                         held += len(payload or b"") if with_payload else 0
@@ -294,8 +351,9 @@ def resolve(records: DataFrame) -> DataFrame:
         .agg(F.max("payload_bytes").alias("of_bytes"))
     )
     revisits = records.filter("record_type = 'revisit'").join(originals.hint("merge"), "refers_to_record", "left")
-    fixed = revisits.withColumn("payload_bytes", F.col("of_bytes")).withColumn("digest", F.col("of_digest"))
-    return records.filter("record_type = 'response'").unionByName(fixed.select(records.columns))
+    fixed = revisits.withColumn("payload_bytes", F.col("of_bytes")).withColumn("digest", F.coalesce("of_digest", "digest"))
+    others = records.filter("record_type is null or record_type <> 'revisit'")
+    return others.unionByName(fixed.select(records.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
