@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensia.sources.lake import PARTITION_COLUMNS
+from propensia.sources.lake import PARTITION_COLUMNS, POSITION_COLUMNS
 
 
 def keep_last(df: DataFrame, keys: list[str], order_by: list[str], nulls_last: tuple[str, ...] = ()) -> DataFrame:
@@ -34,8 +34,9 @@ def keep_last(df: DataFrame, keys: list[str], order_by: list[str], nulls_last: t
 
 
 def file_order(df: DataFrame) -> list[str]:
-    """Order key standing for "later file": the run-date partition columns."""
-    return [c for c in PARTITION_COLUMNS if c in df.columns]
+    """Order key standing for "later file": run-date partition, then the place of
+    the row (path of its file, number in it) where the read gave it."""
+    return [c for c in [*PARTITION_COLUMNS, *POSITION_COLUMNS] if c in df.columns]
 
 
 def latest_labels(labels: DataFrame) -> DataFrame:

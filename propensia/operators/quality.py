@@ -1,10 +1,15 @@
 """Q1-Q8: data tests as one report DataFrame and a gate.
 
-Row-level checks of a table (not_null, positive, accepted_range,
-no_future_peeking) fold into ONE aggregate pass; each uniqueness check and
-each list of accepted values is one extra grouped count (map-side combined). Failure
-counts follow the usual test semantics: rows for row checks, duplicated
-keys for uniqueness, distinct offending values for accepted_values.
+All checks of a table take ONE scan and ONE shuffle. A row is expanded to an
+entry with its row-level failures (not_null, positive, accepted_range,
+no_future_peeking), one for each uniqueness check, and one for each list of
+accepted values that it violates; entries are counted by (check, key), where a
+key travels as two 64-bit hashes, 16 bytes whatever its columns. The entries
+with row-level failures have one key and shrink to a row a task before the
+shuffle, as repeated keys do. Failure counts follow the usual test semantics:
+rows for row checks, duplicated keys for uniqueness, distinct offending values
+for accepted_values. Two keys of n pass for one with a chance of n^2 / 2^129
+(1e-15 for 1e12 keys).
 """
 
 from __future__ import annotations
@@ -59,48 +64,54 @@ def no_future_peeking(c: str, as_of: _dt.date | str) -> Check:
 
 
 def _row_failure(check: Check):
+    """Whether a row fails a row-level check (null: it doesn't)."""
     c = F.col(check.columns[0])
     if check.kind == "not_null":
-        return F.count_if(c.isNull())
+        return c.isNull()
     if check.kind == "positive":
-        return F.count_if(c.isNull() | (c <= 0))
+        return c.isNull() | (c <= 0)
     if check.kind == "accepted_range":
         lo, hi = check.params
-        return F.count_if(c.isNotNull() & ((c < lo) | (c > hi)))
+        return c.isNotNull() & ((c < lo) | (c > hi))
     if check.kind == "no_future_peeking":
-        return F.count_if(c > F.date_sub(as_date_literal(check.params[0]), 1))
+        return c > F.date_sub(as_date_literal(check.params[0]), 1)
     raise ValueError(f"not a row check: {check.kind}")
 
 
+GROUPED = ("unique", "unique_combination", "accepted_values")
+
+
+def _entry(number: int, check: Check):
+    """The key that a row adds to a grouped check; null if it adds none."""
+    cols = [F.col(c) for c in check.columns]
+    # Hashes pass over nulls, so which columns are null is hashed as well.
+    flagged = [x for c in cols for x in (c, c.isNull())]
+    key = F.struct(F.lit(number).alias("check"), F.xxhash64(*flagged).alias("a"), F.xxhash64(F.lit(1), *flagged).alias("b"))
+    if check.kind == "accepted_values":
+        return F.when(~cols[0].isin(*check.params), key)
+    return F.when(cols[0].isNotNull(), key) if check.kind == "unique" else key
+
+
 def quality_report(df: DataFrame, checks: list[Check], model: str) -> DataFrame:
     """(model, check, column, failures) for every check, lazily."""
-    grouped = ("unique", "unique_combination", "accepted_values")
-    row_checks = [c for c in checks if c.kind not in grouped]
-    key_checks = [c for c in checks if c.kind in grouped]
-    parts = []
-    if row_checks:
-        agg = df.agg(*[_row_failure(c).cast("long").alias(f"c{i}") for i, c in enumerate(row_checks)])
-        stacked = F.stack(
-            F.lit(len(row_checks)),
-            *[x for i, c in enumerate(row_checks) for x in (F.lit(c.kind), F.lit(c.column), F.col(f"c{i}"))],
-        ).alias("check", "column", "failures")
-        parts.append(agg.select(F.lit(model).alias("model"), stacked))
-    for c in key_checks:
-        cols = list(c.columns)
-        if c.kind == "accepted_values":  # distinct values outside the list
-            dup = df.filter(~F.col(cols[0]).isin(*c.params)).select(*cols).distinct()
-        else:
-            keyed = df.filter(F.col(cols[0]).isNotNull()) if c.kind == "unique" else df
-            dup = keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-        parts.append(
-            dup.agg(F.count(F.lit(1)).cast("long").alias("failures")).select(
-                F.lit(model).alias("model"), F.lit(c.kind).alias("check"), F.lit(c.column).alias("column"), "failures"
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    row_checks = [c for c in checks if c.kind not in GROUPED]
+    key_checks = [c for c in checks if c.kind in GROUPED]
+    fails = [F.coalesce(_row_failure(c), F.lit(False)).alias(f"f{i}") for i, c in enumerate(row_checks)]
+    rows = F.struct(F.lit(-1).alias("check"), F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
+    entries = F.array_compact(F.array(*([rows] if row_checks else []), *(_entry(i, c) for i, c in enumerate(key_checks))))
+    expanded = df.select(*fails, F.explode(entries).alias("e")).select("e.check", "e.a", "e.b", *(f"f{i}" for i in range(len(row_checks))))
+    own = F.col("check") == -1
+    counted = expanded.groupBy("check", "a", "b").agg(
+        F.count(F.lit(1)).alias("n"), *(F.count_if(own & F.col(f"f{i}")).alias(f"f{i}") for i in range(len(row_checks)))
+    )
+    totals = [F.coalesce(F.sum(f"f{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(row_checks))]
+    for i, c in enumerate(key_checks):
+        this = F.col("check") == i
+        totals.append(F.count_if(this if c.kind == "accepted_values" else this & (F.col("n") > 1)).alias(f"k{i}"))
+    places = {id(c): f"c{i}" for i, c in enumerate(row_checks)} | {id(c): f"k{i}" for i, c in enumerate(key_checks)}
+    ordered = [*row_checks, *key_checks]
+    stacked = F.stack(F.lit(len(ordered)), *[x for c in ordered for x in (F.lit(c.kind), F.lit(c.column), F.col(places[id(c)]))])
+    return counted.agg(*totals).select(F.lit(model).alias("model"), stacked.alias("check", "column", "failures"))
 
 
 class QualityGateError(RuntimeError):

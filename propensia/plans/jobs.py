@@ -221,8 +221,8 @@ def train(
 
     ensure_conf(spark)
     d = _d(run_date)
-    features = IO.read_prefix(spark, lake.layer("gold", "gold_customer_features"))
-    labels = IO.read_raw_labels(spark, lake.raw_labels)
+    features = IO.read_prefix(spark, lake.layer("gold", "gold_customer_features"), positions=True)
+    labels = IO.read_raw_labels(spark, lake.raw_labels, positions=True)
     frame = prepare_training_frame(features, labels).drop(*IO.PARTITION_COLUMNS)
     frame = materialize(frame, "training-frame")  # split guards, weights and folds reuse it
     train_df, test_df = temporal_split(frame, holdout_days)
@@ -273,8 +273,8 @@ def score(spark: SparkSession, lake: Lake, score_date, model=None, as_of=None) -
 
     ensure_conf(spark)
     d = _d(score_date)
-    features = IO.read_prefix(spark, lake.layer("features", "features_transactional"))
-    snap = require_rows(latest_snapshot(features, as_of).drop(*IO.PARTITION_COLUMNS))
+    features = IO.read_prefix(spark, lake.layer("features", "features_transactional"), positions=True)
+    snap = require_rows(latest_snapshot(features, as_of).drop(*IO.PARTITION_COLUMNS, *IO.POSITION_COLUMNS))
     if model is None:
         model = IO.load_model(current_model_path(spark, lake, as_of or d))
     scored = predict(snap, model)  # ranking writes it once before its passes

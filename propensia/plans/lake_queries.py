@@ -122,6 +122,32 @@ def labels_roundtrip(spark, sf_dir):
     return latest_labels(IO.read_raw_labels(spark, lake.raw_labels))
 
 
+@register(
+    "file_order",
+    """SELECT c_custkey::VARCHAR AS customer_token, CASE WHEN c_custkey % 3 = 0 THEN 1 WHEN c_custkey % 2 = 0 THEN 0 ELSE 1 END::INTEGER AS adopted_card
+FROM customer""",
+)
+def file_order(spark, sf_dir):
+    """W6 + S4: labels of one run date in two files. Every customer is in the
+    first file with 1, even ones in the second with 0, where every third
+    customer comes once more, after that, with 1: the later row counts."""
+    from propensia.operators.dedup import latest_labels
+    from propensia.session import materialize
+
+    key = F.col("c_custkey")
+    given = F.array(
+        F.struct(F.lit(0).alias("seq"), F.lit(1).alias("adopted_card")),
+        F.when(key % 2 == 0, F.struct(F.lit(1).alias("seq"), F.lit(0).alias("adopted_card"))),
+        F.when(key % 3 == 0, F.struct(F.lit(2).alias("seq"), F.lit(1).alias("adopted_card"))),
+    )
+    rows = A.table(spark, sf_dir, "customer").select(key.cast("string").alias("customer_token"), F.explode(F.array_compact(given)).alias("g"))
+    rows = materialize(rows.select("customer_token", "g.*", F.lit(FIRST_RUN).alias("_ingestion_date")), "labels")
+    root = new_lake(spark).path("labels")
+    dealt = rows.withColumn("late", F.col("seq") > 0).repartitionByRange(2, "late").sortWithinPartitions("late", "seq")
+    IO.write_run_partition(dealt.drop("late", "seq"), root, FIRST_RUN)
+    return latest_labels(IO.read_prefix(spark, root, positions=True))
+
+
 SCORE_DATES = [_dt.date(2024, 1, 24), _dt.date(2024, 1, 31), _dt.date(2024, 2, 7)]
 
 

@@ -25,9 +25,19 @@ def read_raw_transactions(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, S.RAW_TRANSACTIONS)
 
 
-def read_raw_labels(spark: SparkSession, root: str) -> DataFrame:
+def read_raw_labels(spark: SparkSession, root: str, positions: bool = False) -> DataFrame:
     """Customer labels, partitioned by run date."""
-    return _read(spark, root, S.RAW_LABELS)
+    labels = _read(spark, root, S.RAW_LABELS)
+    return with_positions(labels) if positions else labels
+
+
+#: Where a row stands: the path of its file and its number in it.
+POSITION_COLUMNS = ["_file", "_row"]
+
+
+def with_positions(scan: DataFrame) -> DataFrame:
+    """A Parquet scan with the position of every row (``POSITION_COLUMNS``)."""
+    return scan.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
 def read_scores(spark: SparkSession, root: str, as_of: _dt.date | str | None = None) -> DataFrame:
@@ -38,16 +48,18 @@ def read_scores(spark: SparkSession, root: str, as_of: _dt.date | str | None = N
     return df
 
 
-def read_prefix(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+def read_prefix(spark: SparkSession, path: str, merge_schema: bool = False, positions: bool = False) -> DataFrame:
     """S4 + T4: one multi-file scan of every Parquet file under a prefix.
 
-    Partition columns are kept. ``merge_schema`` unions files whose column
+    Partition columns are kept; ``positions`` adds the place of every row, by
+    which keep-last takes the later file's. ``merge_schema`` unions files whose column
     sets differ (missing columns read as NULL). An absent or empty prefix
     raises ``FileNotFoundError`` before any job runs; any other problem
     (conflicting schemas or partitions) keeps Spark's own error.
     """
     require_files(spark, path)
-    return spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    rows = spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    return with_positions(rows) if positions else rows
 
 
 def require_files(spark: SparkSession, path: str) -> None:
