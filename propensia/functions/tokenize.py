@@ -1,14 +1,14 @@
 """Stable customer token: first 32 hex chars of HMAC-SHA256(key, salt:pan).
 
 Built from ``sha2``/``unhex``/``concat`` on binary columns, so the whole
-computation stays in the JVM. The key pads are binary literals in the plan:
-run with ``spark.sql.redaction.string.regex`` covering the plan text where
-plans are logged, and never ship a default key.
+computation stays in the JVM. Key pads and salt stand in a table of one row
+that the expression reads as scalar subqueries: plans, ``explain()`` and event
+logs name its columns and never hold their values. There is no default key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from propensia import schemas as S
@@ -32,6 +32,10 @@ def stable_customer_token(pan: Column | str, token_key: str | bytes, salt: str)
         raise ValueError("stable_customer_token: the key is empty.")
     key = token_key.encode("utf-8") if isinstance(token_key, str) else token_key
     ipad, opad = _pads(key)
-    message = F.encode(F.concat(F.lit(salt + ":"), col_or_name(pan).cast("string")), "UTF-8")
-    inner = F.unhex(F.sha2(F.concat(F.lit(ipad), message), 256))
-    return F.substring(F.sha2(F.concat(F.lit(opad), inner), 256), 1, S.TOKEN_HEX_CHARS)
+    row = (bytearray(ipad), bytearray(opad), f"{salt}:")
+    # An RDD scan: the optimizer can't turn its values into literals.
+    secret = SparkSession.active().createDataFrame([row], "ipad binary, opad binary, salt string")
+    ipad_of, opad_of, salt_of = (secret.select(c).scalar() for c in ("ipad", "opad", "salt"))
+    message = F.encode(F.concat(salt_of, col_or_name(pan).cast("string")), "UTF-8")
+    inner = F.unhex(F.sha2(F.concat(ipad_of, message), 256))
+    return F.substring(F.sha2(F.concat(opad_of, inner), 256), 1, S.TOKEN_HEX_CHARS)
