@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensia.llm.common import materialize, ship
+from propensia.llm.common import materialize, ship, unused
 from propensia.llm.components import components
 
 SHINGLE = 5
@@ -407,14 +407,15 @@ def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "t
     found = materialize(near_duplicates(docs, key=key, text=text, percent=percent), "components")
     first = found.filter("kept and group is not null").groupBy("group").agg(F.min("text_hash").alias("first_hash"))
     gone = found.filter("group is not null").join(first, "group").filter("not kept or text_hash <> first_hash")
-    gone = gone.select(F.col(key).alias("_gone_key"), F.col("text_hash").alias("_gone_hash")).distinct()
-    marked = docs.withColumn("_text_hash", F.xxhash64(text))
-    same = F.col(key).eqNullSafe(F.col("_gone_key")) & (F.col("_text_hash") == F.col("_gone_hash"))
+    own, gone_key, gone_hash = (unused(c, docs.columns) for c in ("_text_hash", "_gone_key", "_gone_hash"))
+    gone = gone.select(F.col(key).alias(gone_key), F.col("text_hash").alias(gone_hash)).distinct()
+    marked = docs.withColumn(own, F.xxhash64(text))
+    same = F.col(key).eqNullSafe(F.col(gone_key)) & (F.col(own) == F.col(gone_hash))
     stay = marked.join(gone, same, "left_anti")
     again = found.filter("kept and group is not null").groupBy(key, "text_hash").agg(F.count("*").alias("n")).filter("n > 1")
-    again = materialize(again.select(F.col(key).alias("_gone_key"), F.col("text_hash").alias("_gone_hash")), "repeated")
+    again = materialize(again.select(F.col(key).alias(gone_key), F.col("text_hash").alias(gone_hash)), "repeated")
     if not again.isEmpty():
-        once = stay.join(again, same, "left_semi").dropDuplicates([key, "_text_hash"])
+        once = stay.join(again, same, "left_semi").dropDuplicates([key, own])
         stay = stay.join(again, same, "left_anti").union(once)
     return stay.select(docs.columns)
 

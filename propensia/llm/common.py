@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from propensia.session import checkpoint_dir, materialize, ship
 
-__all__ = ["checkpoint_dir", "materialize", "literal_table", "drop_copy", "scratch_path", "fill", "hold_out", "ship"]
+__all__ = ["checkpoint_dir", "materialize", "literal_table", "drop_copy", "scratch_path", "fill", "hold_out", "ship", "unused"]
 
 #: Words of every text operator here: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -53,6 +53,14 @@ def fill(text: str):
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, lengthened until no column is called so (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def hold_out(key: str, modulus: int):
     """crc32 of the key's decimal text modulo ``modulus`` (null key: of no bytes)."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
