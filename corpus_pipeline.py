@@ -3,6 +3,13 @@
 Every stage works on all rows that its predecessor kept. Stage results are
 written as Parquet and read again, so a lost executor never costs more than
 the stage at work. All but the last return the columns of ``documents``.
+
+Every stage takes any table with ``doc_id`` and ``text``; other columns pass
+through as they are, whatever their names. Null and empty texts are no toxic
+documents, fail the quality rules (no words), have no near-duplicates and pack
+as an end id each. Null and tied ids: every row is judged by its own text; of
+rows that repeat id and text one stays among near-duplicates. Very long texts
+are read whole. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -13,14 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propensia.llm import chosen_path, packing, toxicity, weak_supervision
-from propensia.llm.common import materialize
+from propensia.llm.common import materialize, unused
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5; learned from the labelled rows of ``sf_dir``."""
     known, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.learn(known, labels)
-    return toxicity.score_documents(docs, model, out="_toxicity").filter(F.col("_toxicity") < 0.5).select(docs.columns)
+    score = unused("_toxicity", docs.columns)
+    return toxicity.score_documents(docs, model, out=score).filter(F.col(score) < 0.5).select(docs.columns)
 
 
 def drop_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
