@@ -9,7 +9,7 @@ Layout (Hive partitions, zstd Parquet)::
     scores/weekly/year=/month=/day=             score date   (B3)
     marts/mart_campaign_segments/year=/...      run date     (B4)
     models/propensity/run_date=YYYY-MM-DD       PipelineModel (B2)
-    metrics/run_metrics                         one row per training run
+    metrics/run_metrics/year=/month=/day=/write= history of the training runs' rows (B2)
     ledger                                      finished and failed stages of the weekly runs (B5)
 
 Every layer is written and read back before the next one: the written
@@ -251,9 +251,17 @@ def train(
     return card
 
 
+def model_card(spark: SparkSession, lake: Lake, run_date) -> dict:
+    """The card of the last training of a run date."""
+    row = IO.read_metrics(spark, lake.metrics, latest=True).filter(F.col("run_date") == as_date_literal(_d(run_date))).first()
+    if row is None:
+        raise FileNotFoundError(f"No model was trained for {run_date}.")
+    return json.loads(row["model_card"])
+
+
 def current_model_path(spark: SparkSession, lake: Lake, as_of=None) -> str:
     """Newest trained model (optionally trained on/before ``as_of``)."""
-    m = spark.read.parquet(lake.metrics)
+    m = IO.read_metrics(spark, lake.metrics, latest=True)
     if as_of is not None:
         m = m.filter(F.col("training_date") <= as_date_literal(as_of))
     row = m.orderBy(F.col("training_date").desc()).select("model_path").first()
@@ -376,6 +384,6 @@ def run_weekly(
     stages.append(Stage("mart", ("features", "score"), lake.mart, mart_stage))
     out["stages"] = run_stages(spark, lake.ledger, d, stages, resume=resume, watch=watch)
     if model is None and out["model_card"] is None:  # trained by an earlier call
-        out["model_card"] = json.loads(_partition(spark, lake.metrics, d).first()["model_card"])
+        out["model_card"] = model_card(spark, lake, d)
     out["distribution"] = segment_distribution(_partition(spark, lake.scores, d))
     return out

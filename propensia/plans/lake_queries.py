@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from propensia.operators import layers as L
 from propensia.plans import jobs as J
 from propensia.plans import oracle as O
-from propensia.plans.queries import events_layers, register, request_bodies, request_sql, rounded_gold, score9, training_inputs
+from propensia.plans.queries import events_layers, holdout_metrics, metrics_sql, register, request_bodies, request_sql, rounded_gold, score9, training_inputs
 from propensia.session import checkpoint_dir
 from propensia.sources import adapters as A
 from propensia.sources import lake as IO
@@ -386,6 +386,34 @@ def weekly_run(spark, sf_dir):
     return marts.select(IO.partition_date().alias("run_date"), "customer_token", "propensity_score", "score_decile", "campaign_segment", "feature_date")
 
 
+#: Hold-out days of three training runs; the last run is recorded twice.
+METRIC_RUNS = {FIRST_RUN: 6, EARLY_RUN: 8, SECOND_RUN: 10}
+
+
+def _run_metrics_sql() -> str:
+    runs = [
+        f"SELECT DATE '{d}' AS run_date, {1 + (d == SECOND_RUN)}::INTEGER AS version, * FROM ({metrics_sql(days)})"
+        for d, days in METRIC_RUNS.items()
+    ]
+    return "\nUNION ALL\n".join(runs)
+
+
+@register("run_metrics", _run_metrics_sql())
+def run_metrics(spark, sf_dir):
+    """The history of three runs' metrics, recorded at the same time after a
+    first, wrong record of the last run; the newest version of each run."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from propensia.session import materialize
+
+    frame = materialize(training_inputs(spark, sf_dir), "runs")
+    root = new_lake(spark).metrics
+    IO.write_metrics(holdout_metrics(frame, METRIC_RUNS[FIRST_RUN]), root, SECOND_RUN)
+    with ThreadPoolExecutor(len(METRIC_RUNS)) as pool:
+        list(pool.map(lambda run: IO.write_metrics(holdout_metrics(frame, run[1]), root, run[0]), METRIC_RUNS.items()))
+    return IO.read_metrics(spark, root, latest=True).drop("recorded_at")
+
+
 # ----------------------------------------------------------------- stream --
 @register("request_stream", request_sql())
 def request_stream(spark, sf_dir):

@@ -409,13 +409,13 @@ def campaign_mart(spark, sf_dir):
 
 
 # -------------------------------------------------------------- metrics --
-def _metrics_sql() -> str:
+def metrics_sql(holdout_days: int) -> str:
     from propensia.operators.scoring import DEFAULT_COEFFICIENTS, DEFAULT_INTERCEPT
 
     p = O.r6(O.linear_score_sql(DEFAULT_COEFFICIENTS, DEFAULT_INTERCEPT), 9)
     r = O.r6
     return (
-        O.events_layers()[:-1] + O.labels_cte() + O.history_cte() + O.split_cte(HOLDOUT_DAYS_EVENTS)
+        O.events_layers()[:-1] + O.labels_cte() + O.history_cte() + O.split_cte(holdout_days)
         + f""",
 test AS (SELECT customer_token, feature_date, adopted_card AS y, {p} AS p FROM split WHERE split = 'test'),
 tot AS (SELECT count(*) AS n, CAST(sum(y) AS DOUBLE) AS pos, avg(CAST(y AS DOUBLE)) AS prevalence,
@@ -437,15 +437,19 @@ FROM tot"""
     )
 
 
-@register("evaluation_metrics", _metrics_sql())
+@register("evaluation_metrics", metrics_sql(HOLDOUT_DAYS_EVENTS))
 def evaluation_metrics(spark, sf_dir):
     """M1-M6 + T2 + A8 on the hold-out split (deterministic scorer)."""
+    return holdout_metrics(training_inputs(spark, sf_dir), HOLDOUT_DAYS_EVENTS)
+
+
+def holdout_metrics(frame: DataFrame, holdout_days: int) -> DataFrame:
+    """Metrics of the deterministic scorer on the last days of a training frame."""
     from propensia.operators.metrics import evaluation_metrics as em
     from propensia.operators.scoring import LinearScorer, predict
     from propensia.operators.training import label_split
 
-    split = label_split(training_inputs(spark, sf_dir), HOLDOUT_DAYS_EVENTS)
-    test = split.filter(F.col("split") == "test")
+    test = label_split(frame, holdout_days).filter(F.col("split") == "test")
     scored = predict(test, LinearScorer()).withColumn("propensity_score", score9("propensity_score"))
     m = em(scored, "adopted_card", "propensity_score", ["customer_token", "feature_date"])
     return m.select(

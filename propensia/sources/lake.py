@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propensia import schemas as S
@@ -257,10 +257,36 @@ def write_run_partition(df: DataFrame, root: str, run_date: _dt.date | str) -> N
     _write(with_hive_parts(df, as_date_literal(run_date)), root)
 
 
-def write_metrics(df: DataFrame, root: str, run_date) -> None:
-    """One run's metric row(s), in the run's partition of a metrics table
-    (a rerun of the same date replaces its row instead of adding one)."""
-    write_run_partition(df, root, run_date)
+def write_metrics(df: DataFrame, root: str, run_date: _dt.date | str) -> str:
+    """Add one run's metric row(s) to the history of the runs.
+
+    Nothing is ever replaced: each call writes a folder of its own,
+    ``year=/month=/day=/write=``, as one file by a job of its own, so it is seen
+    whole or not at all, and runs, also of the same date, may record at the same
+    time. ``recorded_at`` is set here. Returns the name of the write.
+    """
+    import uuid
+
+    write, d = uuid.uuid4().hex, run_date if isinstance(run_date, _dt.date) else _dt.date.fromisoformat(run_date)
+    folder = f"{root.rstrip('/')}/year={d:%Y}/month={d:%m}/day={d:%d}/write={write}"
+    rows = df.withColumn("recorded_at", F.current_timestamp()).coalesce(1)
+    rows.write.mode("errorifexists").option("compression", "zstd").parquet(folder)
+    return write
+
+
+def read_metrics(spark: SparkSession, root: str, latest: bool = False) -> DataFrame:
+    """The history of metric rows, with ``run_date`` and their ``version`` within it.
+
+    Versions of a run date count its writes from 1 in the order of
+    ``recorded_at`` (ties: by the write's name). ``latest`` keeps the last
+    version of every run date. Rows whose columns differ are united.
+    """
+    run = Window.partitionBy("run_date")
+    rows = read_prefix(spark, root, merge_schema=True).withColumn("run_date", partition_date()).drop(*PARTITION_COLUMNS)
+    rows = rows.withColumn("version", F.dense_rank().over(run.orderBy("recorded_at", "write")))
+    if latest:
+        rows = rows.withColumn("_last", F.max("version").over(run)).filter("version = _last").drop("_last")
+    return rows.drop("write")
 
 
 def save_model(model, path: str) -> None:

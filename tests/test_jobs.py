@@ -113,8 +113,9 @@ def test_score_as_of_and_model_lookup(spark, scratch):
     tx, labels = pan_inputs(spark)
     J.run_weekly(spark, lake, "2024-01-31", tx, labels, token_key="k", salt="salt", holdout_days=10, max_iter=2, gate=False)
     assert J.current_model_path(spark, lake).endswith("run_date=2024-01-31")
-    J.train(spark, lake, "2024-01-31", holdout_days=10, max_iter=2)  # rerun replaces its card row
-    assert spark.read.parquet(lake.metrics).count() == 1
+    J.train(spark, lake, "2024-01-31", holdout_days=10, max_iter=2)  # a rerun's card is the run's next version
+    assert [r["version"] for r in IO.read_metrics(spark, lake.metrics, latest=True).collect()] == [2]
+    assert IO.read_metrics(spark, lake.metrics).count() == 2
     with pytest.raises(FileNotFoundError):
         J.current_model_path(spark, lake, as_of="2024-01-01")
     # an as_of before every snapshot has nothing to score
@@ -176,3 +177,30 @@ def test_a_failed_run_goes_on_where_it_stopped(spark, scratch):
     silver = next(r.entry for r in ledger.latest(spark, lake.ledger).collect() if r.stage == "silver")
     ledger.record(spark, lake.ledger, dt.date(2024, 1, 31), stage, ledger.DONE, [silver], 396)
     assert run()["stages"] == ["features", "score", "mart"]
+
+
+def test_metrics_history_of_runs_that_record_at_once(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = f"{scratch}/metrics"
+    with pytest.raises(FileNotFoundError):
+        IO.read_metrics(spark, root)
+
+    def record(n):
+        row = spark.createDataFrame([(n,)], "n int")
+        return IO.write_metrics(row if n % 2 else row.withColumn("more", F.lit("x")), root, f"2024-01-{10 + n % 3}")
+
+    with ThreadPoolExecutor(9) as pool:
+        assert len(set(pool.map(record, range(9)))) == 9
+    record(100)
+    history = IO.read_metrics(spark, root)
+    versions = {}
+    for r in sorted(history.collect(), key=lambda r: r["recorded_at"]):
+        versions.setdefault(str(r["run_date"]), []).append((r["version"], r["n"], r["more"]))
+    assert {d: sorted(v for v, _, _ in found) for d, found in versions.items()} == {
+        "2024-01-10": [1, 2, 3], "2024-01-11": [1, 2, 3, 4], "2024-01-12": [1, 2, 3]
+    }
+    assert sorted(n for found in versions.values() for _, n, _ in found) == [*range(9), 100]
+    assert versions["2024-01-11"][-1] == (4, 100, "x")
+    last = IO.read_metrics(spark, root, latest=True).collect()
+    assert sorted((str(r["run_date"]), r["version"]) for r in last) == [("2024-01-10", 3), ("2024-01-11", 4), ("2024-01-12", 3)]
