@@ -12,10 +12,12 @@ or resume anywhere.
 How it runs: one scan encodes the texts and writes the sequences with their
 running number inside the scan partition; the driver reads one count per
 partition and hands back the partitions' first numbers, which makes the
-numbering dense without a sort; one shuffle on the shard brings a range's
-records together, sorted by slot. Shards are written as Parquet rows by
-Spark's own committer, so a lost executor costs a task and any store that
-Spark writes can hold them.
+numbering dense without a sort; one shuffle deals the slots by ranges: task r
+gets the shards from ``r * shards_per_file`` on, sorted by slot, and writes them
+as the Parquet rows of one file, ``part-r-...``. So a slot range lies in the
+files of consecutive numbers, and a reader opens only those. Spark's own
+committer writes, so a lost executor costs a task and any store that Spark
+writes can hold the shards.
 
 Record: magic ``SQ`` (2 bytes), flags (1: key is null), id width, number of
 ids u32, slot u64, key i64, place of the sequence in its document u64 (ids
@@ -39,6 +41,8 @@ from propensia.llm.common import fill, literal_table, materialize, scratch_path,
 HEAD = "<2sBBIQqQ"
 HEAD_SIZE = struct.calcsize(HEAD)
 ROUNDS = 6
+SHARD_DDL = "shard long, first_slot long, records int, crc32 long, data binary"
+NAMED_FILES = 512  # of a range that are listed one by one
 
 
 def _mix(x: np.ndarray, key: int) -> np.ndarray:
@@ -119,13 +123,16 @@ def write_shards(
     text: str = "text",
     length: int = 512,
     per_shard: int = 512,
+    shards_per_file: int = 1024,
     seed: int = 17,
     end_id: int = 1,
     tokenizer: str | None = None,
 ) -> dict:
     """Write all sequences of ``docs`` in training order below ``path``.
 
-    Returns the layout: number of sequences, stride, records a shard, seed.
+    Returns the layout: number of sequences, stride, records a shard, shards a
+    file, seed. A file holds ``shards_per_file`` shards (about half a GB), fewer
+    where that leaves cores idle; no slot depends on it.
 
     Null text: read as empty, one sequence with the end id. Null, tied or
     repeated keys: each row's sequences are written (the record flags a null
@@ -141,7 +148,10 @@ def write_shards(
         firsts.append({"part": part, "first": total})
         total += counts[part]
     width = 4 if tokens.vocabulary(tokenizer)[2] > 1 << 16 else 2
-    layout = {"sequences": total, "stride": HEAD_SIZE + width * length, "per_shard": per_shard, "seed": seed, "length": length}
+    shards = -(-total // per_shard)
+    per_file = max(1, min(shards_per_file, -(-shards // (4 * spark.sparkContext.defaultParallelism))))
+    files = max(1, -(-shards // per_file))
+    layout = {"sequences": total, "stride": HEAD_SIZE + width * length, "per_shard": per_shard, "per_file": per_file, "seed": seed, "length": length}
 
     @F.pandas_udf("long")
     def slot_of(index):
@@ -152,7 +162,8 @@ def write_shards(
     table = literal_table(spark, firsts, "part int, first long")  # one row per scan partition, as the driver has anyway
     slotted = made.join(F.broadcast(table), "part").withColumn("slot", slot_of(F.col("first") + F.col("at")))
     slotted = slotted.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("long"))
-    dealt = slotted.select("shard", "slot", "key", "start", "n", "ids").repartition("shard").sortWithinPartitions("slot")
+    narrow = slotted.select("shard", "slot", "key", "start", "n", "ids")
+    dealt = narrow.repartitionById(files, F.floor(F.col("shard") / per_file).cast("int")).sortWithinPartitions("slot")
     schema = pa.schema([("shard", pa.int64()), ("first_slot", pa.int64()), ("records", pa.int32()), ("crc32", pa.int64()), ("data", pa.binary())])
     stride = layout["stride"]
 
@@ -176,22 +187,27 @@ def write_shards(
         if parts:
             yield close()
 
-    shards = dealt.mapInArrow(run, "shard long, first_slot long, records int, crc32 long, data binary")
-    shards.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    made = dealt.mapInArrow(run, SHARD_DDL)
+    made.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return layout
 
 
 def read_slots(spark: SparkSession, path: str, layout: dict, first: int = 0, last: int | None = None) -> DataFrame:
     """The records of slots first .. last-1: slot, doc_id, start, length, ids, place.
 
-    Only shards that overlap the range are decoded (a filter on the shard
-    number that reaches the Parquet statistics); inside a shard the first
-    record is found by its offset.
+    Only files of the range are opened (all of them are listed by their numbers,
+    if that is at most ``NAMED_FILES``; else the files' statistics decide), and of
+    them only shards that overlap it are decoded; inside a shard the first record
+    is found by its offset. An empty range: no rows.
     """
     ship(spark)
-    last = layout["sequences"] if last is None else last
+    last = layout["sequences"] if last is None else min(last, layout["sequences"])
     per, stride = layout["per_shard"], layout["stride"]
-    wanted = spark.read.parquet(path).filter((F.col("shard") >= first // per) & (F.col("shard") <= max(last - 1, 0) // per))
+    low, high = first // per, max(last - 1, 0) // per
+    numbers = range(low // layout["per_file"], high // layout["per_file"] + 1)
+    named = first < last and len(numbers) <= NAMED_FILES
+    paths = [f"{path.rstrip('/')}/part-{n:05d}-*" for n in numbers] if named else [path]
+    wanted = spark.read.schema(SHARD_DDL).parquet(*paths).filter((F.col("shard") >= low) & (F.col("shard") <= high))
     schema = pa.schema(
         [("slot", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
          ("shard", pa.int64()), ("byte_offset", pa.int64())]

@@ -45,6 +45,33 @@ def test_round_trip_and_resumable_reads(spark, awkward):  # noqa: F811
     assert {tuple(r) for r in ts.read_slots(spark, again, layout).collect()} == {tuple(r) for r in rows}
 
 
+def test_files_hold_disjoint_slot_ranges_and_reads_open_only_theirs(spark):
+    import pyarrow.parquet as pq
+
+    docs = spark.createDataFrame([(i, f"text {i} " * (i % 40)) for i in range(900)], "doc_id long, text string").repartition(5)
+    path = scratch_path(spark, "test-shards")
+    layout = ts.write_shards(docs, path, length=16, per_shard=8, shards_per_file=5)
+    per_file = 8 * layout["per_file"]
+    ranges = {}
+    for name in spark.read.parquet(path).inputFiles():
+        meta = pq.read_metadata(name.removeprefix("file:").replace("///", "/"))
+        found = [meta.row_group(g).column(0).statistics for g in range(meta.num_row_groups)]
+        number = int(name.rsplit("/", 1)[1].split("-")[1])
+        assert min(s.min for s in found) == number * layout["per_file"]
+        assert max(s.max for s in found) < (number + 1) * layout["per_file"]
+        ranges[number] = name
+    assert sorted(ranges) == list(range(-(-layout["sequences"] // per_file))) and len(ranges) > 5
+    first, last = 2 * per_file + 3, 4 * per_file + 1
+    part = ts.read_slots(spark, path, layout, first, last)
+    assert sorted(part.inputFiles()) == sorted(ranges[n] for n in (2, 3, 4))
+    assert sorted(r["slot"] for r in part.collect()) == list(range(first, last))
+    whole = {tuple(r) for r in ts.read_slots(spark, path, layout).collect()}
+    assert {tuple(r) for r in part.collect()} == {r for r in whole if first <= r[0] < last}
+    assert len(whole) == layout["sequences"] and ts.read_slots(spark, path, layout, 7, 7).count() == 0
+    end = ts.read_slots(spark, path, layout, layout["sequences"] - 2, layout["sequences"] + 50)
+    assert end.count() == 2 and len(end.inputFiles()) == 1
+
+
 def test_empty_table(spark, nothing):  # noqa: F811
     path = scratch_path(spark, "test-shards")
     layout = ts.write_shards(nothing, path)
