@@ -45,13 +45,71 @@ def test_root_tells_texts_apart(spark):
     assert rows.count() == len(texts)
 
 
+def located(spark, pairs):
+    rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    rows = merkle.locate_edits(rows.select("i", merkle.tree(F.col("a")).alias("a"), merkle.tree(F.col("b")).alias("b")), "a", "b", "e")
+    return [[tuple(x) for x in r["e"]] for r in sorted(rows.select("i", "e").collect())]
+
+
 def test_edits_are_located(spark):
     old = "One. Two.\nThree.\n\nFour.\nFive.\n\nSix."
     new = "One. Two!\nThree.\n\nFour.\nFive.\nMore.\n\nSix.\n\nSeven."
-    rows = spark.createDataFrame([(old, new), (old, old)], "a string, b string")
-    places = rows.select(merkle.edits(merkle.tree(F.col("a")), merkle.tree(F.col("b"))).alias("e")).collect()
-    assert [tuple(x) for x in places[0]["e"]] == [(0, 0), (1, 2), (3, 0)]
-    assert places[1]["e"] == []
+    ten = "\n".join(f"Line {i}." for i in range(10))
+    shifted, gone = "Zero.\n" + ten, ten.replace("Line 4.\n", "")
+    carried = "\n".join(f"Line {i}." for i in (0, 1, 7, 2, 3, 4, 5, 6, 8, 9))
+    many = "\n\n".join(f"S {i}.\nT {i}." for i in range(6))
+    got = located(spark, [(old, new), (old, old), (ten, shifted), (ten, gone), (ten, ten + "\nLine 3."), (ten, carried),
+                          ("New.\n\n" + many, many), (many, "\n\n".join(reversed(many.split("\n\n")))), ("A\n\nB", "A\nB"), ("", "x")])
+    assert got[0] == [("deleted", 0, 0), ("inserted", 0, 0), ("inserted", 1, 2), ("inserted", 3, 0)]
+    assert got[1] == []
+    assert got[2] == [("inserted", 0, 0)]
+    assert got[3] == [("deleted", 0, 4)]
+    assert got[4] == [("inserted", 0, 10)]
+    assert got[5] == [("moved", 0, 2), ("moved", 0, 3), ("moved", 0, 8)]
+    assert got[6] == [("deleted", 0, 0)]
+    assert {k for k, _, p in got[7] if p is None} == {"moved"} and len(got[7]) == 6
+    assert got[8] == [("moved", 0, 1)]
+    assert got[9] == [("deleted", 0, 0), ("inserted", 0, 0)]
+
+
+def brute_edits(a, b):
+    """The rule of ``edits`` on lists."""
+
+    def number(items):
+        return [(x, items[:i].count(x)) for i, x in enumerate(items)]
+
+    def split(x, y):  # items: (key, group); places only in x, only in y, moved in y
+        kx, ky = number([k for k, _ in x]), number([k for k, _ in y])
+
+        def chain(items, keys, other):
+            kept = [i for i, k in enumerate(keys) if k in other]
+            return {i: (keys[kept[n - 1]] if n and items[kept[n - 1]][1] == items[i][1] else None, keys[i]) for n, i in enumerate(kept)}
+
+        cx, cy = chain(x, kx, set(ky)), chain(y, ky, set(kx))
+        return [i for i, k in enumerate(kx) if k not in ky], [i for i, k in enumerate(ky) if k not in kx], [i for i, c in cy.items() if c not in cx.values()]
+
+    sa, sb = ([s.split("\n") for s in t.split("\n\n")] for t in (a, b))
+    only_a, only_b, moved = split([("\n".join(s), 0) for s in sa], [("\n".join(s), 0) for s in sb])
+    pa = [(i, j) for i in only_a for j in range(len(sa[i]))]
+    pb = [(i, j) for i in only_b for j in range(len(sb[i]))]
+    gone, new, carried = split([(sa[i][j], i) for i, j in pa], [(sb[i][j], i) for i, j in pb])
+    return (
+        [("deleted", *pa[i]) for i in gone] + [("inserted", *pb[i]) for i in new] + [("moved", *pb[i]) for i in carried] + [("moved", i, None) for i in moved]
+    )
+
+
+def test_edits_equal_a_plain_alignment(spark):
+    rng = random.Random(3)
+    pairs = []
+    for _ in range(150):
+        a = "".join(rng.choices(["a.", "b.", "c", "\n", "\n", "\n\n"], k=rng.randint(0, 14)))
+        cut = rng.randint(0, len(a))
+        b = rng.choice([a[:cut] + rng.choice(["\n", "x", "a.\n", "\n\n"]) + a[cut:], a[cut:] + a[:cut], a[:cut], "".join(rng.sample(a, len(a)))])
+        pairs.append((a, b))
+    got = located(spark, pairs)
+    for (a, b), e in zip(pairs, got):
+        assert e == (brute_edits(a, b) if a != b else []), (a, b)
+        assert bool(e) == (a != b)
 
 
 def test_next_texts_over_many_ranges_nulls_and_ties(spark, awkward, nothing):  # noqa: F811
