@@ -173,3 +173,29 @@ def test_sketch_agrees_with_similarity():
     other[:143] = rng.integers(0, 2**63, 143).astype(np.uint64)  # similarity 857 / 1143 = 0.75
     a, b = (np.frombuffer(cp.minwise(np.unique(x))[1], np.uint8) for x in (base, other))
     assert cp.sketch_floor(0.75) <= (a == b).sum() <= 0.95 * cp.SKETCH
+
+
+def test_recall_where_every_root_node_is_large(spark):
+    """A passage that all texts share makes the common root nodes large: pairs near the
+    threshold must be found by branching. Tiny leaves stand for a large table."""
+    rng = random.Random(21)
+    passage = [f"p{i}" for i in range(70)]
+    rows, pairs = [], 400
+    for g in range(pairs):
+        own = [f"o{g}x{i}" for i in range(60)]
+        for _ in range(2):  # three changes of one word each, with no shingle in common
+            rows.append((len(rows), " ".join(passage + own)))
+            own = [*own[:15], f"c{g}", *own[16:30], f"d{g}", *own[31:45], f"e{g}", *own[46:]]
+    sets = [shingles(t) for _, t in rows]
+    near = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, len(rows), 2)]
+    assert 0.78 < min(near) and max(near) < 0.79
+    assert len(sets[0] & sets[2]) / len(sets[0] | sets[2]) < 0.5
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    signed = materialize(cp.signatures(docs, key="doc_id", text="text"), "test-signatures")
+    linked = cp.link_classes(docs, signed, key="doc_id", text="text", percent=75, leaf=32)
+    roots = {r["vertex"]: r["root"] for r in linked.collect()}
+    placed = {r["doc_id"]: roots.get(r["vertex"], r["vertex"]) for r in signed.collect()}
+    found = sum(placed[i] == placed[i + 1] for i in range(0, len(rows), 2))
+    print("recall", found / pairs)
+    assert found >= 0.99 * pairs
+    assert len({placed[i] for i in range(len(rows))}) == 2 * pairs - found
