@@ -1,8 +1,7 @@
 """Toxicity by a learned lexicon, Levenshtein automata and context windows.
 
-Lexicon. From a bounded sample of labelled training rows (``sample`` rows, the
-smallest by a hash of the key) words and productive word beginnings (stems
-that many different words share) are kept whose counts in toxic and clean
+Lexicon. From all labelled training rows words and productive word beginnings
+(stems that many different words share) are kept whose counts in toxic and clean
 texts differ beyond chance (likelihood ratio against the number of
 candidates) and threefold at least. Near copies count once: documents with a common minimum hash of
 their word triples are represented by one of them.
@@ -16,10 +15,11 @@ few. Terms of 5 letters or more accept one error, of 9 or more two.
 Context. A window of words round each match decides what it counts: inside
 quotation marks or after words of reporting it counts little, beside a second
 person more. Weights of matches (exact, stem, misspelled, quoted) and their
-density are the inputs of a logistic regression fitted on the sample, which
-gives the score. Key, language, source and labels are no inputs.
+density are the inputs of a logistic regression, which gives the score. It is
+fitted on a bounded sample (``sample`` rows by a hash of the key, toxic ones
+first up to one half) and its bias then set back to the share of all rows. Key, language, source and labels are no inputs.
 
-The sample's terms are counted by Spark and only those that pass the test come
+Terms are counted by Spark and only those that pass the test come
 to the driver; scoring is one scan without a shuffle.
 """
 
@@ -50,6 +50,7 @@ REPORTING = frozenset(
 SECOND_PERSON = frozenset("you your you're yourself u ur du dich dir dein deine ihr euch tú tu te ti usted vosotros toi vous votre vos".split())
 STEMS = (4, 5, 6, 7, 8)
 REMEMBERED = 1 << 19  # words kept per task
+SMALL_KEYS = 64 << 20  # bytes of keys that are sent to all tasks; more are shuffled
 
 
 def bare(word: str) -> str:
@@ -239,16 +240,22 @@ def _terms(text: str) -> dict[str, set[str]]:
     return out
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, *, key: str, text: str, modulus: int, sample: int) -> DataFrame:
-    """The sample's rows: key, toxic, text and three minimum hashes of word triples.
+def _joined(rows: DataFrame, keys: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with a written table of keys, sent to all tasks if it is small."""
+    size = keys.agg(F.sum(F.octet_length(F.col(on).cast("string")) + 24)).first()[0] or 0
+    return rows.join(F.broadcast(keys) if size <= SMALL_KEYS else keys, on, how)
 
-    Rows of the fold 0 (``hold_out``) are never in it; a key labelled twice is
-    toxic if any of its labels is.
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, *, key: str, text: str, modulus: int) -> DataFrame:
+    """All labelled training rows: key, text, toxic, hash of the key, a number of the row and three minimum hashes of word triples.
+
+    Rows of the fold 0 (``hold_out``) are never among them; a key labelled
+    twice is toxic if any of its labels is.
     """
-    marked = labels.select(F.col(key).alias("k"), F.col("toxic").cast("int").alias("toxic")).filter("k is not null and toxic is not null")
+    marked = labels.select(F.col(key).alias("k"), (F.col("toxic").cast("int") > 0).cast("int").alias("toxic")).filter("k is not null and toxic is not null")
     marked = marked.filter(hold_out("k", modulus) != 0).groupBy("k").agg(F.max("toxic").alias("toxic"))
-    marked = marked.withColumn("h", F.xxhash64(F.lit("toxicity"), "k")).orderBy("h", "k").limit(sample)  # at most `sample` rows
-    chosen = docs.select(F.col(key).alias("k"), fill(text).alias("t")).join(F.broadcast(marked), "k")
+    marked = materialize(marked.withColumn("h", F.xxhash64(F.lit("toxicity"), "k")), "toxic-labels")
+    chosen = _joined(docs.select(F.col(key).alias("k"), fill(text).alias("t")), marked, "k").withColumn("r", F.monotonically_increasing_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,29 +266,53 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, key: str, text: str,
                 hashes = np.fromiter((xxhash.xxh3_64_intdigest(g) for g in grams), np.uint64, len(grams))
                 with np.errstate(over="ignore"):
                     signatures.append([int((hashes * np.uint64(m)).min() >> np.uint64(1)) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)])
-            arrays = [batch.column(i) for i in range(4)] + [pa.array([s[j] for s in signatures], pa.int64()) for j in range(3)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["k", "t", "toxic", "h", "s0", "s1", "s2"])
+            arrays = [batch.column(i) for i in range(5)] + [pa.array([s[j] for s in signatures], pa.int64()) for j in range(3)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["k", "t", "toxic", "h", "r", "s0", "s1", "s2"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return materialize(chosen.select("k", "t", "toxic", "h").mapInArrow(run, f"k {kind}, t string, toxic int, h long, s0 long, s1 long, s2 long"), "toxic-sample")
+    return materialize(chosen.select("k", "t", "toxic", "h", "r").mapInArrow(run, f"k {kind}, t string, toxic int, h long, r long, s0 long, s1 long, s2 long"), "toxic-rows")
+
+
+def one_of_copies(rows: DataFrame) -> DataFrame:
+    """Rows that stand for those which share a minimum hash with them (and the
+    label). Repeated rows count once."""
+    signed = ["k", "s0", "s1", "s2", "r"]
+    single = rows.select("h", "toxic", *signed)
+    for s in ("s0", "s1", "s2"):
+        best = single.groupBy(s, "toxic").agg(F.min(F.struct("h", *signed)).alias("b")).select("b.r")
+        single = single.join(best, "r", "left_semi")
+    return _joined(rows, materialize(single.select("r"), "toxic-single"), "r", "left_semi")
+
+
+def regression_keys(rows: DataFrame, sample: int) -> tuple[DataFrame, float]:
+    """At most ``sample`` keys by hash, half of them toxic if there are as many,
+    and what the log odds of toxic gain by that against all rows."""
+    keys = rows.select("k", "toxic", "h").distinct()
+    sizes = {r["toxic"]: r["n"] for r in keys.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    toxic = min(sizes[1], max(sample // 2, sample - sizes[0]))
+    share = {1: toxic, 0: min(sizes[0], sample - toxic)}
+    picked = []
+    for label, n in share.items():
+        found = keys.filter(F.col("toxic") == label)
+        if 2 * n + 1000 < sizes[label]:  # hashes are even: twice as many as needed lie below
+            found = found.filter(F.col("h") < int(-(2**63) + 2**64 * (2 * n + 1000) / sizes[label]))
+        picked.append(found.orderBy("h", "k").limit(n).select("k"))
+    return picked[0].union(picked[1]), math.log(share[1] / share[0]) - math.log(sizes[1] / sizes[0])
 
 
 def learn(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", modulus: int = 5, sample: int = 12_000, max_terms: int = 4_000
 ) -> ToxicModel:
-    """Lexicon and regression from a bounded sample of labelled training rows.
+    """Lexicon from all labelled training rows, regression on a bounded sample of them.
 
-    ``sample`` bounds the labelled rows, ``max_terms`` the lexicon (the terms
-    with the largest likelihood ratio). Without labelled rows the model knows
-    no term and scores every text near 0.
+    ``sample`` (at least 2) bounds the regression's rows, ``max_terms`` the
+    lexicon (the terms with the largest likelihood ratio). Without labelled
+    rows the model knows no term and scores every text near 0.
     """
     spark = docs.sparkSession
     ship(spark)
-    rows = labelled_sample(docs, labels, key=key, text=text, modulus=modulus, sample=sample)
-    single = rows
-    for s in ("s0", "s1", "s2"):  # one document of those that share a minimum hash
-        best = single.groupBy(s, "toxic").agg(F.min(F.struct("h", "k")).alias("b")).select("b.k")
-        single = single.join(F.broadcast(best.distinct()), "k", "left_semi")
+    rows = labelled_rows(docs, labels, key=key, text=text, modulus=modulus)
+    single = one_of_copies(rows)
     totals = {r["toxic"]: r["n"] for r in single.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     model = ToxicModel()
@@ -333,10 +364,14 @@ def learn(
             yield pa.RecordBatch.from_arrays([*columns, batch.column(1), batch.column(2)], names=[*FEATURES, "toxic", "h"])
 
     schema = ", ".join(f"{f} double" for f in FEATURES) + ", toxic int, h long"
-    points = rows.select("t", "toxic", "h").mapInArrow(measure, schema).orderBy("h", *FEATURES).collect()  # at most `sample` rows
+    picked, gain = regression_keys(rows, sample)
+    measured = rows.join(F.broadcast(picked), "k").select("t", "toxic", "h").mapInArrow(measure, schema)
+    # One row of those with a tied key; at most `sample` rows.
+    points = measured.groupBy("h").agg(F.min(F.struct(*FEATURES, "toxic")).alias("p")).orderBy("h").select("p.*").collect()
     x = np.array([[p[f] for f in FEATURES] for p in points])
     y = np.array([float(p["toxic"] > 0) for p in points])
     model.weights = [float(w) for w in fit_logistic(x, y)]
+    model.weights[0] -= gain
     return model
 
 

@@ -75,6 +75,26 @@ def test_held_out_accuracy(spark, planted):
     assert sum((r["score"] >= 0.5) == bool(r["toxic"]) for r in held) >= 0.98 * len(held)
 
 
+def test_lexicon_counts_rows_beyond_the_regressions_sample(spark, planted, monkeypatch):
+    docs, labels = planted
+    whole, few = tx.learn(docs, labels), tx.learn(docs, labels, sample=200)
+    assert few.words == whole.words and few.stems == whole.stems and few.weights != whole.weights
+    rows = tx.labelled_rows(docs, labels, key="doc_id", text="text", modulus=5)
+    keys, gain = tx.regression_keys(rows, 200)
+    shares = {r["toxic"]: r["count"] for r in keys.join(rows, "k").groupBy("toxic").count().collect()}
+    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    assert shares == {0: 100, 1: 100} and gain == pytest.approx(np.log(sizes[0] / sizes[1]))
+    scored = tx.score_documents(docs, few).join(labels, "doc_id").filter(tx.hold_out("doc_id", 5) == 0).collect()
+    assert sum((r["score"] >= 0.5) == bool(r["toxic"]) for r in scored) >= 0.98 * len(scored)
+    monkeypatch.setattr(tx, "SMALL_KEYS", 0)  # labels too large to be sent to all tasks
+    assert tx.learn(docs, labels) == whole
+
+
+def test_tied_and_repeated_rows_are_learned_from(spark, planted):
+    docs, labels = planted
+    assert tx.learn(docs.union(docs), labels.union(labels)).words.keys() == tx.learn(docs, labels).words.keys()
+
+
 def test_held_out_rows_are_never_learned_from(spark, planted):
     docs, labels = planted
     flipped = labels.withColumn("toxic", tx.F.when(tx.hold_out("doc_id", 5) == 0, 1 - tx.F.col("toxic")).otherwise(tx.F.col("toxic")))
