@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,7 @@ NEVER = 1 << 30  # rank of a pair that is no piece or was skipped
 REMEMBERED = 1 << 19  # outcomes kept per task before it starts afresh
 SHORT = 48  # letters; outcomes of longer chunks are not remembered
 TEXTS = 1024  # texts whose chunks are merged together
+CHARACTERS = 4 << 20  # and their characters at most, but for one text alone
 
 
 def default_path() -> str:
@@ -484,6 +486,18 @@ class Encoder:
         return self.encode_many([text], [key])[0].tolist()
 
 
+def stretches(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Cuts of a column into at most ``TEXTS`` texts and ``CHARACTERS`` characters
+    (a longer text is alone)."""
+    sizes = np.append(0, np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)))
+    low = 0
+    while low < len(texts):
+        high = int(np.searchsorted(sizes, sizes[low] + CHARACTERS, "right")) - 1
+        high = min(max(high, low + 1), low + TEXTS, len(texts))
+        yield low, high
+        low = high
+
+
 def encode_documents(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", dropout: float = 0.1, seed: int = 0, variants: int = 0,
     model_path: str | None = None,
@@ -504,8 +518,8 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, dropout, seed, variants)
         for batch in batches:
-            for low in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(low, TEXTS)
+            for low, high in stretches(batch.column(1)):
+                part = batch.slice(low, high - low)
                 texts = part.column(1).to_pylist()
                 made = encoder.encode_many([t or "" for t in texts], part.column(0).to_pylist())
                 pieces = [None if t is None else ids for t, ids in zip(texts, made)]

@@ -85,3 +85,21 @@ def test_remembered_outcomes_change_nothing(monkeypatch):
     monkeypatch.setattr(sp, "REMEMBERED", 0)
     fresh = sp.Encoder(sp.default_path(), 0.3, 1)
     assert [x.tolist() for x in whole] == [fresh.encode(t, k) for k, t in enumerate(texts)]
+
+
+def test_batches_are_cut_by_texts_and_characters(spark, monkeypatch):
+    texts = ["a" * n for n in (3, 0, 5, 40, 1, 1, 1, 12)] + [None, "é" * 9]
+    docs = spark.createDataFrame([(i, "word and other words " * n) for i, n in enumerate((1, 400, 0, 3, 900, 2, 2))], "doc_id long, text string").coalesce(1)
+    whole = sorted((r["doc_id"], tuple(r["pieces"])) for r in sp.encode_documents(docs).collect())
+    monkeypatch.setattr(sp, "TEXTS", 3)
+    monkeypatch.setattr(sp, "CHARACTERS", 10)
+    column = sp.pa.array(texts)
+    cuts = list(sp.stretches(column))
+    assert [i for low, high in cuts for i in range(low, high)] == list(range(len(texts)))
+    for low, high in cuts:
+        assert 0 < high - low <= 3 and (high - low == 1 or sum(len(t or "") for t in texts[low:high]) <= 10)
+    assert list(sp.stretches(column.slice(2, 3))) == [(0, 1), (1, 2), (2, 3)] and list(sp.stretches(column.slice(0, 0))) == []
+    encoder = sp.Encoder(sp.default_path(), 0.1, 0, 0)
+    rows = docs.collect()
+    alone = [(r["doc_id"], tuple(encoder.encode_many([r["text"]], [r["doc_id"]])[0].tolist())) for r in rows]
+    assert sorted(alone) == whole
