@@ -7,13 +7,15 @@ derivatives of the weighted logistic loss, and from them the best split of every
 node of every fold follows. Gradients are kept as multiples of 2**-24, so sums
 are exact integers and trees don't depend on how rows are partitioned.
 
-One aggregate a level returns ``folds * nodes * features * bins`` sums, however
-many rows there are: tasks add up theirs as arrays, Spark adds those up by cell.
-Every ``KEPT_ROUNDS`` rounds the rows are written with their margins, so a task
-applies few trees and a lost executor costs a level. Below ``LOCAL_ROWS`` rows
-(some MB of bins) the 800 levels of a model would be all job overhead: there a
-task a fold runs the same loop over the same sums. Both ways give the same trees
-to the last bit.
+One job a level returns ``folds * nodes * features * bins`` sums, however many
+rows there are: tasks add up theirs as arrays, Spark adds those up as a tree. Rows
+lie in blocks of one fold, feature by feature, with their margins; a round's
+margins are kept by Spark (on disk where memory ends) while its levels are built
+and every ``KEPT_ROUNDS`` rounds as a checkpoint, so a level applies no finished
+tree and a lost executor costs a few rounds of its own blocks. Below
+``LOCAL_ROWS`` rows (some MB of bins) the 800 levels of a model would be all job
+overhead: there a task a fold runs the same loop over the same sums. Both ways
+give the same trees to the last bit.
 """
 
 from __future__ import annotations
@@ -25,15 +27,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensia.session import materialize, ship
+from propensia.session import checkpoint_dir, drop_copy, materialize, ship
 
 BINS = 64
 SCALE = float(1 << 24)
 KEPT_ROUNDS = 10
 LOCAL_ROWS = 1_000_000
+BLOCK, TASK_ROWS = 1 << 16, 1 << 18  # rows of a block (its arrays fit a core's cache) and of a task
 LAMBDA, LEAST_CHILD = 1.0, 1.0
 #: ``bin`` of a node that isn't split: all rows go left.
 ALL_LEFT = 255
@@ -48,12 +52,16 @@ class Tree:
     leaf: np.ndarray
 
     def node(self, bins: np.ndarray, levels: int) -> np.ndarray:
-        """The node of each row at a level, counted from the left."""
-        at = np.zeros(len(bins), dtype=np.int64)
-        rows = np.arange(len(bins))
+        """The node of each row at a level, counted from the left; ``bins`` by feature."""
+        at = np.zeros(bins.shape[1], dtype=np.uint8 if levels <= 8 else np.uint32)
+        feature, last = self.feature.tolist(), self.bin.tolist()  # plain numbers: comparisons stay in bytes
         for level in range(levels):
-            i = (1 << level) - 1 + at
-            at = 2 * at + (bins[rows, np.maximum(self.feature[i], 0)] > self.bin[i])
+            right = np.zeros(len(at), dtype=bool)
+            for n in range(1 << level):
+                i = (1 << level) - 1 + n
+                if feature[i] >= 0:
+                    right |= (at == n) & (bins[feature[i]] > last[i])
+            at = at << 1 | right
         return at
 
     def value(self, bins: np.ndarray) -> np.ndarray:
@@ -68,9 +76,10 @@ def gradients(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tupl
 
 def histograms(bins: np.ndarray, node: np.ndarray, g: np.ndarray, h: np.ndarray, nodes: int) -> np.ndarray:
     """Sums of g and h as array (2, nodes, features, BINS)."""
-    out = np.zeros((2, nodes, bins.shape[1], BINS))
-    for f in range(bins.shape[1]):
-        cell = node * BINS + bins[:, f]
+    out = np.zeros((2, nodes, len(bins), BINS), dtype=np.int64)
+    first = node.astype(np.intp) * BINS
+    for f, column in enumerate(bins):
+        cell = first + column
         for i, values in enumerate((g, h)):
             out[i, :, f] = np.bincount(cell, weights=values, minlength=nodes * BINS).reshape(nodes, BINS)
     return out
@@ -137,22 +146,46 @@ def _rows(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.
     return batch.column("fold").to_numpy(), batch.column("label").to_numpy().astype(float), bins
 
 
+def _blocks(fold: np.ndarray, label: np.ndarray, bins: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(fold, labels, bins by feature) of at most ``BLOCK`` rows of one fold."""
+    for k in np.unique(fold).tolist():
+        own = np.flatnonzero(fold == k)
+        for at in range(0, len(own), BLOCK):
+            rows = own[at : at + BLOCK]
+            yield k, label[rows], np.ascontiguousarray(bins[rows].T)
+
+
+def _block_sums(tree: Tree, level: int, label: np.ndarray, bins: np.ndarray, margin: np.ndarray, weight: float) -> np.ndarray:
+    """A block's histograms below an unfinished tree."""
+    g, h = gradients(margin, label, np.where(label == 1, weight, 1.0))
+    return histograms(bins, tree.node(bins, level), g, h, 1 << level)
+
+
 def boost(data: DataFrame, folds: int, weight: float, rounds: int, depth: int, step: float, local_rows: int = LOCAL_ROWS) -> list[list[Tree]]:
     """Trees of each fold's model, which learns from the rows of the other folds. ``weight``: of positive rows."""
-    small = data.count() <= local_rows
-    return (_boost_in_tasks if small else _boost_by_levels)(data, folds, weight, rounds, depth, step)
+    rows = data.count()
+    if rows <= local_rows:
+        return _boost_in_tasks(data, folds, weight, rounds, depth, step)
+    return _boost_by_levels(data, rows, folds, weight, rounds, depth, step)
 
 
 def _boost_in_tasks(data: DataFrame, folds: int, weight: float, rounds: int, depth: int, step: float) -> list[list[Tree]]:
     def run(key: tuple, table: pa.Table) -> pa.Table:
         k = key[0].as_py()
         fold, label, bins = _rows(table)
-        label, bins = label[fold != k], bins[fold != k]
-        w, margin, trees = np.where(label == 1, weight, 1.0), np.zeros(len(label)), []
+        width = bins.shape[1]
+        blocks = [(y, x) for own, y, x in _blocks(fold, label, bins) if own != k]
+        margins, trees = [np.zeros(len(y)) for y, _ in blocks], []
+
+        def level_sums(level: int, now: list[Tree]) -> list[np.ndarray]:
+            total = np.zeros((2, 1 << level, width, BINS), dtype=np.int64)
+            for (y, x), margin in zip(blocks, margins, strict=True):
+                total += _block_sums(now[0], level, y, x, margin, weight)
+            return [total.astype(float)]
+
         for _ in range(rounds):
-            g, h = gradients(margin, label, w)
-            (tree,) = grow(lambda level, now: [histograms(bins, now[0].node(bins, level), g, h, 1 << level)], 1, depth, step)  # noqa: B023
-            margin = margin + tree.value(bins)
+            (tree,) = grow(level_sums, 1, depth, step)
+            margins = [margin + tree.value(x) for (_, x), margin in zip(blocks, margins, strict=True)]
             trees.append(tree)
         return pa.table({"k": pa.array([k], pa.int32()), "trees": pa.array([json.dumps([_plain(t) for t in trees])])})
 
@@ -161,67 +194,76 @@ def _boost_in_tasks(data: DataFrame, folds: int, weight: float, rounds: int, dep
     return [[_tree(t) for t in found[k]] for k in range(folds)]
 
 
-def _boost_by_levels(data: DataFrame, folds: int, weight: float, rounds: int, depth: int, step: float) -> list[list[Tree]]:
-    first = data.first()
-    width = len(first["bins"])
-    held = data.withColumn("margins", F.array_repeat(F.lit(0.0), folds))
-    done: list[list[Tree]] = [[] for _ in range(folds)]
-    since = 0  # rounds that the written margins don't hold yet
+def _boost_by_levels(data: DataFrame, rows: int, folds: int, weight: float, rounds: int, depth: int, step: float) -> list[list[Tree]]:
+    spark = data.sparkSession
+    checkpoint_dir(spark)
+    width = len(data.first()["bins"])
 
-    def margins(batch: pa.RecordBatch, bins: np.ndarray, recent: list[list[Tree]]) -> np.ndarray:
-        kept = batch.column("margins").flatten().to_numpy(zero_copy_only=False).reshape(len(bins), folds)
-        # tree by tree, as the rounds were: sums of doubles depend on their order
-        columns = []
-        for k in range(folds):
-            margin = kept[:, k]
-            for tree in recent[k]:
-                margin = margin + tree.value(bins)
-            columns.append(margin)
-        return np.column_stack(columns)
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            for k, label, bins in _blocks(*(np.concatenate(c) for c in zip(*held, strict=True))):
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([label.astype(np.uint8).tobytes()], pa.binary()), pa.array([bins.tobytes()], pa.binary())], names=["fold", "labels", "bins"])
 
-    def sums_of(recent: list[list[Tree]], now: list[Tree], level: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((folds, 2, 1 << level, width, BINS))
-            for batch in batches:
-                fold, label, bins = _rows(batch)
-                w, at = np.where(label == 1, weight, 1.0), margins(batch, bins, recent)
-                for k in range(folds):
-                    own = fold != k
-                    g, h = gradients(at[own, k], label[own], w[own])
-                    total[k] += histograms(bins[own], now[k].node(bins[own], level), g, h, 1 << level)
-            g, h = total[:, 0].ravel(), total[:, 1].ravel()
-            cell = np.flatnonzero((g != 0) | (h != 0))
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(g[cell].astype(np.int64)), pa.array(h[cell].astype(np.int64))], names=["cell", "g", "h"])
+        for batch in batches:
+            held.append(_rows(batch))
+            size += batch.num_rows
+            if size >= folds * BLOCK:
+                yield from close()
+                held, size = [], 0
+        if size:
+            yield from close()
+
+    def started(row) -> tuple[np.ndarray, np.ndarray, list[np.ndarray | None]]:
+        label = np.frombuffer(row["labels"], np.uint8)
+        return label, np.frombuffer(row["bins"], np.uint8).reshape(width, -1), [None if k == row["fold"] else np.zeros(len(label)) for k in range(folds)]
+
+    def sums_of(now: list[Tree], level: int):
+        def run(blocks: Iterator) -> Iterator[np.ndarray]:
+            total = np.zeros((folds, 2, 1 << level, width, BINS), dtype=np.int64)
+            for label, bins, margins in blocks:
+                for k, margin in enumerate(margins):
+                    if margin is not None:
+                        total[k] += _block_sums(now[k], level, label, bins, margin, weight)
+            yield total
 
         return run
 
-    def advanced(recent: list[list[Tree]]):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at = margins(batch, _rows(batch)[2], recent)
-                column = pa.ListArray.from_arrays(pa.array(np.arange(0, at.size + 1, folds), pa.int32()), pa.array(at.ravel()))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], column], names=["fold", "label", "bins", "margins"])
+    def advanced(last: list[Tree]):
+        def run(block: tuple) -> tuple:
+            label, bins, margins = block
+            # tree by tree, as the rounds are: sums of doubles depend on their order
+            return label, bins, [None if m is None else m + tree.value(bins) for m, tree in zip(margins, last, strict=True)]
 
         return run
 
-    for _ in range(rounds):
-        recent = [trees[len(trees) - since :] for trees in done]
-
-        def level_sums(level: int, now: list[Tree], recent: list = recent, held: DataFrame = held) -> list[np.ndarray]:
-            parts = held.mapInArrow(sums_of(recent, now, level), "cell long, g long, h long")
-            found = parts.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()  # a row a cell
-            total = np.zeros((2, folds * (1 << level) * width * BINS))
-            cell = found.column("cell").to_numpy()
-            total[0, cell], total[1, cell] = found.column("g").to_numpy(), found.column("h").to_numpy()
-            return list(total.reshape(2, folds, 1 << level, width, BINS).swapaxes(0, 1))
+    parts = max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    blocks = data.repartition(parts).mapInArrow(packed, "fold int, labels binary, bins binary")
+    state = materialize(blocks, "blocks").rdd.map(started).persist(StorageLevel.MEMORY_AND_DISK)
+    done: list[list[Tree]] = [[] for _ in range(folds)]
+    before, written = None, None  # the state that this one is made of; the last checkpoint
+    for n in range(rounds):
+        if n:
+            before, state = state, state.map(advanced([trees[-1] for trees in done])).persist(StorageLevel.MEMORY_AND_DISK)
+            if n % KEPT_ROUNDS == 0:
+                state.checkpoint()
+
+        def level_sums(level: int, now: list[Tree], state=state, before=before) -> list[np.ndarray]:
+            total = state.mapPartitions(sums_of(now, level)).treeReduce(np.add)
+            if level == 0 and before is not None:
+                before.unpersist()
+            return list(total.astype(float))
 
         for trees, tree in zip(done, grow(level_sums, folds, depth, step), strict=True):
             trees.append(tree)
-        since += 1
-        if since == KEPT_ROUNDS:
-            recent = [trees[-since:] for trees in done]
-            held = materialize(held.mapInArrow(advanced(recent), "fold int, label int, bins binary, margins array<double>"), "margins")
-            since = 0
+        if n and n % KEPT_ROUNDS == 0:
+            if written is not None:
+                drop_copy(spark, written)
+            written = state.getCheckpointFile()
+    state.unpersist()
+    if written is not None:
+        drop_copy(spark, written)
     return done
 
 
@@ -234,9 +276,10 @@ def _tree(plain: dict) -> Tree:
 
 
 def raw_margin(trees: list[Tree], bins: np.ndarray) -> np.ndarray:
-    margin = np.zeros(len(bins))
+    """Margins of rows of bins."""
+    margin, columns = np.zeros(len(bins)), np.ascontiguousarray(bins.T)
     for tree in trees:
-        margin = margin + tree.value(bins)
+        margin = margin + tree.value(columns)
     return margin
 
 
