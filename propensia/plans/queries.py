@@ -196,12 +196,12 @@ def engagement_distribution(spark, sf_dir):
 HOLDOUT_DAYS_EVENTS = 10  # only 30 days of events exist (FIXTURES binding)
 
 
-def training_inputs(spark, sf_dir):
+def training_inputs(spark, sf_dir, check_classes: bool = True):
     from propensia.operators.training import prepare_training_frame
 
     gold = events_layers(spark, sf_dir)["gold"]
     labels = A.customer_as_labels(spark, sf_dir)
-    return prepare_training_frame(A.feature_history(gold), labels, check_classes=True)
+    return prepare_training_frame(A.feature_history(gold), labels, check_classes=check_classes)
 
 
 def score9(c):
@@ -608,10 +608,12 @@ def quality_report(spark, sf_dir):
 # ---------------------------------------------------------------- model --
 def _trained(spark, sf_dir):
     """(model, training rows, test rows) with the library's own settings."""
-    from propensia.operators.training import fit_propensity_model, temporal_split
+    from propensia.operators.training import fit_propensity_model, require_classes, temporal_split
     from propensia.session import materialize
 
-    frame = materialize(training_inputs(spark, sf_dir), "training-frame")
+    # both labels are looked for in the written frame: it is made once
+    frame = materialize(training_inputs(spark, sf_dir, check_classes=False), "training-frame")
+    require_classes(frame)
     train, test = temporal_split(frame, HOLDOUT_DAYS_EVENTS)
     return fit_propensity_model(train), train, test
 

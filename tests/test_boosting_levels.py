@@ -4,8 +4,11 @@ import os
 from urllib.parse import urlparse
 
 import numpy as np
+from conftest import SF0001
 
 from propensia.operators import boosting as B
+from propensia.operators import training as T
+from propensia.plans import queries as Q
 
 
 def test_levels_leave_no_copies_of_margins(spark, monkeypatch):
@@ -38,3 +41,13 @@ def test_nodes_equal_a_walk_of_each_row():
                 i = (1 << level) - 1 + at
                 at = 2 * at + int(tree.feature[i] >= 0 and row[tree.feature[i]] > tree.bin[i])
             assert value == tree.leaf[at]
+
+
+def test_the_training_frame_is_made_once(spark, monkeypatch):
+    """Both labels are looked for in the written frame, not in another run of its lineage."""
+    plans = []
+    real = T.require_classes
+    monkeypatch.setattr(T, "require_classes", lambda frame: plans.append(frame._jdf.queryExecution().toString()) or real(frame))
+    monkeypatch.setattr(T, "fit_propensity_model", lambda train: None)
+    Q._trained(spark, SF0001)
+    assert len(plans) == 1 and "Join" not in plans[0] and "Window" not in plans[0]
