@@ -255,3 +255,110 @@ def test_many_contexts_of_a_word_keep_its_sums():
     dense = np.zeros(4 * (hpy.CONTEXTS + 1) + 1)
     dense[at] = values
     assert (dense == state.totals()).all()
+
+
+def test_every_word_has_a_restaurant_of_its_own(spark):
+    """Words of one ending, which share the restaurant above, are followed by words of their own."""
+    n = 200
+    pairs = [(f"{chr(97 + i // 26)}{chr(97 + i % 26)}_same", f"then{i}") for i in range(n)]
+    train = [k for k in range(400) if not held(k)][:24]
+    test = [k for k in range(400) if held(k)][:2]
+    order = np.random.default_rng(2).permutation(n)
+    text = " ".join(w for i in order for w in pairs[i])
+    wrong = " ".join(w for i, j in zip(order, np.roll(order, 1)) for w in (pairs[i][0], pairs[j][1]))
+    docs = [(k, text) for k in train] + [(test[0], text), (test[1], wrong)]
+    rows = {r["doc_id"]: r["score"] for r in hpy.score_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    # with restaurants of endings alone both texts score alike, about log10(1 / 200) a pair
+    assert rows[test[0]] > -n
+    assert rows[test[0]] - rows[test[1]] > 2 * n
+
+
+def followers(texts, buckets=1):
+    batch = hpy.Batch()
+    for i, text in enumerate(texts):
+        batch.add(i, text, False)
+    parts = [data for b, data in batch.rows(buckets) if b >= 0]
+    return hpy.Pairs(parts), hpy.Followers.merge(hpy.Pairs(parts), buckets)
+
+
+def totals_of(state):
+    sums = np.zeros(hpy.SIZE + 3)
+    at, values = state.sums()
+    sums[at] = values
+    return hpy.Totals(sums[: hpy.SIZE]), sums[hpy.SIZE :]
+
+
+def test_probabilities_after_a_word_sum_to_one():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}{'xy'[i % 2]}" for i in np.minimum(rng.geometric(0.15, 60), 30)) for _ in range(40)]
+    pairs, state = followers(texts)
+    counts = Counter(p for t in texts for p in zip([b"", *words_of(t)], words_of(t)))
+    visits = Counter(p for t in texts for p in words_of(t))
+    assert sum(counts.values()) == totals_of(state)[1][0] and sum(v == 1 for v in counts.values()) == totals_of(state)[1][1]
+    hashes = {hpy.xxhash.xxh3_64_intdigest(w): w for w in visits}
+    d, saved, sampled = 0.6, {}, []
+    visited = np.array([visits[hashes[int(h)]] for h in state.names])
+    for n in range(4):
+        own = [hpy.unpress(x) for x in state.sent(1) if x]
+        state.hear([hpy.press(hpy.pack(own[0][1], visited))])
+        state = hpy.Followers.load(state.dump())
+        state.hear([hpy.press(hpy.pack(own[0][1], visited))])
+        state.sweep(totals_of(state)[0], d, rng)
+        assert (state.t >= 1).all() and (state.t <= state.c).all()
+        assert (state.above.c == state.customers(state.t)).all()
+        assert (state.above.t >= 1).all() and (state.above.t <= state.above.c).all()
+        state.sample()
+        names, values = hpy.unpress(state.sent(1)[0])
+        saved[n] = hpy.press(hpy.pack(hpy.from_planes(names), values))
+        sampled.append(totals_of(state)[0])
+    # a part that asks for every word after some words, known, of one occurrence and unknown
+    words = [*visits, b"unknown"]
+    before = [b"", b"w1y", b"w2x", b"w30x", b"never"]
+    ask = sorted((hpy.xxhash.xxh3_64_intdigest(w) for w in words))
+    names = np.array([hpy.xxhash.xxh3_64_intdigest(w) for w in before], np.uint64)
+    k, v = len(before), len(words)
+    own_ends = np.array([hpy.context_of(w) for w in before])
+    part = hpy.press(hpy.pack(hpy.planes(np.array(ask, np.uint64)), np.full(v, k), np.tile(np.arange(k), v), np.zeros(k * v, np.int64), hpy.planes(names), own_ends))
+    batch = hpy.Batch()
+    for i, text in enumerate(texts):
+        batch.add(i, text, False)
+    everything = hpy.Pairs([*(data for b, data in batch.rows(1) if b >= 0), part])
+    *_, data = state.answers(everything, saved)
+    count, c, *arrays = (a.astype(float) for a in hpy.unpress(data))
+    known = dict(zip(ask, count))
+    assert all(known[h] == visits[w] for h, w in hashes.items())
+    got = c.reshape(v, k)
+    assert all(got[i, j] == counts[(before[j], hashes.get(h))] for i, h in enumerate(ask) for j in range(k))
+    ends, dish = np.unique(np.repeat(np.arange(v), k) * hpy.CONTEXTS + np.tile(own_ends, v), return_inverse=True)
+    for n in range(4):
+        fewer, c0, t0, fewer_here, c1, t1 = arrays[6 * n : 6 * n + 6]
+        p_ending = sampled[n].chance(c0, t0, c1, t1, ends // hpy.CONTEXTS, ends % hpy.CONTEXTS)[dish]
+        at = dict(zip(ask, fewer))
+        customers = np.tile([visits[w] for w in before], v)
+        rest = np.tile([at.get(int(h), 0) for h in names], v)
+        p = hpy.served(c, fewer_here, customers, rest, p_ending, d).reshape(v, k)
+        assert p.sum(axis=0) == pytest.approx(1.0, abs=1e-5)
+        assert p[:, -1] == pytest.approx(p_ending.reshape(v, k)[:, -1])  # a word never seen leaves it to its ending
+
+
+@pytest.mark.parametrize(("c", "tables", "ones", "t2"), [(6, 40, 3, 2), (40, 300, 0, 1), (40, 300, 500, 30), (900, 3000, 20, 5)])
+def test_a_sweep_seats_followers_by_the_exact_posterior(c, tables, ones, t2):
+    """Many like dishes after one word, each under a dish of its own: their table counts follow the exact posterior."""
+    n, guess = 1500, max(1, round(c**0.6))
+    words = np.sort(np.random.default_rng(1).choice(2**62, n, replace=False).astype(np.uint64))
+    above = hpy.Restaurants(words, np.ones(n), np.full(n, 5), np.full(n, ones + guess), np.full(n, t2), np.ones(n), [])
+    state = hpy.Followers(above, np.full(n, ones), words[:1], np.array([10**6]), np.arange(n), np.zeros(n), np.full(n, c), np.full(n, guess), [])
+    state.saved[:] = 10**6 - tables
+    sums = np.zeros(hpy.SIZE)
+    m = sums[:-1].reshape(4, -1)
+    m[0], m[1], m[2], m[3], sums[-1] = 10 * tables, tables, 4, 2, 1000
+    d = 0.7
+    t = np.arange(1, c + 1)
+    logs = exact_logs(c, d) + t * math.log(d) + [math.lgamma(1 / d + tables - guess + x) for x in t]
+    logs += exact_column(ones + c, t2, 0.5)[ones + t] - [math.lgamma(1 + 10 * tables - guess + x) for x in t]
+    p = np.exp(logs - logs.max())
+    p /= p.sum()
+    mean, spread = p @ t, math.sqrt(p @ t**2 - (p @ t) ** 2)
+    state.sweep(hpy.Totals(sums), d, np.random.default_rng(7))
+    assert abs(state.t.mean() - mean) < 5 * spread / math.sqrt(n) + 1e-9
+    assert np.abs(np.cumsum(np.bincount(state.t, minlength=c + 1)[1:]) / n - np.cumsum(p)).max() < 0.06
