@@ -16,22 +16,28 @@ So the links are exact, and a group of near copies of any size costs counts and
 edges in proportion to its members, not to its pairs. Only sums and a forest of
 edges leave a task.
 
-How it runs. Vectors equal in label and entries are one vertex with a weight.
-The top of the tree is built by Spark, level by level: every cell (at first a
-label) with more than ``cell_rows`` vertices is parted among at most ``fanout``
-centres that are farthest apart in a bounded sample of it; members go to the
-nearest centre and their covering radii are aggregates. A vertex near a border
-also *visits* cells with smaller numbers: those whose region it may have a
-partner in, by the covering radius and by its distance from the border between
-the two centres; a cell it lies within t of altogether is counted at once. A
-pair of different cells so meets in the one of the smaller number. Cells small
-enough go, with their visitors in blocks of bounded size, to tasks that build
-and traverse the rest of the tree. No cell, label or group of copies has to fit
-a task, and levels are written to the shared folder.
+How it runs. Vectors equal in label and entries are one vertex with a weight;
+which are is decided by a 128-bit digest of the entries. The top of the tree is
+built by Spark, level by level: every cell (at first a label) with more than
+``cell_rows`` vertices is parted among at most ``fanout`` centres that are farthest
+apart in a bounded sample of it; members go to the nearest centre and their
+covering radii are aggregates. In a cell within t / 2 of its centre all pairs link;
+it is not parted, and counts by its weight. Cells are put side by side into blocks
+of about ``visitors`` vertices. A task builds the trees of a block's cells, visits
+each with itself, and writes the block to the shared folder: vectors as they came,
+ordered by the nodes of the lowest level. Then the blocks of a label meet, ``GROUP``
+of them with as many at a time, each pair of groups in one task that reads them
+from there: no vector is copied to where it has partners, so disk is a few times the
+input whatever the data. Cells farther apart than their radii and t are left out
+unread; of the others the lowest nodes are screened by an orthogonal projection to
+few dimensions, in which nothing lies farther apart than it does, and only pairs of
+nodes that may be near are visited. No cell, label or group of copies has to fit a
+task.
 
 Limits: the pruning is as good as the data's intrinsic dimension lets it be.
 On noise in 64 dimensions all vectors are about equally far apart and no exact
-metric tree prunes much, so work within a label then grows with its square.
+metric tree prunes much, so work within a label then grows with its square (the
+screen makes a pair cheap, not rare).
 """
 
 from __future__ import annotations
@@ -40,11 +46,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from propensia.llm.common import materialize, ship
+from propensia.llm.common import drop_copy, materialize, release, scratch_path, ship
 from propensia.llm.components import components
+from propensia.llm.pitman_yor import pack, press, smallest, unpress
+from propensia.llm.warc import open_store
 
 THRESHOLD = 0.98
 CELL_ROWS, VISITORS, FANOUT, SAMPLE = 2048, 8192, 16, 512
@@ -52,6 +60,8 @@ CELL_ROWS, VISITORS, FANOUT, SAMPLE = 2048, 8192, 16, 512
 SLACK = 1e-6
 #: Node pairs looked at in one go.
 CHUNK = 1 << 20
+#: Blocks that are held at once; dimensions of the screen, whose single precision errs by less than SCREEN_SLACK.
+GROUP, SCREEN, SCREEN_SLACK = 8, 16, 1e-4
 
 
 class Tree:
@@ -96,7 +106,8 @@ class Tree:
         self.weights = weight[self.order]
         total = np.concatenate([[0], np.cumsum(self.weights)])
         self.levels = []
-        places = np.array(centres, dtype=np.int64)
+        places, back = np.array(centres, dtype=np.int64), np.empty(len(near), dtype=np.int64)
+        back[self.order] = np.arange(len(near))
         starts_below = None
         for chain in reversed(chains):
             own = chain[self.order]
@@ -104,6 +115,9 @@ class Tree:
             hi = np.append(lo[1:], len(own))
             centre = self.x[places[own[lo]]]
             spread = _rows_distance(self.members, np.repeat(centre, hi - lo, axis=0))
+            spread[back[places[own[lo]]]] = 0.0  # of a centre itself
+            if starts_below is None:
+                self.place = back[places[own[lo]]]  # of the lowest centres among the members
             node = {"centre": centre, "lo": lo, "hi": hi, "radius": np.maximum.reduceat(spread, lo), "weight": total[hi] - total[lo]}
             if starts_below is not None:
                 node["first"] = np.searchsorted(starts_below, lo)
@@ -130,6 +144,15 @@ class Links:
 
     def join(self, a: np.ndarray, b: np.ndarray) -> None:
         """Join the components of each a and b."""
+        if len(a) > 4 * len(self.root):  # one pair of each vertex first: few of the others are left
+            for u, v in ((a, b), (b, a)):
+                last = np.full(len(self.root), -1)
+                last[u] = v
+                some = np.flatnonzero(last >= 0)
+                self.join(some, last[some])
+            root = self.find(np.arange(len(self.root)))
+            apart = root[a] != root[b]
+            a, b = a[apart], b[apart]
         while True:
             x, y = self.find(a), self.find(b)
             apart = x != y
@@ -153,10 +176,13 @@ def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
 
 
-def dual(a: Tree, b: Tree, at_a: np.ndarray, at_b: np.ndarray, links: Links, threshold: float) -> None:
+def dual(
+    a: Tree, b: Tree, at_a: np.ndarray, at_b: np.ndarray, links: Links, threshold: float, pairs: tuple[np.ndarray, np.ndarray] | None = None
+) -> None:
     """Add all links between members of ``a`` and of ``b`` (``a is b``: within it, each pair once).
 
     ``at_a``, ``at_b``: the vertex of each member of a tree, in its order.
+    ``pairs``: of trees of one level, the pairs of nodes to visit (else: from the top).
     """
     t = float(np.sqrt(2.0 - 2.0 * threshold))
     same = a is b
@@ -167,17 +193,17 @@ def dual(a: Tree, b: Tree, at_a: np.ndarray, at_b: np.ndarray, links: Links, thr
 
     def flood(tree: Tree, at: np.ndarray, node: dict, which: np.ndarray) -> None:
         """Join all members of nodes, which are linked by one partner."""
-        which = np.unique(which)
+        which = np.flatnonzero(np.bincount(which, minlength=1))
+        which = which[node["hi"][which] - node["lo"][which] > 1]
         lo, hi = node["lo"][which], node["hi"][which]
         links.join(at[np.repeat(lo, hi - lo)], at[_ranges(lo, hi)])
 
     def whole(i: int, p: np.ndarray, q: np.ndarray) -> None:
         """All pairs between the nodes p and q of level i link."""
         x, y = level(a, i), level(b, i)
-        to_p, to_q = np.zeros(len(x["lo"]), dtype=np.int64), np.zeros(len(y["lo"]), dtype=np.int64)
         itself = (p == q) if same else np.zeros(len(p), dtype=bool)
-        np.add.at(to_p, p, y["weight"][q])
-        np.add.at(to_q, q[~itself], x["weight"][p[~itself]])
+        to_p = np.bincount(p, weights=y["weight"][q], minlength=len(x["lo"])).astype(np.int64)
+        to_q = np.bincount(q[~itself], weights=x["weight"][p[~itself]], minlength=len(y["lo"])).astype(np.int64)
         for tree, at, node, more, which in ((a, at_a, x, to_p, p), (b, at_b, y, to_q, q)):
             got = np.flatnonzero(more)
             lo, hi = node["lo"][got], node["hi"][got]
@@ -277,44 +303,154 @@ def dual(a: Tree, b: Tree, at_a: np.ndarray, at_b: np.ndarray, links: Links, thr
             settle(i + 1, u, v, _rows_distance(x["centre"][u], y["centre"][v]))
             at = stop
 
-    top = np.zeros(1, dtype=np.int64)
-    settle(0, top, top, _rows_distance(a.levels[0]["centre"], b.levels[0]["centre"]))
+    if pairs is None:
+        top = np.zeros(1, dtype=np.int64)
+        pairs = top, top
+    p, q = pairs
+    settle(0, p, q, _rows_distance(a.levels[0]["centre"][p], b.levels[0]["centre"][q]))
 
 
-# ---- the top of the tree, by Spark ----
+class Block:
+    """The lowest nodes of several cells' trees as a tree of one level.
 
-#: A state row: vertex v of weight w with unit vector x (doubles as bytes), at home in or visiting a cell.
-PLACE = "space string, cell string, v long, w long, home boolean, x binary"
+    ``members`` and ``weights`` by node; ``name`` of each cell, ``cell`` of each node,
+    ``ball``: centre and radius of all members of each cell.
+    """
 
+    def __init__(self, members: np.ndarray, weights: np.ndarray, lo: np.ndarray, place: np.ndarray, radius: np.ndarray, cell: np.ndarray, name: list[str]):
+        hi = np.append(lo[1:], len(members))
+        total = np.concatenate([[0], np.cumsum(weights)])
+        self.members, self.weights, self.place, self.cell, self.name = members, weights, place, cell, name
+        self.levels = [{"centre": members[place], "lo": lo, "hi": hi, "radius": radius, "weight": total[hi] - total[lo]}]
+        self.nodes = np.searchsorted(cell, np.arange(len(name) + 1))
+        self.ball = balls(members, np.append(lo, len(members))[self.nodes])
+        self.low = _screen(self.levels[0]["centre"])
+
+    @classmethod
+    def of_trees(cls, trees: list[Tree], names: list[str]) -> Block:
+        ends = np.cumsum([0] + [len(tree.members) for tree in trees])
+        lowest = [tree.levels[-1] for tree in trees]
+        lo = np.concatenate([node["lo"] + at for node, at in zip(lowest, ends)])
+        place = np.concatenate([tree.place + at for tree, at in zip(trees, ends)])
+        cell = np.repeat(np.arange(len(trees)), [len(node["lo"]) for node in lowest])
+        join = lambda what: np.concatenate([getattr(tree, what) for tree in trees])
+        return cls(join("members"), join("weights"), lo, place, np.concatenate([node["radius"] for node in lowest]), cell, names)
+
+
+def balls(members: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A centre and the radius around it of each run of members."""
+    out = []
+    for a, b in zip(ends[:-1], ends[1:]):
+        centre = members[a:b].mean(axis=0)
+        size = np.linalg.norm(centre)
+        centre = centre / size if size > 1e-9 else members[a]
+        out.append(np.append(centre, _distance(members[a:b], centre).max() + SLACK))
+    return np.array(out)
+
+
+def apart(a: np.ndarray, b: np.ndarray, t: float) -> np.ndarray:
+    """Which balls of ``a`` and of ``b`` have no members within t of each other."""
+    gap = np.sqrt(np.maximum(2.0 - 2.0 * (a[:, :-1] @ b[:, :-1].T), 0.0))
+    return gap > a[:, -1][:, None] + b[:, -1][None, :] + t + SLACK
+
+
+def _screen(x: np.ndarray) -> np.ndarray:
+    """Rows u of ``x`` projected, with what makes u . v' of them minus half their squared distance."""
+    dims = x.shape[1]
+    if dims > SCREEN:
+        axes, _ = np.linalg.qr(np.random.default_rng(dims).normal(size=(dims, SCREEN)))
+        x = x @ axes
+    half = -0.5 * np.einsum("ij,ij->i", x, x)
+    return np.column_stack([x, half, np.ones(len(x))]).astype(np.float32)
+
+
+def across(a: Block, b: Block, links: Links, threshold: float, at_a: np.ndarray, at_b: np.ndarray) -> None:
+    """Add all links between members of ``a`` and of ``b`` that lie in different cells (``a is b``: each pair once)."""
+    t = float(np.sqrt(2.0 - 2.0 * threshold))
+    near = ~apart(a.ball, b.ball, t)
+    near &= np.array(a.name, dtype=object)[:, None] != np.array(b.name, dtype=object)[None, :]
+    if a is b:
+        near = np.triu(near, 1)
+    right = b.low.copy()
+    right[:, -2:] = b.low[:, :-3:-1]
+    x, y = a.levels[0]["radius"], b.levels[0]["radius"]
+
+    def kinds(block: Block, cells: np.ndarray, radius: np.ndarray) -> list[np.ndarray]:
+        """Nodes of one vector, and others."""
+        nodes = _ranges(block.nodes[cells], block.nodes[cells + 1])
+        return [nodes[radius[nodes] == 0.0], nodes[radius[nodes] > 0.0]]
+
+    for cell in np.flatnonzero(near.any(axis=1)):
+        others = kinds(b, np.flatnonzero(near[cell]), y)
+        for p in kinds(a, np.array([cell]), x):
+            for q in others:
+                if not (len(p) and len(q)):
+                    continue
+                reach = x[p].max() + y[q].max() + t
+                least, there = np.float32(-0.5 * reach * reach - SCREEN_SLACK), right[q].T
+                step = max(1, CHUNK // len(q))
+                for lo in range(0, len(p), step):
+                    likeness = a.low[p[lo : lo + step]] @ there
+                    if likeness.max() >= least:
+                        u, v = np.nonzero(likeness >= least)
+                        dual(a, b, at_a, at_b, links, threshold, (p[lo + u], q[v]))
 
-def vertices(vectors: DataFrame, *, key: str, vector: str, label: str) -> tuple[DataFrame, DataFrame]:
-    """(rows with id, space, entries; vertices with v, w, id, space, entries, x), both written.
+
+# ---- the top of the tree, by Spark ----
+
+
+def vertices(vectors: DataFrame, *, key: str, vector: str, label: str) -> tuple[DataFrame, DataFrame, str]:
+    """Rows with id, space, digest; vertices with v, w, id, space, digest, x; where these are written.
 
     ``space`` names what is compared with each other: label and length. It is
-    null, as ``entries`` then is, where a vector links with nothing.
+    null, as ``digest`` then is, where a vector links with nothing. ``x`` are the
+    entries as bytes, in single precision if they came so.
     """
-    entries = F.transform(F.col(vector).cast("array<double>"), lambda c: c + F.lit(0.0))  # -0.0 becomes 0.0
+    spark = vectors.sparkSession
+    single = vectors.schema[vector].dataType.simpleString() == "array<float>"
+    kind = "float" if single else "double"
+    entries = F.transform(F.col(vector).cast(f"array<{kind}>"), lambda c: c + F.lit(0.0).cast(kind))  # -0.0 becomes 0.0
     bad = F.exists(entries, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))))
     whole = F.col(label).isNotNull() & (F.size(entries) > 0) & ~F.coalesce(bad, F.lit(True)) & F.exists(entries, lambda c: c != 0)
     space = F.concat(F.size(entries).cast("string"), F.lit("|"), F.col(label).cast("string"))
     rows = vectors.select(F.col(key).alias("id"), F.when(whole, space).alias("space"), F.when(whole, entries).alias("entries"))
-    rows = materialize(rows, "vectors")
-    grouped = rows.filter("space is not null").groupBy("space", "entries").agg(F.count("*").alias("w"), F.min("id").alias("id"))
-    numbered = grouped.select(F.monotonically_increasing_id().alias("v"), "w", "id", "space", "entries")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = []
-            for e in batch.column("entries"):
-                e = e.values.to_numpy(zero_copy_only=False)
-                e = e / np.abs(e).max()
-                x.append((e / np.linalg.norm(e)).tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(x, pa.binary())], names=[*batch.schema.names, "x"])
+        import hashlib
 
-    ship(rows.sparkSession)
-    kind = numbered.schema["id"].dataType.simpleString()
-    made = numbered.mapInArrow(run, f"v long, w long, id {kind}, space string, entries array<double>, x binary")
-    return rows, materialize(made, "vertices")
+        for batch in batches:
+            column = batch.column("entries")
+            flat = memoryview(column.flatten().to_numpy(zero_copy_only=False)).cast("B")
+            ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy()) * (4 if single else 8)
+            valid = column.is_valid().to_numpy(zero_copy_only=False)
+            x = [flat[lo:hi] if ok else None for lo, hi, ok in zip([0, *ends.tolist()], ends.tolist(), valid.tolist())]
+            digest = [None if e is None else hashlib.blake2b(e, digest_size=16).digest() for e in x]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(digest, pa.binary()), pa.array(x, pa.binary())], names=["id", "space", "digest", "x"])
+
+    ship(spark)
+    name = rows.schema["id"].dataType.simpleString()
+    raw, raw_path = _written(rows.mapInArrow(run, f"id {name}, space string, digest binary, x binary"), "vectors")
+    grouped = raw.filter("space is not null").groupBy("space", "digest").agg(F.count("*").alias("w"), F.min("id").alias("id"), F.min("x").alias("x"))
+    points, path = _written(grouped.select(F.monotonically_increasing_id().alias("v"), "w", "id", "space", "digest", "x"), "vertices")
+    rows = materialize(raw.select("id", "space", "digest"), "rows")
+    drop_copy(spark, raw_path)
+    release(spark)
+    return rows, points, path
+
+
+def _written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def _units(values: list[bytes], dims: int) -> np.ndarray:
+    """Entries as bytes, in single or double precision, as unit vectors in double."""
+    if not values:
+        return np.zeros((0, dims))
+    x = np.frombuffer(b"".join(values), "<f4" if len(values[0]) == 4 * dims else "<f8").reshape(-1, dims).astype(float)
+    x /= np.abs(x).max(axis=1)[:, None]
+    return x / np.linalg.norm(x, axis=1)[:, None]
 
 
 def _blocks(rows: DataFrame, heads: DataFrame, per_block: int) -> DataFrame:
@@ -326,8 +462,8 @@ def _blocks(rows: DataFrame, heads: DataFrame, per_block: int) -> DataFrame:
     count = F.greatest(F.lit(1), F.ceil(F.col("many") / per_block)).cast("int")
     sized = rows.join(heads.select("space", "cell", count.alias("blocks")), ["space", "cell"])
     block = F.pmod(F.xxhash64("v", F.lit(7)), F.col("blocks")).cast("int")
-    own = sized.select("space", "cell", block.alias("block"), F.lit(None).cast("binary").alias("info"), "v", "w", "child", "x")
-    none = [F.lit(None).cast("long").alias("v"), F.lit(None).cast("long").alias("w"), F.lit(None).cast("int").alias("child"), F.lit(None).cast("binary").alias("x")]
+    own = sized.select("space", "cell", block.alias("block"), F.lit(None).cast("binary").alias("info"), "v", "w", "x")
+    none = [F.lit(None).cast("long").alias("v"), F.lit(None).cast("long").alias("w"), F.lit(None).cast("binary").alias("x")]
     first = heads.select("space", "cell", F.explode(F.sequence(F.lit(0), count - 1)).alias("block"), "info", *none)
     dealt = first.unionByName(own).repartition("space", "cell", "block")
     return dealt.sortWithinPartitions("space", "cell", "block", F.col("v").asc_nulls_first())
@@ -353,11 +489,6 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
         yield now, pa.Table.from_batches(parts)
 
 
-def _vectors(column: pa.ChunkedArray) -> np.ndarray:
-    values = column.to_pylist()
-    return np.frombuffer(b"".join(values)).reshape(len(values), -1)
-
-
 def _dims(space: str) -> int:
     return int(space.split("|", 1)[0])
 
@@ -380,7 +511,7 @@ def _assign(dealt: DataFrame) -> DataFrame:
                 continue
             centres = np.frombuffer(group.column("info")[0].as_py()).reshape(-1, _dims(space))
             rows = group.slice(1)
-            x = _vectors(rows.column("x"))
+            x = _units(rows.column("x").to_pylist(), _dims(space))
             near = np.argmax(x @ centres.T, axis=1)
             gap = _rows_distance(x, centres[near])
             columns = [rows.column(c).combine_chunks() for c in ("space", "cell", "v", "w")]
@@ -389,69 +520,121 @@ def _assign(dealt: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "space string, cell string, v long, w long, child int, gap double, x binary")
 
 
-def _route(dealt: DataFrame, t: float) -> DataFrame:
-    """Where each row goes: kind 0 home, 1 visit, 2 within t of the whole cell.
+FOUND = pa.schema(
+    [("v", pa.int64()), ("links", pa.int64()), ("root", pa.int64()), ("space", pa.string()), ("block", pa.int64()), ("file", pa.string()), ("balls", pa.binary())]
+)
+FOUND_DDL = "v long, links long, root long, space string, block long, file string, balls binary"
 
-    Members (``child`` set) visit cells with smaller numbers than their own,
-    visitors any. A cell is left out if its covering radius, or the border
-    between its centre and a nearer one, keeps it farther away than t.
-    """
+
+def _found(v: np.ndarray, links: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
+    """Links of vertices and edges to their roots."""
+    got = np.flatnonzero((links != 0) | (root != np.arange(len(root))))
+    none = [pa.nulls(len(got), f.type) for f in list(FOUND)[3:]]
+    return pa.RecordBatch.from_arrays([pa.array(v[got]), pa.array(links[got]), pa.array(v[root[got]]), *none], schema=FOUND)
+
+
+def _build(dealt: DataFrame, threshold: float, folder: str) -> DataFrame:
+    """Links within blocks, and of each block whose space has others the file it is written to."""
+    t = float(np.sqrt(2.0 - 2.0 * threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (space, _, _), group in _groups(batches, 3):
-            if group.num_rows < 2:
-                continue
-            dims = _dims(space)
-            info = np.frombuffer(group.column("info")[0].as_py()).reshape(-1, dims + 1)
-            centres, radius = info[:, :dims], info[:, dims]
-            rows = group.slice(1)
-            x = _vectors(rows.column("x"))
-            child = np.array([-1 if c is None else c for c in rows.column("child").to_pylist()])
-            cos = x @ centres.T
-            gap = np.sqrt(np.maximum(2.0 - 2.0 * cos, 0.0))
-            goes = gap <= radius + t + SLACK
-            apart = np.sqrt(np.maximum(2.0 - 2.0 * (centres @ centres.T), 0.0))
-            for c in range(len(centres)):  # beyond the border with any other centre by more than t
-                beyond = cos - cos[:, [c]]
-                goes[:, c] &= (beyond <= (t + SLACK) * apart[c] + SLACK).all(axis=1)
-            goes &= (child[:, None] < 0) | (np.arange(len(centres)) < child[:, None])
-            kind = np.where(gap + radius <= t - SLACK, 2, 1) * goes
-            home = child >= 0
-            at, to = np.nonzero(kind)
-            at, to, what = np.concatenate([at, np.flatnonzero(home)]), np.concatenate([to, child[home]]), np.concatenate([kind[at, to], np.zeros(home.sum(), dtype=np.int64)])
-            for lo in range(0, len(at), 16384):
-                k = slice(lo, lo + 16384)
-                moved = rows.take(pa.array(at[k]))
-                columns = [moved.column(c).combine_chunks() for c in ("space", "cell", "v", "w")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(to[k].astype(np.int32)), pa.array(what[k].astype(np.int32)), moved.column("x").combine_chunks()], names=["space", "cell", "v", "w", "child", "kind", "x"])
-
-    return dealt.mapInArrow(run, "space string, cell string, v long, w long, child int, kind int, x binary")
-
-
-def _traverse(dealt: DataFrame, threshold: float) -> DataFrame:
-    """(v, links, root) of the vertices that link in a block: members with members, visitors with members."""
+        import uuid
+
+        for (space, number), group in _groups(batches, 2):
+            raw, names = group.column("x").to_pylist(), np.array(group.column("cell").to_pylist(), dtype=object)
+            x, v, w = _units(raw, _dims(space)), group.column("v").to_numpy(), group.column("w").to_numpy()
+            ends = np.append(np.flatnonzero(np.append(True, names[1:] != names[:-1])), len(names))
+            tight = group.column("tight").to_pylist()
+            links, trees = Links(len(x)), []
+            for lo, hi in zip(ends[:-1], ends[1:]):
+                tree = Tree(x[lo:hi], w[lo:hi], t / 2)
+                at = lo + tree.order
+                if tight[lo]:
+                    links.join(at[1:], np.full(hi - lo - 1, at[0]))
+                else:
+                    dual(tree, tree, at, at, links, threshold)
+                trees.append(tree)
+            order = np.concatenate([lo + tree.order for lo, tree in zip(ends[:-1], trees)])
+            block = Block.of_trees(trees, names[ends[:-1]].tolist())
+            across(block, block, links, threshold, order, order)
+            root = links.find(np.arange(len(x)))
+            yield _found(v, links.count, root)
+            if group.column("many")[0].as_py():
+                store, path = open_store(folder)
+                path = f"{path}/{uuid.uuid4().hex}"
+                back = np.empty(len(order), dtype=np.int64)
+                back[order] = np.arange(len(order))
+                level = block.levels[0]
+                arrays = (v[order], w[order], smallest(level["lo"]), smallest(block.place), level["radius"], smallest(block.cell), smallest(back[root[order]]))
+                cells = np.frombuffer("\n".join(block.name).encode(), np.uint8)
+                with store.open_output_stream(path) as out:
+                    out.write(press(pack(*arrays, cells, np.frombuffer(b"".join(raw[i] for i in order), np.uint8))))
+                row = (None, None, None, space, number, path.rsplit("/", 1)[1], block.ball.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, FOUND)], schema=FOUND)
+
+    return dealt.mapInArrow(run, FOUND_DDL)
+
+
+def _read_block(store, path: str, dims: int) -> tuple[Block, np.ndarray, np.ndarray]:
+    """A written block, its vertices and the place of each one's root."""
+    with store.open_input_stream(path) as source:
+        v, w, lo, place, radius, cell, root, cells, raw = unpress(source.read())
+    x = _units([r.tobytes() for r in raw.reshape(len(v), -1)], dims)
+    whole = [a.astype(np.int64) for a in (lo, place, cell, root)]
+    return Block(x, w, whole[0], whole[1], radius, whole[2], cells.tobytes().decode().split("\n")), v, whole[3]
+
+
+def _meet(groups: DataFrame, catalog: str, folder: str, threshold: float) -> DataFrame:
+    """Links between blocks: each group (space, number, of how many) with itself and half of the others."""
     t = float(np.sqrt(2.0 - 2.0 * threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, group in _groups(batches, 4):
-            home = np.array(group.column("home").to_pylist())
-            inner = bool(group.column("inner")[0].as_py())
-            if not home.any() or (not inner and home.all()):
-                continue
-            x, v, w = _vectors(group.column("x")), group.column("v").to_numpy(), group.column("w").to_numpy()
-            at = np.flatnonzero(home)
-            links, tree = Links(len(x)), Tree(x[at], w[at], t / 2)
-            if inner:
-                dual(tree, tree, at[tree.order], at[tree.order], links, threshold)
-            if len(at) < len(x):
-                out = np.flatnonzero(~home)
-                guests = Tree(x[out], w[out], t / 2)
-                dual(tree, guests, at[tree.order], out[guests.order], links, threshold)
-            got = np.flatnonzero(links.count)
-            if len(got):
-                yield pa.RecordBatch.from_arrays([pa.array(v[got]), pa.array(links.count[got]), pa.array(v[links.find(got)])], names=["v", "links", "root"])
-
-    return dealt.mapInArrow(run, "v long, links long, root long")
+        import pyarrow.parquet as pq
+
+        for r in (r for batch in batches for r in batch.to_pylist()):
+            dims, many = _dims(r["space"]), r["groups"]
+            store, path = open_store(catalog)
+            listed = pq.read_table(path, filesystem=store, filters=[("space", "==", r["space"])]).sort_by("block").to_pylist()
+            groups: list[list[dict]] = [[] for _ in range(many)]
+            for b in listed:
+                groups[b["block"] // GROUP].append(b | {"balls": np.frombuffer(b["balls"]).reshape(-1, dims + 1)})
+            store, path = open_store(folder)
+            home = [(b["balls"], *_read_block(store, f"{path}/{b['file']}", dims)) for b in groups[r["number"]]]
+            counts = [np.zeros(len(v), dtype=np.int64) for _, _, v, _ in home]
+            # Of an even number of groups the opposite one is met by the smaller number.
+            steps = [k for k in range(1, many // 2 + 1) if 2 * k < many or r["number"] < many // 2]
+
+            def meet(i: int, ball: np.ndarray, other: Block, v: np.ndarray, root: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+                _, block, own, own_root = home[i]  # noqa: B023
+                links, n = Links(len(own) + len(v)), len(own)
+                links.root = np.concatenate([own_root, root + n])
+                began = links.root.copy()
+                across(block, other, links, threshold, np.arange(n), n + np.arange(len(v)))
+                counts[i] += links.count[:n]  # noqa: B023
+                count += links.count[n:]
+                roots = np.unique(began)
+                moved = roots[links.find(roots) != roots]
+                if len(moved):
+                    both = np.concatenate([own, v])
+                    none = [pa.nulls(len(moved), f.type) for f in list(FOUND)[3:]]
+                    yield pa.RecordBatch.from_arrays([pa.array(both[moved]), pa.array(np.zeros(len(moved), np.int64)), pa.array(both[links.find(moved)]), *none], schema=FOUND)
+
+            for i, j in ((i, j) for i in range(len(home)) for j in range(i + 1, len(home))):
+                if not apart(home[i][0], home[j][0], t).all():
+                    yield from meet(i, *home[j], counts[j])
+            for k in steps:
+                for b in groups[(r["number"] + k) % many]:
+                    partners = [i for i in range(len(home)) if not apart(home[i][0], b["balls"], t).all()]
+                    if partners:
+                        other, v, root = _read_block(store, f"{path}/{b['file']}", dims)
+                        count = np.zeros(len(v), dtype=np.int64)
+                        for i in partners:
+                            yield from meet(i, b["balls"], other, v, root, count)
+                        yield _found(v, count, np.arange(len(v)))
+            for (_, _, v, _), count in zip(home, counts):
+                yield _found(v, count, np.arange(len(v)))
+
+    return groups.mapInArrow(run, FOUND_DDL)
 
 
 def near_duplicates(
@@ -484,94 +667,95 @@ def near_duplicates(
         raise ValueError("threshold must lie in [0.5, 1)")
     spark = vectors.sparkSession
     t = float(np.sqrt(2.0 - 2.0 * threshold))
-    rows, points = vertices(vectors, key=key, vector=vector, label=label)
-    finished, taken, tight = [], [], []  # states at rest; (space, cell, v, w) taken whole; cells where all pairs link
-    state = points.select("space", F.lit("").alias("cell"), "v", "w", F.lit(True).alias("home"), "x")
-    sizes = state.groupBy("space", "cell").agg(F.count("*").alias("n"), F.sum("w").alias("weight"))
-    cells = materialize(sizes, "cells")
-    large = cells.filter(F.col("n") > cell_rows)
-    if not large.isEmpty():
-        first = state.join(large, ["space", "cell"]).groupBy("space", "cell").agg(F.min_by("x", F.xxhash64("v")).alias("info"))
-        heads = large.join(first, ["space", "cell"]).select("space", "cell", F.col("n").alias("many"), "info")
-        at = _assign(_blocks(state.withColumn("child", F.lit(None).cast("int")), heads, visitors))
-        reach = at.groupBy("space", "cell").agg(F.max("gap").alias("radius"), F.max_by("x", "gap").alias("far"))
-        cells = cells.join(reach.join(first.withColumnRenamed("info", "centre"), ["space", "cell"]), ["space", "cell"], "left")
-    else:
-        cells = cells.select("*", F.lit(None).cast("double").alias("radius"), F.lit(None).cast("binary").alias("far"), F.lit(None).cast("binary").alias("centre"))
-    cells = materialize(cells, "cells")
+    rows, points, path = vertices(vectors, key=key, vector=vector, label=label)
+    known = materialize(points.select("v", "w", "id", "space", "digest"), "known")
+    state, path, cells = _parted(points, path, t, cell_rows, visitors, fanout, sample)
+    tight = F.coalesce(F.col("radius") <= (t - SLACK) / 2, F.lit(False))
+    # Cells side by side in blocks; a cell of more than a block (all its pairs link) in several.
+    before = Window.partitionBy("space").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / visitors)
+    pieces = F.greatest(F.lit(1), F.ceil(F.col("n") / visitors))
+    laid = cells.select("space", "cell", "n", "weight", tight.alias("tight"), start.alias("start"), pieces.alias("pieces"))
+    last = F.max(F.col("start") + F.col("pieces")).over(Window.partitionBy("space"))
+    laid = materialize(laid.select("*", last.alias("blocks")), "laid")
+    number = (F.col("start") + F.pmod(F.xxhash64("v", F.lit(7)), F.col("pieces"))).cast("long")
+    sized = state.join(laid, ["space", "cell"]).select("space", number.alias("block"), "cell", "tight", (F.col("blocks") > 1).alias("many"), "v", "w", "x")
+    dealt = sized.repartition("space", "block").sortWithinPartitions("space", "block", "cell", "v")
+    folder = scratch_path(spark, "blocks")
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(target)
+    found = [materialize(_build(dealt, threshold, folder), "found")]
+    inside = state.join(laid.filter("tight"), ["space", "cell"]).select("v", "w", "space", "cell", "weight")
+    inside = materialize(inside, "inside")
+    drop_copy(spark, path)
+    release(spark)
+    catalog, catalog_path = _written(found[0].filter("file is not null").select("space", "block", "file", "balls"), "catalog")
+    groups = catalog.groupBy("space").agg((F.floor(F.max("block") / GROUP) + 1).cast("int").alias("groups"))
+    groups = groups.select("space", "groups", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("number"))
+    groups = materialize(groups, "groups")
+    tasks = min(groups.count(), 100_000)
+    if tasks:
+        place = F.pmod(F.monotonically_increasing_id(), F.lit(tasks)).cast("int")
+        found.append(materialize(_meet(groups.coalesce(1).withColumn("place", place).repartitionById(tasks, "place").drop("place"), catalog_path, folder, threshold), "found"))
+    drop_copy(spark, folder)
+    return _gather(rows, known, found, inside, key)
+
+
+def _parted(points: DataFrame, path: str, t: float, cell_rows: int, visitors: int, fanout: int, sample: int) -> tuple[DataFrame, str, DataFrame]:
+    """Vertices with their cells, where these are written, and the cells: (space, cell, n, weight, radius).
+
+    Each level is one copy of the vertices, and the one before it is deleted.
+    """
+    spark = points.sparkSession
+    state = points.select("space", F.lit("").alias("cell"), "v", "w", "x")
+    sizes = state.groupBy("space", "cell").agg(F.count("*").alias("n"), F.sum("w").alias("weight"), F.min_by("x", F.xxhash64("v")).alias("far"))
+    cells = materialize(sizes.select("*", F.lit(None).cast("double").alias("radius"), F.lit(None).cast("binary").alias("centre")), "cells")
     level = 0
     while True:
-        clique = F.coalesce(F.col("radius") <= (t - SLACK) / 2, F.lit(False))
-        split = (F.col("n") > cell_rows) & ~clique
+        split = (F.col("n") > cell_rows) & ~F.coalesce(F.col("radius") <= (t - SLACK) / 2, F.lit(False))
         busy = cells.filter(split)
-        going_on = not busy.isEmpty()
-        rest = cells.filter(~split)
-        finished.append(state.join(rest.select("space", "cell", "n", clique.alias("tight")), ["space", "cell"]))
-        tight.append(rest.filter(clique).select("space", "cell", F.col("weight").alias("gain"), F.lit(True).alias("tight")))
-        if not going_on:
-            break
+        if busy.isEmpty():
+            return state, path, cells
         level += 1
-        guests = state.filter("not home").groupBy("space", "cell").agg(F.count("*").alias("guests"))
-        busy = busy.join(guests, ["space", "cell"], "left").select("*", (F.col("n") + F.coalesce("guests", F.lit(0))).alias("many"))
         active = state.join(busy.select("space", "cell", "n"), ["space", "cell"])
         drawn = F.pmod(F.xxhash64("v", F.lit(level)), F.lit(1 << 30)) < F.lit(float(sample) * (1 << 30)) / F.col("n")
-        samples = active.filter(F.col("home") & drawn).groupBy("space", "cell").agg(F.sort_array(F.collect_list("x")).alias("sample"))
-        picked = busy.join(samples, ["space", "cell"], "left").select("space", "cell", "n", "many", "radius", "centre", "far", "sample")
+        samples = active.filter(drawn).groupBy("space", "cell").agg(F.sort_array(F.collect_list("x")).alias("sample"))
+        picked = busy.join(samples, ["space", "cell"], "left").select("space", "cell", "n", "radius", "centre", "far", "sample")
         heads = materialize(_centres(picked, cell_rows, fanout), "centres")
-        members = active.filter("home").withColumn("child", F.lit(None).cast("int"))
-        assigned = materialize(_assign(_blocks(members, heads.withColumn("many", F.col("n")), visitors)), "assigned")
-        parts = assigned.groupBy("space", "cell", "child").agg(
+        assigned = _assign(_blocks(active.drop("n"), heads.withColumn("many", F.col("n")), visitors))
+        below = F.concat("cell", F.lit("."), F.col("child").cast("string")).alias("cell")
+        rest = state.join(cells.filter(~split).select("space", "cell"), ["space", "cell"])
+        rest = rest.select("space", "cell", "v", "w", "x", F.lit(None).cast("int").alias("child"), F.lit(None).cast("double").alias("gap"))
+        state, after = _written(rest.unionByName(assigned.select("space", below, "v", "w", "x", "child", "gap")), "state")
+        drop_copy(spark, path)
+        path = after
+        release(spark)
+        parts = state.filter("child is not null").groupBy("space", "cell", "child").agg(
             F.count("*").alias("n"), F.sum("w").alias("weight"), F.max("gap").alias("radius"), F.max_by("x", "gap").alias("far")
         )
-        parts = materialize(parts, "parts")
-        reach = parts.groupBy("space", "cell").agg(F.sort_array(F.collect_list(F.struct("child", "radius"))).alias("radii"))
-        routed_heads = _with_radii(heads.join(reach, ["space", "cell"]).select("space", "cell", "many", "info", "radii"))
-        moving = assigned.select("space", "cell", "v", "w", "child", "x").unionByName(
-            active.filter("not home").select("space", "cell", "v", "w", F.lit(None).cast("int").alias("child"), "x")
-        )
-        routed = materialize(_route(_blocks(moving, routed_heads, visitors), t), "routed")
-        below = F.concat("cell", F.lit("."), F.col("child").cast("string")).alias("cell")
-        taken.append(routed.filter("kind = 2").select("space", below, "v", "w"))
-        state = routed.filter("kind < 2").select("space", below, "v", "w", (F.col("kind") == 0).alias("home"), "x")
         dims = F.substring_index("space", "|", 1).cast("int") * 8
-        own = F.expr("substring(info, child * size + 1, size)")
-        cells = parts.join(heads.select("space", "cell", "info", dims.alias("size")), ["space", "cell"])
-        cells = materialize(cells.select("space", below, "n", "weight", "radius", "far", own.alias("centre")), "cells")
-    return _gather(spark, rows, points, finished, taken, tight, key, threshold, cell_rows, visitors, bool(taken))
+        own = heads.select("space", F.col("cell").alias("above"), "info", dims.alias("size"))
+        parts = parts.withColumn("above", F.expr("substring(cell, 1, length(cell) - length(cast(child as string)) - 1)")).join(own, ["space", "above"])
+        parts = parts.select("space", "cell", "n", "weight", "far", "radius", F.expr("substring(info, child * size + 1, size)").alias("centre"))
+        cells = materialize(cells.filter(~split).unionByName(parts), "cells")
 
 
 def _centres(picked: DataFrame, cell_rows: int, fanout: int) -> DataFrame:
-    """(space, cell, n, many, info): the centres that part a cell, as bytes one after the other."""
+    """(space, cell, n, info): the centres that part a cell, as bytes one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             info = []
             for r in batch.to_pylist():
-                candidates = np.frombuffer(b"".join([r["centre"], r["far"], *(r["sample"] or [])])).reshape(-1, _dims(r["space"]))
+                dims = _dims(r["space"])
+                centre = np.frombuffer(r["centre"] or b"").reshape(-1, dims)
+                candidates = np.vstack([centre, _units([r["far"], *(r["sample"] or [])], dims)])
                 most = int(min(fanout, max(2, -(-2 * r["n"] // cell_rows))))
-                info.append(spread_out(candidates, most, r["radius"] / 2).tobytes())
-            columns = [batch.column(c) for c in ("space", "cell", "n", "many")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(info, pa.binary())], names=["space", "cell", "n", "many", "info"])
-
-    return picked.mapInArrow(run, "space string, cell string, n long, many long, info binary")
+                info.append(spread_out(candidates, most, 0.0 if r["radius"] is None else r["radius"] / 2).tobytes())
+            columns = [batch.column(c) for c in ("space", "cell", "n")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(info, pa.binary())], names=["space", "cell", "n", "info"])
 
-
-def _with_radii(heads: DataFrame) -> DataFrame:
-    """Heads with each centre's covering radius behind it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            info = []
-            for r in batch.to_pylist():
-                centres = np.frombuffer(r["info"]).reshape(-1, _dims(r["space"]))
-                radius = np.full((len(centres), 1), -4.0)  # of a centre without members: nothing reaches it
-                for c in r["radii"]:
-                    radius[c["child"]] = c["radius"]
-                info.append(np.hstack([centres, radius]).tobytes())
-            columns = [batch.column(c) for c in ("space", "cell", "many")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(info, pa.binary())], names=["space", "cell", "many", "info"])
-
-    return heads.mapInArrow(run, "space string, cell string, many long, info binary")
+    return picked.mapInArrow(run, "space string, cell string, n long, info binary")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -581,53 +765,20 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _gather(
-    spark: SparkSession, rows: DataFrame, points: DataFrame, finished: list[DataFrame], taken: list[DataFrame], tight: list[DataFrame],
-    key: str, threshold: float, cell_rows: int, visitors: int, parted: bool,
-) -> DataFrame:
-    """Traverse the finished cells, add what was taken whole, and give every row its links and component."""
-    rest = materialize(_union(finished), "finished")
-    guests = rest.groupBy("space", "cell").agg(F.count_if(~F.col("home")).alias("guests"))
-    sized = rest.join(guests, ["space", "cell"]).filter("not tight or guests > 0")
-    r_blocks = F.when(F.col("tight"), F.ceil(F.col("n") / cell_rows)).otherwise(1).cast("int")
-    v_blocks = F.greatest(F.lit(1), F.ceil(F.col("guests") / visitors)).cast("int")
-    sized = sized.select("*", r_blocks.alias("rs"), v_blocks.alias("vs"), F.xxhash64("v", F.lit(11)).alias("h"))
-    every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
-    one = lambda count: F.array(F.pmod("h", F.col(count)).cast("int"))
-    sized = sized.withColumn("r", F.explode(F.when(F.col("home"), one("rs")).otherwise(every("rs"))))
-    sized = sized.withColumn("s", F.explode(F.when(F.col("home"), every("vs")).otherwise(one("vs"))))
-    inner = (~F.col("tight") & (F.col("s") == 0)).alias("inner")
-    dealt = sized.select("space", "cell", "r", "s", "home", inner, "v", "w", "x").repartition("space", "cell", "r", "s")
-    found = materialize(_traverse(dealt.sortWithinPartitions("space", "cell", "r", "s"), threshold), "links")
-    counts = [found.select("v", "links")]
-    edges = [found.select(F.col("v").alias("a"), F.col("root").alias("b"))]
-    whole = materialize(_union(taken), "taken") if taken else None
-    if parted:  # cells as vertices: every member of a cell that is taken whole, or where all pairs link, joins its node
-        gains = [_union(tight)]
-        if whole is not None:
-            gains.append(whole.groupBy("space", "cell").agg(F.sum("w").alias("gain")).withColumn("tight", F.lit(False)))
-        nodes = _union(gains).groupBy("space", "cell").agg(F.sum("gain").alias("gain"), F.max("tight").alias("all"))
-        nodes = materialize(nodes.select("*", (F.lit(-1) - F.monotonically_increasing_id()).alias("node")), "nodes")
-        steps = F.split(F.substring("cell", F.lit(2), F.length("cell")), "[.]")
-        above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.concat(F.lit("."), F.array_join(F.slice(steps, 1, i), ".")))
-        paths = rest.filter("home").select("space", F.explode(F.when(F.col("cell") == "", F.array(F.lit(""))).otherwise(F.concat(F.array(F.lit("")), above))).alias("cell"), "v", "w")
-        inside = materialize(paths.join(nodes, ["space", "cell"]).select("v", "node", F.when(F.col("all"), F.col("gain") - F.col("w")).otherwise(F.col("gain")).alias("links")), "inside")
-        counts.append(inside.select("v", "links"))
-        edges.append(inside.select(F.col("v").alias("a"), F.col("node").alias("b")))
-        if whole is not None:
-            weights = paths.groupBy("space", "cell").agg(F.sum("w").alias("links"))
-            reached = whole.join(weights, ["space", "cell"]).join(nodes.select("space", "cell", "node"), ["space", "cell"])
-            reached = materialize(reached.select("v", "node", "links"), "reached")
-            counts.append(reached.select("v", "links"))
-            edges.append(reached.select(F.col("v").alias("a"), F.col("node").alias("b")))
-    links = _union(counts).groupBy("v").agg(F.sum("links").alias("links"))
-    roots = components(_union(edges)).select(F.col("vertex").alias("v"), "root")
-    known = points.select("v", "w", "id").join(links, "v", "left").join(roots, "v", "left")
-    known = materialize(known.select("v", "w", "id", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "v").alias("root")), "known")
-    smallest = known.groupBy("root").agg(F.min("id").alias("component_id"))
-    known = known.join(smallest, "root").select("v", (F.col("links") + F.col("w") - 1).alias("n_links"), "component_id")
-    classes = points.select("v", "space", "entries").join(known, "v").drop("v")
-    linked = rows.filter("space is not null").join(classes, ["space", "entries"]).select("id", "n_links", "component_id")
+def _gather(rows: DataFrame, points: DataFrame, found: list[DataFrame], inside: DataFrame, key: str) -> DataFrame:
+    """Add up links, with those inside cells where all pairs link, and give every row its links and component."""
+    nodes = inside.groupBy("space", "cell").agg(F.min("v").alias("node"))
+    inside = inside.join(nodes, ["space", "cell"])
+    pairs = _union([f.filter("v is not null").select("v", "links", "root") for f in found])
+    counts = pairs.select("v", "links").unionByName(inside.select("v", (F.col("weight") - F.col("w")).alias("links")))
+    edges = pairs.select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(inside.select(F.col("v").alias("a"), F.col("node").alias("b")))
+    links = counts.groupBy("v").agg(F.sum("links").alias("links"))
+    roots = components(edges).select(F.col("vertex").alias("v"), "root")
+    known = points.join(links, "v", "left").join(roots, "v", "left")
+    known = materialize(known.select("w", "id", "space", "digest", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "v").alias("root")), "linked")
+    least = known.groupBy("root").agg(F.min("id").alias("component_id"))
+    classes = known.join(least, "root").select("space", "digest", (F.col("links") + F.col("w") - 1).alias("n_links"), "component_id")
+    linked = rows.filter("space is not null").join(classes, ["space", "digest"]).select("id", "n_links", "component_id")
     alone = rows.filter("space is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     out = linked.unionByName(alone)
     return out.select(F.col("id").alias(key), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

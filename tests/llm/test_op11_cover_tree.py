@@ -130,3 +130,53 @@ def test_empty_table(spark):
 def test_query_equals_all_pairs(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF0001}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert norm(ct.query(spark, SF0001).collect()) == brute(rows)
+
+
+def test_noise_costs_disk_in_proportion_to_its_vectors(spark):
+    """Blocks of one label meet in all pairs without a copy of a vector for every cell it may have a partner in."""
+    import os
+
+    from propensia.session import checkpoint_dir
+
+    rng = np.random.default_rng(9)
+    n = 4000
+    x = np.vstack([unit(rng.normal(size=(n - 60, 32))), groups_of_copies(rng, 60, 32, 2, 0.1)]).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    got = norm(ct.near_duplicates(rows, cell_rows=64, visitors=256, sample=64, fanout=4).collect())
+    assert got == brute_by_matrix(x)
+    made = [os.path.join(at, f) for d in set(os.listdir(folder)) - before for at, _, files in os.walk(os.path.join(folder, d)) for f in files]
+    assert sum(os.path.getsize(f) for f in made) < 6 * x.nbytes
+
+
+def brute_by_matrix(x, threshold=0.98):
+    x = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = x @ x.T >= threshold
+    np.fill_diagonal(near, False)
+    least = np.arange(len(x))
+    while True:
+        lower = np.minimum(least, np.where(near, least[None, :], len(x)).min(axis=1))
+        if (lower == least).all():
+            return norm([(i, int(k), int(c), i == int(c)) for i, (k, c) in enumerate(zip(near.sum(axis=1), least))])
+        least = lower
+
+
+@pytest.mark.parametrize(("dims", "spread"), [(3, 0.5), (24, 0.1), (64, 0.15)])
+def test_blocks_of_cells_equal_all_pairs(dims, spread):
+    rng = np.random.default_rng(dims)
+    x, w = groups_of_copies(rng, 900, dims, 5, spread), rng.integers(1, 4, 900)
+    near = x @ x.T >= 0.98
+    home = rng.integers(0, 7, 900)  # cells that overlap
+    near[home[:, None] == home[None, :]] = False
+    links, blocks, places = ct.Links(900), [], []
+    for cells in ([0, 1, 2], [3, 4, 5, 6]):
+        rows = [np.flatnonzero(home == c) for c in cells]
+        trees = [ct.Tree(x[r], w[r], 0.1) for r in rows]
+        blocks.append(ct.Block.of_trees(trees, [str(c) for c in cells]))
+        places.append(np.concatenate([r[t.order] for r, t in zip(rows, trees)]))
+    for i, j in ((0, 0), (0, 1), (1, 1)):
+        ct.across(blocks[i], blocks[j], links, 0.98, places[i], places[j])
+    assert (links.count == near @ w).all()
+    u, v = np.nonzero(near)
+    assert (links.find(u) == links.find(v)).all()
