@@ -721,7 +721,7 @@ def _parted(points: DataFrame, path: str, t: float, cell_rows: int, visitors: in
         drawn = F.pmod(F.xxhash64("v", F.lit(level)), F.lit(1 << 30)) < F.lit(float(sample) * (1 << 30)) / F.col("n")
         samples = active.filter(drawn).groupBy("space", "cell").agg(F.sort_array(F.collect_list("x")).alias("sample"))
         picked = busy.join(samples, ["space", "cell"], "left").select("space", "cell", "n", "radius", "centre", "far", "sample")
-        heads = materialize(_centres(picked, cell_rows, fanout), "centres")
+        heads = materialize(_centres(picked, fanout), "centres")
         assigned = _assign(_blocks(active.drop("n"), heads.withColumn("many", F.col("n")), visitors))
         below = F.concat("cell", F.lit("."), F.col("child").cast("string")).alias("cell")
         rest = state.join(cells.filter(~split).select("space", "cell"), ["space", "cell"])
@@ -740,7 +740,7 @@ def _parted(points: DataFrame, path: str, t: float, cell_rows: int, visitors: in
         cells = materialize(cells.filter(~split).unionByName(parts), "cells")
 
 
-def _centres(picked: DataFrame, cell_rows: int, fanout: int) -> DataFrame:
+def _centres(picked: DataFrame, fanout: int) -> DataFrame:
     """(space, cell, n, info): the centres that part a cell, as bytes one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -750,8 +750,8 @@ def _centres(picked: DataFrame, cell_rows: int, fanout: int) -> DataFrame:
                 dims = _dims(r["space"])
                 centre = np.frombuffer(r["centre"] or b"").reshape(-1, dims)
                 candidates = np.vstack([centre, _units([r["far"], *(r["sample"] or [])], dims)])
-                most = int(min(fanout, max(2, -(-2 * r["n"] // cell_rows))))
-                info.append(spread_out(candidates, most, 0.0 if r["radius"] is None else r["radius"] / 2).tobytes())
+                # All of them in any case: a group of copies stays with one centre, and what is around it goes in few levels.
+                info.append(spread_out(candidates, fanout, 0.0 if r["radius"] is None else r["radius"] / 2).tobytes())
             columns = [batch.column(c) for c in ("space", "cell", "n")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(info, pa.binary())], names=["space", "cell", "n", "info"])
 
